@@ -8,12 +8,16 @@ from shoplens.functions.scalar import (
     map_encode,
     ordinal_encode,
     safe_ratio,
+    exact_avg,
+    exact_sum,
 )
 
 __all__ = [
     "age_group",
     "as_utc_ts",
     "clip_upper",
+    "exact_avg",
+    "exact_sum",
     "flag",
     "floor_days",
     "map_encode",

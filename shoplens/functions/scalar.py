@@ -50,3 +50,15 @@ def age_group(age: Column | str) -> Column:
         .when((a > 35) & (a <= 50), "36-50")
         .when((a > 50) & (a <= 71), "51+")
     )
+
+
+def exact_sum(c: Column | str, scale: int = 6) -> Column:
+    """Sum of a measure with at most ``scale`` decimals, added exactly as a
+    decimal and returned as double: the result does not depend on the order
+    in which partitions are combined (a plain double sum does)."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_avg(c: Column | str, scale: int = 6) -> Column:
+    """Mean with an order-independent (decimal) numerator; nulls ignored."""
+    return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
