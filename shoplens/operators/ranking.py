@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,7 +134,10 @@ def exact_quantiles(
     task ever holds all distinct values.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
+    # The single projected column is read by three passes (edges, bucket
+    # counts, selection); keep it rather than re-running the upstream plan.
     base = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     keyed = bucket_ids(base, "_v", None, False, buckets)
     stats = keyed.groupBy("_bid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bid").rowsBetween(Window.unboundedPreceding, -1)

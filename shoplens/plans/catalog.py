@@ -10,7 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from functools import reduce
+
 from shoplens.operators import clean as C
+from shoplens.operators import quality as Q
+from shoplens.plans import oracle as O
 from shoplens.operators import features as FE
 from shoplens.operators import rfm as RFM
 from shoplens.plans import adapters as A
@@ -130,3 +134,64 @@ def feature_matrix_df(spark: SparkSession, sf: str) -> DataFrame:
 @register("feature_matrix")
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return feature_matrix_df(spark, sf)
+
+
+# --------------------------------------------------------------- data quality
+FINDING_COLS = ["table", "column", "level", "value"]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dq_missing")
+def dq_missing(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    return _union([Q.check_missing_values(df, 0.5, name) for name, df in t.items()]).select(*FINDING_COLS)
+
+
+@register("dq_duplicates")
+def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    return _union([Q.check_duplicates(t[name], keys.split(","), name) for name, keys in O.DUP_CHECKS]).select(
+        *FINDING_COLS
+    )
+
+
+@register("dq_ranges")
+def dq_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    return _union([Q.check_value_ranges(t[name], {c: (lo, hi)}, name) for name, c, lo, hi in O.RANGE_CHECKS]).select(
+        *FINDING_COLS
+    )
+
+
+@register("dq_freshness")
+def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    return _union([Q.check_data_freshness(t[name], c, 7, O.FRESH_REF, name) for name, c in O.FRESH_CHECKS]).select(
+        *FINDING_COLS
+    )
+
+
+@register("dq_orphans")
+def dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    parts = [Q.check_referential_integrity(t[c], t[p], fk, pk, c, p) for c, fk, p, pk in O.FK_CHECKS]
+    return _union(parts).select(*FINDING_COLS, "detail")
+
+
+@register("dq_types")
+def dq_types(spark: SparkSession, sf: str) -> DataFrame:
+    t = A.canonical_tables(spark, sf)
+    return _union([Q.check_data_types(t[name], m, name) for name, m in O.TYPE_CHECKS.items()]).select(
+        *FINDING_COLS, "detail"
+    )
+
+
+@register("dq_report")
+def dq_report(spark: SparkSession, sf: str) -> DataFrame:
+    r = Q.generate_quality_report(A.orders(spark, sf), "orders")
+    return r.withColumn(
+        "value", F.when(F.col("metric").isin("mean", "std"), F.round("value", 6)).otherwise(F.col("value"))
+    )

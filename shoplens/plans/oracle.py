@@ -42,6 +42,7 @@ SELECT c.c_custkey AS user_id, c.c_name AS name,
        'user' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS email,
        CAST(18 + c.c_custkey % 53 AS INTEGER) AS age,
        CASE c.c_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Other' END AS gender,
+       CAST(NULL AS VARCHAR) AS city,
        CAST(c.c_nationkey AS VARCHAR) AS state,
        CASE c.c_nationkey % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'tablet' ELSE 'desktop' END AS device_type,
        CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'free' WHEN 'MACHINERY' THEN 'free'
@@ -463,3 +464,137 @@ cte(
 )
 query("order_features_cutoff", rounded("order_f_cut", ORDER_COLS + " will_purchase_future", ""), "order_f_cut")
 query("feature_matrix", rounded("fm", FM_COLS, ""), "fm")
+
+
+# ------------------------------------------------------------- data quality
+TABLE_COLUMNS = {
+    "users": ("shop_users", "user_id name email age gender city state device_type membership signup_date"),
+    "orders": ("shop_orders", "order_id user_id order_date total_amount status payment_method priority discount_pct"),
+    "sessions": ("shop_sessions", "session_id user_id session_start session_end duration_secs pages_visited bounced"),
+    "browse_events": ("shop_events", "event_id user_id product_id event_type time_spent_secs event_ts"),
+    "products": ("shop_products", "product_id product_name category subcategory price stock_qty"),
+    "order_items": ("shop_items", "order_item_id order_id product_id quantity unit_price"),
+}
+_missing = []
+for _t, (_src, _cols) in TABLE_COLUMNS.items():
+    for _c in _cols.split():
+        _missing.append(f"SELECT '{_t}' AS \"table\", '{_c}' AS \"column\", avg(CAST({_c} IS NULL AS DOUBLE)) AS share FROM {_src}")
+query(
+    "dq_missing",
+    "SELECT \"table\", \"column\", CASE WHEN share > 0.5 THEN 'error' ELSE 'warning' END AS level, share AS value "
+    "FROM (" + " UNION ALL ".join(_missing) + ") m WHERE share > 0",
+    *[v[0] for v in TABLE_COLUMNS.values()],
+)
+
+DUP_CHECKS = [("orders", "user_id,order_date"), ("browse_events", "user_id,product_id,event_type"),
+              ("order_items", "order_id,product_id")]
+_dups = [
+    f"SELECT '{t}' AS \"table\", '{k}' AS \"column\", COALESCE(CAST(sum(n - 1) AS BIGINT), 0) AS d "
+    f"FROM (SELECT count(*) AS n FROM {TABLE_COLUMNS[t][0]} GROUP BY {k}) g"
+    for t, k in DUP_CHECKS
+]
+query(
+    "dq_duplicates",
+    "SELECT \"table\", \"column\", CASE WHEN d > 0 THEN 'warning' ELSE 'ok' END AS level, CAST(d AS DOUBLE) AS value "
+    "FROM (" + " UNION ALL ".join(_dups) + ") x",
+    "shop_orders", "shop_events", "shop_items",
+)
+
+RANGE_CHECKS = [("users", "age", 18, 65), ("orders", "total_amount", 1000.0, 450000.0), ("orders", "discount_pct", 0, 8),
+                ("browse_events", "time_spent_secs", 0.0, 400.0)]
+_ranges = [
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS n "
+    f"FROM {TABLE_COLUMNS[t][0]}"
+    for t, c, lo, hi in RANGE_CHECKS
+]
+query(
+    "dq_ranges",
+    "SELECT \"table\", \"column\", CASE WHEN n > 0 THEN 'error' ELSE 'ok' END AS level, CAST(n AS DOUBLE) AS value "
+    "FROM (" + " UNION ALL ".join(_ranges) + ") x",
+    "shop_users", "shop_orders", "shop_events",
+)
+
+FRESH_CHECKS = [("orders", "order_date"), ("sessions", "session_start"), ("browse_events", "event_ts")]
+FRESH_REF = "2001-08-15 00:00:00"
+_REF_TS = f"TIMESTAMP '{FRESH_REF}'"
+_fresh = [
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", "
+    + floor_days(_REF_TS, f"max(CAST({c} AS TIMESTAMP))")
+    + f" AS age FROM {TABLE_COLUMNS[t][0]}"
+    for t, c in FRESH_CHECKS
+]
+query(
+    "dq_freshness",
+    "SELECT \"table\", \"column\", CASE WHEN age > 7 THEN 'warning' ELSE 'ok' END AS level, CAST(age AS DOUBLE) AS value "
+    "FROM (" + " UNION ALL ".join(_fresh) + ") x",
+    "shop_orders", "shop_sessions", "shop_events",
+)
+
+FK_CHECKS = [("sessions", "user_id", "users", "user_id"), ("orders", "user_id", "users", "user_id"),
+             ("order_items", "order_id", "orders", "order_id"), ("browse_events", "product_id", "products", "product_id"),
+             ("browse_events", "user_id", "users", "user_id")]
+_fk = []
+for _ct, _fkc, _pt, _pk in FK_CHECKS:
+    _child, _parent = TABLE_COLUMNS[_ct][0], TABLE_COLUMNS[_pt][0]
+    _orph = (f"(SELECT c.{_fkc} AS v FROM {_child} c WHERE NOT EXISTS "
+             f"(SELECT 1 FROM {_parent} p WHERE p.{_pk} IS NOT DISTINCT FROM c.{_fkc}))")
+    _fk.append(
+        f"SELECT '{_ct}' AS \"table\", '{_fkc}' AS \"column\", (SELECT count(*) FROM {_orph} o1) AS n, "
+        f"'{_ct}.{_fkc} -> {_pt}.{_pk} e.g. ' || COALESCE((SELECT string_agg(CAST(v AS VARCHAR), ',' ORDER BY CAST(v AS VARCHAR)) "
+        f"FROM (SELECT DISTINCT v FROM {_orph} o2 ORDER BY v NULLS FIRST LIMIT 5) s), '') AS detail"
+    )
+query(
+    "dq_orphans",
+    "SELECT \"table\", \"column\", CASE WHEN n > 0 THEN 'error' ELSE 'ok' END AS level, CAST(n AS DOUBLE) AS value, detail "
+    "FROM (" + " UNION ALL ".join(_fk) + ") x",
+    *[v[0] for v in TABLE_COLUMNS.values()],
+)
+
+TYPE_CHECKS = {
+    "users": {"user_id": "int", "age": "int", "signup_date": "datetime", "membership": "object"},
+    "orders": {"order_id": "int", "order_date": "datetime", "total_amount": "float", "discount_pct": "int64",
+               "status": "object"},
+    "sessions": {"session_start": "datetime", "duration_secs": "int", "bounced": "bool"},
+    "browse_events": {"product_id": "int64", "time_spent_secs": "int"},
+}
+_DUCK_TYPES = ("CASE t WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'DOUBLE' THEN 'float64' "
+               "WHEN 'VARCHAR' THEN 'object' WHEN 'BOOLEAN' THEN 'bool' WHEN 'TIMESTAMP' THEN 'datetime64[ns]' "
+               "WHEN 'DATE' THEN 'datetime64[ns]' ELSE lower(t) END")
+_types = []
+for _t, _m in TYPE_CHECKS.items():
+    for _c, _want in _m.items():
+        _types.append(
+            f"SELECT '{_t}' AS \"table\", '{_c}' AS \"column\", '{_want}' AS want, "
+            f"(SELECT {_DUCK_TYPES} FROM (SELECT typeof({_c}) AS t FROM {TABLE_COLUMNS[_t][0]} LIMIT 1) z) AS actual"
+        )
+query(
+    "dq_types",
+    "SELECT \"table\", \"column\", CASE WHEN contains(actual, want) THEN 'ok' ELSE 'error' END AS level, "
+    "CASE WHEN contains(actual, want) THEN 0.0 ELSE 1.0 END AS value, "
+    "'expected ' || want || ', got ' || actual AS detail FROM (" + " UNION ALL ".join(_types) + ") x",
+    "shop_users", "shop_orders", "shop_sessions", "shop_events",
+)
+
+_ord_cols = TABLE_COLUMNS["orders"][1].split()
+_ord_num = ["order_id", "user_id", "total_amount", "discount_pct"]
+_ord_str = ["status", "payment_method", "priority"]
+_rep = ["SELECT '*' AS \"column\", 'total_rows' AS metric, CAST(count(*) AS DOUBLE) AS value, NULL AS detail FROM shop_orders",
+        f"SELECT '*', 'total_columns', {float(len(_ord_cols))}, NULL",
+        "SELECT '*', 'duplicate_rows', CAST(COALESCE(sum(n - 1), 0) AS DOUBLE), NULL FROM "
+        f"(SELECT count(*) AS n FROM shop_orders GROUP BY {', '.join(_ord_cols)}) g"]
+for _c in _ord_cols:
+    _rep.append(f"SELECT '{_c}', 'null_count', CAST(count(*) FILTER (WHERE {_c} IS NULL) AS DOUBLE), NULL FROM shop_orders")
+    _rep.append(f"SELECT '{_c}', 'dtype', NULL, (SELECT {_DUCK_TYPES} FROM (SELECT typeof({_c}) AS t FROM shop_orders LIMIT 1) z)")
+for _c in _ord_num:
+    _rep.append(f"SELECT '{_c}', 'mean', round({xavg(f'CAST({_c} AS DOUBLE)')}, 6), NULL FROM shop_orders")
+    _rep.append(f"SELECT '{_c}', 'std', round(stddev_samp(CAST({_c} AS DOUBLE)), 6), NULL FROM shop_orders")
+    _rep.append(f"SELECT '{_c}', 'min', CAST(min({_c}) AS DOUBLE), NULL FROM shop_orders")
+    _rep.append(f"SELECT '{_c}', 'max', CAST(max({_c}) AS DOUBLE), NULL FROM shop_orders")
+for _c in _ord_str:
+    _rep.append(f"SELECT '{_c}', 'unique_values', CAST(count(DISTINCT {_c}) AS DOUBLE), NULL FROM shop_orders")
+    _rep.append(
+        f"SELECT '{_c}', 'top' || CAST(rk AS VARCHAR), CAST(n AS DOUBLE), v FROM (SELECT {_c} AS v, count(*) AS n, "
+        f"row_number() OVER (ORDER BY count(*) DESC, {_c}) AS rk FROM shop_orders WHERE {_c} IS NOT NULL GROUP BY {_c}) t "
+        "WHERE rk <= 3"
+    )
+query("dq_report", "SELECT 'orders' AS \"table\", * FROM (" + " UNION ALL ".join(_rep) + ") r", "shop_orders")
