@@ -93,12 +93,14 @@ def global_rank(
     sums: Sequence[str] = (),
     rank_col: str = "rank",
     buckets: int = DEFAULT_BUCKETS,
+    extra_order: Sequence[str] = (),
 ) -> DataFrame:
     """Exact position in the order (key [desc], tiebreak asc) + running sums.
 
     Adds ``rank_col`` (1-based) and ``cum_<c>`` for each column in ``sums``
-    (inclusive running sum in the same order).  Give a unique ``tiebreak`` for
-    a deterministic order among equal keys.
+    (inclusive running sum in the same order).  Give a unique ``tiebreak`` (or
+    ``extra_order`` columns, compared after it) for a deterministic order
+    among equal keys.
     """
     keyed = bucket_ids(df, key, tiebreak, descending, buckets)
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
@@ -110,7 +112,7 @@ def global_rank(
     )
     # offsets holds one row per populated bucket: bounded by the bucket count.
     joined = keyed.join(F.broadcast(offsets), "_bid")
-    inside = Window.partitionBy("_bid").orderBy("_k", "_t")
+    inside = Window.partitionBy("_bid").orderBy("_k", "_t", *extra_order)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.withColumn(rank_col, F.col("_off_n") + F.row_number().over(inside))
     for c in sums:

@@ -195,3 +195,226 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return r.withColumn(
         "value", F.when(F.col("metric").isin("mean", "std"), F.round("value", 6)).otherwise(F.col("value"))
     )
+
+
+# ---------------------------------------------------------------- exploration
+from shoplens.operators import business as BZ  # noqa: E402
+from shoplens.operators import explore as EX  # noqa: E402
+from shoplens.operators import metrics as ME  # noqa: E402
+from shoplens.operators import splits as SP  # noqa: E402
+from shoplens.schema import MEMBERSHIP_ORDER  # noqa: E402
+
+
+def users_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return C.clean_users(A.users(spark, sf), A.orders(spark, sf, with_discount=False), urgent_buyers(spark, sf))
+
+
+@register("dist_membership")
+def dist_membership(spark, sf):
+    return EX.distribution(A.users(spark, sf), "membership", MEMBERSHIP_ORDER)
+
+
+@register("rate_by_membership")
+def rate_by_membership(spark, sf):
+    return EX.group_rate(users_clean(spark, sf), "membership", "will_purchase", "purchase_rate")
+
+
+@register("sessions_per_month")
+def sessions_per_month(spark, sf):
+    return EX.count_by_month(A.sessions(spark, sf), "session_start")
+
+
+@register("events_by_hour")
+def events_by_hour(spark, sf):
+    return EX.count_by_hour(A.browse_events(spark, sf), "event_ts")
+
+
+@register("histogram_order_value")
+def histogram_order_value(spark, sf):
+    return EX.histogram(A.orders(spark, sf, with_discount=False), "total_amount", 40)
+
+
+@register("events_by_category")
+def events_by_category(spark, sf):
+    return EX.count_by_dimension(A.browse_events(spark, sf), A.products(spark, sf), "product_id", "category")
+
+
+@register("table_profile")
+def table_profile(spark, sf):
+    return EX.table_profile(A.canonical_tables(spark, sf))
+
+
+@register("kpis")
+def kpis(spark, sf):
+    return EX.kpis(A.users(spark, sf), A.orders(spark, sf, with_discount=False), A.products(spark, sf),
+                   A.browse_events(spark, sf))
+
+
+@register("customer_stats")
+def customer_stats(spark, sf):
+    return EX.customer_stats(feature_matrix_df(spark, sf))
+
+
+@register("target_balance")
+def target_balance(spark, sf):
+    return EX.target_balance(users_clean(spark, sf), "will_purchase")
+
+
+@register("target_correlation")
+def target_correlation(spark, sf):
+    c = EX.target_correlation(feature_matrix_df(spark, sf), "will_purchase", top=15)
+    return c.withColumn("abs_corr", F.round("abs_corr", 6))
+
+
+@register("top_products")
+def top_products(spark, sf):
+    return EX.top_products(A.browse_events(spark, sf), A.products(spark, sf), 10)
+
+
+# ------------------------------------------------------------ splits, weights
+def split_base(spark, sf):
+    return users_clean(spark, sf).select("user_id", "will_purchase", "account_age_days")
+
+
+@register("stratified_split")
+def stratified_split(spark, sf):
+    return SP.stratified_split(split_base(spark, sf), "will_purchase", 0.2, 42).select(
+        "user_id", "will_purchase", "split")
+
+
+@register("temporal_split")
+def temporal_split(spark, sf):
+    return SP.temporal_split(split_base(spark, sf), "will_purchase", None, 0.2).select(
+        "user_id", "will_purchase", "split")
+
+
+@register("kfold_counts")
+def kfold_counts(spark, sf):
+    f = SP.kfold_assign(split_base(spark, sf), "will_purchase", 5, 42)
+    return f.groupBy("fold", "will_purchase").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("class_weights")
+def class_weights(spark, sf):
+    return SP.class_weights(split_base(spark, sf), "will_purchase")
+
+
+# ---------------------------------------------------------------- evaluation
+def scored_events(spark, sf):
+    """y = the event is a cart add (purchase event), score = value / 500."""
+    e = A.browse_events(spark, sf)
+    score = F.col("time_spent_secs") / F.lit(500.0)
+    return e.select(
+        "event_id",
+        (F.col("event_type") == "add_to_cart").cast("int").alias("y_true"),
+        score.alias("y_score"),
+        (score >= 0.5).cast("int").alias("y_pred"),
+    )
+
+
+@register("confusion")
+def confusion(spark, sf):
+    return ME.confusion(scored_events(spark, sf))
+
+
+@register("binary_metrics")
+def binary_metrics(spark, sf):
+    return ME.binary_metrics(scored_events(spark, sf))
+
+
+@register("roc_auc")
+def roc_auc(spark, sf):
+    return ME.roc_auc(scored_events(spark, sf))
+
+
+@register("average_precision")
+def average_precision(spark, sf):
+    return ME.average_precision(scored_events(spark, sf))
+
+
+@register("class_report")
+def class_report(spark, sf):
+    return ME.class_report(scored_events(spark, sf))
+
+
+@register("roc_points")
+def roc_points(spark, sf):
+    return ME.roc_points(scored_events(spark, sf))
+
+
+def lift_df(spark, sf):
+    return ME.lift_table(scored_events(spark, sf), "event_id")
+
+
+@register("lift_table")
+def lift_table(spark, sf):
+    return lift_df(spark, sf).select("event_id", "rank", "pct_targeted", "pct_captured", "lift")
+
+
+@register("lift_summary")
+def lift_summary(spark, sf):
+    return ME.lift_summary(lift_df(spark, sf))
+
+
+@register("best_threshold")
+def best_threshold(spark, sf):
+    return ME.best_threshold(scored_events(spark, sf))
+
+
+@register("campaign_roi")
+def campaign_roi(spark, sf):
+    return BZ.campaign_table(lift_df(spark, sf))
+
+
+@register("roi_curve")
+def roi_curve(spark, sf):
+    return BZ.roi_curve(lift_df(spark, sf))
+
+
+# ------------------------------------------------------------ business rules
+def base_probability(spark, sf):
+    """A data-derived stand-in probability for the rule operators: the
+    user's mean session engagement (0..1) from the feature matrix."""
+    fm = feature_matrix_df(spark, sf)
+    return fm.withColumn("probability", F.col("engagement_score_mean"))
+
+
+@register("score_decay")
+def score_decay(spark, sf):
+    d = BZ.apply_decay(base_probability(spark, sf))
+    return d.select("user_id", "probability", "adjusted_probability", "prediction")
+
+
+@register("risk_tiers")
+def risk_tiers(spark, sf):
+    d = BZ.apply_decay(base_probability(spark, sf))
+    p = F.col("adjusted_probability")
+    return d.select("user_id", BZ.risk_tier(p).alias("risk"), BZ.recommended_action(p).alias("action"))
+
+
+@register("driver_scores")
+def driver_scores(spark, sf):
+    return BZ.driver_scores(feature_matrix_df(spark, sf))
+
+
+@register("top_buyers")
+def top_buyers(spark, sf):
+    return BZ.top_buyers(base_probability(spark, sf), "probability", 20)
+
+
+@register("customer_listing")
+def customer_listing(spark, sf):
+    fm = feature_matrix_df(spark, sf).select("user_id", "age", "total_orders", "total_spend", "will_purchase")
+    return BZ.customer_listing(fm, 100)
+
+
+@register("append_customers")
+def append_customers(spark, sf):
+    """Existing = users with an urgent order; new = the others, appended with
+    fresh ids after the current maximum, in their original id order."""
+    u = users_clean(spark, sf).select("user_id", "age", "will_purchase")
+    existing = u.where(F.col("will_purchase") == 1).withColumn("source", F.lit("existing"))
+    new = u.where(F.col("will_purchase") == 0).withColumn("source", F.lit("new"))
+    new = new.withColumn("orig_id", F.col("user_id"))
+    existing = existing.withColumn("orig_id", F.col("user_id"))
+    return BZ.append_scored(existing, new.drop("user_id"), order_col="orig_id")

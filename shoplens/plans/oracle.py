@@ -598,3 +598,340 @@ for _c in _ord_str:
         "WHERE rk <= 3"
     )
 query("dq_report", "SELECT 'orders' AS \"table\", * FROM (" + " UNION ALL ".join(_rep) + ") r", "shop_orders")
+
+
+# ---------------------------------------------------------------- exploration
+query(
+    "dist_membership",
+    """
+SELECT l.membership, CAST(COALESCE(c.n, 0) AS BIGINT) AS count,
+       CAST(COALESCE(c.n, 0) AS DOUBLE) * 100.0 / CAST((SELECT count(*) FROM shop_users) AS DOUBLE) AS pct
+FROM (VALUES ('free', 0), ('silver', 1), ('gold', 2), ('platinum', 3)) l(membership, o)
+LEFT JOIN (SELECT membership, count(*) AS n FROM shop_users GROUP BY membership) c ON l.membership = c.membership
+ORDER BY l.o
+""",
+    "shop_users",
+)
+query(
+    "rate_by_membership",
+    "SELECT membership, count(*) AS n, avg(CAST(will_purchase AS DOUBLE)) * 100.0 AS purchase_rate "
+    "FROM clean_usr GROUP BY membership",
+    "clean_usr",
+)
+query(
+    "sessions_per_month",
+    "SELECT strftime(session_start, '%Y-%m') AS month, count(*) AS count FROM shop_sessions GROUP BY 1",
+    "shop_sessions",
+)
+query(
+    "events_by_hour",
+    "SELECT CAST(hour(event_ts) AS INTEGER) AS hour_of_day, count(*) AS count FROM shop_events GROUP BY 1",
+    "shop_events",
+)
+query(
+    "histogram_order_value",
+    f"""
+SELECT bin, lo + bin * ((hi - lo) / 40.0) AS lower, lo + (bin + 1) * ((hi - lo) / 40.0) AS upper,
+       count(*) AS count, mean
+FROM (SELECT CASE WHEN s.hi = s.lo THEN 0
+                  ELSE CAST(least(floor((o.total_amount - s.lo) / ((s.hi - s.lo) / 40.0)), 39) AS INTEGER) END AS bin,
+             s.lo, s.hi, s.mean
+      FROM shop_orders o,
+           (SELECT min(total_amount) AS lo, max(total_amount) AS hi, {xavg("total_amount")} AS mean
+            FROM shop_orders) s
+      WHERE o.total_amount IS NOT NULL) b
+GROUP BY bin, lo, hi, mean
+""",
+    "shop_orders",
+)
+query(
+    "events_by_category",
+    "SELECT p.category, count(*) AS count FROM shop_events e LEFT JOIN shop_products p "
+    "ON e.product_id = p.product_id GROUP BY p.category",
+    "shop_events", "shop_products",
+)
+_prof = []
+for _t, (_src, _cols) in TABLE_COLUMNS.items():
+    _cl = _cols.split()
+    _nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _cl)
+    _prof.append(
+        f"SELECT '{_t}' AS \"table\", count(*) AS rows, {len(_cl)} AS columns, {_nulls} AS null_cells, "
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {_src}) d) AS duplicate_rows FROM {_src}"
+    )
+query("table_profile", " UNION ALL ".join(_prof), *[v[0] for v in TABLE_COLUMNS.values()])
+query(
+    "kpis",
+    """
+SELECT (SELECT count(*) FROM shop_users) AS users, (SELECT count(*) FROM shop_orders) AS orders,
+       (SELECT count(*) FROM shop_products) AS products, (SELECT count(*) FROM shop_events) AS events,
+       CAST((SELECT count(DISTINCT user_id) FROM shop_orders) AS DOUBLE) * 100.0
+         / CAST((SELECT count(*) FROM shop_users) AS DOUBLE) AS buyer_rate
+""",
+    "shop_users", "shop_orders", "shop_products", "shop_events",
+)
+query(
+    "customer_stats",
+    f"""
+SELECT count(*) AS total_customers,
+       count(*) FILTER (WHERE total_spend > (SELECT quantile_cont(total_spend, 0.5) FROM fm)) AS high_value_customers,
+       {xavg("avg_order_value")} AS avg_order_value, {xsum("total_spend")} AS total_revenue,
+       avg(CAST(will_purchase AS DOUBLE)) AS purchase_rate
+FROM fm
+""",
+    "fm",
+)
+query(
+    "target_balance",
+    "SELECT CAST(sum(will_purchase) AS BIGINT) AS buyers, CAST(count(*) - sum(will_purchase) AS BIGINT) AS non_buyers, "
+    "avg(CAST(will_purchase AS DOUBLE)) AS share FROM clean_usr",
+    "clean_usr",
+)
+_FM_NUMERIC = [c for c in FM_COLS.split() if c not in ("user_id", "will_purchase", "device_type")]
+_corr = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(covar_pop(CAST({c} AS DOUBLE), CAST(will_purchase AS DOUBLE)) / "
+    f"NULLIF(stddev_pop(CAST({c} AS DOUBLE)) * stddev_pop(CAST(will_purchase AS DOUBLE)), 0)) AS abs_corr FROM fm"
+    for c in _FM_NUMERIC
+)
+query(
+    "target_correlation",
+    f"SELECT feature, round(abs_corr, 6) AS abs_corr FROM ({_corr}) c ORDER BY abs_corr DESC NULLS LAST, feature LIMIT 15",
+    "fm",
+)
+query(
+    "top_products",
+    """
+SELECT c.product_id, c.browse_count, p.product_name, p.category, p.price
+FROM (SELECT product_id, count(*) AS browse_count FROM shop_events GROUP BY product_id) c
+JOIN shop_products p ON c.product_id = p.product_id
+ORDER BY c.browse_count DESC, c.product_id LIMIT 10
+""",
+    "shop_events", "shop_products",
+)
+
+# ------------------------------------------------------------ splits, weights
+cte(
+    "split_ranked",
+    """
+SELECT user_id, will_purchase, account_age_days,
+       row_number() OVER (PARTITION BY will_purchase
+                          ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id) AS class_rank,
+       count(*) OVER (PARTITION BY will_purchase) AS class_n
+FROM clean_usr
+""",
+    ["clean_usr"],
+)
+query(
+    "stratified_split",
+    "SELECT user_id, will_purchase, CASE WHEN class_rank <= round(class_n * 0.2) THEN 'test' ELSE 'train' END AS split "
+    "FROM split_ranked",
+    "split_ranked",
+)
+query(
+    "temporal_split",
+    """
+SELECT user_id, will_purchase,
+       CASE WHEN row_number() OVER (ORDER BY account_age_days, user_id) <= floor(count(*) OVER () * 0.2)
+            THEN 'test' ELSE 'train' END AS split
+FROM clean_usr
+""",
+    "clean_usr",
+)
+query(
+    "kfold_counts",
+    "SELECT CAST((class_rank - 1) % 5 AS INTEGER) AS fold, will_purchase, count(*) AS n FROM split_ranked GROUP BY 1, 2",
+    "split_ranked",
+)
+query(
+    "class_weights",
+    """
+SELECT will_purchase, n AS count,
+       CAST(sum(n) OVER () AS DOUBLE) / CAST(count(*) OVER () * n AS DOUBLE) AS weight,
+       CAST(sum(CASE WHEN will_purchase <> 1 THEN n ELSE 0 END) OVER () AS DOUBLE)
+         / CAST(greatest(sum(CASE WHEN will_purchase = 1 THEN n ELSE 0 END) OVER (), 1) AS DOUBLE) AS pos_weight
+FROM (SELECT will_purchase, count(*) AS n FROM clean_usr GROUP BY will_purchase) g
+""",
+    "clean_usr",
+)
+
+# ---------------------------------------------------------------- evaluation
+cte(
+    "scored",
+    """
+SELECT event_id, CAST(event_type = 'add_to_cart' AS INTEGER) AS y_true, time_spent_secs / 500.0 AS y_score,
+       CAST(time_spent_secs / 500.0 >= 0.5 AS INTEGER) AS y_pred
+FROM shop_events
+""",
+    ["shop_events"],
+)
+cte(
+    "conf",
+    """
+SELECT count(*) FILTER (WHERE y_true <> 1 AND y_pred <> 1) AS tn, count(*) FILTER (WHERE y_true <> 1 AND y_pred = 1) AS fp,
+       count(*) FILTER (WHERE y_true = 1 AND y_pred <> 1) AS fn, count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp
+FROM scored
+""",
+    ["scored"],
+)
+
+
+def ratio(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+query("confusion", "SELECT * FROM conf", "conf")
+query(
+    "binary_metrics",
+    f"SELECT {ratio('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {ratio('tp', 'tp + fp')} AS precision, "
+    f"{ratio('tp', 'tp + fn')} AS recall, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM conf",
+    "conf",
+)
+cte(
+    "per_class",
+    f"""
+SELECT {ratio('tn', 'tn + fn')} AS p0, {ratio('tn', 'tn + fp')} AS r0, {ratio('2 * tn', '2 * tn + fn + fp')} AS f0,
+       tn + fp AS s0,
+       {ratio('tp', 'tp + fp')} AS p1, {ratio('tp', 'tp + fn')} AS r1, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1,
+       tp + fn AS s1, {ratio('tp + tn', 'tp + fp + fn + tn')} AS acc, tp + fp + fn + tn AS n
+FROM conf
+""",
+    ["conf"],
+)
+query(
+    "class_report",
+    """
+SELECT '0' AS label, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM per_class
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM per_class
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM per_class
+UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n FROM per_class
+UNION ALL SELECT 'accuracy', NULL, NULL, acc, n FROM per_class
+""",
+    "per_class",
+)
+cte(
+    "groups_asc",
+    """
+SELECT score, pos, neg,
+       sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
+FROM (SELECT y_score AS score, count(*) FILTER (WHERE y_true = 1) AS pos, count(*) FILTER (WHERE y_true <> 1) AS neg
+      FROM scored GROUP BY y_score) g
+""",
+    ["scored"],
+)
+cte(
+    "groups_desc",
+    """
+SELECT score, pos, neg, row_number() OVER (ORDER BY score DESC) AS point,
+       sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+       sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
+FROM (SELECT y_score AS score, count(*) FILTER (WHERE y_true = 1) AS pos, count(*) FILTER (WHERE y_true <> 1) AS neg
+      FROM scored GROUP BY y_score) g
+""",
+    ["scored"],
+)
+cte("totals", "SELECT count(*) FILTER (WHERE y_true = 1) AS P, count(*) FILTER (WHERE y_true <> 1) AS N FROM scored",
+    ["scored"])
+query(
+    "roc_auc",
+    "SELECT sum(pos * (cum_neg - neg * 0.5)) / CAST((SELECT P * N FROM totals) AS DOUBLE) AS auc FROM groups_asc",
+    "groups_asc", "totals",
+)
+query(
+    "average_precision",
+    "SELECT round(sum(pos * (CAST(cum_pos AS DOUBLE) / CAST(cum_pos + cum_neg AS DOUBLE))) "
+    "/ CAST((SELECT P FROM totals) AS DOUBLE), 9) AS average_precision FROM groups_desc",
+    "groups_desc", "totals",
+)
+cte(
+    "roc_kept",
+    """
+SELECT point, score, cum_pos, cum_neg,
+       lag(cum_pos) OVER w AS tp0, lead(cum_pos) OVER w AS tp2, lag(cum_neg) OVER w AS fp0, lead(cum_neg) OVER w AS fp2
+FROM groups_desc WINDOW w AS (ORDER BY point)
+""",
+    ["groups_desc"],
+)
+cte(
+    "roc_pts",
+    """
+SELECT CAST(0 AS BIGINT) AS point, CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS BIGINT) AS tps, CAST(0 AS BIGINT) AS fps
+UNION ALL
+SELECT row_number() OVER (ORDER BY point), score, cum_pos, cum_neg FROM roc_kept
+WHERE tp0 IS NULL OR tp2 IS NULL OR fp0 - 2 * cum_neg + fp2 <> 0 OR tp0 - 2 * cum_pos + tp2 <> 0
+""",
+    ["roc_kept"],
+)
+query(
+    "roc_points",
+    """
+WITH kept AS (
+  SELECT point, score, cum_pos, cum_neg,
+         lag(cum_pos) OVER w AS tp0, lead(cum_pos) OVER w AS tp2, lag(cum_neg) OVER w AS fp0, lead(cum_neg) OVER w AS fp2
+  FROM groups_desc WINDOW w AS (ORDER BY point)),
+pts AS (
+  SELECT 0 AS point, CAST(NULL AS DOUBLE) AS threshold, 0 AS tps, 0 AS fps
+  UNION ALL
+  SELECT row_number() OVER (ORDER BY point), score, cum_pos, cum_neg FROM kept
+  WHERE tp0 IS NULL OR tp2 IS NULL OR fp0 - 2 * cum_neg + fp2 <> 0 OR tp0 - 2 * cum_pos + tp2 <> 0)
+SELECT point, threshold, CAST(fps AS DOUBLE) / CAST((SELECT N FROM totals) AS DOUBLE) AS fpr,
+       CAST(tps AS DOUBLE) / CAST((SELECT P FROM totals) AS DOUBLE) AS tpr
+FROM pts WHERE point % greatest(floor((SELECT count(*) FROM pts) / 100), 1) = 0
+""".replace("WITH kept AS (", "kept_q AS (") if False else """
+SELECT point, threshold, CAST(fps AS DOUBLE) / CAST((SELECT N FROM totals) AS DOUBLE) AS fpr,
+       CAST(tps AS DOUBLE) / CAST((SELECT P FROM totals) AS DOUBLE) AS tpr
+FROM roc_pts WHERE point % greatest(floor((SELECT count(*) FROM roc_pts) / 100), 1) = 0
+""",
+    "roc_pts", "totals",
+)
+cte(
+    "lift",
+    """
+SELECT event_id, rank, cum_buyers, CAST(rank AS DOUBLE) / CAST(n AS DOUBLE) AS pct_targeted,
+       CAST(cum_buyers AS DOUBLE) / CAST(P AS DOUBLE) AS pct_captured,
+       (CAST(cum_buyers AS DOUBLE) / CAST(P AS DOUBLE)) / (CAST(rank AS DOUBLE) / CAST(n AS DOUBLE)) AS lift, n AS n_total
+FROM (SELECT event_id, row_number() OVER (ORDER BY y_score DESC, event_id) AS rank,
+             CAST(sum(y_true) OVER (ORDER BY y_score DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_buyers,
+             count(*) OVER () AS n, sum(y_true) OVER () AS P
+      FROM scored) r
+""",
+    ["scored"],
+)
+query("lift_table", "SELECT event_id, rank, pct_targeted, pct_captured, lift FROM lift", "lift")
+
+
+def first_rows(depths: str, tol: str = "0.0") -> str:
+    return (f"SELECT d.pct, l.* FROM lift l, (SELECT unnest({depths}) AS pct) d "
+            f"WHERE l.pct_targeted >= d.pct - {tol} AND CAST(l.rank - 1 AS DOUBLE) / CAST(l.n_total AS DOUBLE) < d.pct - {tol}")
+
+
+query("lift_summary", f"SELECT pct, pct_captured, lift FROM ({first_rows('[0.1, 0.2, 0.3, 0.4, 0.5]')}) f", "lift")
+query(
+    "best_threshold",
+    """
+SELECT score AS threshold, f1 FROM (
+  SELECT score, CAST(2 * cum_pos AS DOUBLE) / CAST(cum_pos + cum_neg + (SELECT P FROM totals) AS DOUBLE) AS f1
+  FROM groups_desc) x
+ORDER BY f1 DESC, threshold ASC LIMIT 1
+""",
+    "groups_desc", "totals",
+)
+_CAMPAIGN = """
+SELECT pct, CAST(floor(n_total * pct) AS BIGINT) AS targeted, cum_buyers AS captured, pct_captured, lift,
+       cum_buyers * 50.0 * 0.15 AS revenue, CAST(floor(n_total * pct) AS BIGINT) * 0.5 AS cost,
+       cum_buyers * 50.0 * 0.15 - CAST(floor(n_total * pct) AS BIGINT) * 0.5 AS profit,
+       CASE WHEN CAST(floor(n_total * pct) AS BIGINT) * 0.5 > 0
+            THEN (cum_buyers * 50.0 * 0.15 - CAST(floor(n_total * pct) AS BIGINT) * 0.5)
+                 / (CAST(floor(n_total * pct) AS BIGINT) * 0.5) * 100 ELSE 0.0 END AS roi
+FROM ({rows}) f
+"""
+query("campaign_roi", _CAMPAIGN.format(rows=first_rows("[0.1, 0.2, 0.3, 0.4, 0.5, 1.0]")), "lift")
+_DEPTHS = "[" + ", ".join(repr(0.05 + i * 0.05) for i in range(20)) + "]"
+query(
+    "roi_curve",
+    f"""
+SELECT pct, roi, revenue, cost,
+       pct = (SELECT pct FROM ({_CAMPAIGN.format(rows=first_rows(_DEPTHS, '0.001'))}) c2 ORDER BY roi DESC, pct ASC LIMIT 1)
+         AS is_best
+FROM ({_CAMPAIGN.format(rows=first_rows(_DEPTHS, '0.001'))}) c
+""",
+    "lift",
+)
