@@ -935,3 +935,80 @@ FROM ({_CAMPAIGN.format(rows=first_rows(_DEPTHS, '0.001'))}) c
 """,
     "lift",
 )
+
+
+# ------------------------------------------------------------ business rules
+cte(
+    "decay",
+    """
+SELECT user_id, engagement_score_mean AS probability, total_orders, days_since_last_order,
+       CASE WHEN total_orders = 0 AND days_since_last_order > 60 THEN p1 * 0.3 ELSE p1 END AS adjusted_probability
+FROM (SELECT *, engagement_score_mean * CASE
+          WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 180 THEN 0.25
+          WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 150 THEN 0.35
+          WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 120 THEN 0.5
+          WHEN total_orders > 0 AND days_since_last_order > 90 THEN 0.7 ELSE 1.0 END AS p1
+      FROM fm) x
+""",
+    ["fm"],
+)
+query(
+    "score_decay",
+    "SELECT user_id, probability, adjusted_probability, CAST(adjusted_probability >= 0.5 AS INTEGER) AS prediction FROM decay",
+    "decay",
+)
+query(
+    "risk_tiers",
+    """
+SELECT user_id,
+       CASE WHEN adjusted_probability >= 0.6 THEN 'High' WHEN adjusted_probability >= 0.4 THEN 'Medium' ELSE 'Low' END AS risk,
+       CASE WHEN adjusted_probability >= 0.5 THEN 'Send promo email' ELSE 'Nurture campaign' END AS action
+FROM decay
+""",
+    "decay",
+)
+query(
+    "driver_scores",
+    """
+SELECT user_id, driver, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, driver) AS rank
+FROM (
+  SELECT user_id, 'Cart-add rate' AS driver, CAST(cart_add_rate * 3 AS DOUBLE) AS score FROM fm
+  UNION ALL SELECT user_id, 'Total sessions', least(total_sessions / 100, 1.0) FROM fm
+  UNION ALL SELECT user_id, 'Engagement score', CAST(engagement_score_mean AS DOUBLE) FROM fm
+  UNION ALL SELECT user_id, 'Membership tier', membership_encoded / 3 FROM fm
+  UNION ALL SELECT user_id, 'Account age', least(account_age_days / 500, 1.0) FROM fm
+  UNION ALL SELECT user_id, 'Unique categories', unique_categories_browsed / 6 FROM fm
+  UNION ALL SELECT user_id, 'Days since last session', greatest(0.0, 1 - days_since_last_session / 180) FROM fm) d
+""",
+    "fm",
+)
+query(
+    "top_buyers",
+    """
+SELECT user_id, probability, rank,
+       CASE WHEN rank <= 5 THEN 'Priority email' WHEN rank <= 15 THEN 'Standard email' ELSE 'Push notification' END
+         AS recommended_action
+FROM (SELECT user_id, engagement_score_mean AS probability,
+             row_number() OVER (ORDER BY engagement_score_mean DESC, user_id) AS rank FROM fm) r
+WHERE rank <= 20
+""",
+    "fm",
+)
+query(
+    "customer_listing",
+    "SELECT user_id, age, total_orders, total_spend, will_purchase, (SELECT count(*) FROM fm) AS total "
+    "FROM fm ORDER BY user_id LIMIT 100",
+    "fm",
+)
+query(
+    "append_customers",
+    """
+SELECT user_id, age, will_purchase, 'existing' AS source, user_id AS orig_id FROM clean_usr WHERE will_purchase = 1
+UNION ALL
+SELECT (SELECT COALESCE(max(user_id), 0) FROM clean_usr WHERE will_purchase = 1)
+         + row_number() OVER (ORDER BY user_id) AS user_id,
+       age, will_purchase, 'new' AS source, user_id AS orig_id
+FROM clean_usr WHERE will_purchase = 0
+""",
+    "clean_usr",
+)
