@@ -21,6 +21,7 @@ the work spread over range buckets:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -85,6 +86,22 @@ def bucket_ids(
     return keyed.withColumn("_bid", bid.cast("long")).drop("_bk", "_bt")
 
 
+def _bucket_offsets(keyed: DataFrame, sums: Sequence[str]) -> list[tuple]:
+    """Per-bucket counts (and sums) turned into exclusive running offsets.
+
+    One small job; the result has one row per populated bucket, at most
+    (2E+2)(E+2) for E edges -- bounded by the bucket parameter, not the data.
+    """
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
+    rows = sorted(keyed.groupBy("_bid").agg(*aggs).collect(), key=lambda r: r["_bid"])
+    out, run_n, run_s = [], 0, [0] * len(sums)
+    for r in rows:
+        out.append((int(r["_bid"]), run_n, *run_s))
+        run_n += int(r["_n"])
+        run_s = [a + (r[f"_s_{c}"] or 0) for a, c in zip(run_s, sums)]
+    return out
+
+
 def global_rank(
     df: DataFrame,
     key: str,
@@ -103,13 +120,12 @@ def global_rank(
     among equal keys.
     """
     keyed = bucket_ids(df, key, tiebreak, descending, buckets)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
-    before = Window.orderBy("_bid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keyed.groupBy("_bid").agg(*aggs).select(
-        "_bid",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
-        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
-    )
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    sum_types = [("double" if types.get(c) in ("double", "float") else "bigint") for c in sums]
+    schema = ", ".join(["_bid bigint", "_off_n bigint"] + [f"_off_{c} {t}" for c, t in zip(sums, sum_types)])
+    rows = [tuple(r[:2]) + tuple(float(v) if t == "double" else int(v) for v, t in zip(r[2:], sum_types))
+            for r in _bucket_offsets(keyed, sums)]
+    offsets = df.sparkSession.createDataFrame(rows, schema)
     # offsets holds one row per populated bucket: bounded by the bucket count.
     joined = keyed.join(F.broadcast(offsets), "_bid")
     inside = Window.partitionBy("_bid").orderBy("_k", "_t", *extra_order)
@@ -121,6 +137,49 @@ def global_rank(
     return out.drop(*drop)
 
 
+def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int = DEFAULT_BUCKETS) -> list:
+    """Exact linear-interpolated quantiles as Python floats (None if empty).
+
+    Three small jobs: approximate edges, bucket counts (bounded rows), and
+    the few order statistics needed -- read only from the buckets that hold
+    them, ranked inside those buckets.  No task sees all values.
+    """
+    base = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keyed = bucket_ids(base, "_v", None, False, buckets)
+        counts = sorted(((int(r["_bid"]), int(r["_n"])) for r in
+                         keyed.groupBy("_bid").agg(F.count(F.lit(1)).alias("_n")).collect()))
+        total = sum(n for _, n in counts)
+        if total == 0:
+            return [None] * len(probs)
+        wanted = set()
+        spans = []
+        for p in probs:
+            h = (total - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            spans.append((lo, hi, h - lo))
+            wanted.update((lo, hi))
+        offs, run = {}, 0
+        for bid, n in counts:
+            if any(run <= w < run + n for w in wanted):
+                offs[bid] = run
+            run += n
+        hit = df.sparkSession.createDataFrame(list(offs.items()), "_bid bigint, _off bigint")
+        inside = Window.partitionBy("_bid").orderBy("_k")
+        picked = (
+            keyed.join(F.broadcast(hit), "_bid")
+            .withColumn("_pos", F.col("_off") + F.row_number().over(inside) - 1)
+            .where(F.col("_pos").isin(sorted(wanted)))
+            .select("_pos", "_v")
+            .collect()
+        )
+        at = {int(r["_pos"]): float(r["_v"]) for r in picked}
+        return [at[lo] + (at[hi] - at[lo]) * frac for lo, hi, frac in spans]
+    finally:
+        base.unpersist()
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str,
@@ -128,51 +187,16 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
+    """Linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``)
+    as a one-row frame with one double column per prob (``q0``... or ``names``).
 
-    Returns one row with one double column per prob (``q0``, ``q1``... or
-    ``names``).  Only the buckets that hold the needed order statistics are
-    ranked, so the work is one bucketing pass plus a few small buckets; no
-    task ever holds all distinct values.
+    The values are scalars computed by ``quantile_values``; returning them as
+    a literal row keeps every plan that broadcasts them small.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    # The single projected column is read by three passes (edges, bucket
-    # counts, selection); keep it rather than re-running the upstream plan.
-    base = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    keyed = bucket_ids(base, "_v", None, False, buckets)
-    stats = keyed.groupBy("_bid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(
-        "_bid", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
-    )
-    total = stats.agg(F.sum("_n").alias("_total"))
-    # 0-based positions lo/hi for each prob (h = (n-1)p).
-    pos_cols = []
-    for i, p in enumerate(probs):
-        h = (F.col("_total") - 1) * F.lit(float(p))
-        pos_cols += [F.floor(h).alias(f"_lo{i}"), F.ceil(h).alias(f"_hi{i}"), h.alias(f"_h{i}")]
-    targets = total.select(*pos_cols)
-    wanted = F.array(*[F.col(f"_{s}{i}") for i in range(len(probs)) for s in ("lo", "hi")])
-    # buckets that contain a wanted position (bounded: <= 2 * len(probs) rows)
-    hit = stats.crossJoin(F.broadcast(targets)).where(
-        F.exists(wanted, lambda p: (p >= F.col("_off")) & (p < F.col("_off") + F.col("_n")))
-    ).select("_bid", "_off")
-    inside = Window.partitionBy("_bid").orderBy("_k")
-    picked = (
-        keyed.join(F.broadcast(hit), "_bid")
-        .withColumn("_pos", F.col("_off") + F.row_number().over(inside) - 1)
-        .crossJoin(F.broadcast(targets))
-        .where(F.array_contains(wanted, F.col("_pos")))
-        .select("_pos", "_v")
-    )
-    agg = []
-    for i in range(len(probs)):
-        lo = F.max(F.when(F.col("_pos") == F.col(f"_lo{i}"), F.col("_v")))
-        hi = F.max(F.when(F.col("_pos") == F.col(f"_hi{i}"), F.col("_v")))
-        frac = F.first(F.col(f"_h{i}") - F.col(f"_lo{i}"))
-        agg.append((lo + (hi - lo) * frac).alias(names[i]))
-    return picked.crossJoin(F.broadcast(targets)).agg(*agg)
+    vals = quantile_values(df, col, probs, buckets)
+    schema = ", ".join(f"`{n}` double" for n in names)
+    return df.sparkSession.createDataFrame([tuple(vals)], schema)
 
 
 def qcut_score(value: Column, edges: Sequence[Column], reverse: bool = False) -> Column:

@@ -17,6 +17,7 @@ from shoplens.operators import quality as Q
 from shoplens.plans import oracle as O
 from shoplens.operators import features as FE
 from shoplens.operators import rfm as RFM
+from shoplens.operators._util import materialize
 from shoplens.plans import adapters as A
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -99,8 +100,16 @@ ORDER_CUTOFF = "2001-02-01 00:00:00"
 
 
 def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Canonical tables through the cleaning pass, target = has an urgent order."""
-    return C.clean_data(A.canonical_tables(spark, sf), buyers=urgent_buyers(spark, sf))
+    """Canonical tables through the cleaning pass, target = has an urgent order.
+
+    Each cleaned table is checkpointed to the shared checkpoint folder: it is
+    the hand-off point of the pipeline (the cleaned tables feed several
+    aggregates), and cutting the lineage here keeps later plans small and
+    lets a lost executor recover from the written table.
+    """
+    t = C.clean_data(A.canonical_tables(spark, sf), buyers=urgent_buyers(spark, sf))
+    return {k: (materialize(v, "checkpoint") if k in ("sessions", "browse_events", "orders", "users") else v)
+            for k, v in t.items()}
 
 
 @register("session_features")
@@ -128,7 +137,7 @@ def order_features_cutoff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_matrix_df(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.engineer_features(clean_tables(spark, sf))
+    return materialize(FE.engineer_features(clean_tables(spark, sf)), "checkpoint")
 
 
 @register("feature_matrix")
@@ -418,3 +427,53 @@ def append_customers(spark, sf):
     new = new.withColumn("orig_id", F.col("user_id"))
     existing = existing.withColumn("orig_id", F.col("user_id"))
     return BZ.append_scored(existing, new.drop("user_id"), order_col="orig_id")
+
+
+# ----------------------------------------------------------------------- ML
+def _ml_data(spark, sf):
+    from shoplens.ml import train as ML
+
+    fm = feature_matrix_df(spark, sf)
+    train, test = ML.prepare(fm, "will_purchase")
+    feats = ML.feature_columns(train)
+    return ML, train.persist(), test.persist(), feats
+
+
+@register("lr_scores")
+def lr_scores(spark, sf):
+    ML, train, test, feats = _ml_data(spark, sf)
+    n = train.count()
+    model = ML.logistic_regression(feats, "will_purchase", n, C=1.0).fit(train)
+    return ML.score(model, test, "will_purchase")
+
+
+@register("forest_scores")
+def forest_scores(spark, sf):
+    ML, train, test, feats = _ml_data(spark, sf)
+    model = ML.random_forest(feats, "will_purchase", num_trees=20, max_depth=6).fit(train)
+    return ML.score(model, test, "will_purchase")
+
+
+@register("gbt_scores")
+def gbt_scores(spark, sf):
+    ML, train, test, feats = _ml_data(spark, sf)
+    model = ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3).fit(train)
+    return ML.score(model, test, "will_purchase")
+
+
+@register("overfit_report")
+def overfit_report(spark, sf):
+    ML, train, test, feats = _ml_data(spark, sf)
+    ests = {
+        "logistic_regression": ML.logistic_regression(feats, "will_purchase", train.count()),
+        "gradient_boosting": ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3),
+    }
+    _, results = ML.train_all(train, test, ests, "will_purchase")
+    return ML.overfit_report(results)
+
+
+@register("importances")
+def importances(spark, sf):
+    ML, train, test, feats = _ml_data(spark, sf)
+    model = ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3).fit(train)
+    return ML.importances(model, feats)

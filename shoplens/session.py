@@ -36,6 +36,9 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("SHOPLENS_DRIVER_MEMORY", "12g"))
     settings = dict(BASE_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
