@@ -55,6 +55,10 @@ def _sort_key(df: DataFrame, name: str, descending: bool) -> Column:
         c = F.unix_micros(c.cast("timestamp"))
     elif dtype == "date":
         c = F.unix_date(c)
+    elif dtype == "string":
+        # first 6 UTF-8 bytes as a 48-bit number: monotone in string order
+        # (ties are resolved by the full string inside the bucket)
+        c = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10)
     c = c.cast("double")
     return -c if descending else c
 
@@ -128,7 +132,10 @@ def global_rank(
     offsets = df.sparkSession.createDataFrame(rows, schema)
     # offsets holds one row per populated bucket: bounded by the bucket count.
     joined = keyed.join(F.broadcast(offsets), "_bid")
-    inside = Window.partitionBy("_bid").orderBy("_k", "_t", *extra_order)
+    full = [c for c in (key, tiebreak) if c and df.schema[c].dataType.typeName() == "string"]
+    if descending and key in full:
+        full = [F.desc(key)] + [c for c in full if c != key]
+    inside = Window.partitionBy("_bid").orderBy("_k", "_t", *full, *extra_order)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.withColumn(rank_col, F.col("_off_n") + F.row_number().over(inside))
     for c in sums:
