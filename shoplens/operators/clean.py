@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from shoplens.functions.dates import floor_days
 from shoplens.functions.scalar import age_group, clip_upper, ordinal_encode
-from shoplens.operators.ranking import exact_quantiles, keep_first, quantile_values
+from shoplens.operators.ranking import exact_quantiles, keep_first, quantile_values_multi
 from shoplens.schema import DATETIME_COLUMNS, MEMBERSHIP_ORDER, PREMIUM_TIERS, STATUS_ORDER
 
 # Caps are kept to 1e-6: far below the data's resolution, and it makes the
@@ -116,8 +116,8 @@ def clean_sessions(sessions: DataFrame) -> DataFrame:
     """P2 + P15 + P9 + P10 on sessions: duration capped at p95 and pages at
     p99 (renamed ``*_clean``), bounced as 0/1, engagement score.  Both caps
     come from the same input, so one pass of the session table serves both."""
-    dcap = quantile_values(sessions, "duration_secs", [0.95])[0]
-    pcap = quantile_values(sessions, "pages_visited", [0.99])[0]
+    q = quantile_values_multi(sessions, {"duration_secs": [0.95], "pages_visited": [0.99]})
+    dcap, pcap = q["duration_secs"][0], q["pages_visited"][0]
     caps = sessions.sparkSession.createDataFrame([(dcap, pcap)], "_dcap double, _pcap double").select(
         F.round("_dcap", CAP_DECIMALS).alias("_dcap"), F.round("_pcap", CAP_DECIMALS).alias("_pcap"))
     s = sessions.crossJoin(F.broadcast(caps)).select(

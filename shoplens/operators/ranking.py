@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -144,49 +145,92 @@ def global_rank(
     return out.drop(*drop)
 
 
-def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int = DEFAULT_BUCKETS) -> list:
-    """Exact linear-interpolated quantiles as Python floats (None if empty).
+def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
+                          buckets: int = DEFAULT_BUCKETS, totals: dict | None = None) -> dict[str, list]:
+    """Exact linear-interpolated quantiles of several columns, as floats.
 
-    Three small jobs: approximate edges, bucket counts (bounded rows), and
-    the few order statistics needed -- read only from the buckets that hold
-    them, ranked inside those buckets.  No task sees all values.
+    Three small jobs whatever the number of columns: approximate edges of
+    every column (one aggregate), bucket counts (bounded rows per column),
+    and the few order statistics needed -- read only from the buckets that
+    hold them and ranked inside those buckets.  No task sees all values.
     """
-    base = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    cols = list(wanted)
+    spark = df.sparkSession
+    base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        keyed = bucket_ids(base, "_v", None, False, buckets)
-        counts = sorted(((int(r["_bid"]), int(r["_n"])) for r in
-                         keyed.groupBy("_bid").agg(F.count(F.lit(1)).alias("_n")).collect()))
-        total = sum(n for _, n in counts)
-        if total == 0:
-            return [None] * len(probs)
-        wanted = set()
-        spans = []
-        for p in probs:
-            h = (total - 1) * float(p)
-            lo, hi = math.floor(h), math.ceil(h)
-            spans.append((lo, hi, h - lo))
-            wanted.update((lo, hi))
-        offs, run = {}, 0
-        for bid, n in counts:
-            if any(run <= w < run + n for w in wanted):
-                offs[bid] = run
-            run += n
-        hit = df.sparkSession.createDataFrame(list(offs.items()), "_bid bigint, _off bigint")
-        inside = Window.partitionBy("_bid").orderBy("_k")
-        picked = (
-            keyed.join(F.broadcast(hit), "_bid")
-            .withColumn("_pos", F.col("_off") + F.row_number().over(inside) - 1)
-            .where(F.col("_pos").isin(sorted(wanted)))
-            .select("_pos", "_v")
-            .collect()
-        )
-        at = {int(r["_pos"]): float(r["_v"]) for r in picked}
-        return [at[lo] + (at[hi] - at[lo]) * frac for lo, hi, frac in spans]
+        fracs = [i / buckets for i in range(1, buckets)]
+        row = base.agg(*[F.percentile_approx(f"_v{i}", fracs, _ACCURACY).alias(f"e{i}") for i in range(len(cols))]).first()
+        keyed = base
+        for i in range(len(cols)):
+            ek = _edges(row[f"e{i}"])
+            keyed = _bucketize(keyed, f"_v{i}", f"_b{i}", ek)
+            on_edge = F.expr(f"_v{i} IN ({', '.join(_lit(e) for e in ek)})").cast("int") if ek else F.lit(0)
+            keyed = keyed.withColumn(f"_b{i}", ((F.col(f"_b{i}").cast("long") - on_edge) * 2 + on_edge))
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+        parts = [
+            keyed.where(F.col(f"_v{i}").isNotNull()).groupBy(F.col(f"_b{i}").alias("_bid"))
+            .agg(F.count(F.lit(1)).alias("_n")).withColumn("_c", F.lit(i))
+            for i in range(len(cols))
+        ]
+        counts: dict[int, list] = {i: [] for i in range(len(cols))}
+        for r in reduce(DataFrame.unionByName, parts).collect():
+            counts[int(r["_c"])].append((int(r["_bid"]), int(r["_n"])))
+        spans, hits, want_pos = {}, [], {}
+        for i, c in enumerate(cols):
+            cnt = sorted(counts[i])
+            total = sum(n for _, n in cnt)
+            if totals is not None:
+                totals[c] = total
+            if total == 0:
+                spans[c] = None
+                continue
+            need, sp = set(), []
+            for p in wanted[c]:
+                h = (total - 1) * float(p)
+                lo, hi = math.floor(h), math.ceil(h)
+                sp.append((lo, hi, h - lo))
+                need.update((lo, hi))
+            spans[c] = sp
+            want_pos[i] = sorted(need)
+            run = 0
+            for bid, n in cnt:
+                if any(run <= w < run + n for w in need):
+                    hits.append((i, bid, run))
+                run += n
+        at: dict[int, dict[int, float]] = {i: {} for i in range(len(cols))}
+        if hits:
+            hit = spark.createDataFrame(hits, "_c int, _bid bigint, _off bigint")
+            picks = []
+            for i in want_pos:
+                h_i = hit.where(F.col("_c") == i).drop("_c")
+                sel = keyed.where(F.col(f"_v{i}").isNotNull()).select(F.col(f"_b{i}").alias("_bid"), F.col(f"_v{i}").alias("_v"))
+                w = Window.partitionBy("_bid").orderBy("_v")
+                picks.append(
+                    sel.join(F.broadcast(h_i), "_bid")
+                    .withColumn("_pos", F.col("_off") + F.row_number().over(w) - 1)
+                    .where(F.col("_pos").isin(want_pos[i]))
+                    .select(F.lit(i).alias("_c"), "_pos", "_v")
+                )
+            for r in reduce(DataFrame.unionByName, picks).collect():
+                at[int(r["_c"])][int(r["_pos"])] = float(r["_v"])
+        out = {}
+        for i, c in enumerate(cols):
+            if spans[c] is None:
+                out[c] = [None] * len(wanted[c])
+            else:
+                out[c] = [at[i][lo] + (at[i][hi] - at[i][lo]) * frac for lo, hi, frac in spans[c]]
+        keyed.unpersist()
+        return out
     finally:
         base.unpersist()
 
 
+def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int = DEFAULT_BUCKETS) -> list:
+    """Exact linear-interpolated quantiles of one column (see the multi form)."""
+    return quantile_values_multi(df, {col: probs}, buckets)[col]
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str,

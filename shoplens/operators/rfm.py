@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.dates import floor_days
 from shoplens.operators._util import materialize
-from shoplens.operators.ranking import exact_quantiles, global_rank, qcut_score
+from shoplens.operators.ranking import global_rank, qcut_score, quantile_values_multi
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -63,12 +63,15 @@ def create_rfm_features(
     gathered into one task.
     """
     base = materialize(rfm_base(orders, snapshot), materialize_mode)
-    r_edges = exact_quantiles(base, "recency", QUARTILES, ["r1", "r2", "r3"])
-    m_edges = exact_quantiles(base, "monetary", QUARTILES, ["m1", "m2", "m3"])
-    n = base.agg(F.count(F.lit(1)).alias("_n"))
+    counts: dict = {}
+    q = quantile_values_multi(base, {"recency": QUARTILES, "monetary": QUARTILES}, totals=counts)
+    n = counts["recency"]  # one row per buyer, recency never null
     # quantiles of the ranks 1..n are 1 + (n-1)q
-    f_edges = n.select(*[(1 + (F.col("_n") - 1) * q).alias(f"f{i + 1}") for i, q in enumerate(QUARTILES)])
-    edges = r_edges.crossJoin(m_edges).crossJoin(f_edges)
+    f = [1 + (n - 1) * p for p in QUARTILES]
+    edges = base.sparkSession.createDataFrame(
+        [tuple(q["recency"]) + tuple(q["monetary"]) + tuple(float(x) for x in f)],
+        ", ".join(f"{c}{i} double" for c in "rmf" for i in (1, 2, 3)),
+    )
     ranked = global_rank(base, "frequency", "user_id", rank_col="_frank")
     scored = ranked.crossJoin(F.broadcast(edges)).select(
         "user_id",

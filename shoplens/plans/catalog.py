@@ -99,29 +99,53 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 ORDER_CUTOFF = "2001-02-01 00:00:00"
 
 
-def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Canonical tables through the cleaning pass, target = has an urgent order.
+def _ckpt(df: DataFrame) -> DataFrame:
+    return materialize(df, "checkpoint")
+
+
+# Cleaned tables are checkpointed to the shared checkpoint folder: they are
+# the hand-off point of the pipeline (each feeds several aggregates), and
+# cutting the lineage here keeps later plans small and lets a lost executor
+# recover from the written table.  Each query cleans only what it reads.
+def cleaned_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    # the sessionised table is itself written once: cleaning reads it in
+    # several passes (caps, maximum, output)
+    return _ckpt(C.clean_sessions(_ckpt(A.sessions(spark, sf))))
+
+
+def cleaned_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _ckpt(C.clean_browse_events(A.browse_events(spark, sf)))
+
 
-    Each cleaned table is checkpointed to the shared checkpoint folder: it is
-    the hand-off point of the pipeline (the cleaned tables feed several
-    aggregates), and cutting the lineage here keeps later plans small and
-    lets a lost executor recover from the written table.
-    """
-    t = C.clean_data(A.canonical_tables(spark, sf), buyers=urgent_buyers(spark, sf))
-    return {k: (materialize(v, "checkpoint") if k in ("sessions", "browse_events", "orders", "users") else v)
-            for k, v in t.items()}
+def cleaned_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return _ckpt(C.clean_orders(A.orders(spark, sf)))
+
+
+def cleaned_users(spark: SparkSession, sf: str) -> DataFrame:
+    return _ckpt(C.clean_users(A.users(spark, sf), A.orders(spark, sf, with_discount=False), urgent_buyers(spark, sf)))
+
+
+def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Canonical tables through the cleaning pass, target = has an urgent order."""
+    return {
+        "users": cleaned_users(spark, sf),
+        "products": A.products(spark, sf),
+        "sessions": cleaned_sessions(spark, sf),
+        "browse_events": cleaned_events(spark, sf),
+        "orders": cleaned_orders(spark, sf),
+        "order_items": A.order_items(spark, sf),
+    }
 
 
 @register("session_features")
 def session_features(spark: SparkSession, sf: str) -> DataFrame:
-    t = clean_tables(spark, sf)
-    return FE.create_session_features(t["sessions"], FE.default_snapshot(t["orders"]))
+    snap = FE.default_snapshot(A.orders(spark, sf, with_discount=False))
+    return FE.create_session_features(cleaned_sessions(spark, sf), snap)
 
 
 @register("browse_features")
 def browse_features(spark: SparkSession, sf: str) -> DataFrame:
-    t = clean_tables(spark, sf)
-    return FE.create_browse_features(t["browse_events"], t["products"])
+    return FE.create_browse_features(cleaned_events(spark, sf), A.products(spark, sf))
 
 
 @register("order_features")
@@ -215,7 +239,7 @@ from shoplens.schema import MEMBERSHIP_ORDER  # noqa: E402
 
 
 def users_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return C.clean_users(A.users(spark, sf), A.orders(spark, sf, with_discount=False), urgent_buyers(spark, sf))
+    return cleaned_users(spark, sf)
 
 
 @register("dist_membership")
