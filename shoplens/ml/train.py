@@ -204,7 +204,7 @@ def tune_model(est: Pipeline, grid: dict, train: DataFrame, label: str, n_iter:
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                               weightCol="weight")
     data = kfold_assign(train, label, folds, seed).withColumn("fold", F.col("fold").cast("int"))
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator, foldCol="fold",
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator, foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     return cv.fit(data)
 
@@ -295,3 +295,61 @@ def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     if strings:
         train, (test,) = encode_strings(train, [test], strings)
     return train, test
+
+
+# -------------------------------------------------- presets and bundles
+def baseline_estimators(features: Sequence[str], label: str, n_rows: int, fast: bool = False) -> dict[str, Pipeline]:
+    """M2-M4 presets: logistic regression, random forest and the three
+    boosting presets (as Spark GBT)."""
+    trees, iters = (10, 5) if fast else (200, 300)
+    return {
+        "logistic_regression": logistic_regression(features, label, n_rows),
+        "random_forest": random_forest(features, label, num_trees=trees, max_depth=10),
+        "gbt_depth5": gradient_boosting(features, label, max_iter=iters, step=0.05, max_depth=5),
+        "gbt_depth6": gradient_boosting(features, label, max_iter=iters, step=0.05, max_depth=6),
+    }
+
+
+def regularised_estimators(features: Sequence[str], label: str, n_rows: int) -> dict[str, Pipeline]:
+    """M7: robust-scaled logistic regression with l1 / l2 / elastic-net."""
+    return {
+        f"logistic_{p}": logistic_regression(features, label, n_rows, C=0.1, penalty=p, robust=True)
+        for p in ("l1", "l2", "elasticnet")
+    }
+
+
+def train_all_advanced(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, fast: bool = False,
+                       threshold: float = 0.05):
+    """M8: baselines plus regularised variants, then the overfit-aware choice
+    (M11-M13).  Returns (models, results, report, chosen name)."""
+    n = train.count()
+    ests = {**baseline_estimators(features, label, n, fast), **regularised_estimators(features, label, n)}
+    models, results = train_all(train, test, ests, label)
+    report = overfit_report(results, threshold)
+    return models, results, report, choose_model(report)
+
+
+def tune_best(name: str, est: Pipeline, grid: dict, train: DataFrame, test: DataFrame, label: str,
+              n_iter: int = 4, folds: int = 2, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """Random-search the current winner and rescore it on the test split
+    under the name "<name> (tuned)"."""
+    cv = tune_model(est, grid, train, label, n_iter, folds, seed)
+    best = cv.bestModel
+    return best, _long(evaluate(score(best, test, label)), f"{name} (tuned)", "test")
+
+
+def live_metrics(model: PipelineModel, fm: DataFrame, features: Sequence[str], label: str = "will_purchase",
+                 top: int = 10) -> DataFrame:
+    """One-row bundle over the whole matrix -- headline metrics, ROC
+    points (thinned), top importances and customer statistics."""
+    from shoplens.operators.explore import customer_stats
+
+    scored = score(model, align_features(fm, features), label)
+    roc = ME.roc_points(scored, drop_intermediate=False).agg(
+        F.sort_array(F.collect_list(F.struct("point", "fpr", "tpr"))).alias("roc_curve"))
+    imp = importances(model, features).limit(top).agg(
+        F.collect_list("feature").alias("labels"), F.collect_list("importance").alias("values"))
+    stats = customer_stats(fm, label)
+    return (evaluate(scored).select(F.struct("*").alias("metrics"))
+            .crossJoin(roc).crossJoin(imp.select(F.struct("labels", "values").alias("feature_importance")))
+            .crossJoin(stats.select(F.struct("*").alias("customer_stats"))))

@@ -73,31 +73,40 @@ def encode_ordinal(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
 
 def handle_missing_values(df: DataFrame, strategy: str = "median") -> DataFrame:
     """Numeric nulls -> median (interpolated) or mean; string nulls ->
-    most frequent value, ties to the smallest.  One aggregate computes every
-    fill value; the median uses the scalable exact-quantile operator."""
+    most frequent value, ties to the smallest.
+
+    The fill values are scalars: all medians come from one multi-column
+    exact-quantile pass, all means and modes from one aggregate; they are
+    applied as a one-row literal frame, so the output plan reads ``df`` once.
+    """
     nums = numeric_columns(df)
     strs = string_columns(df)
     if not nums and not strs:
         return df
-    fills = []
+    fills: dict[str, object] = {}
+    if nums and strategy == "median":
+        med = quantile_values_multi(df, {c: [0.5] for c in nums})
+        fills.update({c: med[c][0] for c in nums})
+    aggs = [F.mode(c, deterministic=True).alias(c) for c in strs]
+    if nums and strategy != "median":
+        aggs += [F.avg(c).alias(c) for c in nums]
+    if aggs:
+        row = df.agg(*aggs).first()
+        fills.update({c: row[c] for c in row.asDict()})
+    out = df
     for c in nums:
-        if strategy == "median":
-            fills.append(exact_quantiles(df, c, [0.5], [f"_fill_{c}"]))
-        else:
-            fills.append(df.agg(F.avg(c).alias(f"_fill_{c}")))
-    for c in strs:
-        fills.append(df.agg(F.mode(c, deterministic=True).alias(f"_fill_{c}")))
-    row = fills[0]
-    for f in fills[1:]:
-        row = row.crossJoin(f)
-    out = df.crossJoin(F.broadcast(row))
-    for c in nums:
-        filled = F.coalesce(F.col(c), F.col(f"_fill_{c}").cast(df.schema[c].dataType))
-        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            filled = F.when(F.isnan(F.col(c)), F.col(f"_fill_{c}")).otherwise(filled)
+        v = fills.get(c)
+        if v is None:
+            continue
+        dtype = df.schema[c].dataType
+        fill = F.lit(float(v)).cast(dtype)
+        filled = F.coalesce(F.col(c), fill)
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            filled = F.when(F.isnan(F.col(c)), fill).otherwise(filled)
         out = out.withColumn(c, filled)
     for c in strs:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_fill_{c}")))
+        if fills.get(c) is not None:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(fills[c])))
     return out.select(*df.columns)
 
 

@@ -501,3 +501,29 @@ def importances(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
     model = ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3).fit(train)
     return ML.importances(model, feats)
+
+
+# ------------------------------------------------------- imputation / dedup
+def sparse_user_frame(spark, sf):
+    """Users left-joined to their session statistics: users without sessions
+    get nulls -- the gaps the imputer fills."""
+    s = A.sessions(spark, sf).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("total_sessions"),
+        F.max("pages_visited").cast("double").alias("max_pages"),
+    )
+    u = A.users(spark, sf).select("user_id", "age", "membership", "device_type")
+    seg = A.browse_events(spark, sf).groupBy("user_id").agg(F.max("event_type").alias("top_event"))
+    return u.join(s, "user_id", "left").join(seg, "user_id", "left")
+
+
+@register("impute_missing")
+def impute_missing(spark, sf):
+    df = sparse_user_frame(spark, sf)
+    return C.handle_missing_values(df, "median")
+
+
+@register("dedup_keep_first")
+def dedup_keep_first(spark, sf):
+    e = A.browse_events(spark, sf).select("user_id", "event_id", "product_id", "event_type", "event_ts")
+    return C.remove_duplicates(e, "user_id", ["event_ts", "event_id"]).select(
+        "user_id", "event_id", "product_id", "event_type")

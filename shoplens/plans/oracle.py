@@ -1012,3 +1012,49 @@ FROM clean_usr WHERE will_purchase = 0
 """,
     "clean_usr",
 )
+
+
+# ------------------------------------------------------- imputation / dedup
+cte(
+    "sparse_users",
+    """
+SELECT u.user_id, u.age, u.membership, u.device_type, s.total_sessions, s.max_pages, e.top_event
+FROM shop_users u
+LEFT JOIN (SELECT user_id, count(*) AS total_sessions, CAST(max(pages_visited) AS DOUBLE) AS max_pages
+           FROM shop_sessions GROUP BY user_id) s ON u.user_id = s.user_id
+LEFT JOIN (SELECT user_id, max(event_type) AS top_event FROM shop_events GROUP BY user_id) e ON u.user_id = e.user_id
+""",
+    ["shop_users", "shop_sessions", "shop_events"],
+)
+
+
+def _mode(col: str) -> str:
+    return (f"(SELECT {col} FROM sparse_users WHERE {col} IS NOT NULL GROUP BY {col} "
+            f"ORDER BY count(*) DESC, {col} LIMIT 1)")
+
+
+query(
+    "impute_missing",
+    f"""
+SELECT COALESCE(user_id, CAST((SELECT quantile_cont(user_id, 0.5) FROM sparse_users) AS BIGINT)) AS user_id,
+       COALESCE(age, CAST((SELECT quantile_cont(age, 0.5) FROM sparse_users) AS INTEGER)) AS age,
+       COALESCE(membership, {_mode('membership')}) AS membership,
+       COALESCE(device_type, {_mode('device_type')}) AS device_type,
+       COALESCE(total_sessions, CAST((SELECT quantile_cont(total_sessions, 0.5) FROM sparse_users) AS BIGINT))
+         AS total_sessions,
+       COALESCE(max_pages, (SELECT quantile_cont(max_pages, 0.5) FROM sparse_users)) AS max_pages,
+       COALESCE(top_event, {_mode('top_event')}) AS top_event
+FROM sparse_users
+""",
+    "sparse_users",
+)
+query(
+    "dedup_keep_first",
+    """
+SELECT user_id, event_id, product_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_ts, event_id) AS rn
+  FROM (SELECT DISTINCT user_id, event_id, product_id, event_type, event_ts FROM shop_events) d) x
+WHERE rn = 1
+""",
+    "shop_events",
+)

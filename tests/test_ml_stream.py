@@ -62,3 +62,20 @@ def test_train_score_save_load_and_stream(spark, tmp_dir):
     out = spark.read.parquet(os.path.join(tmp_dir, "scored"))
     assert out.count() == test.count()
     assert out.where(F.col("adjusted_probability") > F.col("probability")).count() == 0
+
+
+def test_advanced_training_and_bundle(spark):
+    fm = feature_frame(spark, 300)
+    train, test = ML.prepare(fm, "will_purchase")
+    feats = ML.feature_columns(train)
+    models, results, report, chosen = ML.train_all_advanced(train, test, feats, "will_purchase", fast=True)
+    assert chosen in models and report.select("model").distinct().count() == len(models)
+    lr = ML.logistic_regression(feats, "will_purchase", train.count())
+    stage = lr.getStages()[-1]
+    best, rows = ML.tune_best("logistic_regression", lr, {stage.regParam: [0.01, 0.1], stage.elasticNetParam: [0.0, 1.0]},
+                              train, test, "will_purchase", n_iter=2, folds=2)
+    assert rows.select("model").first().model == "logistic_regression (tuned)"
+    fmx = ML.encode_strings(train, [fm], ["device_type"])[1][0].withColumn("total_spend", F.col("x1") * 100) \
+        .withColumn("avg_order_value", F.col("x2") * 10)
+    b = ML.live_metrics(models["logistic_regression"], fmx, feats).first()
+    assert 0 <= b.metrics.auc_roc <= 1 and b.customer_stats.total_customers == 300
