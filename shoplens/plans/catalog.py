@@ -99,14 +99,21 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 ORDER_CUTOFF = "2001-02-01 00:00:00"
 
 
+import os as _os
+
+# Cleaned tables are pinned with persist (lineage kept: a lost executor's
+# blocks are recomputed); the feature matrix, the end of the long lineage,
+# is checkpointed to the shared folder.  SHOPLENS_STAGE_MODE=checkpoint
+# writes the cleaned tables too.
+STAGE_MODE = _os.environ.get("SHOPLENS_STAGE_MODE", "persist")
+
+
 def _ckpt(df: DataFrame) -> DataFrame:
-    return materialize(df, "checkpoint")
+    return materialize(df, STAGE_MODE)
 
 
-# Cleaned tables are checkpointed to the shared checkpoint folder: they are
-# the hand-off point of the pipeline (each feeds several aggregates), and
-# cutting the lineage here keeps later plans small and lets a lost executor
-# recover from the written table.  Each query cleans only what it reads.
+# Cleaned tables are the hand-off point of the pipeline (each feeds several
+# aggregates), so they are pinned once.  Each query cleans only what it reads.
 def cleaned_sessions(spark: SparkSession, sf: str) -> DataFrame:
     # the sessionised table is itself written once: cleaning reads it in
     # several passes (caps, maximum, output)
