@@ -45,6 +45,8 @@ def _bucketize(df: DataFrame, src: str, dst: str, edges: list[float]) -> DataFra
     """``dst`` = number of edges <= ``src`` (binary search in the JVM)."""
     from pyspark.ml.feature import Bucketizer
 
+    if not edges:  # empty or all-null input: a single bucket
+        return df.withColumn(dst, F.lit(0.0))
     splits = [float("-inf")] + edges + [float("inf")]
     return Bucketizer(splits=splits, inputCol=src, outputCol=dst, handleInvalid="keep").transform(df)
 

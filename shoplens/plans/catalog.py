@@ -534,3 +534,12 @@ def dedup_keep_first(spark, sf):
     e = A.browse_events(spark, sf).select("user_id", "event_id", "product_id", "event_type", "event_ts")
     return C.remove_duplicates(e, "user_id", ["event_ts", "event_id"]).select(
         "user_id", "event_id", "product_id", "event_type")
+
+
+@register("temporal_features")
+def temporal_features(spark, sf):
+    """A6 over raw users / sessions / orders and cleaned browse events."""
+    return FE.create_temporal_features(
+        A.users(spark, sf), A.sessions(spark, sf), cleaned_events(spark, sf), A.orders(spark, sf),
+        A.products(spark, sf), prediction_window_days=30,
+    )

@@ -1058,3 +1058,92 @@ WHERE rn = 1
 """,
     "shop_events",
 )
+
+
+# ------------------------------------------------------ temporal features
+cte("t6_cut", "SELECT max(order_date) - INTERVAL 30 DAY AS cut FROM shop_orders", ["shop_orders"])
+cte(
+    "t6_sess_past",
+    """
+SELECT s.* FROM shop_sessions s, t6_cut c WHERE s.session_start < c.cut
+""",
+    ["shop_sessions", "t6_cut"],
+)
+cte(
+    "t6_sess",
+    f"""
+SELECT user_id, count(session_id) AS total_sessions,
+       {xavg("dclean")} AS avg_duration, max(dclean) AS max_duration,
+       {xavg("pclean")} AS avg_pages, max(pclean) AS max_pages,
+       0.0 AS avg_engagement, {xavg("CAST(bounced AS INTEGER)")} AS bounce_rate,
+       {floor_days("(SELECT cut FROM t6_cut)", "max(session_start)")} AS days_since_last_session
+FROM (SELECT s.*, {clip("s.duration_secs", "q.qd")} AS dclean, {clip("s.pages_visited", "q.qp")} AS pclean
+      FROM t6_sess_past s,
+           (SELECT round(quantile_cont(duration_secs, 0.95), 6) AS qd,
+                   round(quantile_cont(pages_visited, 0.95), 6) AS qp FROM t6_sess_past) q) x
+GROUP BY user_id
+""",
+    ["t6_sess_past", "t6_cut"],
+)
+cte(
+    "t6_browse",
+    """
+SELECT e.user_id, count(e.event_id) AS total_events, count(DISTINCT e.product_id) AS unique_products_browsed,
+       CAST(sum(e.added_to_cart) AS BIGINT) AS total_cart_adds, CAST(sum(e.wishlisted) AS BIGINT) AS total_wishlists,
+       COALESCE(sum(e.added_to_cart) / NULLIF(count(e.event_id), 0), 0) AS cart_add_rate,
+       COALESCE(sum(e.wishlisted) / NULLIF(count(e.event_id), 0), 0) AS wishlist_rate,
+       count(DISTINCT p.category) AS unique_categories_browsed
+FROM clean_ev e LEFT JOIN shop_products p ON e.product_id = p.product_id
+GROUP BY e.user_id
+""",
+    ["clean_ev", "shop_products"],
+)
+cte(
+    "t6_ord",
+    order_feature_sql("(SELECT o.* FROM shop_orders o, t6_cut c WHERE o.order_date < c.cut)",
+                      "(SELECT cut FROM t6_cut)", prefix="past_", disc="past_avg_discount",
+                      freq="past_order_frequency"),
+    ["shop_orders", "t6_cut"],
+)
+cte(
+    "t6_future",
+    "SELECT DISTINCT o.user_id FROM shop_orders o, t6_cut c "
+    "WHERE o.order_date >= c.cut AND o.order_date < c.cut + INTERVAL 30 DAY",
+    ["shop_orders", "t6_cut"],
+)
+query(
+    "temporal_features",
+    f"""
+SELECT u.user_id, u.age,
+       COALESCE(CASE u.device_type WHEN 'mobile' THEN 0 WHEN 'tablet' THEN 1 WHEN 'desktop' THEN 2 END, 0) AS device_type,
+       COALESCE(CASE u.membership WHEN 'free' THEN 0 WHEN 'silver' THEN 1 WHEN 'gold' THEN 2
+                     WHEN 'platinum' THEN 3 END, 0) AS membership_encoded,
+       CAST(COALESCE(CASE u.membership WHEN 'free' THEN 0 WHEN 'silver' THEN 1 WHEN 'gold' THEN 2
+                     WHEN 'platinum' THEN 3 END, 0) >= 2 AS INTEGER) AS is_premium,
+       greatest({floor_days("c.cut", "CAST(u.signup_date AS TIMESTAMP)")}, 0) AS account_age_days,
+       CAST(greatest({floor_days("c.cut", "CAST(u.signup_date AS TIMESTAMP)")}, 0) < 30 AS INTEGER) AS is_new_user,
+       CAST(greatest({floor_days("c.cut", "CAST(u.signup_date AS TIMESTAMP)")}, 0) > 365 AS INTEGER) AS is_veteran_user,
+       COALESCE(s.total_sessions, 0) AS total_sessions, COALESCE(s.avg_duration, 0) AS avg_duration,
+       COALESCE(s.max_duration, 0) AS max_duration, COALESCE(s.avg_pages, 0) AS avg_pages,
+       COALESCE(s.max_pages, 0) AS max_pages, COALESCE(s.avg_engagement, 0) AS avg_engagement,
+       COALESCE(s.bounce_rate, 0) AS bounce_rate, COALESCE(s.days_since_last_session, 0) AS days_since_last_session,
+       COALESCE(b.total_events, 0) AS total_events, COALESCE(b.unique_products_browsed, 0) AS unique_products_browsed,
+       COALESCE(b.total_cart_adds, 0) AS total_cart_adds, COALESCE(b.total_wishlists, 0) AS total_wishlists,
+       COALESCE(b.cart_add_rate, 0) AS cart_add_rate, COALESCE(b.wishlist_rate, 0) AS wishlist_rate,
+       COALESCE(b.unique_categories_browsed, 0) AS unique_categories_browsed,
+       COALESCE(o.past_total_orders, 0) AS past_total_orders, COALESCE(o.past_total_spend, 0) AS past_total_spend,
+       COALESCE(o.past_avg_order_value, 0) AS past_avg_order_value,
+       COALESCE(o.past_max_order_value, 0) AS past_max_order_value,
+       COALESCE(o.past_avg_discount, 0) AS past_avg_discount,
+       COALESCE(o.days_since_last_order, 0) AS days_since_last_order,
+       COALESCE(o.customer_lifespan_days, 0) AS customer_lifespan_days,
+       COALESCE(o.past_order_frequency, 0) AS past_order_frequency,
+       CASE WHEN f.user_id IS NULL THEN 0 ELSE 1 END AS will_purchase_next_30days
+FROM shop_users u CROSS JOIN t6_cut c
+LEFT JOIN t6_sess s ON u.user_id = s.user_id
+LEFT JOIN t6_browse b ON u.user_id = b.user_id
+LEFT JOIN t6_ord o ON u.user_id = o.user_id
+LEFT JOIN t6_future f ON u.user_id = f.user_id
+""",
+    "shop_users", "t6_cut", "t6_sess", "t6_browse", "t6_ord", "t6_future",
+)

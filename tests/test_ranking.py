@@ -52,3 +52,9 @@ def test_keep_first_and_top_k(spark):
     assert {r.k: r.v for r in R.keep_first(df, ["k"], ["o"]).collect()} == {1: "a", 2: "z"}
     top = R.top_k_per_group(df, ["k"], [F.desc("o")], 2).orderBy("k", "rank").collect()
     assert [(r.k, r.v) for r in top] == [(1, "c"), (1, "b"), (2, "z")]
+
+
+def test_quantiles_and_rank_on_empty_input(spark):
+    empty = spark.createDataFrame([], "id long, x double")
+    assert R.quantile_values(empty, "x", [0.5, 0.95]) == [None, None]
+    assert R.global_rank(empty, "x", "id").count() == 0
