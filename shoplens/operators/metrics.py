@@ -10,6 +10,7 @@ reproducible.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -163,13 +164,24 @@ def lift_table(scored: DataFrame, id_col: str, y: str = "y_true", score: str = "
 
 
 def first_at_or_above(lift: DataFrame, pcts: Sequence[float], tolerance: float = 0.0) -> DataFrame:
-    """For each depth p: the first lift row with pct_targeted >= p - tolerance
-    (it is the only row also having (rank - 1) / n below that bound)."""
+    """For each depth p: the first lift row with pct_targeted >= p - tolerance.
+
+    That row's rank is ceil((p - tol) * n) up to floating-point rounding, so
+    each depth proposes three candidate ranks and an equi-join on ``rank``
+    picks them; the exact condition (this row reaches the bound, the previous
+    one does not) then keeps exactly one.  The depth table is a literal of
+    ``3 * len(pcts)`` rows.
+    """
     spark = lift.sparkSession
-    depth = spark.createDataFrame([(float(p),) for p in pcts], "pct double")
+    n = lift.agg(F.max("n_total").alias("_n")).first()["_n"] or 0
+    cands = []
+    for p in pcts:
+        r0 = int(math.ceil((float(p) - tolerance) * n))
+        cands += [(float(p), r) for r in (r0 - 1, r0, r0 + 1) if 1 <= r <= n]
+    depth = spark.createDataFrame(cands, "pct double, rank long")
     bound = F.col("pct") - F.lit(tolerance)
     prev = (F.col("rank") - 1).cast("double") / F.col("n_total").cast("double")
-    return lift.crossJoin(F.broadcast(depth)).where((F.col("pct_targeted") >= bound) & (prev < bound))
+    return lift.join(F.broadcast(depth), "rank").where((F.col("pct_targeted") >= bound) & (prev < bound))
 
 
 def lift_summary(lift: DataFrame, pcts: Sequence[float] = (0.1, 0.2, 0.3, 0.4, 0.5)) -> DataFrame:
