@@ -106,7 +106,10 @@ def driver_scores(fm: DataFrame) -> DataFrame:
 def top_buyers(scored: DataFrame, prob: str = "probability", k: int = 20, id_col: str = "user_id") -> DataFrame:
     """The ``k`` highest scores (ties by id) with a rank-based action."""
     top = scored.select(id_col, prob).orderBy(F.desc(prob), id_col).limit(k)
-    ranked = global_rank(top, prob, id_col, descending=True)
+    # at most k rows after the limit, so one ordered window is bounded
+    from pyspark.sql import Window
+
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(prob), id_col)).cast("long"))
     action = (
         F.when(F.col("rank") <= 5, "Priority email").when(F.col("rank") <= 15, "Standard email")
         .otherwise("Push notification")

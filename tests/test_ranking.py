@@ -58,3 +58,20 @@ def test_quantiles_and_rank_on_empty_input(spark):
     empty = spark.createDataFrame([], "id long, x double")
     assert R.quantile_values(empty, "x", [0.5, 0.95]) == [None, None]
     assert R.global_rank(empty, "x", "id").count() == 0
+
+
+def _physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_global_rank_plan_has_no_single_partition_exchange(spark):
+    df = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id"))
+    plan = _physical(R.global_rank(df, "k", "id"))
+    assert "SinglePartition" not in plan
+    assert "hashpartitioning(_bid" in plan
+
+
+def test_keep_first_is_a_hash_aggregate(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id"))
+    plan = _physical(R.keep_first(df, ["k"], ["id"]))
+    assert "Window" not in plan and "Aggregate" in plan
