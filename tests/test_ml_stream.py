@@ -79,3 +79,14 @@ def test_advanced_training_and_bundle(spark):
         .withColumn("avg_order_value", F.col("x2") * 10)
     b = ML.live_metrics(models["logistic_regression"], fmx, feats).first()
     assert 0 <= b.metrics.auc_roc <= 1 and b.customer_stats.total_customers == 300
+
+
+def test_cross_validation_and_learning_curve(spark):
+    fm = feature_frame(spark, 200).drop("device_type")
+    w = SP.with_weights(fm, "will_purchase")
+    feats = ["x1", "x2", "days_since_last_order", "total_orders"]
+    lr = {"lr": ML.logistic_regression(feats, "will_purchase", 200)}
+    cv = ML.cross_validate_all(w, lr, "will_purchase", k=2).first()
+    assert 0 <= cv.auc_mean <= 1 and cv.auc_std >= 0
+    lc = ML.learning_curve(w, lr["lr"], "will_purchase", sizes=(0.5, 1.0), k=2).collect()
+    assert [r["size"] for r in lc] == [0.5, 1.0]
