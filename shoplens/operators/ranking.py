@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 128
 _ACCURACY = 20_000
+# Hit buckets holding at most this many values in total are sorted on the
+# driver (their size is counted first); larger ones are ranked by a window.
+SMALL_HIT_ROWS = 200_000
 
 
 def _edges(values) -> list[float]:
@@ -170,15 +173,16 @@ def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
             on_edge = F.expr(f"_v{i} IN ({', '.join(_lit(e) for e in ek)})").cast("int") if ek else F.lit(0)
             keyed = keyed.withColumn(f"_b{i}", ((F.col(f"_b{i}").cast("long") - on_edge) * 2 + on_edge))
         keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-        parts = [
-            keyed.where(F.col(f"_v{i}").isNotNull()).groupBy(F.col(f"_b{i}").alias("_bid"))
-            .agg(F.count(F.lit(1)).alias("_n")).withColumn("_c", F.lit(i))
+        # one long frame (column id, bucket, value): a single shuffle serves
+        # every column in both passes below
+        long = keyed.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_c"), F.col(f"_b{i}").alias("_bid"), F.col(f"_v{i}").alias("_v"))
             for i in range(len(cols))
-        ]
+        ])).alias("_r")).select("_r.*").where(F.col("_v").isNotNull())
         counts: dict[int, list] = {i: [] for i in range(len(cols))}
-        for r in reduce(DataFrame.unionByName, parts).collect():
+        for r in long.groupBy("_c", "_bid").agg(F.count(F.lit(1)).alias("_n")).collect():
             counts[int(r["_c"])].append((int(r["_bid"]), int(r["_n"])))
-        spans, hits, want_pos = {}, [], {}
+        spans, hits, want_pos, hit_rows = {}, [], {}, 0
         for i, c in enumerate(cols):
             cnt = sorted(counts[i])
             total = sum(n for _, n in cnt)
@@ -199,23 +203,33 @@ def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
             for bid, n in cnt:
                 if any(run <= w < run + n for w in need):
                     hits.append((i, bid, run))
+                    hit_rows += n
                 run += n
         at: dict[int, dict[int, float]] = {i: {} for i in range(len(cols))}
         if hits:
-            hit = spark.createDataFrame(hits, "_c int, _bid bigint, _off bigint")
-            picks = []
-            for i in want_pos:
-                h_i = hit.where(F.col("_c") == i).drop("_c")
-                sel = keyed.where(F.col(f"_v{i}").isNotNull()).select(F.col(f"_b{i}").alias("_bid"), F.col(f"_v{i}").alias("_v"))
-                w = Window.partitionBy("_bid").orderBy("_v")
-                picks.append(
-                    sel.join(F.broadcast(h_i), "_bid")
-                    .withColumn("_pos", F.col("_off") + F.row_number().over(w) - 1)
-                    .where(F.col("_pos").isin(want_pos[i]))
-                    .select(F.lit(i).alias("_c"), "_pos", "_v")
+            hit = F.broadcast(spark.createDataFrame(hits, "_c int, _bid bigint, _off bigint"))
+            sel = long.join(hit, ["_c", "_bid"])
+            if hit_rows <= SMALL_HIT_ROWS:
+                # checked size: the hit buckets hold few values, sort them here
+                groups: dict[tuple, list] = {}
+                for r in sel.select("_c", "_bid", "_off", "_v").collect():
+                    groups.setdefault((int(r["_c"]), int(r["_bid"]), int(r["_off"])), []).append(float(r["_v"]))
+                for (i, _b, off), vals in groups.items():
+                    vals.sort()
+                    for pos in want_pos[i]:
+                        if off <= pos < off + len(vals):
+                            at[i][pos] = vals[pos - off]
+            else:
+                w = Window.partitionBy("_c", "_bid").orderBy("_v")
+                picked = (
+                    sel.withColumn("_pos", F.col("_off") + F.row_number().over(w) - 1)
+                    .where(F.col("_pos").isin(sorted({p for v in want_pos.values() for p in v})))
+                    .select("_c", "_pos", "_v")
                 )
-            for r in reduce(DataFrame.unionByName, picks).collect():
-                at[int(r["_c"])][int(r["_pos"])] = float(r["_v"])
+                for r in picked.collect():
+                    i = int(r["_c"])
+                    if int(r["_pos"]) in want_pos.get(i, ()):
+                        at[i][int(r["_pos"])] = float(r["_v"])
         out = {}
         for i, c in enumerate(cols):
             if spans[c] is None:

@@ -75,3 +75,13 @@ def test_keep_first_is_a_hash_aggregate(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id"))
     plan = _physical(R.keep_first(df, ["k"], ["id"]))
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_quantiles_window_path_matches(spark, monkeypatch):
+    """Force the distributed (window) path used when hit buckets are large."""
+    monkeypatch.setattr(R, "SMALL_HIT_ROWS", 0)
+    vals = [float(x) for x in np.random.default_rng(9).normal(50, 20, 777).round(2)]
+    df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
+    got = R.quantile_values_multi(df, {"x": [0.1, 0.5, 0.95], "y": [0.25]}, buckets=8)
+    assert np.allclose(got["x"], pd.Series(vals).quantile([0.1, 0.5, 0.95]).tolist())
+    assert np.allclose(got["y"], [pd.Series(vals).mul(2).quantile(0.25)])
