@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shoplens.session import checkpoint_dir
 
@@ -23,7 +22,3 @@ def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
         return df.checkpoint(eager=True)
     return df
 
-
-def one_row(df: DataFrame, *cols) -> DataFrame:
-    """A single-row aggregate frame, safe to broadcast (size is one row)."""
-    return F.broadcast(df.agg(*cols))

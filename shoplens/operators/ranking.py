@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window

@@ -9,8 +9,6 @@ The oracle SQL spells the same derivations as DuckDB CTEs.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +59,11 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _case(c: Column, mapping: dict) -> Column:
-    return reduce(lambda acc, kv: acc.when(c == kv[0], F.lit(kv[1])), list(mapping.items())[1:],
-                  F.when(c == list(mapping)[0], F.lit(list(mapping.values())[0])))
+    """CASE c WHEN k1 THEN v1 ... END (unmatched values give null)."""
+    out = None
+    for k, v in mapping.items():
+        out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))
+    return out
 
 
 def _pick(c: Column, values: list[str]) -> Column:

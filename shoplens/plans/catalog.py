@@ -7,18 +7,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import os
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from functools import reduce
-
+from shoplens.operators import business as BZ
 from shoplens.operators import clean as C
-from shoplens.operators import quality as Q
-from shoplens.plans import oracle as O
+from shoplens.operators import explore as EX
 from shoplens.operators import features as FE
+from shoplens.operators import metrics as ME
+from shoplens.operators import quality as Q
 from shoplens.operators import rfm as RFM
+from shoplens.operators import splits as SP
 from shoplens.operators._util import materialize
 from shoplens.plans import adapters as A
+from shoplens.plans import oracle as O
+from shoplens.schema import MEMBERSHIP_ORDER
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -99,13 +105,11 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 ORDER_CUTOFF = "2001-02-01 00:00:00"
 
 
-import os as _os
-
 # Cleaned tables are pinned with persist (lineage kept: a lost executor's
 # blocks are recomputed); the feature matrix, the end of the long lineage,
 # is checkpointed to the shared folder.  SHOPLENS_STAGE_MODE=checkpoint
 # writes the cleaned tables too.
-STAGE_MODE = _os.environ.get("SHOPLENS_STAGE_MODE", "persist")
+STAGE_MODE = os.environ.get("SHOPLENS_STAGE_MODE", "persist")
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
@@ -238,11 +242,6 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- exploration
-from shoplens.operators import business as BZ  # noqa: E402
-from shoplens.operators import explore as EX  # noqa: E402
-from shoplens.operators import metrics as ME  # noqa: E402
-from shoplens.operators import splits as SP  # noqa: E402
-from shoplens.schema import MEMBERSHIP_ORDER  # noqa: E402
 
 
 def users_clean(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,8 +5,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
 from shoplens.sources import files, jdbc, sinks
 
 
