@@ -85,3 +85,18 @@ def test_encode_ordinal_unknown_is_null(spark):
     df = spark.createDataFrame([("free",), ("gold",), ("diamond",)], "membership string")
     out = {r.membership: r.membership_encoded for r in C.encode_ordinal(df, "membership", ["free", "silver", "gold"]).collect()}
     assert out == {"free": 0, "gold": 2, "diamond": None}
+
+
+def test_floor_days_matches_pandas_on_random_pairs(spark):
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(21)
+    base = dt.datetime(2020, 1, 1)
+    pairs = [(base + dt.timedelta(seconds=rnd.randint(-10**8, 10**8)),
+              base + dt.timedelta(seconds=rnd.randint(-10**8, 10**8))) for _ in range(500)]
+    df = spark.createDataFrame(pairs, "a timestamp, b timestamp")
+    got = [r.d for r in df.select(floor_days("a", "b").alias("d")).collect()]
+    exp = [(pd.Timestamp(a) - pd.Timestamp(b)).days for a, b in pairs]
+    assert got == exp
