@@ -288,7 +288,10 @@ def load_latest(spark: SparkSession, root: str) -> tuple[PipelineModel, dict]:
 
 def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     """Stratified split + balanced weights + string encoding, ready to fit."""
-    split = stratified_split(fm, label, test_size, seed).persist()
+    # iterative fitting runs one job per iteration over these partitions, so
+    # they are laid out once at about one partition per available core
+    parts = max(1, fm.sparkSession.sparkContext.defaultParallelism)
+    split = stratified_split(fm, label, test_size, seed).repartition(parts).persist()
     train = with_weights(split.where(F.col("split") == "train").drop("split"), label)
     test = with_weights(split.where(F.col("split") == "test").drop("split"), label)
     strings = [f.name for f in fm.schema.fields if f.dataType.typeName() == "string" and f.name not in ("user_id",)]
