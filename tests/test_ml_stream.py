@@ -90,3 +90,21 @@ def test_cross_validation_and_learning_curve(spark):
     assert 0 <= cv.auc_mean <= 1 and cv.auc_std >= 0
     lc = ML.learning_curve(w, lr["lr"], "will_purchase", sizes=(0.5, 1.0), k=2).collect()
     assert [r["size"] for r in lc] == [0.5, 1.0]
+
+
+def test_stream_restart_does_not_rescore(spark, tmp_dir):
+    fm = feature_frame(spark, 120).drop("device_type")
+    w = SP.with_weights(fm, "will_purchase")
+    feats = ["x1", "x2", "days_since_last_order", "total_orders"]
+    model = ML.logistic_regression(feats, "will_purchase", 120, max_iter=10).fit(w)
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    fm.select("user_id", *feats).where("user_id < 60").write.parquet(os.path.join(src, "part1"))
+    schema = spark.read.parquet(os.path.join(src, "part1")).schema
+    start_scoring(spark, model, feats, schema, os.path.join(src, "*"), out, ck).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 60
+    # same input again, then one new file: only the new rows are scored
+    start_scoring(spark, model, feats, schema, os.path.join(src, "*"), out, ck).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 60
+    fm.select("user_id", *feats).where("user_id >= 60").write.parquet(os.path.join(src, "part2"))
+    start_scoring(spark, model, feats, schema, os.path.join(src, "*"), out, ck).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 120
