@@ -29,12 +29,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 128
+MAX_BUCKETS = 4096
 _ACCURACY = 20_000
 # Hit buckets holding at most this many values in total are sorted on the
 # driver (their size is counted first); larger ones are ranked by a window.
 SMALL_HIT_ROWS = 200_000
 
 
+def resolve_buckets(spark, buckets: int | None) -> int:
+    """Bucket count for ranking / quantile passes: given, or twice the
+    session's shuffle-partition count (128..4096), so a bigger cluster
+    configuration spreads the per-bucket windows over more tasks."""
+    if buckets:
+        return int(buckets)
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except Exception:  # noqa: BLE001 - adaptive or unset values
+        parts = DEFAULT_BUCKETS // 2
+    return max(DEFAULT_BUCKETS, min(MAX_BUCKETS, 2 * parts))
+
+
+def _accuracy(buckets: int) -> int:
+    return max(_ACCURACY, 10 * buckets)
+
+
 def _edges(values) -> list[float]:
     return sorted({float(v) for v in (values or []) if v is not None})
 
@@ -73,15 +91,16 @@ def bucket_ids(
     key: str,
     tiebreak: str | None = None,
     descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Attach ``_k``, ``_t`` (numeric sort keys) and a monotone ``_bid``."""
+    buckets = resolve_buckets(df.sparkSession, buckets)
     k = _sort_key(df, key, descending)
     t = _sort_key(df, tiebreak, False) if tiebreak else k
     fracs = [i / buckets for i in range(1, buckets)]
     row = df.agg(
-        F.percentile_approx(k, fracs, _ACCURACY).alias("ek"),
-        F.percentile_approx(t, fracs, _ACCURACY).alias("et"),
+        F.percentile_approx(k, fracs, _accuracy(buckets)).alias("ek"),
+        F.percentile_approx(t, fracs, _accuracy(buckets)).alias("et"),
     ).first()
     ek, et = _edges(row["ek"]), _edges(row["et"])
     width = len(et) + 2
@@ -118,7 +137,7 @@ def global_rank(
     descending: bool = False,
     sums: Sequence[str] = (),
     rank_col: str = "rank",
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     extra_order: Sequence[str] = (),
 ) -> DataFrame:
     """Exact position in the order (key [desc], tiebreak asc) + running sums.
@@ -150,7 +169,7 @@ def global_rank(
 
 
 def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
-                          buckets: int = DEFAULT_BUCKETS, totals: dict | None = None) -> dict[str, list]:
+                          buckets: int | None = None, totals: dict | None = None) -> dict[str, list]:
     """Exact linear-interpolated quantiles of several columns, as floats.
 
     Three small jobs whatever the number of columns: approximate edges of
@@ -163,8 +182,10 @@ def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
     base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        buckets = resolve_buckets(spark, buckets)
         fracs = [i / buckets for i in range(1, buckets)]
-        row = base.agg(*[F.percentile_approx(f"_v{i}", fracs, _ACCURACY).alias(f"e{i}") for i in range(len(cols))]).first()
+        row = base.agg(*[F.percentile_approx(f"_v{i}", fracs, _accuracy(buckets)).alias(f"e{i}")
+                         for i in range(len(cols))]).first()
         keyed = base
         for i in range(len(cols)):
             ek = _edges(row[f"e{i}"])
@@ -241,7 +262,7 @@ def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
         base.unpersist()
 
 
-def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int = DEFAULT_BUCKETS) -> list:
+def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int | None = None) -> list:
     """Exact linear-interpolated quantiles of one column (see the multi form)."""
     return quantile_values_multi(df, {col: probs}, buckets)[col]
 
@@ -251,7 +272,7 @@ def exact_quantiles(
     col: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``)
     as a one-row frame with one double column per prob (``q0``... or ``names``).
