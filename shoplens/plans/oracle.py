@@ -1036,11 +1036,11 @@ def _mode(col: str) -> str:
 query(
     "impute_missing",
     f"""
-SELECT COALESCE(user_id, CAST((SELECT quantile_cont(user_id, 0.5) FROM sparse_users) AS BIGINT)) AS user_id,
-       COALESCE(age, CAST((SELECT quantile_cont(age, 0.5) FROM sparse_users) AS INTEGER)) AS age,
+SELECT COALESCE(user_id, CAST(trunc((SELECT quantile_cont(user_id, 0.5) FROM sparse_users)) AS BIGINT)) AS user_id,
+       COALESCE(age, CAST(trunc((SELECT quantile_cont(age, 0.5) FROM sparse_users)) AS INTEGER)) AS age,
        COALESCE(membership, {_mode('membership')}) AS membership,
        COALESCE(device_type, {_mode('device_type')}) AS device_type,
-       COALESCE(total_sessions, CAST((SELECT quantile_cont(total_sessions, 0.5) FROM sparse_users) AS BIGINT))
+       COALESCE(total_sessions, CAST(trunc((SELECT quantile_cont(total_sessions, 0.5) FROM sparse_users)) AS BIGINT))
          AS total_sessions,
        COALESCE(max_pages, (SELECT quantile_cont(max_pages, 0.5) FROM sparse_users)) AS max_pages,
        COALESCE(top_event, {_mode('top_event')}) AS top_event
