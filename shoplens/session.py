@@ -66,16 +66,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     )
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    local = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="shoplens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
