@@ -7,7 +7,8 @@ fall on the first event of a bucket, and whether it does depends only on the
 last event of the previous active bucket.  The per-event work is therefore a
 plain (user, bucket) aggregate with map-side combine; the ordered scan runs
 over bucket summaries only, whose count per user is bounded by the time span
-(not by how many events the user has).  The result equals the classic
+(not by how many events the user has).  Every per-event aggregate is a plain
+min / max / count, so it runs as a hash aggregate with map-side combine.  The result equals the classic
 ``lag(ts)`` / ``session_window`` definition.
 """
 
@@ -31,7 +32,7 @@ def _bucket_sessions(b: DataFrame, gap_micros: int) -> DataFrame:
         F.min("_us").alias("_bmin"),
         F.max("_us").alias("_bmax"),
         F.count(F.lit(1)).alias("_bn"),
-        F.min(F.struct("_us", "_id")).alias("_first"),
+        F.min("_id").alias("_first"),
     )
     w = Window.partitionBy("_u").orderBy("_b")
     prev_end = F.lag("_bmax").over(w)
@@ -48,7 +49,8 @@ def sessionize(
     event_id: str = "event_id",
     gap_seconds: int = 6 * 3600,
 ) -> DataFrame:
-    """One row per session: session_id (first event id), user_id,
+    """One row per session: session_id (smallest event id in the session),
+    user_id,
     session_start, session_end, duration_secs, pages_visited, bounced."""
     gap = gap_seconds * 1_000_000
     per_bucket = _bucket_sessions(_bucketed(events, user, ts, event_id, gap), gap)
@@ -59,7 +61,7 @@ def sessionize(
         F.min("_first").alias("_first"),
     )
     return s.select(
-        F.col("_first._id").alias("session_id"),
+        F.col("_first").alias("session_id"),
         F.col("_u").alias("user_id"),
         F.timestamp_micros("_smin").alias("session_start"),
         F.timestamp_micros("_smax").alias("session_end"),
@@ -76,7 +78,7 @@ def assign_sessions(
     event_id: str = "event_id",
     gap_seconds: int = 6 * 3600,
 ) -> DataFrame:
-    """``events`` plus a ``session_id`` column (id of the session's first event).
+    """``events`` plus a ``session_id`` column (smallest event id of the session).
 
     The per-event join is on (user, bucket), a far finer key than the user
     alone; AQE's skew-join handling splits any bucket that is still hot.
@@ -86,7 +88,7 @@ def assign_sessions(
     per_bucket = _bucket_sessions(b, gap)
     first_of_session = per_bucket.groupBy("_u", "_sno").agg(F.min("_first").alias("_sf"))
     bucket_map = per_bucket.join(first_of_session, ["_u", "_sno"]).select(
-        "_u", "_b", F.col("_sf._id").alias("session_id")
+        "_u", "_b", F.col("_sf").alias("session_id")
     )
     keyed = events.withColumn(
         "_b", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(gap)).cast("long")

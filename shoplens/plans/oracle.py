@@ -128,7 +128,7 @@ FROM ev_gap
 cte(
     "shop_sessions",
     """
-SELECT first(event_id ORDER BY us, event_id) AS session_id, user_id,
+SELECT min(event_id) AS session_id, user_id,
        make_timestamp(min(us)) AS session_start, make_timestamp(max(us)) AS session_end,
        (max(us) - min(us)) // 1000000 AS duration_secs,
        CAST(count(*) AS INTEGER) AS pages_visited, count(*) = 1 AS bounced

@@ -22,6 +22,7 @@ def brute(events: pd.DataFrame) -> pd.DataFrame:
                 cur = {"user_id": u, "session_id": r.event_id, "start": r.ts, "end": r.ts, "n": 0}
             cur["end"] = r.ts
             cur["n"] += 1
+            cur["session_id"] = min(cur["session_id"], r.event_id)
             prev = r.ts
         rows.append(cur)
     return pd.DataFrame(rows)
