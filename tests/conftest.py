@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shoplens.session import build_session  # noqa: E402
+from shoplens.session import build_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark():
         d = tempfile.mkdtemp(prefix="shoplens-test-ckpt-")
         s.conf.set("spark.checkpoint.dir", d)
         s.sparkContext.setCheckpointDir(d)
+    ship_package(s)
     yield s
 
 
