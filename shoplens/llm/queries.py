@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import line_quality
+import public_tokenizers
+
+from shoplens.llm import line_quality, orc_tokens, packing
 from shoplens.llm.common import table
 
 
@@ -16,6 +18,25 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality_rules(table(spark, sf_dir, "documents")).drop("removed", "_key")
 
 
+#: The pattern that splits words in word_bpe_49k.json (a fixed value of that file).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2,
+                        True, public_tokenizers.PATTERN, 1024)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents in ORC files, read back."""
+    files = orc_tokens.id_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1,
+                                False, WORD_PATTERN)
+    return orc_tokens.read_ids(files)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_files": op10_token_files,
 }
