@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shoplens.llm import line_quality, orc_tokens, packing
+from shoplens.llm import bpe, line_quality, orc_tokens, packing, rabitq, warc
 from shoplens.llm.common import table
 
 
@@ -22,6 +22,24 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back by byte ranges."""
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest, payloads=False)
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded; digests of the ids and of the decoded bytes."""
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN, digests=True)
+
+
+def op5_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    index = rabitq.build_index(table(spark, sf_dir, "embeddings"))
+    return rabitq.search(index, index.filter(F.col("vec_id") % 20 == 0), 20)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2,
@@ -36,6 +54,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_one_bit_search": op5_one_bit_search,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
