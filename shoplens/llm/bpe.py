@@ -178,8 +178,7 @@ def bpe_cache(path: str, pattern: str) -> tokens.PieceCache:
         known: dict[str, tuple[bytes, bytes]] = {}
 
         def encode(pieces: list[str]) -> list[tuple[bytes, bytes]]:
-            if len(known) > tokens.LIMIT:
-                known.clear()
+            tokens.trim(known, tokens.LIMIT)
             cut = [words(p) for p in pieces]
             todo = list({w for ws in cut for w in ws if w not in known})
             ids = engine.encode([w.encode("utf-8", "surrogatepass") for w in todo])

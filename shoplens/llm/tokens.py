@@ -3,8 +3,9 @@
 In the byte-level patterns a single space between two non-blank characters
 always starts a new token, so a text cut there gives the same ids piece by
 piece.  Texts repeat most pieces; a worker looks ids up in a dictionary of
-pieces and only sends unknown pieces to the tokeniser.  The dictionary is
-emptied when it has ``LIMIT`` entries, so memory stays bounded.
+pieces and only sends unknown pieces to the tokeniser.  When the
+dictionary has ``LIMIT`` entries it keeps its first half, where the frequent
+pieces are, so memory stays bounded.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import os
 import re
 import struct
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 LIMIT = 600_000
 #: Pieces longer than this are not kept.
@@ -55,6 +57,14 @@ def packed(ids: Iterable[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def trim(known: dict, limit: int) -> None:
+    """Halves a full dictionary; what came first, so what is frequent, stays."""
+    if len(known) > limit:
+        first = dict(islice(known.items(), limit // 2))
+        known.clear()
+        known.update(first)
+
+
 class PieceCache:
     """Ids (little-endian unsigned 32-bit) of texts, piece by piece.
 
@@ -83,8 +93,7 @@ class PieceCache:
     def lookup(self, texts: list[str]) -> list[list]:
         """For each text the values of its pieces."""
         known = self.known
-        if len(known) > self.limit:
-            known.clear()
+        trim(known, self.limit)
         known[""] = self.empty
         split = [self.split(t) for t in texts]
         values = [list(map(known.get, pieces)) for pieces in split]
@@ -135,8 +144,7 @@ def by_words(encode: Callable[[list[str]], list[bytes]], words: Callable[[str],
     known: dict[str, bytes] = {}
 
     def run(pieces: list[str]) -> list[bytes]:
-        if len(known) > limit:
-            known.clear()
+        trim(known, limit)
         # Beyond Latin-1 a library may compose characters before it splits.
         cut = [words(p) if is_latin1(p) else [p] for p in pieces]
         todo = list({w for ws in cut for w in ws if w not in known})
