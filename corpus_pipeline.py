@@ -1,21 +1,54 @@
-"""The corpus pipeline: five stages over ``documents``."""
+"""The corpus pipeline: five stages over ``documents``.
+
+Each stage reads what the one before kept, written as Parquet; all but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import line_quality
+from shoplens.llm import jaccard, line_quality, packing, pii, toxicity
 from shoplens.llm.common import stored, table
 
 
+def _like_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with n_chars of the present text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: boilerplate lines go, rejected documents go."""
-    return line_quality.clean_documents(docs)
+    return _like_documents(line_quality.clean_documents(docs))
+
+
+def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that of the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return _like_documents(pii.redacted(docs, pii.train(docs)))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing into sequences of at most 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, True, public_tokenizers.PATTERN, 1024)
 
 
-STAGES = [("quality", quality)]
+STAGES = [("quality", quality), ("toxicity", non_toxic), ("near_duplicates", distinct_documents),
+          ("personal_data", private), ("packing", packed)]
 
-#: The stages hold models and tokenisers, which SQL cannot express.
+#: The stages hold models and a tokeniser, which SQL cannot express.
 ORACLE_SQL = None
 
 

@@ -9,10 +9,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shoplens.llm import bpe, line_quality, orc_tokens, packing, rabitq, warc
+from shoplens.llm import bpe, extraction, jaccard, line_quality, orc_tokens, packing, pii, rabitq, toxicity, warc
 from shoplens.llm.common import table
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of the cross-document line rules."""
     return line_quality.quality_rules(table(spark, sf_dir, "documents")).drop("removed", "_key")
@@ -28,12 +39,24 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, payloads=False)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.main_text(pages, extraction.train(pages))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; digests of the ids and of the decoded bytes."""
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                       public_tokenizers.PATTERN, digests=True)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every text."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.spans(docs, pii.train(docs))
+
+
 def op5_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every row whose id is divisible by 20."""
     index = rabitq.build_index(table(spark, sf_dir, "embeddings"))
@@ -55,9 +78,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_main_text": op2_main_text,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_personal_data": op4_personal_data,
     "op5_one_bit_search": op5_one_bit_search,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
 }
