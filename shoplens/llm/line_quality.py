@@ -5,8 +5,8 @@ space, trimmed).  For each host the number of distinct documents that hold a
 line is counted; lines above the limit are boilerplate and are removed, and a
 document that keeps too little of itself is rejected.
 
-Two documents count as one when their *sketch* is the same: their smallest
-five-word window.  Exact copies always share it and near copies mostly do, so
+Two documents count as one when their *sketch* is the same: the smallest hash
+of their five-word windows.  Exact copies always share it and near copies mostly do, so
 a group of thousands of copies does not turn its own text into boilerplate.
 
 Defined cases: a null text is the empty text (no words: base rule fails, not
@@ -52,14 +52,8 @@ def normal_line(line: Column) -> Column:
     return F.lower(F.trim(single))
 
 
-def sketch_of(words: Column) -> Column:
-    """Smallest five-word window; windows at the end of the text are shorter."""
-    shifted = [F.slice(words, k, F.greatest(F.size(words), F.lit(1))).alias(f"w{k}") for k in range(1, WINDOW + 1)]
-    return F.xxhash64(F.array_min(F.arrays_zip(*shifted)))
-
-
 def with_repeated_words(docs: DataFrame) -> DataFrame:
-    """Adds n_repeat_words: words inside five-word windows found twice or more.
+    """Adds the sketch, and n_repeat_words: words inside five-word windows found twice or more.
 
     Windows are compared by 64-bit hash within one text (two different windows
     of a text of 20,000 words meet with probability 1e-11).  Each step is a
@@ -84,7 +78,8 @@ def with_repeated_words(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.transform(st, lambda p, k: F.least(F.coalesce(F.get(st, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW))),
         F.lit(0).cast("long"), lambda a, b: a + b)
-    return d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_h", "_wh", "_ord", "_st")
+    return (d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
+            .withColumn("_sk", F.coalesce(F.array_min(win), F.xxhash64("_words"))).drop("_h", "_wh", "_ord", "_st"))
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -97,7 +92,7 @@ def measures(docs: DataFrame) -> DataFrame:
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words", sketch_of(F.col("_words")).alias("_sk"),
+        "n_repeat_words", "_sk",
         F.transform(F.transform("_lines", normal_line), lambda y: F.struct(
             F.xxhash64(y).alias("h"), F.length(y).alias("c"))).alias("_per"))
 
@@ -159,9 +154,10 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     v = (v.filter(~F.col("kept") | (F.size("removed") > 0))
          .select(F.col(id_col).alias("_vid"), F.col(host_col).alias("_vhost"), F.col("_key").alias("_vkey"),
                  F.col("kept").alias("_vkept"), F.col("removed").alias("_vgone")).dropDuplicates(["_vid", "_vhost", "_vkey"]))
-    text = text_or_empty(text_col)
-    j = docs.join(v, F.col(id_col).eqNullSafe(F.col("_vid")) & F.col(host_col).eqNullSafe(F.col("_vhost"))
-                  & (F.xxhash64(text) == F.col("_vkey")), "left").filter(F.coalesce("_vkept", F.lit(True)))
-    stay = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_vgone", F.xxhash64(normal_line(x))))
-    cleaned = F.when(F.size("_vgone") > 0, F.array_join(stay, "\n")).otherwise(F.col(text_col))
-    return j.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    # The row travels as one struct, so no name of it can meet another.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_or_empty(text_col).alias("text"))
+    j = row.join(v, F.col(f"row.{id_col}").eqNullSafe(F.col("_vid")) & F.col(f"row.{host_col}").eqNullSafe(F.col("_vhost"))
+                 & (F.xxhash64("text") == F.col("_vkey")), "left").filter(F.coalesce("_vkept", F.lit(True)))
+    stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_vgone", F.xxhash64(normal_line(x))))
+    cleaned = F.when(F.size("_vgone") > 0, F.array_join(stay, "\n")).otherwise(F.col(f"row.{text_col}"))
+    return j.select(*[(cleaned if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
