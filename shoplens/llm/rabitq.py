@@ -88,8 +88,8 @@ def _matrix(column: pa.ChunkedArray, dtype: str):
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(len(column), -1)
 
 
-def search_block(k: int, epsilon: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Best ``k`` of a block of rows for each query of a block of queries."""
+def search_block(wanted: int, epsilon: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Best ``wanted`` of a block of rows for each query of a block of queries."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         import numpy as np
@@ -99,18 +99,20 @@ def search_block(k: int, epsilon: float) -> Callable[[pa.Table, pa.Table], pa.Ta
             dim = rows.column("dim")[0].as_py()
             q_ids, q = queries.column("vec_id").to_numpy(), _matrix(queries.column("vector"), "<f8")
             ids, x = rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"), "<f8")
+            # Rows that repeat an id take no other id's place.
+            k = wanted + len(ids) - len(np.unique(ids))
             norm, own = rows.column("norm").to_numpy(), rows.column("own").to_numpy()
             signs = np.unpackbits(_matrix(rows.column("code"), "u1"), axis=1, count=dim).astype(np.float32) * 2 - 1
             signs /= np.float32(math.sqrt(dim))
-            turned = (q @ rotation(dim)).astype(np.float32)
-            q_norm = np.sqrt((q * q).sum(axis=1))
+            q_norm = queries.column("norm").to_numpy()
+            turned = ((q / q_norm[:, None]) @ rotation(dim)).astype(np.float32)
             rate = norm / own
             slack = norm * np.sqrt(np.maximum(1 - own * own, 0)) / own * epsilon / math.sqrt(max(dim - 1, 1)) + norm * 1e-5
             for at in range(0, len(q), 128):
-                estimates = (signs @ turned[at:at + 128].T) * rate[:, None].astype(np.float32)
+                estimates = signs @ turned[at:at + 128].T
                 for j in range(estimates.shape[1]):
                     qi = at + j
-                    est = estimates[:, j].astype(np.float64)
+                    est = estimates[:, j] * rate * q_norm[qi]
                     other = ids != q_ids[qi]
                     est[~other] = -np.inf
                     first = np.argpartition(-est, min(2 * k, len(est) - 1))[:2 * k]
@@ -136,7 +138,7 @@ def search_block(k: int, epsilon: float) -> Callable[[pa.Table, pa.Table], pa.Ta
                         if i not in seen:
                             seen.add(i)
                             got.append((int(q_ids[qi]), i, float(score[b])))
-                            if len(got) == k:
+                            if len(got) == wanted:
                                 break
                     found += got
         columns = list(zip(*found)) or [[], [], []]
@@ -157,7 +159,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, epsilon: float = E
     n_rows, n_queries = blocks(index, ROWS_A_BLOCK), blocks(queries, QUERIES_A_BLOCK)
     deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = queries.select("vec_id", "dim", "vector", deal(n_queries, 1).alias("qb")).withColumn("rb", every(n_rows))
+    q = queries.select("vec_id", "dim", "norm", "vector", deal(n_queries, 1).alias("qb")).withColumn("rb", every(n_rows))
     r = index.withColumn("rb", deal(n_rows, 2)).withColumn("qb", every(n_queries))
     key = ["dim", "qb", "rb"]
     lists = q.groupBy(*key).cogroup(r.groupBy(*key)).applyInArrow(search_block(k, epsilon), "query_id long, vec_id long, score double")
