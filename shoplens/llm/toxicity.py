@@ -164,28 +164,24 @@ def fit_weights(rows: list, fit: Fit) -> tuple[dict[int, float], float]:
     pairs = [(r[1], r[2]) for r in rows if r[2] is not None]
     prow, pcol = kept(*sparse([a for a, _ in pairs]))
     srow, scol = kept(*sparse([b for _, b in pairs]))
-    scale = np.ones(len(used))
-    value = scale[col]
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     n, d = len(y), len(used)
-    w, b = np.zeros(d), 0.0
+    w, b = np.zeros(d), float(np.log(share / (1 - share)))
     m, v, mb, vb = np.zeros(d), np.zeros(d), 0.0, 0.0
     for t in range(1, fit.rounds + 1):
-        z = np.bincount(row, w[col] * value, n) + b
+        z = np.bincount(row, w[col], n) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g = weight * (p - y) / n
-        grad = np.bincount(col, g[row] * value, d) + fit.l2 * w / n
+        g = (p - y) / n
+        grad = np.bincount(col, g[row], d) + fit.l2 * w / n
         if pairs:
-            change = np.bincount(prow, (w * scale)[pcol], len(pairs)) - np.bincount(srow, (w * scale)[scol], len(pairs))
-            change *= 2 * fit.counterfactual / len(pairs)
-            grad += np.bincount(pcol, change[prow] * scale[pcol], d) - np.bincount(scol, change[srow] * scale[scol], d)
+            change = np.bincount(prow, w[pcol], len(pairs)) - np.bincount(srow, w[scol], len(pairs))
+            change = change * (2 * fit.counterfactual / len(pairs))
+            grad += np.bincount(pcol, change[prow], d) - np.bincount(scol, change[srow], d)
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.05
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
         b -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-6)
-    w *= scale
     return {int(i): float(x) for i, x in zip(used, w) if abs(x) > 1e-4}, float(b)
 
 

@@ -6,7 +6,7 @@ from shoplens.llm import toxicity as tx
 
 def _data(n=1500, seed=3):
     rng = random.Random(seed)
-    plain = [f"word{i}" for i in range(400)]
+    plain = ["".join(rng.choice("abdefgiklmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
     rows, labels = [], []
     for i in range(n):
         bad = rng.random() < 0.2
@@ -33,7 +33,7 @@ def test_held_out_accuracy_and_neutral_mentions(spark):
     held = [i for i in got if zlib.crc32(str(i).encode()) % 5 == 0]
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
     assert sum(got[i].predicted == truth[i] for i in held) >= 0.97 * len(held)
-    neutral = [(k, f"word{k} the {t} met word{k + 1} in town") for k, t in enumerate(tx.IDENTITY["en"])]
+    neutral = [(k, f"once the {t} met others in town") for k, t in enumerate(tx.IDENTITY["en"])]
     probe = spark.createDataFrame(neutral, "doc_id long, text string")
     assert tx.score(probe, model).agg({"predicted": "sum"}).first()[0] == 0
     loose = tx.train(docs, labs, fit=tx.Fit(counterfactual=0.0))
