@@ -344,8 +344,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keep = (found.filter(F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
             .select(F.col("doc_id").alias("_kid"), F.col("key").alias("_kkey"), F.col("class_id").alias("_kcid"))
             .dropDuplicates(["_kid", "_kkey"]))
-    names = docs.columns
-    j = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_kid")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_kkey")))
-    empty = j.filter(F.col("_kcid").isNull()).select(*names)
-    full = j.filter(F.col("_kcid").isNotNull()).dropDuplicates([id_col, "_kkey"]).select(*names)
-    return full.unionByName(empty)
+    # The row travels as one struct, so no name of it can meet another.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                      F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("tk"))
+    j = row.join(keep, F.col("id").eqNullSafe(F.col("_kid")) & (F.col("tk") == F.col("_kkey")))
+    full = j.filter(F.col("_kcid").isNotNull()).dropDuplicates(["id", "tk"])
+    return full.unionByName(j.filter(F.col("_kcid").isNull())).select("row.*")

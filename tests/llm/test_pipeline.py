@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from shoplens.llm.queries import REGISTRY
 
@@ -11,7 +13,8 @@ def test_stage_list():
 
 def test_stages_take_effect(spark, tmp_path):
     def text(i):
-        return " ".join(f"u{i}x{k}" for k in range(40))
+        rng = random.Random(i)
+        return " ".join("".join(rng.choice("abdefgiklmnoprstu") for _ in range(6)) for _ in range(40))
 
     rows = [(i, text(i), "en", "s", 0) for i in range(30)]
     rows += [(100, text(3), "en", "s", 0), (101, text(4) + " and", "en", "s", 0), (102, "too few", "en", "s", 0), (103, None, None, None, None),
