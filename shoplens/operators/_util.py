@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -22,3 +24,10 @@ def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
         return df.checkpoint(eager=True)
     return df
 
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: later passes read the
+    same rows in the same partitions, and a lost executor costs a re-read."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

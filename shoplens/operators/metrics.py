@@ -3,7 +3,7 @@
 Input columns: ``y_true`` (0/1), ``y_score`` (higher = more likely positive),
 optionally ``y_pred``.  Curve-type metrics first collapse rows to distinct
 scores (pos / neg counts per score), then take running sums in score order
-with the distributed ``global_rank`` -- no single-task window, no driver loop.
+with the distributed ``global_rank``.
 Ratios of integer counts are formed last, so results are exactly
 reproducible.
 """
@@ -70,9 +70,15 @@ def class_report(scored: DataFrame, y: str = "y_true", pred: str = "y_pred") ->
     return per.selectExpr(f"stack(5, {stack}) as (label, precision, recall, f1, support)")
 
 
+def _usable(scored: DataFrame, y: str, score: str) -> DataFrame:
+    s = F.col(score).cast("double")
+    return scored.where(F.col(y).isNotNull() & s.isNotNull() & ~F.isnan(s))
+
+
 def score_groups(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> DataFrame:
-    """Distinct scores with their positive and negative counts."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+    """Distinct scores with their positive and negative counts.  Rows without
+    a label or a score (null or NaN) take no part in any curve metric."""
+    return _usable(scored, y, score).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
 
@@ -82,8 +88,8 @@ def _cumulative(scored: DataFrame, y: str, score: str, descending: bool) -> Data
     return global_rank(g, "score", None, descending=descending, sums=["pos", "neg"], rank_col="point")
 
 
-def _totals(scored: DataFrame, y: str) -> DataFrame:
-    return F.broadcast(scored.agg(F.count_if(F.col(y) == 1).alias("_P"), F.count_if(F.col(y) != 1).alias("_N")))
+def _totals(scored: DataFrame, y: str, score: str) -> DataFrame:
+    return F.broadcast(_usable(scored, y, score).agg(F.count_if(F.col(y) == 1).alias("_P"), F.count_if(F.col(y) != 1).alias("_N")))
 
 
 def roc_auc(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> DataFrame:
@@ -91,7 +97,7 @@ def roc_auc(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> Dat
     class is missing.  The numerator is a sum of half-integers: exact."""
     c = _cumulative(scored, y, score, descending=False)
     num = c.agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)).alias("_u"))
-    return num.crossJoin(_totals(scored, y)).select(
+    return num.crossJoin(_totals(scored, y, score)).select(
         F.try_divide(F.col("_u"), (F.col("_P") * F.col("_N")).cast("double")).alias("auc")
     )
 
@@ -101,7 +107,7 @@ def average_precision(scored: DataFrame, y: str = "y_true", score: str = "y_scor
     c = _cumulative(scored, y, score, descending=True)
     prec = F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
     s = c.agg(F.sum(F.col("pos") * prec).alias("_s"))
-    return s.crossJoin(_totals(scored, y)).select(
+    return s.crossJoin(_totals(scored, y, score)).select(
         F.round(F.try_divide(F.col("_s"), F.col("_P").cast("double")), 9).alias("average_precision")
     )
 
@@ -132,7 +138,7 @@ def roc_points(scored: DataFrame, y: str = "y_true", score: str = "y_score", dro
         F.lit(0).cast("long").alias("pos_idx"), F.lit(None).cast("double").alias("threshold"),
         F.lit(0).cast("long").alias("tps"), F.lit(0).cast("long").alias("fps"),
     )
-    pts = start.unionByName(c).crossJoin(_totals(scored, y))
+    pts = start.unionByName(c).crossJoin(_totals(scored, y, score))
     pts = pts.select(
         F.col("pos_idx").alias("point"), "threshold",
         F.try_divide(F.col("fps").cast("double"), F.col("_N").cast("double")).alias("fpr"),
@@ -148,6 +154,7 @@ def roc_points(scored: DataFrame, y: str = "y_true", score: str = "y_score", dro
 def lift_table(scored: DataFrame, id_col: str, y: str = "y_true", score: str = "y_score") -> DataFrame:
     """Every row by score (desc, ties by id): pct_targeted, pct_captured,
     lift, plus ``rank`` and ``cum_buyers``."""
+    scored = _usable(scored, y, score)
     r = global_rank(scored.select(id_col, y, score), score, id_col, descending=True, sums=[y])
     return r.crossJoin(F.broadcast(scored.agg(F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_P")))).select(
         id_col,
@@ -192,7 +199,7 @@ def lift_summary(lift: DataFrame, pcts: Sequence[float] = (0.1, 0.2, 0.3, 0.4, 0
 def best_threshold(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> DataFrame:
     """The score threshold (predict score >= t) with the highest F1; ties
     go to the lowest threshold.  One pass over distinct scores."""
-    c = _cumulative(scored, y, score, descending=True).crossJoin(_totals(scored, y))
+    c = _cumulative(scored, y, score, descending=True).crossJoin(_totals(scored, y, score))
     f1 = (2 * F.col("cum_pos")).cast("double") / (F.col("cum_pos") + F.col("cum_neg") + F.col("_P")).cast("double")
     best = c.select(F.struct(f1.alias("f1"), (-F.col("score")).alias("neg_t")).alias("_b")).agg(F.max("_b").alias("_b"))
     return best.select((-F.col("_b.neg_t")).alias("threshold"), F.col("_b.f1").alias("f1"))

@@ -2,21 +2,19 @@
 
 A window with an ``orderBy`` but no ``partitionBy`` moves every row into one
 task.  ``global_rank`` gives the same answer -- the 1-based position of each
-row in the total order (key, tiebreak) and running sums in that order -- with
-the work spread over range buckets:
-
-1. ``percentile_approx`` picks up to ``buckets`` edges of the key (one small
-   aggregate, bounded memory).  Rows whose key *equals* an edge -- which is
-   where any very frequent key ends up -- are split further by edges of the
-   tie-break column, so one hot key still spreads over many tasks.
-2. Every row gets a bucket id from a binary-search ``CASE`` over those edges
-   (codegen-friendly, log2(edges) comparisons).  Bucket ids are monotone in
-   the sort order, and equal sort keys always share a bucket, so the result
-   is exact whatever the edges are.
-3. Per-bucket counts / sums (at most (2E+2)(E+2) rows for E edges -- a bound
-   fixed by the parameter, not by the data) become offsets through a window
-   over that tiny table, and are broadcast back.
-4. ``row_number`` / running ``sum`` inside each bucket plus the offset.
+row in the total order (key, tiebreak, ...) and running sums in that order --
+with Spark's own range partitioning:
+
+1. Rows are range-partitioned on all order columns in their own types and
+   sorted inside their partition.  A very frequent key is cut by the
+   tie-break columns, so it spreads over many partitions like any other.
+2. The placed rows are written to the shared checkpoint folder, so each row's
+   partition and position stay what they are whatever is recomputed later.
+3. One count (and sum) per partition -- as many rows as the session has
+   shuffle partitions -- becomes an offset for the next partitions.
+4. Position inside the partition plus offset is the rank.
+
+Nulls come last in either direction, after NaN.
 """
 
 from __future__ import annotations
@@ -24,110 +22,28 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 128
-MAX_BUCKETS = 4096
-_ACCURACY = 20_000
-# Hit buckets holding at most this many values in total are sorted on the
-# driver (their size is counted first); larger ones are ranked by a window.
-SMALL_HIT_ROWS = 200_000
+from shoplens.operators._util import written
 
+# monotonically_increasing_id() keeps the partition above this bit.
+_PART_BITS = 33
 
-def resolve_buckets(spark, buckets: int | None) -> int:
-    """Bucket count for ranking / quantile passes: given, or twice the
-    session's shuffle-partition count (128..4096), so a bigger cluster
-    configuration spreads the per-bucket windows over more tasks."""
-    if buckets:
-        return int(buckets)
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001 - adaptive or unset values
-        parts = DEFAULT_BUCKETS // 2
-    return max(DEFAULT_BUCKETS, min(MAX_BUCKETS, 2 * parts))
-
-
-def _accuracy(buckets: int) -> int:
-    return max(_ACCURACY, 10 * buckets)
-
-
-def _edges(values) -> list[float]:
-    return sorted({float(v) for v in (values or []) if v is not None})
-
-
-def _lit(x: float) -> str:
-    return repr(float(x)).upper() + "D"
-
-
-def _bucketize(df: DataFrame, src: str, dst: str, edges: list[float]) -> DataFrame:
-    """``dst`` = number of edges <= ``src`` (binary search in the JVM)."""
-    from pyspark.ml.feature import Bucketizer
-
-    if not edges:  # empty or all-null input: a single bucket
-        return df.withColumn(dst, F.lit(0.0))
-    splits = [float("-inf")] + edges + [float("inf")]
-    return Bucketizer(splits=splits, inputCol=src, outputCol=dst, handleInvalid="keep").transform(df)
 
-
-def _sort_key(df: DataFrame, name: str, descending: bool) -> Column:
-    c = F.col(name)
-    dtype = df.schema[name].dataType.typeName()
-    if dtype in ("timestamp", "timestamp_ntz"):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif dtype == "date":
-        c = F.unix_date(c)
-    elif dtype == "string":
-        # first 6 UTF-8 bytes as a 48-bit number: monotone in string order
-        # (ties are resolved by the full string inside the bucket)
-        c = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10)
-    c = c.cast("double")
-    return -c if descending else c
+def resolve_buckets(spark, buckets: int | None) -> int:
+    """Range partitions of a ranking pass: given, or the session's
+    ``spark.sql.shuffle.partitions`` (size that to the data)."""
+    return int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucket_ids(
-    df: DataFrame,
-    key: str,
-    tiebreak: str | None = None,
-    descending: bool = False,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Attach ``_k``, ``_t`` (numeric sort keys) and a monotone ``_bid``."""
-    buckets = resolve_buckets(df.sparkSession, buckets)
-    k = _sort_key(df, key, descending)
-    t = _sort_key(df, tiebreak, False) if tiebreak else k
-    fracs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
-        F.percentile_approx(k, fracs, _accuracy(buckets)).alias("ek"),
-        F.percentile_approx(t, fracs, _accuracy(buckets)).alias("et"),
-    ).first()
-    ek, et = _edges(row["ek"]), _edges(row["et"])
-    width = len(et) + 2
-    keyed = df.withColumn("_k", k).withColumn("_t", t)
-    keyed = _bucketize(_bucketize(keyed, "_k", "_bk", ek), "_t", "_bt", et)
-    on_edge = F.expr(f"_k IN ({', '.join(_lit(e) for e in ek)})").cast("int") if ek else F.lit(0)
-    # (#edges < k, k is an edge, sub-bucket of t for edge values): monotone in (k, t)
-    bid = ((F.col("_bk").cast("long") - on_edge) * 2 + on_edge) * width + F.when(
-        on_edge == 1, F.col("_bt").cast("long") + 1
-    ).otherwise(0)
-    return keyed.withColumn("_bid", bid.cast("long")).drop("_bk", "_bt")
-
-
-def _bucket_offsets(keyed: DataFrame, sums: Sequence[str]) -> list[tuple]:
-    """Per-bucket counts (and sums) turned into exclusive running offsets.
-
-    One small job; the result has one row per populated bucket, at most
-    (2E+2)(E+2) for E edges -- bounded by the bucket parameter, not the data.
-    """
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
-    rows = sorted(keyed.groupBy("_bid").agg(*aggs).collect(), key=lambda r: r["_bid"])
-    out, run_n, run_s = [], 0, [0] * len(sums)
-    for r in rows:
-        out.append((int(r["_bid"]), run_n, *run_s))
-        run_n += int(r["_n"])
-        run_s = [a + (r[f"_s_{c}"] or 0) for a, c in zip(run_s, sums)]
-    return out
+def _placed(df: DataFrame, order: Sequence[Column], buckets: int | None) -> DataFrame:
+    """``df`` with ``_part`` and ``_row`` (0-based), written in global order."""
+    n = resolve_buckets(df.sparkSession, buckets)
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = written(placed.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    return (placed.withColumn("_part", F.shiftright("_at", _PART_BITS).cast("int"))
+            .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << _PART_BITS) - 1))))
 
 
 def global_rank(
@@ -143,123 +59,80 @@ def global_rank(
     """Exact position in the order (key [desc], tiebreak asc) + running sums.
 
     Adds ``rank_col`` (1-based) and ``cum_<c>`` for each column in ``sums``
-    (inclusive running sum in the same order).  Give a unique ``tiebreak`` (or
-    ``extra_order`` columns, compared after it) for a deterministic order
-    among equal keys.
+    (inclusive running sum in the same order; nulls count as 0).  Give a unique
+    ``tiebreak`` (or ``extra_order`` columns, compared after it) for a
+    deterministic order among equal keys.
     """
-    keyed = bucket_ids(df, key, tiebreak, descending, buckets)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    sum_types = [("double" if types.get(c) in ("double", "float") else "bigint") for c in sums]
-    schema = ", ".join(["_bid bigint", "_off_n bigint"] + [f"_off_{c} {t}" for c, t in zip(sums, sum_types)])
-    rows = [tuple(r[:2]) + tuple(float(v) if t == "double" else int(v) for v, t in zip(r[2:], sum_types))
-            for r in _bucket_offsets(keyed, sums)]
-    offsets = df.sparkSession.createDataFrame(rows, schema)
-    # offsets holds one row per populated bucket: bounded by the bucket count.
-    joined = keyed.join(F.broadcast(offsets), "_bid")
-    full = [c for c in (key, tiebreak) if c and df.schema[c].dataType.typeName() == "string"]
-    if descending and key in full:
-        full = [F.desc(key)] + [c for c in full if c != key]
-    inside = Window.partitionBy("_bid").orderBy("_k", "_t", *full, *extra_order)
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.withColumn(rank_col, F.col("_off_n") + F.row_number().over(inside))
-    for c in sums:
-        out = out.withColumn(f"cum_{c}", F.col(f"_off_{c}") + F.sum(c).over(running))
-    drop = ["_k", "_t", "_bid", "_off_n"] + [f"_off_{c}" for c in sums]
-    return out.drop(*drop)
+    first = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+    order = [first] + [F.col(c).asc_nulls_last() for c in [tiebreak, *extra_order] if c]
+    placed = _placed(df, order, buckets)
+    totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), *[
+        F.coalesce(F.sum(c), F.lit(0)).alias(f"_s{i}") for i, c in enumerate(sums)])
+    rows, run = [], None
+    for r in sorted(totals.collect(), key=lambda r: r["_part"]):
+        run = run or [0] * (len(sums) + 1)
+        rows.append((r["_part"], *run))
+        run = [x + y for x, y in zip(run, r[1:])]
+    kinds = [f.dataType for f in totals.schema.fields]
+    schema = ", ".join(f"{n} {k.simpleString()}" for n, k in zip(
+        ["_part", "_off", *[f"_off{i}" for i in range(len(sums))]], kinds))
+    # Booleans and numbers come back in the type that the sum has.
+    rows = [tuple(float(v) if k.typeName() == "double" else v for v, k in zip(r, kinds)) for r in rows]
+    # One row per range partition: bounded by the session's configuration.
+    out = placed.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "_part")
+    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = out.withColumn(rank_col, F.col("_off") + F.col("_row") + 1)
+    for i, c in enumerate(sums):
+        out = out.withColumn(f"cum_{c}", F.col(f"_off{i}") + F.sum(F.coalesce(F.col(c), F.lit(0))).over(inside))
+    return out.drop("_part", "_at", "_row", "_off", *[f"_off{i}" for i in range(len(sums))])
 
 
 def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
                           buckets: int | None = None, totals: dict | None = None) -> dict[str, list]:
     """Exact linear-interpolated quantiles of several columns, as floats.
 
-    Three small jobs whatever the number of columns: approximate edges of
-    every column (one aggregate), bucket counts (bounded rows per column),
-    and the few order statistics needed -- read only from the buckets that
-    hold them and ranked inside those buckets.  No task sees all values.
+    Values are counted first (the count is combined on the map side, so a very
+    frequent value is one row), then the distinct values of all columns are
+    range-partitioned.  Counts per partition and column say which partitions
+    hold the wanted positions, and only those are read again.  Nulls and NaN
+    take no part.
     """
     cols = list(wanted)
-    spark = df.sparkSession
-    base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        buckets = resolve_buckets(spark, buckets)
-        fracs = [i / buckets for i in range(1, buckets)]
-        row = base.agg(*[F.percentile_approx(f"_v{i}", fracs, _accuracy(buckets)).alias(f"e{i}")
-                         for i in range(len(cols))]).first()
-        keyed = base
-        for i in range(len(cols)):
-            ek = _edges(row[f"e{i}"])
-            keyed = _bucketize(keyed, f"_v{i}", f"_b{i}", ek)
-            on_edge = F.expr(f"_v{i} IN ({', '.join(_lit(e) for e in ek)})").cast("int") if ek else F.lit(0)
-            keyed = keyed.withColumn(f"_b{i}", ((F.col(f"_b{i}").cast("long") - on_edge) * 2 + on_edge))
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-        # one long frame (column id, bucket, value): a single shuffle serves
-        # every column in both passes below
-        long = keyed.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("_c"), F.col(f"_b{i}").alias("_bid"), F.col(f"_v{i}").alias("_v"))
-            for i in range(len(cols))
-        ])).alias("_r")).select("_r.*").where(F.col("_v").isNotNull())
-        counts: dict[int, list] = {i: [] for i in range(len(cols))}
-        for r in long.groupBy("_c", "_bid").agg(F.count(F.lit(1)).alias("_n")).collect():
-            counts[int(r["_c"])].append((int(r["_bid"]), int(r["_n"])))
-        spans, hits, want_pos, hit_rows = {}, [], {}, 0
-        for i, c in enumerate(cols):
-            cnt = sorted(counts[i])
-            total = sum(n for _, n in cnt)
-            if totals is not None:
-                totals[c] = total
-            if total == 0:
-                spans[c] = None
-                continue
-            need, sp = set(), []
-            for p in wanted[c]:
-                h = (total - 1) * float(p)
-                lo, hi = math.floor(h), math.ceil(h)
-                sp.append((lo, hi, h - lo))
-                need.update((lo, hi))
-            spans[c] = sp
-            want_pos[i] = sorted(need)
-            run = 0
-            for bid, n in cnt:
-                if any(run <= w < run + n for w in need):
-                    hits.append((i, bid, run))
-                    hit_rows += n
-                run += n
-        at: dict[int, dict[int, float]] = {i: {} for i in range(len(cols))}
-        if hits:
-            hit = F.broadcast(spark.createDataFrame(hits, "_c int, _bid bigint, _off bigint"))
-            sel = long.join(hit, ["_c", "_bid"])
-            if hit_rows <= SMALL_HIT_ROWS:
-                # checked size: the hit buckets hold few values, sort them here
-                groups: dict[tuple, list] = {}
-                for r in sel.select("_c", "_bid", "_off", "_v").collect():
-                    groups.setdefault((int(r["_c"]), int(r["_bid"]), int(r["_off"])), []).append(float(r["_v"]))
-                for (i, _b, off), vals in groups.items():
-                    vals.sort()
-                    for pos in want_pos[i]:
-                        if off <= pos < off + len(vals):
-                            at[i][pos] = vals[pos - off]
-            else:
-                w = Window.partitionBy("_c", "_bid").orderBy("_v")
-                picked = (
-                    sel.withColumn("_pos", F.col("_off") + F.row_number().over(w) - 1)
-                    .where(F.col("_pos").isin(sorted({p for v in want_pos.values() for p in v})))
-                    .select("_c", "_pos", "_v")
-                )
-                for r in picked.collect():
-                    i = int(r["_c"])
-                    if int(r["_pos"]) in want_pos.get(i, ()):
-                        at[i][int(r["_pos"])] = float(r["_v"])
-        out = {}
-        for i, c in enumerate(cols):
-            if spans[c] is None:
-                out[c] = [None] * len(wanted[c])
-            else:
-                out[c] = [at[i][lo] + (at[i][hi] - at[i][lo]) * frac for lo, hi, frac in spans[c]]
-        keyed.unpersist()
-        return out
-    finally:
-        base.unpersist()
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)
+    ])).alias("_r")).select("_r.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counted = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = _placed(counted, [F.col("_c").asc(), F.col("_v").asc()], buckets)
+    parts: dict[int, list] = {i: [] for i in range(len(cols))}
+    for r in placed.groupBy("_c", "_part").agg(F.sum("_n").alias("n")).collect():
+        parts[r["_c"]].append((r["_part"], r["n"]))
+    spans: dict[str, list] = {}
+    reads = []  # (column, partition, values before it, position)
+    for i, c in enumerate(cols):
+        total = sum(n for _, n in parts[i])
+        if totals is not None:
+            totals[c] = total
+        spans[c] = []
+        for p in wanted[c] if total else ():
+            h = (total - 1) * float(p)
+            spans[c].append((math.floor(h), math.ceil(h), h - math.floor(h)))
+        need = sorted({x for lo, hi, _ in spans[c] for x in (lo, hi)})
+        run = 0
+        for part, n in sorted(parts[i]):
+            reads += [(i, part, run, x) for x in need if run <= x < run + n]
+            run += n
+    at: dict[tuple, float] = {}
+    if reads:
+        few = df.sparkSession.createDataFrame(reads, "_c int, _part int, _before bigint, _pos bigint")
+        inside = Window.partitionBy("_c", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hit = placed.join(F.broadcast(few.select("_c", "_part", "_before").distinct()), ["_c", "_part"])
+        hit = hit.withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+        # two rows per wanted quantile
+        picked = hit.join(F.broadcast(few.drop("_before")), ["_c", "_part"]).where(
+            (F.col("_pos") < F.col("_upto")) & (F.col("_pos") >= F.col("_upto") - F.col("_n")))
+        at = {(r["_c"], r["_pos"]): r["_v"] for r in picked.select("_c", "_pos", "_v").collect()}
+    return {c: [at[i, lo] + (at[i, hi] - at[i, lo]) * frac for lo, hi, frac in spans[c]] if spans[c] else [None] * len(wanted[c])
+            for i, c in enumerate(cols)}
 
 
 def quantile_values(df: DataFrame, col: str, probs: Sequence[float], buckets: int | None = None) -> list:
@@ -305,10 +178,11 @@ def keep_first(
 ) -> DataFrame:
     """One row per key: the first by ``order_by`` (pandas ``keep='first'``).
 
-    Written as a hash aggregate of ``min(struct(order, row))`` instead of a
-    ``row_number`` window, so partial aggregation collapses a hot key on the
-    map side and no task ever holds a whole key group.  Ties on ``order_by``
-    are broken by the remaining columns, which keeps the choice deterministic.
+    An aggregate of the least (order, row), so partial aggregation leaves one
+    row per key and task and no task ever holds a whole key group.  Its buffer
+    holds a struct, for which Spark uses a sort-based aggregate.  Ties on
+    ``order_by`` are broken by the remaining columns, which keeps the choice
+    deterministic.
     """
     cols = df.columns
     pick = F.max if descending else F.min

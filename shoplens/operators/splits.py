@@ -36,13 +36,14 @@ def rank_within_class(df: DataFrame, target: str, id_col: str, seed: int) -> Dat
     )
     ranked = global_rank(h, target, "_hn", rank_col="_grank", extra_order=["_h", id_col])
     sizes = df.groupBy(target).agg(F.count(F.lit(1)).alias("class_n"))
-    before = Window.orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.col(target).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("class_n").over(before), F.lit(0)))
-    # one row per class: a bounded broadcast
+    # one row per class (the window above and the broadcast); a null class is a class
+    offsets = offsets.withColumnRenamed(target, "_class")
     return (
-        ranked.join(F.broadcast(offsets), target)
+        ranked.join(F.broadcast(offsets), F.col(target).eqNullSafe(F.col("_class")))
         .withColumn("class_rank", F.col("_grank") - F.col("_off"))
-        .drop("_h", "_hn", "_grank", "_off")
+        .drop("_h", "_hn", "_grank", "_off", "_class")
     )
 
 

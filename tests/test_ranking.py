@@ -67,21 +67,75 @@ def _physical(df) -> str:
 def test_global_rank_plan_has_no_single_partition_exchange(spark):
     df = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id"))
     plan = _physical(R.global_rank(df, "k", "id"))
-    assert "SinglePartition" not in plan
-    assert "hashpartitioning(_bid" in plan
+    assert "SinglePartition" not in plan and "Window" not in plan
 
 
-def test_keep_first_is_a_hash_aggregate(spark):
+def test_keep_first_combines_before_its_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id"))
     plan = _physical(R.keep_first(df, ["k"], ["id"]))
-    assert "Window" not in plan and "Aggregate" in plan
+    assert "Window" not in plan and "partial_min" in plan
 
 
-def test_quantiles_window_path_matches(spark, monkeypatch):
-    """Force the distributed (window) path used when hit buckets are large."""
-    monkeypatch.setattr(R, "SMALL_HIT_ROWS", 0)
+def test_quantiles_of_several_columns(spark):
     vals = [float(x) for x in np.random.default_rng(9).normal(50, 20, 777).round(2)]
     df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
     got = R.quantile_values_multi(df, {"x": [0.1, 0.5, 0.95], "y": [0.25]}, buckets=8)
     assert np.allclose(got["x"], pd.Series(vals).quantile([0.1, 0.5, 0.95]).tolist())
     assert np.allclose(got["y"], [pd.Series(vals).mul(2).quantile(0.25)])
+
+
+def _ranks(spark, values, kind, **kw):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"k {kind}, id long")
+    return [r.id for r in R.global_rank(df, "k", "id", buckets=6, **kw).orderBy("rank").collect()]
+
+
+def test_global_rank_in_the_keys_own_type(spark):
+    from decimal import Decimal
+
+    rnd = random.Random(1)
+    longs = [2**53 + rnd.randrange(40) for _ in range(300)]
+    decimals = [Decimal(10**20 + rnd.randrange(50)) for _ in range(300)]
+    texts = [f"customer-000000{rnd.randrange(90):04d}" for _ in range(300)]
+    for values, kind in ((longs, "long"), (decimals, "decimal(30,0)"), (texts, "string")):
+        assert _ranks(spark, values, kind) == sorted(range(300), key=lambda i: (values[i], i))
+        assert _ranks(spark, values, kind, descending=True) == [
+            i for v in sorted(set(values), reverse=True) for i in range(300) if values[i] == v]
+
+
+def test_global_rank_null_and_nan_keys_come_last(spark):
+    values = [2.0, None, float("nan"), 1.0, None, 3.0]
+    assert _ranks(spark, values, "double") == [3, 0, 5, 2, 1, 4]
+    assert _ranks(spark, values, "double", descending=True)[-2:] == [1, 4]
+
+
+def test_hot_key_with_prefixed_ids_spreads(spark):
+    df = spark.range(20000).select(F.lit(1.0).alias("s"), F.format_string("customer-%012d", "id").alias("cid"))
+    placed = R._placed(df, [F.col("s").asc(), F.col("cid").asc()], 64)
+    assert max(r["count"] for r in placed.groupBy("_part").count().collect()) < 20000 * 0.05
+
+
+def test_quantiles_skip_nan_and_survive_a_hot_value(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert R.quantile_values(df, "x", [0.5]) == [1.5]
+    vals = [7.0] * 990 + [float(i) for i in range(10)]
+    hot = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.003, 0.009, 0.5, 0.9995, 1.0]
+    assert np.allclose(R.quantile_values(hot, "x", probs), pd.Series(vals).quantile(probs).tolist())
+    counted = hot.groupBy("x").count()
+    assert counted.agg(F.max("count")).first()[0] == 991
+
+
+def test_splits_and_metrics_with_nulls(spark):
+    from shoplens.operators import metrics as E
+    from shoplens.operators import splits as S
+
+    rows = [(i, ["abcdefghi_a", "abcdefghi_x", None][i % 3], float(i) if i % 5 else None) for i in range(90)]
+    df = spark.createDataFrame(rows, "user_id long, c string, t double")
+    folds = S.kfold_assign(df, "c", 4).groupBy("c", "fold").count().collect()
+    assert {r.fold for r in folds} == {0, 1, 2, 3} and all(r["count"] in (7, 8) for r in folds)
+    assert S.stratified_split(df, "c", 0.2).groupBy("c", "split").count().where("split = 'test'").agg(F.sum("count")).first()[0] == 18
+    assert S.temporal_split(df, "c", "t").where("split = 'test'").count() == 18
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (0, float("nan"))], "y_true int, y_score double")
+    assert E.roc_auc(scored).first()[0] == 1.0 and E.average_precision(scored).first()[0] == 1.0
+    assert E.best_threshold(scored).first()["f1"] == 1.0
+    assert E.lift_table(scored.withColumn("id", F.monotonically_increasing_id()), "id").count() == 2
