@@ -51,18 +51,19 @@ def roi_curve(lift: DataFrame, step: float = 0.05, **kw) -> DataFrame:
     return t.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("pct") == F.col("_bp")).drop("_bp")
 
 
+# Share of a score that is kept after so many whole days without an order
+# (fixed values); without any order, after more than so many days.
+DECAY_AFTER_DAYS = [(180, 0.25), (150, 0.35), (120, 0.5), (91, 0.7)]
+IDLE_WITHOUT_ORDERS = (60, 0.3)
+
+
 def decayed_score(p: Column, days_since_last_order: Column, total_orders: Column) -> Column:
     """Recency decay of a purchase probability."""
     d, n = days_since_last_order, total_orders
-    factor = (
-        F.when((n > 0) & (d > 90) & (d >= 180), 0.25)
-        .when((n > 0) & (d > 90) & (d >= 150), 0.35)
-        .when((n > 0) & (d > 90) & (d >= 120), 0.5)
-        .when((n > 0) & (d > 90), 0.7)
-        .otherwise(1.0)
-    )
-    p1 = p * factor
-    return F.when((n == 0) & (d > 60), p1 * 0.3).otherwise(p1)
+    factor = F.when((n == 0) & (d > IDLE_WITHOUT_ORDERS[0]), IDLE_WITHOUT_ORDERS[1])
+    for days, keep in DECAY_AFTER_DAYS:
+        factor = factor.when((n > 0) & (d >= days), keep)
+    return p * factor.otherwise(1.0)
 
 
 def apply_decay(df: DataFrame, prob: str = "probability") -> DataFrame:

@@ -50,14 +50,18 @@ def count_by_hour(df: DataFrame, ts: str, name: str = "hour_of_day") -> DataFram
 def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """Equal-width bins over [min, max] (last bin closed) with counts and
     the overall mean as a marker column.  min / max / mean are one broadcast
-    row; bins without rows are omitted."""
+    row; bins without rows have count 0 (no bins for an empty column, one for a
+    constant one)."""
     stats = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"), exact_avg(col).alias("mean"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     b = F.least(F.floor((F.col(col) - F.col("_lo")) / w), F.lit(bins - 1)).cast("int")
     binned = df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(stats)).withColumn(
         "bin", F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(b)
     )
-    g = binned.groupBy("bin", "_lo", "_hi", "mean").agg(F.count(F.lit(1)).alias("count"))
+    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("_n"))
+    every = stats.where(F.col("_lo").isNotNull()).withColumn("bin", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(bins - 1))))
+    g = every.join(counts, "bin", "left").withColumn("count", F.coalesce("_n", F.lit(0).cast("long")))
     return g.select(
         "bin",
         (F.col("_lo") + F.col("bin") * w).alias("lower"),
@@ -139,13 +143,18 @@ def target_correlation(df: DataFrame, target: str, exclude: Sequence[str] = ("us
     aggregate, then unpivoted."""
     cols = [c for c in numeric_columns(df, list(exclude) + [target])]
     t = F.col(target).cast("double")
-    aggs = [
-        F.abs(F.try_divide(F.covar_pop(F.col(c).cast("double"), t),
-                           F.stddev_pop(F.col(c).cast("double")) * F.stddev_pop(t))).alias(c)
-        for c in cols
-    ]
-    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
-    long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {pairs}) as (feature, abs_corr)")
+    # Means first, then plain sums of products of deviations: short expressions
+    # that one pass adds up, and no cancellation of large means.
+    x = {c: F.col(c).cast("double") for c in cols}
+    means = df.agg(F.avg(t).alias("_t"), *[F.avg(v).alias(f"m{i}") for i, v in enumerate(x.values())]).first()
+    dt = t - F.lit(means["_t"])
+    sums = []
+    for i, v in enumerate(x.values()):
+        dx = v - F.lit(means[f"m{i}"])
+        sums += [F.sum(dx * dt).alias(f"xy{i}"), F.sum(F.when(t.isNotNull(), dx * dx)).alias(f"xx{i}"),
+                 F.sum(F.when(v.isNotNull(), dt * dt)).alias(f"yy{i}")]
+    parts = ", ".join(f"'{c}', abs(try_divide(xy{i}, sqrt(xx{i}) * sqrt(yy{i})))" for i, c in enumerate(cols))
+    long = df.agg(*sums).selectExpr(f"stack({len(cols)}, {parts}) as (feature, abs_corr)")
     ordered = long.orderBy(F.desc_nulls_last("abs_corr"), "feature")
     return ordered.limit(top) if top else ordered
 

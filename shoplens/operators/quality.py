@@ -156,17 +156,19 @@ def check_data_freshness(
 ) -> DataFrame:
     """age = floor days from ``reference_date`` (default: now) to the
     latest value; a warning when older than ``max_age_days``.  An absent
-    column passes; an unparseable latest value fails."""
+    column passes; values that do not parse fail."""
     spark = df.sparkSession
     if date_column not in df.columns:
         return spark.createDataFrame([(table, "freshness", date_column, "ok", 0.0, "column absent")], FINDINGS)
     ref = F.current_timestamp() if reference_date is None else F.lit(str(reference_date)).cast("timestamp")
-    latest = df.agg(F.max(F.col(date_column).cast("timestamp")).alias("_latest"))
+    parsed = F.col(date_column).try_cast("timestamp")
+    latest = df.agg(F.max(parsed).alias("_latest"), F.count_if(F.col(date_column).isNotNull() & parsed.isNull()).alias("_bad"))
     age = floor_days(ref, F.col("_latest"))
-    level = F.when(F.col("_latest").isNull(), "error").when(age > max_age_days, "warning").otherwise("ok")
+    level = F.when(F.col("_latest").isNull() | (F.col("_bad") > 0), "error").when(age > max_age_days, "warning").otherwise("ok")
     return latest.select(
         *_finding(table, "freshness", F.lit(date_column), level, age,
-                  F.concat(F.lit("latest record "), F.to_date("_latest").cast("string")))
+                  F.when(F.col("_bad") > 0, F.concat(F.col("_bad").cast("string"), F.lit(" values are no dates")))
+                  .otherwise(F.concat(F.lit("latest record "), F.to_date("_latest").cast("string"))))
     )
 
 
@@ -218,13 +220,14 @@ def generate_quality_report(df: DataFrame, table_name: str = "table", top: int =
     strs = string_columns(df)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_count|{c}"))
+        missing = F.col(c).isNull()
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            missing = missing | F.isnan(c)
+        aggs.append(F.count_if(missing).alias(f"null_count|{c}"))
     for c in nums:
-        x = F.col(c).cast("double")
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         aggs += [F.avg(x).alias(f"mean|{c}"), F.stddev_samp(x).alias(f"std|{c}"),
                  F.min(x).alias(f"min|{c}"), F.max(x).alias(f"max|{c}")]
-    for c in strs:
-        aggs.append(F.countDistinct(c).alias(f"unique_values|{c}"))
     wide = df.agg(*aggs)
     names = [a for a in wide.columns]
     long = _unpivot(wide.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in names]), names, "key", "value")
@@ -249,7 +252,13 @@ def generate_quality_report(df: DataFrame, table_name: str = "table", top: int =
     if strs:
         pairs = ", ".join(f"'{c}', `{c}`" for c in strs)
         vals = df.selectExpr(f"stack({len(strs)}, {pairs}) as (column, v)").where(F.col("v").isNotNull())
+        # Value counts serve both the distinct counts and the most common values.
         counts = vals.groupBy("column", "v").count()
+        found = counts.groupBy("column").agg(F.count(F.lit(1)).cast("double").alias("_u"))
+        names = spark.createDataFrame([(c,) for c in strs], "column string")
+        parts.append(names.join(found, "column", "left").select(
+            F.lit(table_name).alias("table"), "column", F.lit("unique_values").alias("metric"),
+            F.coalesce("_u", F.lit(0.0)).alias("value"), F.lit(None).cast("string").alias("detail")))
         topk = top_k_per_group(counts, ["column"], [F.desc("count"), F.asc("v")], top, salt_on=["v"])
         parts.append(
             topk.select(
@@ -263,7 +272,8 @@ def generate_quality_report(df: DataFrame, table_name: str = "table", top: int =
 
 def validate_all(df: DataFrame, table_name: str, required_columns: Sequence[str] | None = None,
                  max_missing_pct: float = 0.5) -> DataFrame:
-    """Schema + missing-value + duplicate findings for one table."""
+    """Schema, missing-value and duplicate findings for one table (see
+    ``validate_with_report`` for the verdict and the quality report)."""
     parts = []
     if required_columns:
         parts.append(validate_schema(df, required_columns, table_name))
@@ -275,3 +285,10 @@ def validate_all(df: DataFrame, table_name: str, required_columns: Sequence[str]
 def is_valid(findings: DataFrame) -> bool:
     """Valid when no finding is an error (duplicates only ever warn)."""
     return findings.where(F.col("level") == "error").limit(1).count() == 0
+
+
+def validate_with_report(df: DataFrame, table_name: str, required_columns: Sequence[str] | None = None,
+                         max_missing_pct: float = 0.5) -> tuple[bool, DataFrame, DataFrame]:
+    """D9 in full: (valid, findings, quality report) of one table."""
+    findings = validate_all(df, table_name, required_columns, max_missing_pct)
+    return is_valid(findings), findings, generate_quality_report(df, table_name)

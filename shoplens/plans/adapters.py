@@ -18,7 +18,7 @@ from shoplens.operators.sessionize import assign_sessions, sessionize
 # ---------------------------------------------------------------------------
 # Fixed values of the adapter (how driver codes map onto shop domains).
 # ---------------------------------------------------------------------------
-EVENT_SHIFT_DAYS = -8218  # January 2024 events land in July 2001, before the last order
+EVENT_SHIFT_DAYS = -8232  # January 2024 events land on both sides of 2 July 2001, 30 days before the last order
 SESSION_GAP_SECONDS = 6 * 3600
 SEGMENT_TO_MEMBERSHIP = {
     "AUTOMOBILE": "free",

@@ -301,7 +301,7 @@ def target_balance(spark, sf):
 
 @register("target_correlation")
 def target_correlation(spark, sf):
-    c = EX.target_correlation(feature_matrix_df(spark, sf), "will_purchase", top=15)
+    c = EX.target_correlation(feature_matrix_df(spark, sf), "will_purchase")
     return c.withColumn("abs_corr", F.round("abs_corr", 6))
 
 

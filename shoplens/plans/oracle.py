@@ -100,7 +100,7 @@ SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS p
             WHEN 'purchase' THEN 'add_to_cart' WHEN 'signup' THEN 'add_to_wishlist'
             WHEN 'error' THEN 'remove_from_cart' END AS event_type,
        value AS time_spent_secs,
-       ts - INTERVAL 8218 DAY AS event_ts
+       ts - INTERVAL 8232 DAY AS event_ts
 FROM events
 """,
 )
@@ -631,16 +631,13 @@ query(
 query(
     "histogram_order_value",
     f"""
-SELECT bin, lo + bin * ((hi - lo) / 40.0) AS lower, lo + (bin + 1) * ((hi - lo) / 40.0) AS upper,
-       count(*) AS count, mean
-FROM (SELECT CASE WHEN s.hi = s.lo THEN 0
-                  ELSE CAST(least(floor((o.total_amount - s.lo) / ((s.hi - s.lo) / 40.0)), 39) AS INTEGER) END AS bin,
-             s.lo, s.hi, s.mean
-      FROM shop_orders o,
-           (SELECT min(total_amount) AS lo, max(total_amount) AS hi, {xavg("total_amount")} AS mean
-            FROM shop_orders) s
-      WHERE o.total_amount IS NOT NULL) b
-GROUP BY bin, lo, hi, mean
+SELECT k.bin, lo + k.bin * ((hi - lo) / 40.0) AS lower, lo + (k.bin + 1) * ((hi - lo) / 40.0) AS upper,
+       COALESCE(n, 0) AS count, mean
+FROM (SELECT min(total_amount) AS lo, max(total_amount) AS hi, {xavg("total_amount")} AS mean FROM shop_orders) s
+CROSS JOIN (SELECT CAST(unnest(range(40)) AS INTEGER) AS bin) k
+LEFT JOIN (SELECT CAST(least(floor((o.total_amount - s.lo) / ((s.hi - s.lo) / 40.0)), 39) AS INTEGER) AS bin, count(*) AS n
+           FROM shop_orders o, (SELECT min(total_amount) AS lo, max(total_amount) AS hi FROM shop_orders) s
+           WHERE o.total_amount IS NOT NULL GROUP BY ALL) c ON c.bin = k.bin
 """,
     "shop_orders",
 )
@@ -694,7 +691,7 @@ _corr = " UNION ALL ".join(
 )
 query(
     "target_correlation",
-    f"SELECT feature, round(abs_corr, 6) AS abs_corr FROM ({_corr}) c ORDER BY abs_corr DESC NULLS LAST, feature LIMIT 15",
+    f"SELECT feature, round(abs_corr, 6) AS abs_corr FROM ({_corr}) c ORDER BY abs_corr DESC NULLS LAST, feature",
     "fm",
 )
 query(
@@ -1094,9 +1091,10 @@ SELECT e.user_id, count(e.event_id) AS total_events, count(DISTINCT e.product_id
        COALESCE(sum(e.wishlisted) / NULLIF(count(e.event_id), 0), 0) AS wishlist_rate,
        count(DISTINCT p.category) AS unique_categories_browsed
 FROM clean_ev e LEFT JOIN shop_products p ON e.product_id = p.product_id
+WHERE e.event_ts < (SELECT cut FROM t6_cut)
 GROUP BY e.user_id
 """,
-    ["clean_ev", "shop_products"],
+    ["clean_ev", "shop_products", "t6_cut"],
 )
 cte(
     "t6_ord",

@@ -112,3 +112,10 @@ DATETIME_COLUMNS = {
     "orders": ["order_date"],
     "users": ["signup_date"],
 }
+
+# Columns of a user that enter the feature matrix (fixed values, in order);
+# a name that ends in * stands for all that start with it.
+USER_FEATURES = ["user_id", "age", "account_age_days", "will_purchase", "membership_encoded", "is_premium",
+                 "gender_*", "device_*"]
+# Days after signup below which a user is new, and above which a veteran.
+NEW_USER_DAYS, VETERAN_DAYS = 30, 365
