@@ -105,35 +105,28 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 ORDER_CUTOFF = "2001-02-01 00:00:00"
 
 
-# Cleaned tables are pinned with persist (lineage kept: a lost executor's
-# blocks are recomputed); the feature matrix, the end of the long lineage,
-# is checkpointed to the shared folder.  SHOPLENS_STAGE_MODE=checkpoint
-# writes the cleaned tables too.
+# Sessions are pinned before cleaning, which reads them in several passes
+# (caps, maximum, output): they come out of the events by a window, and every
+# pass would cut them anew.  SHOPLENS_STAGE_MODE=checkpoint writes them to the
+# shared folder instead.  All else stays lazy, so that each query reads only
+# the columns it needs.
 STAGE_MODE = os.environ.get("SHOPLENS_STAGE_MODE", "persist")
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    return materialize(df, STAGE_MODE)
-
-
-# Cleaned tables are the hand-off point of the pipeline (each feeds several
-# aggregates), so they are pinned once.  Each query cleans only what it reads.
 def cleaned_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    # the sessionised table is itself written once: cleaning reads it in
-    # several passes (caps, maximum, output)
-    return _ckpt(C.clean_sessions(_ckpt(A.sessions(spark, sf))))
+    return C.clean_sessions(materialize(A.sessions(spark, sf), STAGE_MODE))
 
 
 def cleaned_events(spark: SparkSession, sf: str) -> DataFrame:
-    return _ckpt(C.clean_browse_events(A.browse_events(spark, sf)))
+    return C.clean_browse_events(A.browse_events(spark, sf))
 
 
 def cleaned_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return _ckpt(C.clean_orders(A.orders(spark, sf)))
+    return C.clean_orders(A.orders(spark, sf))
 
 
 def cleaned_users(spark: SparkSession, sf: str) -> DataFrame:
-    return _ckpt(C.clean_users(A.users(spark, sf), A.orders(spark, sf, with_discount=False), urgent_buyers(spark, sf)))
+    return C.clean_users(A.users(spark, sf), A.orders(spark, sf, with_discount=False), urgent_buyers(spark, sf))
 
 
 def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -172,7 +165,8 @@ def order_features_cutoff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_matrix_df(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(FE.engineer_features(clean_tables(spark, sf)), "checkpoint")
+    """The lazy matrix: a query that reads five columns computes five."""
+    return FE.engineer_features(clean_tables(spark, sf))
 
 
 @register("feature_matrix")

@@ -88,3 +88,39 @@ def test_all_users_survive_joins(spark, tables):
     u2 = fm.where(F.col("user_id") == "U2").first()
     assert u2.total_orders == 0 and u2.total_spend == 0
     assert "is_new_user" in fm.columns and "is_veteran_user" in fm.columns
+
+
+def test_temporal_features_know_nothing_of_the_future(spark):
+    users = spark.sql("select 1L user_id, 30 age, 'mobile' device_type, 'gold' membership, date'2020-01-01' signup_date")
+    products = spark.sql("select 5L product_id, 'c' category")
+    orders = spark.sql("""select * from values (1L, 1L, timestamp'2021-01-05', 10.0D, 0), (2L, 1L, timestamp'2021-03-01', 99.0D, 0),
+                          (3L, 2L, timestamp'2021-03-30', 1.0D, 0) t(order_id, user_id, order_date, total_amount, discount_pct)""")
+    sessions = spark.sql("""select * from values (1L, 1L, timestamp'2021-01-01', 60.0D, 3, false), (2L, 1L, timestamp'2021-03-10', 900.0D, 50, true)
+                            t(session_id, user_id, session_start, duration_secs, pages_visited, bounced)""")
+
+    def matrix(second_event):
+        events = spark.sql(f"""select * from values (1L, 1L, 5L, timestamp'2021-01-01', 1, 0), (2L, 1L, 5L, timestamp'{second_event}', 1, 1)
+                               t(event_id, user_id, product_id, event_ts, added_to_cart, wishlisted)""")
+        return FE.create_temporal_features(users, sessions, events, orders, products)
+
+    late = matrix("2021-03-02").collect()
+    assert late == matrix("2021-03-29").collect() != matrix("2021-02-01").collect()
+    r = late[0]
+    assert (r.total_sessions, r.total_events, r.past_total_orders, r.past_total_spend) == (1, 1, 1, 10.0)
+    assert r.will_purchase_next_30days == 1 and r.max_duration == 60.0
+
+
+def test_temporal_features_of_the_driver_tables_see_both_sides(spark):
+    from shoplens.plans.catalog import REGISTRY
+
+    df = REGISTRY["temporal_features"](spark, "/root/testdata/sf0.001")
+    s = df.agg(F.sum("total_sessions").alias("s"), F.sum("total_events").alias("e")).first()
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert s.s > 0 and 0 < s.e < events
+
+
+def test_listing_reads_only_what_it_needs(spark):
+    from shoplens.plans.catalog import REGISTRY
+
+    plan = REGISTRY["customer_listing"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_type" not in plan and "ExistingRDD" not in plan
