@@ -23,7 +23,7 @@ SEGMENTS = ["Champions", "Loyal", "Recent", "At Risk", "Lost", "Potential"]
 
 USERS = T.StructType(
     [
-        T.StructField("user_id", T.LongType()),
+        T.StructField("user_id", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("email", T.StringType()),
         T.StructField("age", T.IntegerType()),
@@ -38,7 +38,7 @@ USERS = T.StructType(
 
 PRODUCTS = T.StructType(
     [
-        T.StructField("product_id", T.LongType()),
+        T.StructField("product_id", T.StringType()),
         T.StructField("product_name", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("subcategory", T.StringType()),
@@ -52,8 +52,8 @@ PRODUCTS = T.StructType(
 
 SESSIONS = T.StructType(
     [
-        T.StructField("session_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
         T.StructField("session_start", T.TimestampType()),
         T.StructField("session_end", T.TimestampType()),
         T.StructField("duration_secs", T.LongType()),
@@ -66,10 +66,10 @@ SESSIONS = T.StructType(
 
 BROWSE_EVENTS = T.StructType(
     [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("session_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("product_id", T.LongType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("product_id", T.StringType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("time_spent_secs", T.DoubleType()),
         T.StructField("event_sequence", T.IntegerType()),
@@ -78,8 +78,8 @@ BROWSE_EVENTS = T.StructType(
 
 ORDERS = T.StructType(
     [
-        T.StructField("order_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
+        T.StructField("order_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
         T.StructField("order_date", T.TimestampType()),
         T.StructField("total_amount", T.DoubleType()),
         T.StructField("status", T.StringType()),
@@ -91,8 +91,8 @@ ORDERS = T.StructType(
 ORDER_ITEMS = T.StructType(
     [
         T.StructField("order_item_id", T.StringType()),
-        T.StructField("order_id", T.LongType()),
-        T.StructField("product_id", T.LongType()),
+        T.StructField("order_id", T.StringType()),
+        T.StructField("product_id", T.StringType()),
         T.StructField("quantity", T.IntegerType()),
         T.StructField("unit_price", T.DoubleType()),
     ]

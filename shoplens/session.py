@@ -61,13 +61,16 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local runs and
-    tests) is a fresh private folder created and registered.
+    The cluster's setting always wins.  Only when it is unset on a local
+    master (tests) is a fresh private folder created and registered; a cluster
+    without the setting is refused, as executors would not see the folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     )
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

@@ -1,36 +1,50 @@
-"""File sources (S1-S4): declared schemas, no inference."""
+"""File sources (S1-S4): declared schemas, no inference.
+
+Ids are strings, as the shop's files have them (``U00001``).  Paths are only
+opened by Spark's readers, so any store that Spark reads will do.  A value
+that does not fit its declared type fails the read instead of becoming null.
+"""
 
 from __future__ import annotations
 
-import glob
-import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.schema import TABLES
 
 REQUIRED_TABLES = ["users", "products", "sessions", "browse_events", "orders", "order_items"]
 
 
-def _exists(path: str) -> bool:
-    return bool(glob.glob(path)) if "://" not in path else True
+def _if_there(open_: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None where its path does not exist."""
+    try:
+        return open_()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One table from CSV with its declared schema (header row expected)."""
-    schema = TABLES.get(name)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    if name in TABLES:
+        reader = reader.schema(TABLES[name])
     return reader.csv(path)
 
 
 def load_raw(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    """Every ``*.csv`` in the folder, keyed by file stem, sorted."""
-    files = sorted(glob.glob(os.path.join(data_dir, "*.csv")))
-    return {os.path.splitext(os.path.basename(f))[0]: read_csv(spark, f, os.path.splitext(os.path.basename(f))[0])
-            for f in files}
+    """Every ``*.csv`` file or folder in ``data_dir``, keyed by stem, sorted."""
+    found = _if_there(lambda: spark.read.format("binaryFile").load(f"{data_dir}/*.csv").select("path"))
+    if found is None:
+        return {}
+    # one row per table: bounded by the tables of the folder
+    stem = F.regexp_extract("path", r"([^/]+)\.csv(?:/[^/]*)?$", 1)
+    names = sorted(r[0] for r in found.select(stem).distinct().collect())
+    return {n: read_csv(spark, f"{data_dir}/{n}.csv", n) for n in names}
 
 
 def load_tables(spark: SparkSession, data_dir: str, names: Sequence[str] = REQUIRED_TABLES,
@@ -40,22 +54,17 @@ def load_tables(spark: SparkSession, data_dir: str, names: Sequence[str] = REQUI
     starts; otherwise absent tables are skipped."""
     out = {}
     for n in names:
-        path = os.path.join(data_dir, f"{n}.csv")
-        if not _exists(path):
-            if required:
-                raise FileNotFoundError(f"required table file not found: {path}")
-            continue
-        out[n] = read_csv(spark, path, n)
+        path = f"{data_dir}/{n}.csv"
+        df = _if_there(lambda: read_csv(spark, path, n))  # noqa: B023 - called at once
+        if df is not None:
+            out[n] = df
+        elif required:
+            raise FileNotFoundError(f"required table file not found: {path}")
     return out
 
 
 def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame | None:
     """Parquet first (a file or folder ``<name>.parquet``), CSV fallback;
     None when neither exists."""
-    pq = os.path.join(data_dir, f"{name}.parquet")
-    if _exists(pq):
-        return spark.read.parquet(pq)
-    csv = os.path.join(data_dir, f"{name}.csv")
-    if _exists(csv):
-        return read_csv(spark, csv, name)
-    return None
+    df = _if_there(lambda: spark.read.parquet(f"{data_dir}/{name}.parquet"))
+    return df if df is not None else _if_there(lambda: read_csv(spark, f"{data_dir}/{name}.csv", name))

@@ -19,6 +19,7 @@ def test_csv_required_and_fallback(spark, tmp_dir):
         files.load_tables(spark, tmp_dir, ["orders", "users"])
     got = files.load_tables(spark, tmp_dir, ["orders", "users"], required=False)
     assert set(got) == {"orders"} and got["orders"].first().total_amount == 10.0
+    assert (got["orders"].first().order_id, got["orders"].first().user_id) == ("O1", "U1")
     assert files.load_table(spark, tmp_dir, "orders").count() == 1
     orders.write.parquet(os.path.join(tmp_dir, "orders.parquet"))
     assert files.load_table(spark, tmp_dir, "orders").count() == 1
@@ -58,3 +59,21 @@ def test_report_sinks(spark, tmp_dir):
     sinks.append_run_summary(spark, os.path.join(tmp_dir, "runs"), "r1", {"load": 1.0}, "lr", {"auc": 0.9})
     sinks.append_run_summary(spark, os.path.join(tmp_dir, "runs"), "r2", {"load": 1.0}, "lr", {"auc": 0.9})
     assert spark.read.parquet(os.path.join(tmp_dir, "runs")).count() == 2
+
+
+def test_raw_folder_by_uri_and_loud_bad_rows(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "users.csv"), "w") as f:
+        f.write("user_id,name,email,age,gender,city,state,device_type,membership,signup_date\n"
+                "U00001,A,a@b.c,30,f,X,Y,mobile,gold,2020-01-31\n")
+    spark.createDataFrame([("x", 1)], "a string, b int").write.option("header", True).csv(os.path.join(tmp_dir, "other.csv"))
+    uri = "file://" + tmp_dir
+    got = files.load_raw(spark, uri)
+    assert list(got) == ["other", "users"]
+    assert got["users"].first().user_id == "U00001" and got["users"].first().signup_date == dt.date(2020, 1, 31)
+    assert files.load_tables(spark, uri, ["users", "orders"], required=False).keys() == {"users"}
+    assert files.load_table(spark, uri, "users").count() == 1 and files.load_table(spark, uri, "orders") is None
+    assert files.load_raw(spark, uri + "/none") == {}
+    with open(os.path.join(tmp_dir, "products.csv"), "w") as f:
+        f.write("product_id,product_name,category,subcategory,price,rating,review_count,stock_qty,is_featured\nP1,a,b,c,cheap,4.5,1,1,true\n")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        files.load_table(spark, uri, "products").collect()
