@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import random
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,8 +25,11 @@ from pyspark.sql import functions as F
 
 from shoplens.operators import metrics as ME
 from shoplens.operators.business import apply_decay
+from shoplens.ml.spaces import ADVANCED_SPACES, draw, param_map
 from shoplens.operators.splits import kfold_assign, stratified_split, with_weights
 
+# Training-set shares of a learning curve (fixed values).
+CURVE_SIZES = tuple(0.1 + 0.9 * i / 7 for i in range(8))
 METRICS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
 
 
@@ -183,24 +185,12 @@ def linear_attributions(model: PipelineModel, df: DataFrame, features: Sequence[
 
 
 # -------------------------------------------------------------------- tuning
-def sample_grid(grid: dict, n_iter: int, seed: int = 42) -> list[dict]:
-    """M6: ``n_iter`` distinct parameter maps drawn (seeded) from the grid."""
-    keys = list(grid)
-    combos = [[]]
-    for k in keys:
-        combos = [c + [v] for c in combos for v in grid[k]]
-    rnd = random.Random(seed)
-    picked = rnd.sample(combos, min(n_iter, len(combos)))
-    return [dict(zip(keys, c)) for c in picked]
-
-
-def tune_model(est: Pipeline, grid: dict, train: DataFrame, label: str, n_iter: int = 4, folds: int = 2,
+def tune_model(est: Pipeline, space: dict[str, list], train: DataFrame, label: str, n_iter: int = 30, folds: int = 5,
                seed: int = 42, parallelism: int = 2):
-    """Random search with stratified folds fixed by hash
-    (``foldCol``), AUC as the score.  ``grid`` maps Param -> values."""
-    maps = []
-    for m in sample_grid({p: v for p, v in grid.items()}, n_iter, seed):
-        maps.append(m)
+    """Random search over a space of ``ml.spaces`` with stratified
+    folds fixed by hash (``foldCol``), AUC as the score."""
+    n = train.count()
+    maps = [param_map(est.getStages()[-1], point, n) for point in draw(space, n_iter, seed)]
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                               weightCol="weight")
     data = kfold_assign(train, label, folds, seed).withColumn("fold", F.col("fold").cast("int"))
@@ -209,7 +199,7 @@ def tune_model(est: Pipeline, grid: dict, train: DataFrame, label: str, n_iter:
     return cv.fit(data)
 
 
-def cross_validate_all(df: DataFrame, estimators: dict[str, Pipeline], label: str, k: int = 3, seed: int = 42,
+def cross_validate_all(df: DataFrame, estimators: dict[str, Pipeline], label: str, k: int = 5, seed: int = 42,
                        id_col: str = "user_id") -> DataFrame:
     """M9: per model, mean and population std of F1 and AUC over k folds."""
     data = kfold_assign(df, label, k, seed, id_col).persist()
@@ -226,8 +216,8 @@ def cross_validate_all(df: DataFrame, estimators: dict[str, Pipeline], label: st
     )
 
 
-def learning_curve(df: DataFrame, est: Pipeline, label: str, sizes: Sequence[float] = (0.1, 0.4, 0.7, 1.0),
-                   k: int = 2, seed: int = 42, id_col: str = "user_id") -> DataFrame:
+def learning_curve(df: DataFrame, est: Pipeline, label: str, sizes: Sequence[float] = CURVE_SIZES,
+                   k: int = 5, seed: int = 42, id_col: str = "user_id") -> DataFrame:
     """Train / validation AUC mean and std per training-size fraction;
     the subsets are nested prefixes of the seeded hash order."""
     data = kfold_assign(df, label, k, seed, id_col).withColumn(
@@ -288,10 +278,9 @@ def load_latest(spark: SparkSession, root: str) -> tuple[PipelineModel, dict]:
 
 def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     """Stratified split + balanced weights + string encoding, ready to fit."""
-    # iterative fitting runs one job per iteration over these partitions, so
-    # they are laid out once at about one partition per available core
-    parts = max(1, fm.sparkSession.sparkContext.defaultParallelism)
-    split = stratified_split(fm, label, test_size, seed).repartition(parts).persist()
+    # Iterative fitting runs one job per iteration over these rows: they are
+    # kept, in partitions that AQE sizes by bytes.
+    split = stratified_split(fm, label, test_size, seed).hint("rebalance").persist()
     train = with_weights(split.where(F.col("split") == "train").drop("split"), label)
     test = with_weights(split.where(F.col("split") == "test").drop("split"), label)
     strings = [f.name for f in fm.schema.fields if f.dataType.typeName() == "string" and f.name not in ("user_id",)]
@@ -301,42 +290,66 @@ def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
 
 
 # -------------------------------------------------- presets and bundles
-def baseline_estimators(features: Sequence[str], label: str, n_rows: int, fast: bool = False) -> dict[str, Pipeline]:
+def baseline_estimators(features: Sequence[str], label: str, n_rows: int, trees: int = 200,
+                        iterations: int = 300) -> dict[str, Pipeline]:
     """M2-M4 presets: logistic regression, random forest and the three
     boosting presets (as Spark GBT)."""
-    trees, iters = (10, 5) if fast else (200, 300)
+    boosted = lambda depth: gradient_boosting(features, label, max_iter=iterations, step=0.05, max_depth=depth)
     return {
         "logistic_regression": logistic_regression(features, label, n_rows),
         "random_forest": random_forest(features, label, num_trees=trees, max_depth=10),
-        "gbt_depth5": gradient_boosting(features, label, max_iter=iters, step=0.05, max_depth=5),
-        "gbt_depth6": gradient_boosting(features, label, max_iter=iters, step=0.05, max_depth=6),
+        "boosted_depth": boosted(5),
+        "boosted_leaves": boosted(6),
+        "boosted_shallow": boosted(6),
     }
 
 
 def regularised_estimators(features: Sequence[str], label: str, n_rows: int) -> dict[str, Pipeline]:
-    """M7: robust-scaled logistic regression with l1 / l2 / elastic-net."""
+    """M7: the estimators of the regularised search, by their space's name;
+    logistic regression is robustly scaled."""
+    robust = lambda: logistic_regression(features, label, n_rows, robust=True, max_iter=2000)
     return {
-        f"logistic_{p}": logistic_regression(features, label, n_rows, C=0.1, penalty=p, robust=True)
-        for p in ("l1", "l2", "elasticnet")
+        "logistic_l1_l2": robust(),
+        "logistic_elasticnet": robust(),
+        "random_forest": random_forest(features, label),
+        **{name: gradient_boosting(features, label) for name in ("boosted_depth", "boosted_leaves", "boosted_shallow")},
     }
 
 
-def train_all_advanced(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, fast: bool = False,
-                       threshold: float = 0.05):
-    """M8: baselines plus regularised variants, then the overfit-aware choice
-    (M11-M13).  Returns (models, results, report, chosen name)."""
-    n = train.count()
-    ests = {**baseline_estimators(features, label, n, fast), **regularised_estimators(features, label, n)}
+def train_regularised(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, n_iter: int = 20,
+                      folds: int = 5, names: Sequence[str] | None = None) -> dict[str, PipelineModel]:
+    """M7: searches every advanced space; of the two logistic searches the one
+    with the higher test AUC is kept (l1 / l2 on a tie)."""
+    ests = regularised_estimators(features, label, train.count())
+    models = {n: tune_model(ests[n], ADVANCED_SPACES[n], train, label, n_iter, folds).bestModel for n in names or ests}
+    pair = [n for n in ("logistic_l1_l2", "logistic_elasticnet") if n in models]
+    if len(pair) == 2:
+        auc = {n: ME.roc_auc(score(models[n], test, label)).first()[0] or 0.0 for n in pair}
+        del models[pair[1] if auc[pair[0]] >= auc[pair[1]] else pair[0]]
+    return {f"{n} (adv)": m for n, m in models.items()}
+
+
+def train_all_advanced(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, threshold: float = 0.05,
+                       n_iter: int = 20, folds: int = 5, trees: int = 200, iterations: int = 300,
+                       names: Sequence[str] | None = None):
+    """M8: baselines plus the regularised search (``names`` picks its spaces),
+    then the overfit-aware choice (M11-M13).  Returns (models, results,
+    report, chosen name)."""
+    ests = baseline_estimators(features, label, train.count(), trees, iterations)
     models, results = train_all(train, test, ests, label)
+    for name, model in train_regularised(train, test, features, label, n_iter, folds, names).items():
+        models[name] = model
+        for split, df in (("test", test), ("train", train)):
+            results = results.unionByName(_long(evaluate(score(model, df, label)), name, split))
     report = overfit_report(results, threshold)
     return models, results, report, choose_model(report)
 
 
-def tune_best(name: str, est: Pipeline, grid: dict, train: DataFrame, test: DataFrame, label: str,
-              n_iter: int = 4, folds: int = 2, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """Random-search the current winner and rescore it on the test split
-    under the name "<name> (tuned)"."""
-    cv = tune_model(est, grid, train, label, n_iter, folds, seed)
+def tune_best(name: str, est: Pipeline, space: dict[str, list], train: DataFrame, test: DataFrame, label: str,
+              n_iter: int = 30, folds: int = 5, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """Random-search the current winner (``SPACES[name]``) and rescore it
+    on the test split under the name "<name> (tuned)"."""
+    cv = tune_model(est, space, train, label, n_iter, folds, seed)
     best = cv.bestModel
     return best, _long(evaluate(score(best, test, label)), f"{name} (tuned)", "test")
 

@@ -474,7 +474,7 @@ def lr_scores(spark, sf):
 @register("forest_scores")
 def forest_scores(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
-    model = ML.random_forest(feats, "will_purchase", num_trees=20, max_depth=6).fit(train)
+    model = ML.random_forest(feats, "will_purchase").fit(train)
     return ML.score(model, test, "will_purchase")
 
 

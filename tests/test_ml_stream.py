@@ -68,11 +68,12 @@ def test_advanced_training_and_bundle(spark):
     fm = feature_frame(spark, 300)
     train, test = ML.prepare(fm, "will_purchase")
     feats = ML.feature_columns(train)
-    models, results, report, chosen = ML.train_all_advanced(train, test, feats, "will_purchase", fast=True)
+    models, results, report, chosen = ML.train_all_advanced(
+        train, test, feats, "will_purchase", n_iter=1, folds=2, trees=10, iterations=3, names=["logistic_l1_l2", "logistic_elasticnet"])
+    assert len(models) == 6 and sum("(adv)" in m for m in models) == 1
     assert chosen in models and report.select("model").distinct().count() == len(models)
     lr = ML.logistic_regression(feats, "will_purchase", train.count())
-    stage = lr.getStages()[-1]
-    best, rows = ML.tune_best("logistic_regression", lr, {stage.regParam: [0.01, 0.1], stage.elasticNetParam: [0.0, 1.0]},
+    best, rows = ML.tune_best("logistic_regression", lr, {"C": [0.1, 1.0], "penalty": ["l1", "l2"]},
                               train, test, "will_purchase", n_iter=2, folds=2)
     assert rows.select("model").first().model == "logistic_regression (tuned)"
     fmx = ML.encode_strings(train, [fm], ["device_type"])[1][0].withColumn("total_spend", F.col("x1") * 100) \
@@ -108,3 +109,16 @@ def test_stream_restart_does_not_rescore(spark, tmp_dir):
     fm.select("user_id", *feats).where("user_id >= 60").write.parquet(os.path.join(src, "part2"))
     start_scoring(spark, model, feats, schema, os.path.join(src, "*"), out, ck).awaitTermination(120)
     assert spark.read.parquet(out).count() == 120
+
+
+def test_search_spaces_are_valid_spark_parameters(spark):
+    from shoplens.ml import spaces
+
+    for name, est in ML.regularised_estimators(["x"], "y", 100).items():
+        for point in spaces.draw(spaces.ADVANCED_SPACES[name], 40):
+            assert est.getStages()[-1].copy(spaces.param_map(est.getStages()[-1], point, 100))
+    base = ML.baseline_estimators(["x"], "y", 100)
+    for name, space in spaces.SPACES.items():
+        drawn = spaces.draw(space, 30)
+        assert len({tuple(p.items()) for p in drawn}) == min(30, len(drawn)) and len(spaces.draw(space, 30, 1)) == len(drawn)
+        assert all(spaces.param_map(base[name].getStages()[-1], p, 100) for p in drawn)
