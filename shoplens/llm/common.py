@@ -40,3 +40,20 @@ def local_path(uri: str) -> str:
     if uri.startswith("file:"):
         return os.path.normpath("/" + uri[5:].lstrip("/"))
     return uri
+
+
+#: 64-bit words of a membership filter: 2 MB of bits for any number of keys.
+FILTER_WORDS = 1 << 18
+
+
+def with_maybe(df: DataFrame, h: str, keys: DataFrame, key: str, maybe: str) -> DataFrame:
+    """``df`` with a boolean ``maybe``: false only where hash ``h`` is not among ``keys``.
+
+    A filter of fixed size, joined by broadcast.  Rows that it clears need not
+    be shuffled to meet ``keys``; the others are decided by a real join.
+    """
+    word = lambda c: F.pmod(F.shiftright(c, 6), F.lit(FILTER_WORDS))
+    bit = lambda c: f"shiftleft(1L, cast({c} & 63 as int))"
+    words = stored(keys.groupBy(word(F.col(key)).alias("_word")).agg(F.bit_or(F.expr(bit(key))).alias("_bits")), "key-filter")
+    j = df.withColumn("_at", word(F.col(h))).join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    return j.withColumn(maybe, F.coalesce(F.expr(f"(_bits & {bit(h)}) != 0"), F.lit(False))).drop("_at", "_word", "_bits")

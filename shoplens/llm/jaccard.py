@@ -32,16 +32,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored, text_or_empty
+from shoplens.llm.common import stored, text_or_empty, with_maybe
 from shoplens.llm.components import connected_components
 
 WIDTH = 5
 #: Shingles in a block of sets: bounds a task's memory.
 BLOCK = 2_000_000
 BITS = 4096
+#: Bits of the filter of classes to read again: 8 MB for any corpus.
+FILTER_BITS = 1 << 26
 LEAF = 32
 
 
@@ -149,14 +151,43 @@ def prefix_rows(t_num: int, t_den: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def set_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, cid) -> (cid, hashes) of the rows whose set is that class."""
-    shingles = shingler()
-    for batch in stream:
-        rows = [(c, s.tobytes()) for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                if class_key(s := shingles(t)) == c]
-        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())],
-                                         names=["cid", "hashes"])
+def set_rows(wanted: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(text, b1, b2) -> (cid, hashes) of the rows whose two bits are wanted."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        shingles, bits = shingler(), np.frombuffer(wanted, dtype=np.uint64)
+        for batch in stream:
+            ok = np.ones(batch.num_rows, dtype=bool)
+            for b in (batch.column(1).to_numpy(), batch.column(2).to_numpy()):
+                ok &= (bits[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1
+            sets = [shingles(t) for t in batch.column(0).filter(pa.array(ok)).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([class_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                names=["cid", "hashes"])
+
+    return run
+
+
+def key_bits(key: Column) -> tuple[Column, Column]:
+    return F.pmod(key, F.lit(FILTER_BITS)), F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame) -> bytes:
+    """A Bloom filter of the column ``h``, of fixed size whatever the keys.
+
+    It spares most texts the way to the join on classes that follows; what it
+    lets through beside is dropped there.
+    """
+    import numpy as np
+
+    bits = keys.select(F.explode(F.array(*key_bits(F.col("h")))).alias("b"))
+    words = (bits.groupBy(F.shiftright("b", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toArrow())
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy()
+    return out.tobytes()
 
 
 # --- signature trees --------------------------------------------------------
@@ -301,17 +332,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # 3. Trees over the groups' sets, read again from one text of each class.
     one = (members.filter(F.col("cid").isNotNull()).groupBy("cid")
            .agg(F.min(F.struct("doc_id", "key")).alias("one"), F.first("n").alias("n")))
-    one = groups.join(one, F.col("node") == F.col("cid")).select("cid", "root", "n", F.col("one.doc_id").alias("oid"), F.col("one.key").alias("okey"))
-    one = stored(one, "group-members")
+    one = stored(groups.join(one, F.col("node") == F.col("cid"))
+                 .select("cid", "root", "n", F.xxhash64("one.doc_id", "one.key").alias("h")), "group-members")
     weight = one.groupBy("root").agg(F.sum("n").alias("w"))
     n_tasks = max(1, -(-(weight.agg(F.sum("w")).first()[0] or 0) // block))
     dealt = (one.join(weight, "root").withColumn("nb", F.ceil(F.col("w") / block).cast("int"))
              .withColumn("home", F.when(F.col("nb") > 1, F.pmod(F.xxhash64("cid", F.lit(3)), F.col("nb")))
                          .otherwise(F.lit(0)).cast("int"))
-             .select("cid", "root", "oid", "okey", "nb", "home"))
-    sets = (d.join(dealt, F.col("doc_id").eqNullSafe(F.col("oid")) & (F.col("key") == F.col("okey")))
-            .select("text", "cid").mapInArrow(set_rows, "cid long, hashes binary"))
-    rows = sets.join(dealt.select("cid", "root", "nb", "home"), "cid")
+             .select("cid", "root", "nb", "home"))
+    b1, b2 = key_bits(F.xxhash64("doc_id", "key"))
+    sets = d.select("text", b1, b2).mapInArrow(set_rows(key_filter(one)), "cid long, hashes binary")
+    rows = sets.join(dealt, "cid")
     # Block pairs (i, j), i <= j: a set of block h stands on side 0 of (h, j)
     # and on side 1 of (i, h).
     pairs = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(
@@ -340,13 +371,23 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows without a set stay.  A component whose ids are all null keeps the rows
     of its least class; of equal (id, text) rows one stays.
     """
-    found = jaccard_components(docs, id_col, text_col)
-    keep = (found.filter(F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kid"), F.col("key").alias("_kkey"), F.col("class_id").alias("_kcid"))
-            .dropDuplicates(["_kid", "_kkey"]))
+    found = stored(jaccard_components(docs, id_col, text_col), "components")
+    # Rows that go, and rows that repeat one of the same id and text: the few
+    # that need a decision.  All others are not shuffled.
+    once = found.groupBy("doc_id", "key").agg(
+        F.count("*").alias("copies"), F.first("class_id").alias("class_id"), F.first("component_id").alias("component_id"))
+    stays = F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))
+    unsure = stored(once.filter(~stays | (F.col("class_id").isNotNull() & (F.col("copies") > 1)))
+                    .select(F.xxhash64("doc_id", "key").alias("_uh"), F.col("doc_id").alias("_uid"), F.col("key").alias("_ukey"),
+                            stays.alias("_stays")), "undecided")
     # The row travels as one struct, so no name of it can meet another.
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("tk"))
-    j = row.join(keep, F.col("id").eqNullSafe(F.col("_kid")) & (F.col("tk") == F.col("_kkey")))
-    full = j.filter(F.col("_kcid").isNotNull()).dropDuplicates(["id", "tk"])
-    return full.unionByName(j.filter(F.col("_kcid").isNull())).select("row.*")
+    row = with_maybe(row.withColumn("_h", F.xxhash64("id", "tk")), "_h", unsure, "_uh", "_maybe")
+    j = row.filter("_maybe").join(unsure, F.col("id").eqNullSafe(F.col("_uid")) & (F.col("tk") == F.col("_ukey")), "left")
+    j = j.filter(F.coalesce("_stays", F.lit(True)))
+    # Of equal rows the first stays; rows without a set all do.
+    single = j.filter(F.col("_stays").isNotNull()).dropDuplicates(["id", "tk"])
+    return (row.filter("not _maybe").select("row")
+            .unionByName(j.filter(F.col("_stays").isNull()).select("row"))
+            .unionByName(single.select("row")).select("row.*"))

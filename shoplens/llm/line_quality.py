@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored, text_or_empty
+from shoplens.llm.common import stored, text_or_empty, with_maybe
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -147,17 +147,22 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     limits: LineLimits = LineLimits()) -> DataFrame:
     """``docs`` without rejected rows and without boilerplate lines in the texts.
 
-    Only rows that change take part in the join's small side: those rejected
-    or holding a removed line.  Rows equal in id, host and text share a verdict.
+    Verdicts are those of the rows that change: rejected, or holding a removed
+    line.  Rows equal in id, host and text share one.
     """
     v = quality_rules(docs, id_col, text_col, host_col, limits, carry=[id_col, host_col])
-    v = (v.filter(~F.col("kept") | (F.size("removed") > 0))
-         .select(F.col(id_col).alias("_vid"), F.col(host_col).alias("_vhost"), F.col("_key").alias("_vkey"),
-                 F.col("kept").alias("_vkept"), F.col("removed").alias("_vgone")).dropDuplicates(["_vid", "_vhost", "_vkey"]))
-    # The row travels as one struct, so no name of it can meet another.
+    v = stored(v.filter(~F.col("kept") | (F.size("removed") > 0))
+               .select(F.xxhash64(id_col, host_col, "_key").alias("_vh"), F.col(id_col).alias("_vid"), F.col(host_col).alias("_vhost"),
+                       F.col("_key").alias("_vkey"), F.col("kept").alias("_vkept"), F.col("removed").alias("_vgone"))
+               .dropDuplicates(["_vid", "_vhost", "_vkey"]), "line-verdicts")
+    # The row travels as one struct, so no name of it can meet another.  Only
+    # rows that may have a verdict are shuffled.
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_or_empty(text_col).alias("text"))
-    j = row.join(v, F.col(f"row.{id_col}").eqNullSafe(F.col("_vid")) & F.col(f"row.{host_col}").eqNullSafe(F.col("_vhost"))
-                 & (F.xxhash64("text") == F.col("_vkey")), "left").filter(F.coalesce("_vkept", F.lit(True)))
+    row = row.withColumn("_key", F.xxhash64("text")).withColumn("_h", F.xxhash64(f"row.{id_col}", f"row.{host_col}", "_key"))
+    row = with_maybe(row, "_h", v, "_vh", "_maybe")
+    j = row.filter("_maybe").join(v, F.col(f"row.{id_col}").eqNullSafe(F.col("_vid")) & F.col(f"row.{host_col}").eqNullSafe(F.col("_vhost"))
+                                  & (F.col("_key") == F.col("_vkey")), "left").filter(F.coalesce("_vkept", F.lit(True)))
     stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_vgone", F.xxhash64(normal_line(x))))
     cleaned = F.when(F.size("_vgone") > 0, F.array_join(stay, "\n")).otherwise(F.col(f"row.{text_col}"))
-    return j.select(*[(cleaned if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    changed = j.select(*[(cleaned if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return row.filter("not _maybe").select("row.*").unionByName(changed)
