@@ -121,11 +121,18 @@ def customer_listing(fm: DataFrame, limit: int = 100, id_col: str = "user_id") -
 
 
 def append_scored(existing: DataFrame, new_rows: DataFrame, id_col: str = "user_id",
-                  order_col: str | None = None) -> DataFrame:
+                  order_col: str | None = None, id_format: str = "U%05d") -> DataFrame:
     """S13 + U1: give new rows ids max(existing id) + 1, 2, ... in
-    ``order_col`` order (distributed ranking) and union them by name."""
+    ``order_col`` order (distributed ranking) and union them by name.
+
+    Text ids are numbered by the digits they end in and written by
+    ``id_format``; ids without digits count as 0.
+    """
     order_col = order_col or id_col
-    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_max"))
-    ranked = global_rank(new_rows, order_col, None, rank_col="_r")
-    fresh = ranked.crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("_max") + F.col("_r")).cast("long"))
+    text = existing.schema[id_col].dataType.typeName() == "string"
+    number = F.regexp_extract(id_col, r"(\d+)$", 1).try_cast("long") if text else F.col(id_col)
+    top = existing.agg(F.coalesce(F.max(number), F.lit(0)).alias("_max"))
+    ranked = global_rank(new_rows, order_col, None, rank_col="_r").crossJoin(F.broadcast(top))
+    new_id = (F.col("_max") + F.col("_r")).cast("long")
+    fresh = ranked.withColumn(id_col, F.format_string(id_format, new_id) if text else new_id)
     return existing.unionByName(fresh.drop("_r", "_max"))

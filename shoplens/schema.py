@@ -12,12 +12,9 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 MEMBERSHIP_ORDER = ["free", "silver", "gold", "platinum"]
 STATUS_ORDER = ["cancelled", "returned", "processing", "shipped", "delivered"]
-EVENT_TYPES = ["view", "click", "add_to_cart", "remove_from_cart", "add_to_wishlist"]
 DEVICE_CODES = {"mobile": 0, "tablet": 1, "desktop": 2}
 MEMBERSHIP_CODES = {"free": 0, "silver": 1, "gold": 2, "platinum": 3}
 PREMIUM_TIERS = ["gold", "platinum"]
-PAYMENT_METHODS = ["credit_card", "debit_card", "paypal", "upi", "wallet"]
-AGE_GROUPS = ["18-25", "26-35", "36-50", "51+"]
 SEGMENTS = ["Champions", "Loyal", "Recent", "At Risk", "Lost", "Potential"]
 # ---------------------------------------------------------------------------
 

@@ -77,11 +77,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint location for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
 _SHIPPED: set[str] = set()
 
 

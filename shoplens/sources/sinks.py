@@ -24,13 +24,16 @@ def write_tables(tables: dict[str, DataFrame], out_dir: str, csv: bool = True) -
 
 
 def write_feature_matrix(fm: DataFrame, path: str) -> str:
-    """Parquet, falling back to CSV when Parquet writing fails."""
-    try:
-        fm.write.mode("overwrite").parquet(f"{path}.parquet")
-        return f"{path}.parquet"
-    except Exception:  # noqa: BLE001
+    """Parquet; CSV for a matrix with a column that Parquet cannot hold.
+
+    The choice is made from the schema, so a job that fails is never run again
+    in another format.
+    """
+    if any(f.dataType.typeName() in ("void", "interval") for f in fm.schema.fields):
         fm.write.mode("overwrite").option("header", True).csv(f"{path}.csv")
         return f"{path}.csv"
+    fm.write.mode("overwrite").parquet(f"{path}.parquet")
+    return f"{path}.parquet"
 
 
 def metrics_table(metrics_row: DataFrame) -> DataFrame:

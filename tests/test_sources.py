@@ -5,6 +5,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from shoplens.sources import files, jdbc, sinks
 
 
@@ -77,3 +78,15 @@ def test_raw_folder_by_uri_and_loud_bad_rows(spark, tmp_dir):
         f.write("product_id,product_name,category,subcategory,price,rating,review_count,stock_qty,is_featured\nP1,a,b,c,cheap,4.5,1,1,true\n")
     with pytest.raises(Exception, match="(?i)malformed|parse"):
         files.load_table(spark, uri, "products").collect()
+
+
+def test_tables_matrix_and_appended_text_ids(spark, tmp_dir):
+    from shoplens.operators.business import append_scored
+
+    users = spark.createDataFrame([("U00007", 0.5), ("U00012", 0.1), ("guest", 0.2)], "user_id string, p double")
+    sinks.write_tables({"users": users}, tmp_dir)
+    assert spark.read.parquet(f"{tmp_dir}/users.parquet").count() == spark.read.option("header", True).csv(f"{tmp_dir}/users.csv").count() == 3
+    assert sinks.write_feature_matrix(users, f"{tmp_dir}/fm") == f"{tmp_dir}/fm.parquet"
+    new = spark.createDataFrame([(2, 0.9), (1, 0.8)], "arrival int, p double")
+    out = append_scored(users.withColumn("arrival", F.lit(0)), new, order_col="arrival")
+    assert {r.user_id: r.p for r in out.collect()} == {"U00007": 0.5, "U00012": 0.1, "guest": 0.2, "U00013": 0.8, "U00014": 0.9}
