@@ -40,7 +40,7 @@ from shoplens.llm.components import connected_components
 
 WIDTH = 5
 #: Shingles in a block of sets: bounds a task's memory.
-BLOCK = 2_000_000
+BLOCK = 400_000
 BITS = 4096
 #: Bits of the filter of classes to read again: 8 MB for any corpus.
 FILTER_BITS = 1 << 26
