@@ -201,7 +201,7 @@ def encode_decode(path: str, pattern: str, digests: bool) -> Callable[[Iterator[
         cache = bpe_cache(path, pattern)
         for batch in stream:
             at = 0
-            for texts in tokens.batches(batch.column(1).to_pylist(), 1_000_000):
+            for texts in tokens.text_runs(batch.column(1)):
                 ids, decoded = [], []
                 for values in cache.lookup(texts):
                     a, b = zip(*values)

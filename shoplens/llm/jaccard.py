@@ -64,7 +64,7 @@ def shingler(width: int = WIDTH) -> Callable[[str], object]:
         return got
 
     def run(text: str):
-        if len(known) > 1_000_000:
+        if len(known) > 300_000:
             known.clear()
         # Bytes: lower() touches A-Z only and split() takes space and 9 to 13.
         words = text.encode("utf-8", "surrogatepass").lower().split()
@@ -135,7 +135,7 @@ def prefix_rows(t_num: int, t_den: int) -> Callable[[Iterator[pa.RecordBatch]],
                 cid = class_key(s)
                 if cid in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > 300_000:
                     seen.clear()
                 seen.add(cid)
                 tokens.append(s[:prefix_length(len(s), t_num, t_den)])

@@ -40,7 +40,7 @@ def token_rows(path: str, end_id: int, spaced: bool, pattern: str) -> Callable[[
         place = before = 0
         for batch in stream:
             at = 0
-            for texts in tokens.batches(batch.column(1).to_pylist()):
+            for texts in tokens.text_runs(batch.column(1)):
                 raw = [x + tail for x in cache.ids(texts)]
                 n = np.array([len(x) // 4 for x in raw], dtype=np.int64)
                 ends = np.cumsum(n)

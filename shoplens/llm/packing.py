@@ -172,7 +172,7 @@ def piece_rows(path: str, end_id: int, spaced: bool, pattern: str, capacity: int
         for batch in stream:
             ids = batch.column(0).to_pylist()
             at = 0
-            for texts in tokens.batches(batch.column(1).to_pylist()):
+            for texts in tokens.text_runs(batch.column(1)):
                 out: list[list] = [[] for _ in range(7)]
                 for raw in cache.ids(texts):
                     raw += tail

@@ -16,7 +16,7 @@ import struct
 from collections.abc import Callable, Iterable
 from itertools import islice
 
-LIMIT = 600_000
+LIMIT = 300_000
 #: Pieces longer than this are not kept.
 LONG = 64
 
@@ -167,7 +167,7 @@ def split_words(pattern: str) -> Callable[[str], list[str]]:
     return regex.compile(inside.replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")).findall
 
 
-def batches(texts: list[str], chars: int = 4_000_000) -> Iterable[list[str]]:
+def batches(texts: list[str], chars: int = 1_000_000) -> Iterable[list[str]]:
     """Runs of texts of about ``chars`` characters in all (one text at least)."""
     run, size = [], 0
     for t in texts:
@@ -178,3 +178,9 @@ def batches(texts: list[str], chars: int = 4_000_000) -> Iterable[list[str]]:
         size += len(t)
     if run:
         yield run
+
+
+def text_runs(column, rows: int = 256) -> Iterable[list[str]]:
+    """``batches`` over an Arrow column, taken out a few rows at a time."""
+    for at in range(0, len(column), rows):
+        yield from batches(column.slice(at, rows).to_pylist())

@@ -65,7 +65,7 @@ def features_of(word: str) -> list[int]:
 class WordSets:
     """Distinct words of a text; a bounded cache cuts blank-free runs into words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         self.known: dict[str, tuple[str, ...]] = {}
         self.limit = limit
 
@@ -201,7 +201,7 @@ def scorer(weights: dict[int, float], bias: float) -> Callable[[Iterator[pa.Reco
             scores = []
             for text in batch.column(0).to_pylist():
                 active: set[int] = set()
-                if len(parts) > 400_000:
+                if len(parts) > 200_000:
                     parts.clear()
                 for w in sets.words(text):
                     got = parts.get(w)
