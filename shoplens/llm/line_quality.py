@@ -5,9 +5,10 @@ space, trimmed).  For each host the number of distinct documents that hold a
 line is counted; lines above the limit are boilerplate and are removed, and a
 document that keeps too little of itself is rejected.
 
-Two documents count as one when their *sketch* is the same: the smallest hash
-of their five-word windows.  Exact copies always share it and near copies mostly do, so
-a group of thousands of copies does not turn its own text into boilerplate.
+Two documents count as one when all their normalised lines are the same: by the
+hash of the whole normalised text.  So a group of thousands of copies does not
+turn its own text into boilerplate, and no line, however widespread, makes two
+different documents one.  Near copies are different documents.
 
 Defined cases: a null text is the empty text (no words: base rule fails, not
 kept); a null host is a host of its own; a null doc_id is one document;
@@ -53,7 +54,7 @@ def normal_line(line: Column) -> Column:
 
 
 def with_repeated_words(docs: DataFrame) -> DataFrame:
-    """Adds the sketch, and n_repeat_words: words inside five-word windows found twice or more.
+    """Adds n_repeat_words: words inside five-word windows found twice or more.
 
     Windows are compared by 64-bit hash within one text (two different windows
     of a text of 20,000 words meet with probability 1e-11).  Each step is a
@@ -78,34 +79,33 @@ def with_repeated_words(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.transform(st, lambda p, k: F.least(F.coalesce(F.get(st, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW))),
         F.lit(0).cast("long"), lambda a, b: a + b)
-    return (d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-            .withColumn("_sk", F.coalesce(F.array_min(win), F.xxhash64("_words"))).drop("_h", "_wh", "_ord", "_st"))
+    return d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_h", "_wh", "_ord", "_st")
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """Per row: base measures, sketch, and (hash, words, characters) of each line."""
+    """Per row: base measures, hash of the normalised text, and (hash, characters) of each line."""
     t = F.col("_text")
     m = with_repeated_words(docs.withColumn("_words", words_of(t)).withColumn("_lines", lines_of(t)))
+    m = m.withColumn("_per", F.transform(F.transform("_lines", normal_line), lambda y: F.struct(
+        F.xxhash64(y).alias("h"), F.length(y).alias("c"))))
     return m.select(
         "_id", "_host", "_key", "_carry",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words", "_sk",
-        F.transform(F.transform("_lines", normal_line), lambda y: F.struct(
-            F.xxhash64(y).alias("h"), F.length(y).alias("c"))).alias("_per"))
+        "n_repeat_words", F.xxhash64("_per.h").alias("_doc"), "_per")
 
 
 def frequent_lines(m: DataFrame, limits: LineLimits) -> DataFrame:
     """(host, line hash) of lines in too many distinct documents of the host.
 
-    Both counts go through a distinct of (host, line, sketch) first, which
+    Both counts go through a distinct of (host, line, document) first, which
     spreads a hot host or line over all tasks; the counts themselves are
     combined on the map side.
     """
-    hosts = m.select("_host", "_sk").distinct().groupBy("_host").agg(F.count("*").alias("_docs"))
-    lines = (m.select("_host", "_sk", F.explode(F.array_distinct("_per.h")).alias("_lh")).distinct()
+    hosts = m.select("_host", "_doc").distinct().groupBy("_host").agg(F.count("*").alias("_docs"))
+    lines = (m.select("_host", "_doc", F.explode(F.array_distinct("_per.h")).alias("_lh")).distinct()
              .groupBy("_host", "_lh").agg(F.count("*").alias("_n"))
              .filter(F.col("_n") > limits.min_docs))
     return (lines.alias("l").join(hosts.alias("h"), F.col("l._host").eqNullSafe(F.col("h._host")))

@@ -58,8 +58,8 @@ FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
 """
 
 # op9: base measures, and the line rules with max(20, 5 %) documents a host.
-# Documents are told apart by their smallest window as in the operator, but
-# under md5 (DuckDB has no xxhash64): counts of near copies may differ a little.
+# Documents are told apart by their smallest window (md5); the operator does so
+# by the whole normalised text, so counts may differ where lines are shared.
 OP9 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS t FROM documents

@@ -56,6 +56,14 @@ def test_copies_do_not_make_boilerplate(spark):
     assert all(r.kept and r.n_removed_lines == 0 for r in quality_rules(_frame(spark, rows), limits=LIMITS).collect())
 
 
+def test_a_shared_line_does_not_make_documents_one(spark):
+    # 60 distinct documents a host, mostly one shared line of 80 words.
+    hosts = {f"h{h}": " ".join(f"s{h}x{k}" for k in range(80)) for h in range(8)}
+    rows = [(100 * n + i, f"{_unique(100 * n + i, 25)}\n{line}", h) for n, (h, line) in enumerate(hosts.items()) for i in range(60)]
+    got = quality_rules(_frame(spark, rows)).collect()
+    assert len(got) == 480 and all(r.n_removed_lines == 1 and not r.kept and not r.base_failed for r in got)
+
+
 def test_empty_table_and_null_ids(spark):
     assert quality_rules(_frame(spark, []), limits=LIMITS).count() == 0
     rows = [(None, _unique(1), "a"), (None, _unique(1), "a"), (None, None, None)]
