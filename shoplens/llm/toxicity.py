@@ -9,7 +9,10 @@ between the two is part of the loss, so that the terms themselves carry no
 weight and neutral mentions are not flagged.
 
 The sample is ``max_toxic`` + ``max_clean`` rows, the smallest by a hash of the
-id; it bounds what the driver holds.  Scoring runs over every whole text.
+id; it bounds what the driver holds.  A class above its bound is sampled at a
+lower rate, so each row weighs as the labelled rows it stands for: the bias and
+the choice of features follow the class shares of all labels outside the
+held-out fold, whatever the bounds.  Scoring runs over every whole text.
 
 Defined cases: a null or empty text scores as a text without words; rows with
 a null id are scored and count as not held out; null labels are left out;
@@ -116,12 +119,23 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(lid, toxic) of the usable labels outside the held-out fold."""
+    return (labels.select(F.col("doc_id").alias("lid"), F.col("toxic").cast("int").alias("toxic"))
+            .filter(F.col("lid").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("lid")))
+            .dropDuplicates(["lid"]))
+
+
+def row_weights(labels: DataFrame, fit: Fit) -> tuple[float, float]:
+    """Labels that a sampled clean and a sampled toxic row stand for."""
+    n = {r["toxic"]: r["count"] for r in known_labels(labels).groupBy("toxic").count().collect()}
+    return max(1.0, n.get(0, 0) / max(fit.max_clean, 1)), max(1.0, n.get(1, 0) / max(fit.max_toxic, 1))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit: Fit) -> DataFrame:
     """Features of the sampled rows.  Ids are chosen from the labels alone, at
     most ``max_toxic + max_clean`` of them, and that bounded set goes to the texts."""
-    known = (labels.select(F.col("doc_id").alias("lid"), F.col("toxic").cast("int").alias("toxic"))
-             .filter(F.col("lid").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("lid")))
-             .dropDuplicates(["lid"]).withColumn("order", F.xxhash64("lid")))
+    known = known_labels(labels).withColumn("order", F.xxhash64("lid"))
     pick = lambda c, n: known.filter(F.col("toxic") == c).orderBy("order", "lid").limit(n)
     chosen = pick(1, fit.max_toxic).unionByName(pick(0, fit.max_clean))
     rows = (docs.select(F.col(id_col).alias("did"), text_or_empty(text_col).alias("text"))
@@ -130,8 +144,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return rows.mapInArrow(sample_features, "toxic int, features binary, swapped binary")
 
 
-def fit_weights(rows: list, fit: Fit) -> tuple[dict[int, float], float]:
-    """Weights by feature and the bias, from (toxic, features, swapped) rows."""
+def fit_weights(rows: list, fit: Fit, stands_for: tuple[float, float] = (1.0, 1.0)) -> tuple[dict[int, float], float]:
+    """Weights by feature and the bias, from (toxic, features, swapped) rows;
+    ``stands_for`` has the weight of a clean and of a toxic row."""
     import numpy as np
 
     # Equal rows count once: a sample full of copies teaches nothing more.
@@ -146,13 +161,15 @@ def fit_weights(rows: list, fit: Fit) -> tuple[dict[int, float], float]:
         return np.repeat(np.arange(len(at)), [len(a) for a in at]), (np.concatenate(at) if at else np.zeros(0, "<u4"))
 
     row, col = sparse([r[1] for r in rows])
-    seen = np.bincount(col, minlength=DIM)
-    toxic = np.bincount(col[y[row] == 1], minlength=DIM)
+    u = np.where(y == 1, stands_for[1], stands_for[0])
+    u /= u.mean()
+    seen = np.bincount(col, u[row], DIM)
+    toxic = np.bincount(col, (u * y)[row], DIM)
     # Only features that lean to one class far beyond chance: a text has
     # hundreds of words and nearly all of them say nothing.
-    share = y.mean()
+    share = (u * y).mean()
     lean = (toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    used = np.flatnonzero((seen >= 3) & (np.abs(lean) >= fit.min_lean))
+    used = np.flatnonzero((seen >= 3 - 1e-9) & (np.abs(lean) >= fit.min_lean))
     place = np.full(DIM, -1)
     place[used] = np.arange(len(used))
 
@@ -170,7 +187,7 @@ def fit_weights(rows: list, fit: Fit) -> tuple[dict[int, float], float]:
     for t in range(1, fit.rounds + 1):
         z = np.bincount(row, w[col], n) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g = (p - y) / n
+        g = u * (p - y) / n
         grad = np.bincount(col, g[row], d) + fit.l2 * w / n
         if pairs:
             change = np.bincount(prow, w[pcol], len(pairs)) - np.bincount(srow, w[scol], len(pairs))
@@ -186,7 +203,7 @@ def fit_weights(rows: list, fit: Fit) -> tuple[dict[int, float], float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit: Fit = Fit()) -> tuple[dict[int, float], float]:
-    return fit_weights(training_sample(docs, labels, id_col, text_col, fit).collect(), fit)
+    return fit_weights(training_sample(docs, labels, id_col, text_col, fit).collect(), fit, row_weights(labels, fit))
 
 
 def scorer(weights: dict[int, float], bias: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

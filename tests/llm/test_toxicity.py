@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -48,6 +49,32 @@ def test_held_out_labels_are_not_read(spark):
     assert tx.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int")) == tx.train(docs, spark.createDataFrame(flipped, "doc_id long, toxic int"))
 
 
+def test_texts_without_evidence_score_as_the_share_of_all_labels(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    docs = spark.createDataFrame([(i, word(i)) for i in range(1000)], "doc_id long, text string")
+    labs = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(1000)], "doc_id long, toxic int")
+    whole, bound = tx.train(docs, labs), tx.train(docs, labs, fit=tx.Fit(max_toxic=60, max_clean=120))
+    assert not whole[0] and not bound[0] and abs(whole[1] - bound[1]) < 0.01
+
+
+def test_class_bounds_do_not_move_the_prior(spark):
+    rows, labels = _data(4000, seed=5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labs = spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole, bound = tx.train(docs, labs), tx.train(docs, labs, fit=tx.Fit(max_toxic=400, max_clean=400))
+    share = lambda b: 1 / (1 + math.exp(-b))
+    assert abs(share(whole[1]) - share(bound[1])) < 0.05  # texts without evidence
+    weigh = lambda m, w: sum(m[0].get(f, 0) for f in tx.features_of(w))
+    assert all(weigh(m, w) + m[1] > 0 for m in (whole, bound) for w in ("scum", "idiot"))
+    a, b = ({r.doc_id: r.predicted for r in tx.score(docs, m).collect()} for m in (whole, bound))
+    assert sum(a[i] == b[i] for i in a) >= 0.99 * len(a)
+    # One sample, its clean rows at a quarter of the rate: the same features pass.
+    dense = [(int(i < 200), tx.feature_ids({f"w{i}", "often"} | ({"mild"} if i % 5 < 2 * (i < 200) else set())), None) for i in range(2000)]
+    thin = [r for i, r in enumerate(dense) if r[0] or i % 4 == 0]
+    full, few = tx.fit_weights(dense, tx.Fit()), tx.fit_weights(thin, tx.Fit(), (4.0, 1.0))
+    assert full[0].keys() == few[0].keys() and abs(share(full[1]) - share(few[1])) < 0.02
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "idiot"), (3, "x" * 50000), (3, "y")], "doc_id long, text string")
     none = spark.createDataFrame([(1, None), (None, 1), (2, 7)], "doc_id long, toxic int")
