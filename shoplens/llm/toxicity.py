@@ -8,8 +8,8 @@ its identity terms swapped for others, and the squared change of the score
 between the two is part of the loss, so that the terms themselves carry no
 weight and neutral mentions are not flagged.
 
-The sample is ``max_toxic`` + ``max_clean`` rows, the smallest by a hash of the
-id; it bounds what the driver holds.  A class above its bound is sampled at a
+The sample is ``max_toxic`` + ``max_clean`` ids, the smallest by a hash of the
+id, and one text of each (of differing texts that of the least hash); it bounds what the driver holds.  A class above its bound is sampled at a
 lower rate, so each row weighs as the labelled rows it stands for: the bias and
 the choice of features follow the class shares of all labels outside the
 held-out fold, whatever the bounds.  Scoring runs over every whole text.
@@ -134,13 +134,16 @@ def row_weights(labels: DataFrame, fit: Fit) -> tuple[float, float]:
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit: Fit) -> DataFrame:
     """Features of the sampled rows.  Ids are chosen from the labels alone, at
-    most ``max_toxic + max_clean`` of them, and that bounded set goes to the texts."""
+    most ``max_toxic + max_clean`` of them, and that bounded set goes to the texts.
+    One row of each id is left before anything is collected."""
     known = known_labels(labels).withColumn("order", F.xxhash64("lid"))
     pick = lambda c, n: known.filter(F.col("toxic") == c).orderBy("order", "lid").limit(n)
     chosen = pick(1, fit.max_toxic).unionByName(pick(0, fit.max_clean))
     rows = (docs.select(F.col(id_col).alias("did"), text_or_empty(text_col).alias("text"))
             .join(F.broadcast(chosen), F.col("did") == F.col("lid"))
-            .select("text", "toxic", F.pmod("order", F.lit(997)).cast("int").alias("salt")))
+            .groupBy("lid").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text", "toxic",
+                                               F.pmod("order", F.lit(997)).cast("int").alias("salt"))).alias("one"))
+            .select("one.text", "one.toxic", "one.salt"))
     return rows.mapInArrow(sample_features, "toxic int, features binary, swapped binary")
 
 

@@ -75,6 +75,15 @@ def test_class_bounds_do_not_move_the_prior(spark):
     assert full[0].keys() == few[0].keys() and abs(share(full[1]) - share(few[1])) < 0.02
 
 
+def test_repeated_ids_do_not_fill_the_driver(spark):
+    rows = [(1, f"text {k % 50}") for k in range(500)] + [(2, "a"), (3, "b"), (3, "b")]
+    docs, labs = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    known = {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5}
+    take = lambda d: sorted(map(tuple, tx.training_sample(d, labs, "doc_id", "text", tx.Fit()).collect()), key=repr)
+    got = take(docs.repartition(7))
+    assert 1 in known and len(got) == len(known) and got == take(docs.orderBy("text"))
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "idiot"), (3, "x" * 50000), (3, "y")], "doc_id long, text string")
     none = spark.createDataFrame([(1, None), (None, 1), (2, 7)], "doc_id long, toxic int")
