@@ -481,17 +481,14 @@ def forest_scores(spark, sf):
 @register("gbt_scores")
 def gbt_scores(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
-    model = ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3).fit(train)
+    model = ML.gradient_boosting(feats, "will_purchase").fit(train)
     return ML.score(model, test, "will_purchase")
 
 
 @register("overfit_report")
 def overfit_report(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
-    ests = {
-        "logistic_regression": ML.logistic_regression(feats, "will_purchase", train.count()),
-        "gradient_boosting": ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3),
-    }
+    ests = ML.baseline_estimators(feats, "will_purchase", train.count())
     _, results = ML.train_all(train, test, ests, "will_purchase")
     return ML.overfit_report(results)
 
@@ -499,7 +496,7 @@ def overfit_report(spark, sf):
 @register("importances")
 def importances(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
-    model = ML.gradient_boosting(feats, "will_purchase", max_iter=10, step=0.1, max_depth=3).fit(train)
+    model = ML.gradient_boosting(feats, "will_purchase").fit(train)
     return ML.importances(model, feats)
 
 

@@ -122,3 +122,39 @@ def test_search_spaces_are_valid_spark_parameters(spark):
         drawn = spaces.draw(space, 30)
         assert len({tuple(p.items()) for p in drawn}) == min(30, len(drawn)) and len(spaces.draw(space, 30, 1)) == len(drawn)
         assert all(spaces.param_map(base[name].getStages()[-1], p, 100) for p in drawn)
+
+
+def test_registered_boosting_is_full_size(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    from shoplens.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    fitted = []
+
+    def fit(self, *args):
+        last = self.getStages()[-1]
+        if last.hasParam("stepSize"):
+            fitted.append((last.getMaxIter(), last.getMaxDepth(), last.getStepSize()))
+        raise Seen
+
+    def train_all(train, test, ests, label):
+        for est in ests.values():
+            try:
+                est.fit(train)
+            except Seen:
+                pass
+        raise Seen
+
+    fm = feature_frame(spark, 40)
+    monkeypatch.setattr(catalog, "_ml_data", lambda *_: (ML, fm, fm, ["x1", "x2"]))
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    monkeypatch.setattr(ML, "train_all", train_all)
+    for query in (catalog.gbt_scores, catalog.importances, catalog.overfit_report):
+        try:
+            query(spark, "")
+        except Seen:
+            pass
+    assert fitted == [(300, 5, 0.05), (300, 5, 0.05), (300, 5, 0.05), (300, 6, 0.05), (300, 6, 0.05)]
