@@ -103,4 +103,68 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op1_warc": OP1, "op5_one_bit_search": OP5, "op8_jaccard_join": OP8, "op9_quality_rules": OP9}
+# op11: crc32 by its table, near words by equal words less one letter, forms followed.
+OP11 = r"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, CAST(i AS UINTEGER) FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UINTEGER)) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents WHERE text IS NOT NULL
+), low AS (
+  SELECT d, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k FROM runs GROUP BY ALL
+), coded AS (
+  SELECT w, k, string_split(hex(encode(d || ':' || w)), '') AS hx FROM low
+), bytes AS (
+  SELECT w, k, [4294967295] || list_transform(range(1, len(hx), 2), lambda i: 16 * (instr('0123456789ABCDEF', hx[i]) - 1) + instr('0123456789ABCDEF', hx[i + 1]) - 1) AS b FROM coded
+), hashed AS (
+  SELECT w, k, xor(list_reduce(b, lambda c, x: xor(c >> 8, CAST(tab[CAST((xor(c, x) & 255) AS INTEGER) + 1] AS BIGINT))), 4294967295) AS h FROM bytes, crc
+), cut AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(w, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, k FROM hashed
+), v AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS d FROM v, unnest(range(length(word))) u(i)
+), pairs AS (
+  SELECT a.word AS a, b.word AS b, b.n AS n FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN v b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN v b ON a.d = b.word
+), best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS f, max(n) AS fn FROM pairs GROUP BY a
+), forms AS (
+  SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN fn >= 2 * v.n THEN f END AS form, CASE WHEN fn >= 2 * v.n THEN fn END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain(word, tail) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.tail WHERE forms.form IS NOT NULL
+)
+SELECT forms.word, forms.n, forms.n_near, forms.form, forms.form_n, tail AS root
+FROM forms JOIN chain ON chain.word = forms.word JOIN forms AS l ON l.word = chain.tail AND l.form IS NULL
+"""
+
+# op13: the longest rule that fits, else the words of the host.
+OP13 = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS k, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT k, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM p
+), s AS (
+  SELECT k, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h
+), rules(rhost, rpath, v) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fit AS (
+  SELECT k, page_id, host, path, first(rhost || rpath ORDER BY length(rhost || rpath) DESC) FILTER (rhost IS NOT NULL) AS rule,
+         first(v ORDER BY length(rhost || rpath) DESC) FILTER (rhost IS NOT NULL) AS v
+  FROM s LEFT JOIN rules ON ends_with('.' || host, '.' || rhost) AND starts_with(path, rpath) GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host, 'spam|cheap-pills|casino|viagra|porn|xxx-|payday-loan|phishing|malware')
+       THEN 'block' ELSE 'allow' END) AS verdict FROM fit
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": OP1, "op5_one_bit_search": OP5, "op8_jaccard_join": OP8, "op9_quality_rules": OP9,
+                           "op11_spelling_variants": OP11, "op13_url_filters": OP13}

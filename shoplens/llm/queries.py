@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shoplens.llm import bpe, extraction, jaccard, line_quality, orc_tokens, packing, pii, rabitq, toxicity, warc
+from shoplens.llm import (bpe, extraction, jaccard, line_quality, orc_tokens, packing, pii, rabitq, spelling, toxicity, url_filter,
+                          warc, whitening)
 from shoplens.llm.common import table
 
 
@@ -76,6 +77,27 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.read_ids(files)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the corpus."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whitened along their 16 strongest components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+#: The rules that the query is given (fixed values): verdict, host, path.
+SITE_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every url."""
+    rules = [url_filter.site_rule(*r) for r in SITE_RULES] + url_filter.host_words(url_filter.BLOCK, url_filter.BLOCKED_HOST_WORDS)
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules).drop("glob")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_main_text": op2_main_text,
@@ -87,4 +109,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
+    "op13_url_filters": op13_url_filters,
 }
