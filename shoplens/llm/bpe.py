@@ -174,20 +174,17 @@ _CACHES: dict[str, tokens.PieceCache] = {}
 def bpe_cache(path: str, pattern: str) -> tokens.PieceCache:
     """Piece -> (ids, bytes decoded from the ids); one per Python worker."""
     if path not in _CACHES:
-        engine, words = BpeEngine(path), tokens.split_words(pattern)
-        known: dict[str, tuple[bytes, bytes]] = {}
-
-        def encode(pieces: list[str]) -> list[tuple[bytes, bytes]]:
-            tokens.trim(known, tokens.LIMIT)
-            cut = [words(p) for p in pieces]
-            todo = list({w for ws in cut for w in ws if w not in known})
-            ids = engine.encode([w.encode("utf-8", "surrogatepass") for w in todo])
-            new = dict(zip(todo, zip(map(tokens.packed, ids), engine.decode(ids))))
-            known.update((w, v) for w, v in new.items() if len(w) <= tokens.LONG)
-            rows = [[new[w] if w in new else known[w] for w in ws] for ws in cut]
-            return [(b"".join([a for a, _ in r]), b"".join([b for _, b in r])) for r in rows]
-
-        cache = tokens.PieceCache(encode, True)
+        engine = BpeEngine(path)
+
+        def encode(words: list[str]) -> list[tuple[bytes, bytes]]:
+            ids = engine.encode([w.encode("utf-8", "surrogatepass") for w in words])
+            return list(zip(map(tokens.packed, ids), engine.decode(ids)))
+
+        def join(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+            return b"".join([a for a, _ in values]), b"".join([b for _, b in values])
+
+        split = tokens.WordSplitter(tokens.split_words(pattern), True, whole=False)
+        cache = tokens.PieceCache(tokens.by_words(encode, split, join=join), True)
         cache.empty = (b"", b"")
         _CACHES[path] = cache
     return _CACHES[path]
