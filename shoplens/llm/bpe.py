@@ -24,7 +24,9 @@ import heapq
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,26 +37,33 @@ LONG_WORD = 256
 #: Words contracted in one query: bounds its memory.
 WORDS_A_QUERY = 50_000
 
+# A place is word * 1024 + position: one sort gives the order inside all words.
 ENCODE = """
 WITH RECURSIVE steps AS (
-  SELECT word, pos, token, false AS done FROM start
+  SELECT place, token, false AS done FROM start
   UNION ALL
-  SELECT word, pos, CASE WHEN rank * 1024 + pos = best THEN rank ELSE token END, best IS NULL
+  SELECT place, CASE WHEN candidate = best THEN CAST(best >> 10 AS INTEGER) ELSE token END, best IS NULL
   FROM (
-    SELECT *, min(rank * 1024 + pos) OVER (PARTITION BY word) AS best
+    SELECT place, token, candidate, before, min(candidate) OVER (PARTITION BY place >> 10) AS best
     FROM (
-      SELECT word, pos, token, lead(token) OVER by_place AS following, lag(pos) OVER by_place AS before
-      FROM steps WHERE NOT done
-      WINDOW by_place AS (PARTITION BY word ORDER BY pos)
-    ) LEFT JOIN merges ON merges.a = token AND merges.b = following
+      SELECT place, token, before, (CAST(rank AS BIGINT) << 10) | (place & 1023) AS candidate
+      FROM (
+        SELECT place, token, lag(place) OVER by_place AS before,
+               CASE WHEN lead(place) OVER by_place >> 10 = place >> 10
+                    THEN (CAST(token AS BIGINT) << 32) | lead(token) OVER by_place END AS two
+        FROM steps WHERE NOT done
+        WINDOW by_place AS (ORDER BY place)
+      ) LEFT JOIN merges ON merges.pair = two
+    )
   )
-  WHERE best IS NULL OR before IS NULL OR before <> best % 1024
+  WHERE best IS NULL OR before IS NULL OR before <> ((place >> 10 << 10) | (best & 1023))
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM steps WHERE done GROUP BY word ORDER BY word
+SELECT place >> 10 AS word, list(token ORDER BY place) AS ids FROM steps WHERE done GROUP BY place >> 10 ORDER BY 1
 """
 
+# Bytes are spelt as characters 0 to 255, which SQL can join in order.
 DECODE = """
-SELECT word, unhex(string_agg(hex, '' ORDER BY place)) AS bytes
+SELECT word, string_agg(spelling, '' ORDER BY place) AS spelling
 FROM coded JOIN vocabulary USING (token) GROUP BY word ORDER BY word
 """
 
@@ -82,46 +91,50 @@ class BpeEngine:
         self.spelt = {r: t for t, r in self.ranks.items()}
         self.first = [self.ranks[bytes([b])] for b in range(256)]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": tempfile.gettempdir()})
-        columns = list(zip(*merges))
-        self._load("merges", pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64()),
-                                       "rank": pa.array(columns[2], pa.int64())}))
-        self._load("vocabulary", pa.table({"token": pa.array(self.spelt, pa.int64()),
-                                           "hex": [t.hex() for t in self.spelt.values()]}))
+        self._load("merges", pa.table({"pair": pa.array([a << 32 | b for a, b, _ in merges], pa.int64()),
+                                       "rank": pa.array([r for _, _, r in merges], pa.int32())}))
+        self._load("vocabulary", pa.table({"token": pa.array(self.spelt, pa.int32()),
+                                           "spelling": [t.decode("latin-1") for t in self.spelt.values()]}))
 
     def _load(self, name: str, rows: pa.Table) -> None:
         self.con.register("incoming", rows)
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word."""
-        out: list[list[int]] = [[]] * len(words)
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(words)
         todo = []
         for k, w in enumerate(words):
             if w in self.ranks:
-                out[k] = [self.ranks[w]]
+                out[k] = self.ranks[w].to_bytes(4, "little")
             elif len(w) > LONG_WORD:
-                out[k] = self.contract(w)
+                out[k] = tokens.packed(self.contract(w))
             elif w:
                 todo.append(k)
         for at in range(0, len(todo), WORDS_A_QUERY):
             part = todo[at:at + WORDS_A_QUERY]
-            for k, ids in zip(part, self._contracted([words[k] for k in part])):
-                out[k] = ids
+            ids, ends = self._query([words[k] for k in part])
+            raw = ids.tobytes()
+            for k, i, j in zip(part, [0, *ends], ends):
+                out[k] = raw[4 * i:4 * j]
         return out
 
-    def _contracted(self, words: list[bytes]) -> list[list[int]]:
-        import numpy as np
-
+    def _query(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """All ids one after the other, and where those of each word end."""
         lengths = np.array([len(w) for w in words])
         joined = np.frombuffer(b"".join(words), dtype=np.uint8)
         starts = np.cumsum(lengths) - lengths
-        self._load("start", pa.table({
-            "word": np.repeat(np.arange(len(words)), lengths),
-            "pos": np.arange(len(joined)) - np.repeat(starts, lengths),
-            "token": np.array(self.first, dtype=np.int64)[joined]}))
-        got = self.con.sql(ENCODE).to_arrow_table().column("ids")
-        return got.to_pylist()
+        word = np.repeat(np.arange(len(words)), lengths)
+        self._load("start", pa.table({"place": word << 10 | np.arange(len(joined)) - np.repeat(starts, lengths),
+                                      "token": np.array(self.first, dtype=np.int32)[joined]}))
+        got = self.con.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
+        ends = np.cumsum(pa.compute.list_value_length(got).to_numpy(zero_copy_only=False)).tolist()
+        return got.flatten().to_numpy(zero_copy_only=False).astype("<u4"), ends
+
+    def _contracted(self, words: list[bytes]) -> list[list[int]]:
+        ids, ends = self._query(words)
+        return [ids[i:j].tolist() for i, j in zip([0, *ends], ends)]
 
     def contract(self, word: bytes) -> list[int]:
         """One long word, by a heap of (rank, place) over linked neighbours."""
@@ -146,25 +159,19 @@ class BpeEngine:
                     heapq.heappush(heap, (x, left))
         return [t for t in token if t >= 0]
 
-    def decode(self, coded: list[list[int]]) -> list[bytes]:
-        """Bytes that each list of ids stands for."""
-        import numpy as np
-
+    def decode(self, coded: list[bytes]) -> list[bytes]:
+        """Bytes that the ids of each word stand for."""
         out = [b""] * len(coded)
         for at in range(0, len(coded), WORDS_A_QUERY):
             part = coded[at:at + WORDS_A_QUERY]
-            lengths = np.array([len(x) for x in part])
-            total = int(lengths.sum())
-            if not total:
+            ids = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int32)
+            if not len(ids):
                 continue
-            starts = np.cumsum(lengths) - lengths
-            self._load("coded", pa.table({
-                "word": np.repeat(np.arange(len(part)), lengths),
-                "place": np.arange(total) - np.repeat(starts, lengths),
-                "token": np.fromiter((i for x in part for i in x), dtype=np.int64, count=total)}))
+            word = np.repeat(np.arange(len(part)), [len(x) // 4 for x in part])
+            self._load("coded", pa.table({"word": word, "place": np.arange(len(ids)), "token": ids}))
             rows = self.con.sql(DECODE).to_arrow_table()
-            for k, b in zip(rows.column("word").to_pylist(), rows.column("bytes").to_pylist()):
-                out[at + k] = b
+            for k, x in zip(rows.column("word").to_pylist(), rows.column("spelling").to_pylist()):
+                out[at + k] = x.encode("latin-1")
         return out
 
 
@@ -178,7 +185,7 @@ def bpe_cache(path: str, pattern: str) -> tokens.PieceCache:
 
         def encode(words: list[str]) -> list[tuple[bytes, bytes]]:
             ids = engine.encode([w.encode("utf-8", "surrogatepass") for w in words])
-            return list(zip(map(tokens.packed, ids), engine.decode(ids)))
+            return list(zip(ids, engine.decode(ids)))
 
         def join(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
             return b"".join([a for a, _ in values]), b"".join([b for _, b in values])
