@@ -11,9 +11,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -26,6 +30,8 @@ from pyspark.sql import functions as F
 from shoplens.operators import metrics as ME
 from shoplens.operators.business import apply_decay
 from shoplens.ml.spaces import ADVANCED_SPACES, draw, param_map
+from shoplens.ml.rates import RateModel
+from shoplens.session import checkpoint_dir
 from shoplens.operators.splits import kfold_assign, stratified_split, with_weights
 
 # Training-set shares of a learning curve (fixed values).
@@ -82,10 +88,10 @@ def random_forest(features: Sequence[str], label: str, num_trees: int = 200, max
 
 
 def gradient_boosting(features: Sequence[str], label: str, max_iter: int = 300, step: float = 0.05,
-                      max_depth: int = 5, subsampling: float = 1.0, seed: int = 42) -> Pipeline:
+                      max_depth: int = 5, subsampling: float = 1.0, seed: int = 42, bins: int = 32) -> Pipeline:
     """M4: the three boosting presets of the original are one Spark GBT with
-    different (maxIter, stepSize, maxDepth)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter,
+    different (maxIter, stepSize, maxDepth, maxBins)."""
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter, maxBins=bins,
                         stepSize=step, maxDepth=max_depth, subsamplingRate=subsampling, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), gbt])
 
@@ -93,7 +99,7 @@ def gradient_boosting(features: Sequence[str], label: str, max_iter: int = 300,
 # ------------------------------------------------------------------- scoring
 def score(model: PipelineModel, df: DataFrame, label: str, id_col: str = "user_id", threshold: float = 0.5) -> DataFrame:
     """(id, y_true, y_score, y_pred) with y_score = P(class 1)."""
-    p = vector_to_array(F.col("probability"))[1]
+    p = F.col("probability") if isinstance(model, RateModel) else vector_to_array(F.col("probability"))[1]
     return model.transform(df).select(
         id_col, F.col(label).cast("int").alias("y_true"), p.alias("y_score"),
         (p >= threshold).cast("int").alias("y_pred"),
@@ -111,17 +117,68 @@ def _long(metrics_row: DataFrame, model_name: str, split: str) -> DataFrame:
                                   f"stack({len(METRICS)}, {pairs}) AS (metric, value)")
 
 
+#: Fits that run at a time: the small jobs of one fit leave most cores idle.
+FITS_AT_A_TIME = 4
+
+
+def fit_all(jobs: dict, width: int = FITS_AT_A_TIME) -> dict:
+    """Runs independent fits (name -> callable) side by side, ``width`` at a time.
+
+    The first failure is raised once the fits that already run have ended.
+    """
+    own = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(max_workers=max(1, min(width, len(jobs)))) as pool:
+        running = {name: pool.submit(own(job)) for name, job in jobs.items()}
+        try:
+            return {name: f.result() for name, f in running.items()}
+        except BaseException:
+            for f in running.values():
+                f.cancel()
+            raise
+
+
+def scored_table(parts: dict, label: str, id_col: str = "user_id") -> tuple[dict, DataFrame]:
+    """Fits and scores side by side: models by name, and one table of all scores.
+
+    ``parts`` has by name a callable that gives a model, and the frames it scores
+    with their labels, which become columns.  Each model's scores are written once,
+    next to those of the others; every metric reads them from there and no model
+    is applied again.
+    """
+    spark = SparkSession.getActiveSession()
+    base = f"{checkpoint_dir(spark).rstrip('/')}/scored-{uuid.uuid4().hex[:12]}"
+
+    def run(k: int, fit, sides) -> tuple:
+        model = fit()
+        frames = [score(model, df, label, id_col).withColumns({c: F.lit(v) for c, v in labels.items()}) for labels, df in sides]
+        out = reduce(DataFrame.unionByName, frames)
+        out.write.parquet(f"{base}/{k}")
+        return model, out.schema
+
+    done = fit_all({name: lambda k=k, part=part: run(k, *part) for k, (name, part) in enumerate(parts.items())})
+    schema = next(iter(done.values()))[1]
+    scored = spark.read.schema(schema).parquet(*[f"{base}/{k}" for k in range(len(parts))])
+    return {name: m for name, (m, _) in done.items()}, scored
+
+
+def results_of(scored: DataFrame) -> DataFrame:
+    """(model, split, metric, value) of a table of scores with model and split."""
+    pairs = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in METRICS)
+    return ME.grouped_metrics(scored, ["model", "split"]).selectExpr(
+        "model", "split", f"stack({len(METRICS)}, {pairs}) AS (metric, value)")
+
+
 def train_all(train: DataFrame, test: DataFrame, estimators: dict[str, Pipeline], label: str,
               id_col: str = "user_id") -> tuple[dict[str, PipelineModel], DataFrame]:
-    """M5: fit every estimator once, score the test split; leaderboard rows
-    (model, metric, value) for train and test."""
-    models, parts = {}, []
-    for name, est in estimators.items():
-        m = est.fit(train)
-        models[name] = m
-        parts.append(_long(evaluate(score(m, test, label, id_col)), name, "test"))
-        parts.append(_long(evaluate(score(m, train, label, id_col)), name, "train"))
-    return models, reduce(DataFrame.unionByName, parts)
+    """M5: fit every estimator once, score both splits once; leaderboard rows
+    (model, split, metric, value) from one grouped pass over the scores."""
+    models, scored = scored_table({name: (lambda est=est: est.fit(train), _both(name, train, test))
+                                   for name, est in estimators.items()}, label, id_col)
+    return models, results_of(scored)
+
+
+def _both(name: str, train: DataFrame, test: DataFrame) -> list[tuple[dict, DataFrame]]:
+    return [({"model": name, "split": "test"}, test), ({"model": name, "split": "train"}, train)]
 
 
 def leaderboard(results: DataFrame) -> DataFrame:
@@ -203,14 +260,13 @@ def cross_validate_all(df: DataFrame, estimators: dict[str, Pipeline], label: st
                        id_col: str = "user_id") -> DataFrame:
     """M9: per model, mean and population std of F1 and AUC over k folds."""
     data = kfold_assign(df, label, k, seed, id_col).persist()
-    rows = []
-    for name, est in estimators.items():
-        for f in range(k):
-            m = est.fit(data.where(F.col("fold") != f))
-            met = evaluate(score(m, data.where(F.col("fold") == f), label, id_col))
-            rows.append(met.select(F.lit(name).alias("model"), F.lit(f).alias("fold"), "f1", "auc_roc"))
-    allf = reduce(DataFrame.unionByName, rows)
-    return allf.groupBy("model").agg(
+    try:
+        _, scored = scored_table({(name, f): (lambda est=est, f=f: est.fit(data.where(F.col("fold") != f)),
+                                              [({"model": name, "fold": f}, data.where(F.col("fold") == f).drop("fold"))])
+                                  for name, est in estimators.items() for f in range(k)}, label, id_col)
+    finally:
+        data.unpersist()
+    return ME.grouped_metrics(scored, ["model", "fold"]).groupBy("model").agg(
         F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"),
         F.avg("auc_roc").alias("auc_mean"), F.stddev_pop("auc_roc").alias("auc_std"),
     )
@@ -223,19 +279,20 @@ def learning_curve(df: DataFrame, est: Pipeline, label: str, sizes: Sequence[flo
     data = kfold_assign(df, label, k, seed, id_col).withColumn(
         "_h", F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|lc|"), F.col(id_col).cast("string"))), 1, 13), 16, 10)
         .cast("double") / float(16 ** 13)).persist()
-    rows = []
-    for frac in sizes:
-        for f in range(k):
-            tr = data.where((F.col("fold") != f) & (F.col("_h") < frac))
-            m = est.fit(tr)
-            a_tr = ME.roc_auc(score(m, tr, label, id_col)).select(F.col("auc").alias("train_auc"))
-            a_va = ME.roc_auc(score(m, data.where(F.col("fold") == f), label, id_col)).select(
-                F.col("auc").alias("val_auc"))
-            rows.append(a_tr.crossJoin(a_va).select(F.lit(frac).alias("size"), "train_auc", "val_auc"))
-    allr = reduce(DataFrame.unionByName, rows)
-    return allr.groupBy("size").agg(
-        F.avg("train_auc").alias("train_mean"), F.stddev_pop("train_auc").alias("train_std"),
-        F.avg("val_auc").alias("val_mean"), F.stddev_pop("val_auc").alias("val_std"),
+    train = lambda frac, f: data.where((F.col("fold") != f) & (F.col("_h") < frac))
+    try:
+        _, scored = scored_table({
+            (frac, f): (lambda frac=frac, f=f: est.fit(train(frac, f)),
+                        [({"size": frac, "fold": f, "side": "train"}, train(frac, f)),
+                         ({"size": frac, "fold": f, "side": "val"}, data.where(F.col("fold") == f))])
+            for frac in sizes for f in range(k)}, label, id_col)
+    finally:
+        data.unpersist()
+    m = ME.grouped_metrics(scored, ["size", "fold", "side"])
+    of = lambda side: F.when(F.col("side") == side, F.col("auc_roc"))
+    return m.groupBy("size").agg(
+        F.avg(of("train")).alias("train_mean"), F.stddev_pop(of("train")).alias("train_std"),
+        F.avg(of("val")).alias("val_mean"), F.stddev_pop(of("val")).alias("val_std"),
     ).orderBy("size")
 
 
@@ -294,13 +351,13 @@ def baseline_estimators(features: Sequence[str], label: str, n_rows: int, trees:
                         iterations: int = 300) -> dict[str, Pipeline]:
     """M2-M4 presets: logistic regression, random forest and the three
     boosting presets (as Spark GBT)."""
-    boosted = lambda depth: gradient_boosting(features, label, max_iter=iterations, step=0.05, max_depth=depth)
+    boosted = lambda depth, bins=32: gradient_boosting(features, label, max_iter=iterations, step=0.05, max_depth=depth, bins=bins)
     return {
         "logistic_regression": logistic_regression(features, label, n_rows),
         "random_forest": random_forest(features, label, num_trees=trees, max_depth=10),
         "boosted_depth": boosted(5),
         "boosted_leaves": boosted(6),
-        "boosted_shallow": boosted(6),
+        "boosted_shallow": boosted(6, 254),  # finer borders, as its original has by default
     }
 
 
@@ -337,10 +394,11 @@ def train_all_advanced(train: DataFrame, test: DataFrame, features: Sequence[str
     report, chosen name)."""
     ests = baseline_estimators(features, label, train.count(), trees, iterations)
     models, results = train_all(train, test, ests, label)
-    for name, model in train_regularised(train, test, features, label, n_iter, folds, names).items():
-        models[name] = model
-        for split, df in (("test", test), ("train", train)):
-            results = results.unionByName(_long(evaluate(score(model, df, label)), name, split))
+    more = train_regularised(train, test, features, label, n_iter, folds, names)
+    if more:
+        more, scored = scored_table({name: (lambda m=m: m, _both(name, train, test)) for name, m in more.items()}, label)
+        models |= more
+        results = results.unionByName(results_of(scored))
     report = overfit_report(results, threshold)
     return models, results, report, choose_model(report)
 

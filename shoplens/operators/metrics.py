@@ -102,6 +102,37 @@ def roc_auc(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> Dat
     )
 
 
+def grouped_metrics(scored: DataFrame, groups: Sequence[str], y: str = "y_true", score: str = "y_score",
+                    pred: str = "y_pred") -> DataFrame:
+    """E2 and E3 of every group (model, split, fold, ...) at once: accuracy,
+    precision, recall, f1, auc_roc.
+
+    One aggregate for the counts and one grouped ranking for all curves, however
+    many groups there are and however large one is.  A group without one of the
+    classes has a null auc_roc.
+    """
+    t, p = F.col(y) == 1, F.col(pred) == 1
+    s = F.col(score).cast("double")
+    usable = F.col(y).isNotNull() & s.isNotNull() & ~F.isnan(s)
+    c = scored.groupBy(*groups).agg(
+        F.count_if(~t & ~p).alias("tn"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(t & p).alias("tp"),
+        F.count_if(usable & t).alias("_P"), F.count_if(usable & ~t).alias("_N"))
+    g = scored.where(usable).groupBy(*groups, s.alias("score")).agg(
+        F.count_if(t).alias("pos"), F.count_if(~t).alias("neg"))
+    r = global_rank(g, "score", sums=["neg"], rank_col="point", groups=groups)
+    u = r.groupBy(*[F.col(x).alias(f"_{x}") for x in groups]).agg(
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)).alias("_u"))
+    same = F.lit(True)
+    for x in groups:
+        same = same & F.col(x).eqNullSafe(F.col(f"_{x}"))
+    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
+    return c.join(u, same, "left").select(
+        *groups,
+        _div(tp + tn, tp + tn + fp + fn).alias("accuracy"), _div(tp, tp + fp).alias("precision"),
+        _div(tp, tp + fn).alias("recall"), _div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        F.try_divide(F.col("_u"), (F.col("_P") * F.col("_N")).cast("double")).alias("auc_roc"))
+
+
 def average_precision(scored: DataFrame, y: str = "y_true", score: str = "y_score") -> DataFrame:
     """Sum over distinct thresholds of (recall step) x precision."""
     c = _cumulative(scored, y, score, descending=True)

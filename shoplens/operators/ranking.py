@@ -55,9 +55,14 @@ def global_rank(
     rank_col: str = "rank",
     buckets: int | None = None,
     extra_order: Sequence[str] = (),
+    groups: Sequence[str] = (),
 ) -> DataFrame:
     """Exact position in the order (key [desc], tiebreak asc) + running sums.
 
+    With ``groups`` positions and sums start anew in each group.  All groups are
+    ranked by one shuffle, and a group may be the whole table: it is cut into
+    ranges like any other stretch of the order.
+
     Adds ``rank_col`` (1-based) and ``cum_<c>`` for each column in ``sums``
     (inclusive running sum in the same order; nulls count as 0).  Give a unique
     ``tiebreak`` (or ``extra_order`` columns, compared after it) for a
@@ -65,6 +70,8 @@ def global_rank(
     """
     first = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
     order = [first] + [F.col(c).asc_nulls_last() for c in [tiebreak, *extra_order] if c]
+    if groups:
+        return _group_rank(df, list(groups), order, sums, rank_col, buckets)
     placed = _placed(df, order, buckets)
     totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), *[
         F.coalesce(F.sum(c), F.lit(0)).alias(f"_s{i}") for i, c in enumerate(sums)])
@@ -87,6 +94,30 @@ def global_rank(
     return out.drop("_part", "_at", "_row", "_off", *[f"_off{i}" for i in range(len(sums))])
 
 
+def _group_rank(df: DataFrame, groups: list[str], order: Sequence[Column], sums: Sequence[str], rank_col: str,
+                buckets: int | None) -> DataFrame:
+    """``global_rank`` inside groups.  A range partition holds a stretch of each
+    of its groups; a stretch's offset is the sum of the stretches before it,
+    of which a group has one a partition at most."""
+    placed = _placed(df, [F.col(c).asc_nulls_last() for c in groups] + list(order), buckets)
+    count = F.count(F.lit(1)).alias("_n")
+    totals = placed.groupBy("_part", *groups).agg(count, *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"_s{i}") for i, c in enumerate(sums)])
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_part").alias("_opart"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            *[F.coalesce(F.sum(f"_s{i}").over(before), F.lit(0)).alias(f"_off{i}") for i in range(len(sums))])
+    inside = Window.partitionBy("_part", *groups).orderBy("_row")
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.withColumns({"_at_rank": F.row_number().over(inside),
+                              **{f"_run{i}": F.sum(F.coalesce(F.col(c), F.lit(0))).over(running) for i, c in enumerate(sums)}})
+    same = F.col("_part") == F.col("_opart")
+    for i, c in enumerate(groups):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out = out.join(offsets, same)
+    return out.select(*df.columns, (F.col("_off") + F.col("_at_rank")).alias(rank_col),
+                      *[(F.col(f"_off{i}") + F.col(f"_run{i}")).alias(f"cum_{c}") for i, c in enumerate(sums)])
+
+
 def quantile_values_multi(df: DataFrame, wanted: dict[str, Sequence[float]],
                           buckets: int | None = None, totals: dict | None = None) -> dict[str, list]:
     """Exact linear-interpolated quantiles of several columns, as floats.

@@ -493,6 +493,54 @@ def overfit_report(spark, sf):
     return ML.overfit_report(results)
 
 
+def rate_models() -> dict:
+    """Baselines that SQL can state in full, for the reports on models."""
+    from shoplens.ml.rates import RateEstimator
+
+    cols = {"rate_membership": ["membership"], "rate_device": ["device_type"], "rate_age": ["age_group"],
+            "rate_all": ["membership", "device_type", "age_group"]}
+    return {name: RateEstimator(c, "will_purchase") for name, c in cols.items()}
+
+
+def rate_base(spark, sf):
+    u = users_clean(spark, sf)
+    return u.select("user_id", "membership", "device_type", "age_group", "will_purchase")
+
+
+def _rate_results(spark, sf):
+    from shoplens.ml import train as ML
+
+    split = SP.stratified_split(rate_base(spark, sf), "will_purchase", 0.2, 42)
+    part = lambda name: split.where(F.col("split") == name).drop("split")
+    return ML, ML.train_all(part("train"), part("test"), rate_models(), "will_purchase")[1]
+
+
+@register("leaderboard")
+def leaderboard(spark, sf):
+    ML, results = _rate_results(spark, sf)
+    return ML.leaderboard(results)
+
+
+@register("overfit_rates")
+def overfit_rates(spark, sf):
+    ML, results = _rate_results(spark, sf)
+    return round_doubles(ML.overfit_report(results, 0.02))
+
+
+@register("cv_report")
+def cv_report(spark, sf):
+    from shoplens.ml import train as ML
+
+    return round_doubles(ML.cross_validate_all(rate_base(spark, sf), rate_models(), "will_purchase"))
+
+
+@register("learning_curve")
+def learning_curve(spark, sf):
+    from shoplens.ml import train as ML
+
+    return round_doubles(ML.learning_curve(rate_base(spark, sf), rate_models()["rate_all"], "will_purchase"))
+
+
 @register("importances")
 def importances(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)

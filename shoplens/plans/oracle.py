@@ -1145,3 +1145,96 @@ LEFT JOIN t6_future f ON u.user_id = f.user_id
 """,
     "shop_users", "t6_cut", "t6_sess", "t6_browse", "t6_ord", "t6_future",
 )
+
+
+# ------------------------------------------------- reports on rate models
+RATE_COLUMNS = {"rate_membership": ["membership"], "rate_device": ["device_type"], "rate_age": ["age_group"],
+                "rate_all": ["membership", "device_type", "age_group"]}
+
+
+def rate_scores(name: str, train: str, runs: str, target: str) -> str:
+    """Scores of one rate model: learnt from ``train`` per run, applied to ``target``
+    (both (run columns, user columns)); ``runs`` are the columns that tell runs apart."""
+    cols = RATE_COLUMNS[name]
+    keys = ", ".join(cols)
+    same = " AND ".join([f"t.{c} IS NOT DISTINCT FROM r.{c}" for c in cols + runs.split(", ")])
+    mine = " AND ".join(f"t.{c} = o.{c}" for c in runs.split(", "))
+    return f"""
+SELECT '{name}' AS model, t.*, coalesce((r.pos + 20.0::DOUBLE * o.overall) / (r.n + 20.0::DOUBLE), o.overall) AS y_score
+FROM {target} t
+JOIN (SELECT {runs}, CAST(sum(will_purchase) AS DOUBLE) / CAST(count(will_purchase) AS DOUBLE) AS overall FROM {train} GROUP BY {runs}) o ON {mine}
+LEFT JOIN (SELECT {runs}, {keys}, sum(will_purchase) AS pos, count(will_purchase) AS n FROM {train} GROUP BY {runs}, {keys}) r ON {same}
+"""
+
+
+def rated_metrics(scored: str, groups: str) -> str:
+    """Five metrics per group of a scored CTE (will_purchase, y_score); AUC by mid-ranks."""
+    return f"""
+SELECT {groups},
+       CAST(sum(CAST((y_score >= 0.5) = (will_purchase = 1) AS INTEGER)) AS DOUBLE) / count(*) AS accuracy,
+       coalesce(CAST(sum(will_purchase) FILTER (y_score >= 0.5) AS DOUBLE) / nullif(count(*) FILTER (y_score >= 0.5), 0), 0) AS precision,
+       coalesce(CAST(sum(will_purchase) FILTER (y_score >= 0.5) AS DOUBLE) / nullif(sum(will_purchase), 0), 0) AS recall,
+       coalesce(2 * CAST(sum(will_purchase) FILTER (y_score >= 0.5) AS DOUBLE)
+                / nullif(count(*) FILTER (y_score >= 0.5) + sum(will_purchase), 0), 0) AS f1,
+       (sum(mid) FILTER (will_purchase = 1) - CAST(sum(will_purchase) AS DOUBLE) * (sum(will_purchase) + 1) / 2)
+         / nullif(CAST(sum(will_purchase) AS DOUBLE) * (count(*) - sum(will_purchase)), 0) AS auc_roc
+FROM (SELECT *, rank() OVER (PARTITION BY {groups} ORDER BY y_score)
+                + (count(*) OVER (PARTITION BY {groups}, y_score) - 1) / 2.0::DOUBLE AS mid FROM {scored}) m
+GROUP BY {groups}
+"""
+
+
+_USERS = "user_id, membership, device_type, age_group, will_purchase"
+cte("rate_split", f"""
+SELECT {_USERS}, 1 AS run,
+       CASE WHEN class_rank <= round(class_n * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM clean_usr JOIN (SELECT user_id, class_rank, class_n FROM split_ranked) USING (user_id)
+""", ["clean_usr", "split_ranked"])
+cte("rate_train", "SELECT * FROM rate_split WHERE split = 'train'", ["rate_split"])
+cte("rate_scored", "\nUNION ALL\n".join(rate_scores(n, "rate_train", "run", "rate_split") for n in RATE_COLUMNS),
+    ["rate_split", "rate_train"])
+cte("rate_results", rated_metrics("rate_scored", "model, split"), ["rate_scored"])
+query("leaderboard", """
+SELECT model, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1,
+       round(auc_roc, 4) AS auc_roc FROM rate_results WHERE split = 'test'
+""", "rate_results")
+query("overfit_rates", """
+SELECT model, metric, round(train, 6) AS train, round(test, 6) AS test, round(train - test, 6) AS gap,
+       max(abs(train - test)) OVER (PARTITION BY model) > 0.02 AS overfit,
+       round(max(train - test) FILTER (metric = 'auc_roc') OVER (PARTITION BY model), 6) AS auc_gap
+FROM (UNPIVOT (SELECT * FROM rate_results WHERE split = 'train') ON accuracy, precision, recall, f1, auc_roc INTO NAME metric VALUE train) a
+JOIN (SELECT model, metric, test FROM (UNPIVOT (SELECT * FROM rate_results WHERE split = 'test') ON accuracy, precision, recall, f1, auc_roc
+      INTO NAME metric VALUE test)) b USING (model, metric)
+""", "rate_results")
+cte("rate_folds", f"""
+SELECT {_USERS}, CAST((class_rank - 1) % 5 AS INTEGER) AS fold,
+       CAST(CAST('0x' || substr(md5('42|lc|' || CAST(user_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE AS h
+FROM clean_usr JOIN (SELECT user_id, class_rank FROM split_ranked) USING (user_id)
+""", ["clean_usr", "split_ranked"])
+cte("fold_train", f"SELECT f.fold, {', '.join('u.' + c for c in _USERS.split(', '))} FROM rate_folds u JOIN (SELECT DISTINCT fold FROM rate_folds) f ON u.fold <> f.fold",
+    ["rate_folds"])
+cte("fold_scored", "\nUNION ALL\n".join(rate_scores(n, "fold_train", "fold", "rate_folds") for n in RATE_COLUMNS),
+    ["rate_folds", "fold_train"])
+cte("fold_results", rated_metrics("fold_scored", "model, fold"), ["fold_scored"])
+query("cv_report", """
+SELECT model, round(avg(f1), 6) AS f1_mean, round(stddev_pop(f1), 6) AS f1_std, round(avg(auc_roc), 6) AS auc_mean,
+       round(stddev_pop(auc_roc), 6) AS auc_std FROM fold_results GROUP BY model
+""", "fold_results")
+cte("curve_runs", """
+SELECT 0.1::DOUBLE + 0.9::DOUBLE * i / 7 AS size, fold FROM range(8) r(i), (SELECT DISTINCT fold FROM rate_folds) f
+""", ["rate_folds"])
+cte("curve_train", f"""
+SELECT c.size, c.fold, 'train' AS side, {', '.join('u.' + c for c in _USERS.split(', '))}
+FROM curve_runs c JOIN rate_folds u ON u.fold <> c.fold AND u.h < c.size
+""", ["curve_runs", "rate_folds"])
+cte("curve_rows", f"""
+SELECT * FROM curve_train UNION ALL
+SELECT c.size, c.fold, 'val' AS side, {', '.join('u.' + c for c in _USERS.split(', '))} FROM curve_runs c JOIN rate_folds u ON u.fold = c.fold
+""", ["curve_runs", "curve_train", "rate_folds"])
+cte("curve_scored", rate_scores("rate_all", "curve_train", "size, fold", "curve_rows"), ["curve_rows", "curve_train"])
+cte("curve_results", rated_metrics("curve_scored", "size, fold, side"), ["curve_scored"])
+query("learning_curve", """
+SELECT round(size, 6) AS size, round(avg(auc_roc) FILTER (side = 'train'), 6) AS train_mean,
+       round(stddev_pop(auc_roc) FILTER (side = 'train'), 6) AS train_std, round(avg(auc_roc) FILTER (side = 'val'), 6) AS val_mean,
+       round(stddev_pop(auc_roc) FILTER (side = 'val'), 6) AS val_std FROM curve_results GROUP BY size
+""", "curve_results")
