@@ -52,13 +52,35 @@ def age_group(age: Column | str) -> Column:
     )
 
 
-def exact_sum(c: Column | str, scale: int = 6) -> Column:
-    """Sum of a measure with at most ``scale`` decimals, added exactly as a
-    decimal and returned as double: the result does not depend on the order
-    in which partitions are combined (a plain double sum does)."""
-    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
-
-
-def exact_avg(c: Column | str, scale: int = 6) -> Column:
-    """Mean with an order-independent (decimal) numerator; nulls ignored."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
+def exact_terms(c: Column | str) -> list[Column]:
+    """Three terms whose sums, added up, are the sum of ``c``: millionths as a
+    decimal, what is left of the value in steps of 1e-30 as a decimal, and the rest
+    (below 1e-30, beyond 1e20, infinite or NaN) as double.
+
+    Decimals are added exactly, so the sum does not depend on the order in which
+    partitions are combined, and no digit of a value is cut off.  Values with at
+    most six decimals have only the first term.  Nulls stay null.
+    """
+    x = _col(c)
+    d = x.cast("double")
+    zero = F.lit(0).cast("decimal(38,6)")
+    high = F.when(d.isNotNull(), F.when(F.abs(d) < F.lit(1e20), F.coalesce(x.try_cast("decimal(38,6)"), zero)).otherwise(zero))
+    left = d - high.cast("double")
+    fine = F.lit(0).cast("decimal(38,30)")
+    low = F.when(left == 0, fine).otherwise(F.when(F.abs(left) < F.lit(1e-5), left.try_cast("decimal(38,30)")).otherwise(fine))
+    return [high, low, left - low.cast("double")]
+
+
+def exact_total(high: Column, low: Column, rest: Column) -> Column:
+    """The sum as double from the summed ``exact_terms``."""
+    return high.cast("double") + (low.cast("double") + rest)
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Sum of a measure that does not depend on the order of the rows: see ``exact_terms``."""
+    return exact_total(*[F.sum(t) for t in exact_terms(c)])
+
+
+def exact_avg(c: Column | str) -> Column:
+    """Mean with an order-independent numerator; nulls ignored."""
+    return F.try_divide(exact_sum(c), F.count(_col(c)).cast("double"))

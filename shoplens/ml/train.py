@@ -346,6 +346,22 @@ def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     return train, test
 
 
+def sized(df: DataFrame, partition_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` kept, in no more partitions than its bytes ask for.
+
+    Boosting runs thousands of short jobs over these rows, so tasks without work
+    cost more than the work; large data keeps the partitions it has.
+    """
+    kept = df.persist()
+    need = max(1, -(-kept.count() * len(df.columns) * 8 // partition_bytes))
+    if need >= kept.rdd.getNumPartitions():
+        return kept
+    few = df.coalesce(need).persist()
+    few.count()
+    kept.unpersist()
+    return few
+
+
 # -------------------------------------------------- presets and bundles
 def baseline_estimators(features: Sequence[str], label: str, n_rows: int, trees: int = 200,
                         iterations: int = 300) -> dict[str, Pipeline]:

@@ -15,13 +15,10 @@ from pyspark.sql import types as T
 
 from shoplens.functions.dates import floor_days
 from shoplens.functions.scalar import age_group, clip_upper, ordinal_encode
+from shoplens.operators.fingerprint import distinct_rows
 from shoplens.operators.ranking import exact_quantiles, keep_first, quantile_values_multi
 from shoplens.schema import DATETIME_COLUMNS, MEMBERSHIP_ORDER, PREMIUM_TIERS, STATUS_ORDER
 
-# Caps are kept to 1e-6: far below the data's resolution, and it makes the
-# clipped values identical whichever engine interpolated the quantile.
-CAP_DECIMALS = 6
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -53,7 +50,7 @@ def clip_outliers(df: DataFrame, col: str, percentile: float = 0.95, out_col: st
 
     Nulls stay null.  The cap is a one-row frame joined back by broadcast.
     """
-    cap = exact_quantiles(df, col, [percentile], ["_cap"]).select(F.round("_cap", CAP_DECIMALS).alias("_cap"))
+    cap = exact_quantiles(df, col, [percentile], ["_cap"])
     return (
         df.crossJoin(F.broadcast(cap))
         .withColumn(out_col or col, clip_upper(F.col(col), F.col("_cap")))
@@ -87,12 +84,11 @@ def handle_missing_values(df: DataFrame, strategy: str = "median") -> DataFrame:
     if nums and strategy == "median":
         med = quantile_values_multi(df, {c: [0.5] for c in nums})
         fills.update({c: med[c][0] for c in nums})
-    aggs = [F.mode(c, deterministic=True).alias(c) for c in strs]
+    if strs:
+        fills.update(modes(df, strs))
     if nums and strategy != "median":
-        aggs += [F.avg(c).alias(c) for c in nums]
-    if aggs:
-        row = df.agg(*aggs).first()
-        fills.update({c: row[c] for c in row.asDict()})
+        row = df.agg(*[F.avg(c).alias(c) for c in nums]).first()
+        fills.update(row.asDict())
     out = df
     for c in nums:
         v = fills.get(c)
@@ -110,13 +106,26 @@ def handle_missing_values(df: DataFrame, strategy: str = "median") -> DataFrame:
     return out.select(*df.columns)
 
 
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
+    """Most frequent value per column, the smallest among equals; null for a column of nulls.
+
+    Values are counted first, so no buffer holds all distinct values of a
+    column; what reaches the driver is one row per column.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(f"`{c}`").alias("_v")) for i, c in enumerate(cols)]))
+    counts = (df.select(pairs.alias("_p")).select("_p.*").where(F.col("_v").isNotNull())
+              .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    best = counts.groupBy("_c").agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("_b"))
+    found = {cols[r["_c"]]: r["v"] for r in best.select("_c", "_b.v").collect()}
+    return {c: found.get(c) for c in cols}
+
+
 def remove_duplicates(df: DataFrame, pk_col: str | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
     """Drop exact duplicate rows; with ``pk_col`` keep the first row per
     key by ``order_by`` (Spark rows have no inherent order, so name one)."""
-    out = df.dropDuplicates()
     if pk_col and pk_col in df.columns:
-        out = keep_first(out, [pk_col], list(order_by or [c for c in df.columns if c != pk_col]))
-    return out
+        return keep_first(df, [pk_col], list(order_by or [c for c in df.columns if c != pk_col]))
+    return distinct_rows(df)
 
 
 # --------------------------------------------------------------------- tables
@@ -127,8 +136,7 @@ def clean_sessions(sessions: DataFrame) -> DataFrame:
     come from the same input, so one pass of the session table serves both."""
     q = quantile_values_multi(sessions, {"duration_secs": [0.95], "pages_visited": [0.99]})
     dcap, pcap = q["duration_secs"][0], q["pages_visited"][0]
-    caps = sessions.sparkSession.createDataFrame([(dcap, pcap)], "_dcap double, _pcap double").select(
-        F.round("_dcap", CAP_DECIMALS).alias("_dcap"), F.round("_pcap", CAP_DECIMALS).alias("_pcap"))
+    caps = sessions.sparkSession.createDataFrame([(dcap, pcap)], "_dcap double, _pcap double")
     s = sessions.crossJoin(F.broadcast(caps)).select(
         *[c for c in sessions.columns if c not in ("duration_secs", "pages_visited", "bounced")],
         clip_upper(F.col("duration_secs"), F.col("_dcap")).alias("duration_secs_clean"),

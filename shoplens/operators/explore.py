@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import exact_avg, exact_sum
+from shoplens.operators.fingerprint import repeated_rows
 from shoplens.operators.clean import numeric_columns
 from shoplens.operators.ranking import exact_quantiles
 
@@ -74,29 +75,25 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
 def count_by_dimension(facts: DataFrame, dim: DataFrame, key: str, attr: str) -> DataFrame:
     """A13 (+ J2): facts per dimension attribute via a left join (facts
     without a dimension row count under a null attribute)."""
-    return (
-        facts.select(key)
-        .join(dim.select(key, attr), key, "left")
-        .groupBy(attr)
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    # Facts are counted per key before the join: a row per key is shuffled, not one per fact.
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.join(dim.select(key, attr), key, "left").groupBy(attr).agg(F.sum("_n").alias("count"))
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, columns, null cells and duplicate rows per table; one
-    aggregate plus one distinct count per table."""
+    aggregate per table, and one of row fingerprints."""
     parts = []
     for name, df in tables.items():
         nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
         base = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("null_cells"))
-        distinct = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
         parts.append(
-            base.crossJoin(distinct).select(
+            base.crossJoin(F.broadcast(repeated_rows(df))).select(
                 F.lit(name).alias("table"),
                 "rows",
                 F.lit(len(df.columns)).alias("columns"),
                 "null_cells",
-                (F.col("rows") - F.col("_d")).alias("duplicate_rows"),
+                F.col("n_duplicates").alias("duplicate_rows"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

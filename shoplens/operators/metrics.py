@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators.ranking import global_rank
+from shoplens.operators.ranking import global_rank, with_next
 
 
 def _div(a, b):
@@ -148,23 +148,16 @@ def roc_points(scored: DataFrame, y: str = "y_true", score: str = "y_score", dro
     """(threshold, fpr, tpr) per distinct score from high to low, after a
     (0, 0) start point; collinear interior points dropped like the usual
     ``drop_intermediate``; then thinned to every max(1, n // max_points)-th
-    point.  Neighbours are found by joining on position, not by a global
-    window."""
-    c = _cumulative(scored, y, score, descending=True).select(
-        F.col("point").alias("pos_idx"), F.col("score").alias("threshold"),
-        F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"),
-    )
+    point.  A point is collinear with its neighbours when the step into it
+    equals the step out of it, so only the next point's counts are looked at."""
+    c = _cumulative(scored, y, score, descending=True)
     if drop_intermediate:
-        prev = c.select((F.col("pos_idx") + 1).alias("pos_idx"), F.col("tps").alias("_tp0"), F.col("fps").alias("_fp0"))
-        nxt = c.select((F.col("pos_idx") - 1).alias("pos_idx"), F.col("tps").alias("_tp2"), F.col("fps").alias("_fp2"))
-        j = c.join(prev, "pos_idx", "left").join(nxt, "pos_idx", "left")
-        keep = (
-            F.col("_tp0").isNull() | F.col("_tp2").isNull()
-            | ((F.col("_fp0") - 2 * F.col("fps") + F.col("_fp2")) != 0)
-            | ((F.col("_tp0") - 2 * F.col("tps") + F.col("_tp2")) != 0)
-        )
-        c = j.where(keep).select("pos_idx", "threshold", "tps", "fps")
-        c = global_rank(c, "pos_idx", None, rank_col="_r").withColumn("pos_idx", F.col("_r")).drop("_r")
+        c = with_next(c, ["pos", "neg"], "point")
+        ends = (F.col("point") == 1) | F.col("next_pos").isNull()
+        c = c.where(ends | (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg")))
+        c = global_rank(c.drop("next_pos", "next_neg").withColumnRenamed("point", "_was"), "_was", None, rank_col="point")
+    c = c.select(F.col("point").alias("pos_idx"), F.col("score").alias("threshold"),
+                 F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
     start = scored.sparkSession.range(1).select(
         F.lit(0).cast("long").alias("pos_idx"), F.lit(None).cast("double").alias("threshold"),
         F.lit(0).cast("long").alias("tps"), F.lit(0).cast("long").alias("fps"),

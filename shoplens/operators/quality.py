@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions.dates import floor_days
+from shoplens.operators.fingerprint import repeated_rows
 from shoplens.operators.clean import numeric_columns, string_columns
 from shoplens.operators.ranking import top_k_per_group
 
@@ -104,7 +105,9 @@ def check_missing_values(df: DataFrame, max_missing_pct: float = 0.5, table: str
 def count_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """One row ``n_duplicates``: rows beyond the first of each group (nulls
     compare equal, as in a group-by)."""
-    keys = list(subset or df.columns)
+    if not subset:
+        return repeated_rows(df)
+    keys = list(subset)
     return df.groupBy(*keys).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n_duplicates"))
 
 

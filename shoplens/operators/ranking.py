@@ -94,6 +94,24 @@ def global_rank(
     return out.drop("_part", "_at", "_row", "_off", *[f"_off{i}" for i in range(len(sums))])
 
 
+def with_next(ranked: DataFrame, cols: Sequence[str], position: str) -> DataFrame:
+    """Adds ``next_<c>``: the value of the row at the next ``position`` (null at the end).
+
+    ``ranked`` comes from ``global_rank`` with ``position``.  Rows are dealt out by
+    stretches of positions, and the first row of each stretch is handed to the
+    one before, so neighbours meet without a join of the rows with themselves.
+    """
+    stretch = 1 << 16
+    r = ranked.withColumn("_part", F.floor(F.col(position) / stretch))
+    first = ranked.where(F.col(position) % stretch == 0).select(
+        (F.floor(F.col(position) / stretch) - 1).alias("_part"), *[F.col(c).alias(f"_first_{c}") for c in cols])
+    ahead = Window.partitionBy("_part").orderBy(position)
+    out = r.withColumns({f"_lead_{c}": F.lead(c).over(ahead) for c in cols}).withColumn("_last", F.lead(position).over(ahead).isNull())
+    out = out.join(first, "_part", "left")
+    return out.select(*ranked.columns, *[F.when(F.col("_last"), F.col(f"_first_{c}")).otherwise(F.col(f"_lead_{c}")).alias(f"next_{c}")
+                                         for c in cols])
+
+
 def _group_rank(df: DataFrame, groups: list[str], order: Sequence[Column], sums: Sequence[str], rank_col: str,
                 buckets: int | None) -> DataFrame:
     """``global_rank`` inside groups.  A range partition holds a stretch of each

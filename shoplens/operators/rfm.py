@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.dates import floor_days
+from shoplens.functions.scalar import exact_sum
 from shoplens.operators._util import materialize
 from shoplens.operators.ranking import global_rank, qcut_score, quantile_values_multi
 
@@ -38,7 +39,7 @@ def rfm_base(orders: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
     per_user = orders.groupBy("user_id").agg(
         F.max("order_date").alias("_last"),
         F.count("order_id").alias("frequency"),
-        F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("monetary"),
+        exact_sum("total_amount").alias("monetary"),
     )
     return per_user.crossJoin(F.broadcast(snapshot)).select(
         "user_id",

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import os
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -460,7 +461,7 @@ def _ml_data(spark, sf):
     fm = feature_matrix_df(spark, sf)
     train, test = ML.prepare(fm, "will_purchase")
     feats = ML.feature_columns(train)
-    return ML, train.persist(), test.persist(), feats
+    return ML, ML.sized(train), ML.sized(test), feats
 
 
 @register("lr_scores")
@@ -581,3 +582,21 @@ def temporal_features(spark, sf):
         A.users(spark, sf), A.sessions(spark, sf), cleaned_events(spark, sf), A.orders(spark, sf),
         A.products(spark, sf), prediction_window_days=30,
     )
+
+
+# ------------------------------------------------------------------ sources
+@register("csv_round_trip")
+def csv_round_trip(spark, sf):
+    """The orders written as CSV, columns out of order and every tenth total
+    spoilt, and read back: good rows typed, the others with their reason."""
+    from shoplens.session import checkpoint_dir
+    from shoplens.sources.files import read_csv
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex[:12]}"
+    total = F.when(F.col("order_id") % 10 == 0, F.lit("cheap")).otherwise(F.col("total_amount").cast("string"))
+    A.orders(spark, sf).select(total.alias("total_amount"), "discount_pct", "status", F.lit("x").alias("note"), "payment_method", "user_id",
+                               "order_id", F.col("order_date").cast("date")).write.option("header", True).csv(f"{base}/orders.csv")
+    good = read_csv(spark, f"{base}/orders.csv", "orders", rejects=f"{base}/rejects")
+    bad = spark.read.schema("file string, row string, reason string").parquet(f"{base}/rejects")
+    good = good.withColumn("order_date", F.col("order_date").cast("date").cast("string"))
+    return good.unionByName(bad.select(F.col("row").alias("rejected_row"), "reason"), allowMissingColumns=True)

@@ -148,8 +148,8 @@ def floor_days(later: str, earlier: str) -> str:
 
 
 def xsum(x: str, filt: str = "") -> str:
-    """Exact (decimal) sum returned as double -- mirrors ``exact_sum``."""
-    return f"CAST(sum(CAST({x} AS DECIMAL(38,6))){filt} AS DOUBLE)"
+    """Sum as double by a decimal and what it leaves -- mirrors ``exact_sum``."""
+    return f"(CAST(sum(CAST({x} AS DECIMAL(38,6))){filt} AS DOUBLE) + sum({x} - CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)){filt})"
 
 
 def xavg(x: str, filt: str = "") -> str:
@@ -171,7 +171,7 @@ cte(
 SELECT user_id,
        {floor_days("(SELECT max(order_date) FROM shop_orders) + INTERVAL 1 DAY", "max(order_date)")} AS recency,
        count(order_id) AS frequency,
-       CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS monetary
+       {xsum("total_amount")} AS monetary
 FROM shop_orders GROUP BY user_id
 """,
     ["shop_orders"],
@@ -229,7 +229,7 @@ SELECT o.*, {clip("o.total_amount_raw", "q.cap")} AS total_amount,
        CASE o.status WHEN 'cancelled' THEN 0 WHEN 'returned' THEN 1 WHEN 'processing' THEN 2
             WHEN 'shipped' THEN 3 WHEN 'delivered' THEN 4 END AS status_encoded
 FROM (SELECT * RENAME (total_amount AS total_amount_raw) FROM shop_orders) o,
-     (SELECT round(quantile_cont(total_amount, 0.95), 6) AS cap FROM shop_orders) q
+     (SELECT quantile_cont(total_amount, 0.95) AS cap FROM shop_orders) q
 """,
     ["shop_orders"],
 )
@@ -259,7 +259,7 @@ SELECT s.session_id, s.user_id, s.session_start, s.session_end,
        {clip("s.pages_visited", "q.qp")} AS pages_visited_clean,
        CAST(s.bounced AS INTEGER) AS bounced
 FROM shop_sessions s,
-     (SELECT round(quantile_cont(duration_secs, 0.95), 6) AS qd, round(quantile_cont(pages_visited, 0.99), 6) AS qp
+     (SELECT quantile_cont(duration_secs, 0.95) AS qd, quantile_cont(pages_visited, 0.99) AS qp
       FROM shop_sessions) q
 """,
     ["shop_sessions"],
@@ -280,7 +280,7 @@ SELECT e.event_id, e.user_id, e.product_id, e.event_type, e.event_ts,
        {clip("e.time_spent_secs", "q.q")} AS time_spent_secs_clean,
        CAST(e.event_type = 'add_to_cart' AS INTEGER) AS added_to_cart,
        CAST(e.event_type = 'add_to_wishlist' AS INTEGER) AS wishlisted
-FROM shop_events e, (SELECT round(quantile_cont(time_spent_secs, 0.95), 6) AS q FROM shop_events) q
+FROM shop_events e, (SELECT quantile_cont(time_spent_secs, 0.95) AS q FROM shop_events) q
 """,
     ["shop_events"],
 )
@@ -1076,8 +1076,8 @@ SELECT user_id, count(session_id) AS total_sessions,
        {floor_days("(SELECT cut FROM t6_cut)", "max(session_start)")} AS days_since_last_session
 FROM (SELECT s.*, {clip("s.duration_secs", "q.qd")} AS dclean, {clip("s.pages_visited", "q.qp")} AS pclean
       FROM t6_sess_past s,
-           (SELECT round(quantile_cont(duration_secs, 0.95), 6) AS qd,
-                   round(quantile_cont(pages_visited, 0.95), 6) AS qp FROM t6_sess_past) q) x
+           (SELECT quantile_cont(duration_secs, 0.95) AS qd,
+                   quantile_cont(pages_visited, 0.95) AS qp FROM t6_sess_past) q) x
 GROUP BY user_id
 """,
     ["t6_sess_past", "t6_cut"],
@@ -1238,3 +1238,15 @@ SELECT round(size, 6) AS size, round(avg(auc_roc) FILTER (side = 'train'), 6) AS
        round(stddev_pop(auc_roc) FILTER (side = 'train'), 6) AS train_std, round(avg(auc_roc) FILTER (side = 'val'), 6) AS val_mean,
        round(stddev_pop(auc_roc) FILTER (side = 'val'), 6) AS val_std FROM curve_results GROUP BY size
 """, "curve_results")
+
+# ------------------------------------------------------------------ sources
+query("csv_round_trip", """
+SELECT CASE WHEN ok THEN CAST(order_id AS VARCHAR) END AS order_id, CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id,
+       CASE WHEN ok THEN CAST(CAST(order_date AS DATE) AS VARCHAR) END AS order_date, CASE WHEN ok THEN total_amount END AS total_amount,
+       CASE WHEN ok THEN status END AS status, CASE WHEN ok THEN payment_method END AS payment_method,
+       CASE WHEN ok THEN discount_pct END AS discount_pct,
+       CASE WHEN NOT ok THEN 'cheap,' || discount_pct || ',' || status || ',x,' || payment_method || ',' || user_id || ',' || order_id
+            || ',' || CAST(CAST(order_date AS DATE) AS VARCHAR) END AS rejected_row,
+       CASE WHEN NOT ok THEN 'could not parse total_amount' END AS reason
+FROM (SELECT *, order_id % 10 <> 0 AS ok FROM shop_orders) o
+""", "shop_orders")

@@ -90,3 +90,30 @@ def test_tables_matrix_and_appended_text_ids(spark, tmp_dir):
     new = spark.createDataFrame([(2, 0.9), (1, 0.8)], "arrival int, p double")
     out = append_scored(users.withColumn("arrival", F.lit(0)), new, order_col="arrival")
     assert {r.user_id: r.p for r in out.collect()} == {"U00007": 0.5, "U00012": 0.1, "guest": 0.2, "U00013": 0.8, "U00014": 0.9}
+
+
+def test_csv_columns_by_name_and_rejects(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "order_items.csv")
+    os.makedirs(path)
+    header = "unit_price,order_id,note,order_item_id,quantity,product_id\n"
+    with open(f"{path}/a.csv", "w") as f:
+        f.write(header + "2.5,O1,x,I1,3,P1\ncheap,O2,x,I2,1,P2\n1.0,O3,x,I3,many,P3\n")
+    with open(f"{path}/b.csv", "w") as f:
+        f.write(header + ",O4,,I4,,P4\n1.0,O5,x,I5\n1.0,O6,x,I6,1,P6,more\n")
+    good = files.read_csv(spark, path, "order_items", rejects=f"{tmp_dir}/rejects")
+    assert [f.name for f in good.schema.fields] == ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]
+    assert sorted(map(tuple, good.collect())) == [("I1", "O1", "P1", 3, 2.5), ("I4", "O4", "P4", None, None)]
+    bad = {r.row: (r.reason, r.file.rsplit("/", 1)[1]) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()}
+    assert bad == {"cheap,O2,x,I2,1,P2": ("could not parse unit_price", "a.csv"), "1.0,O3,x,I3,many,P3": ("could not parse quantity", "a.csv"),
+                   "1.0,O5,x,I5": ("malformed row", "b.csv"), "1.0,O6,x,I6,1,P6,more": ("malformed row", "b.csv")}
+    with pytest.raises(Exception, match="could not parse|malformed"):
+        files.read_csv(spark, path, "order_items").count()
+    with open(f"{path}/c.csv", "w") as f:
+        f.write("order_id,unit_price,note,order_item_id,quantity,product_id\nO7,1.0,x,I7,1,P7\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, path, "order_items", rejects=f"{tmp_dir}/more").collect()
+    os.makedirs(os.path.join(tmp_dir, "short"))
+    with open(f"{tmp_dir}/short/order_items.csv", "w") as f:
+        f.write("order_id,product_id\n")
+    with pytest.raises(ValueError, match="order_item_id"):
+        files.load_tables(spark, f"{tmp_dir}/short", ["order_items"])
