@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
 from shoplens.llm.common import text_or_empty
+from shoplens.session import ship_package
 
 LONG_WORD = 256
 #: Words contracted in one query: bounds its memory.
@@ -227,6 +228,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
            digests: bool = False) -> DataFrame:
     """Ids (little-endian unsigned 32-bit) of each text and the bytes they decode to;
     with ``digests`` the SHA-256 of both instead."""
+    ship_package(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else ROWS
     return d.mapInArrow(encode_decode(path, pattern, digests), schema)

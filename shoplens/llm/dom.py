@@ -17,12 +17,78 @@ ITEMS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table
          "td": ("tr",), "th": ("tr",)}
 SCOPE = set("article aside body div section main table td th li ul ol dl form fieldset nav header footer blockquote figure".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: Without an end tag these hide the rest of a page, as in browsers (fixed values).
+SCRIPTS = {"script", "style"}
+
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
+class Tags:
+    """Tags of a page from left to right, in one pass.
+
+    What was not found behind one place (a closing quote, an end tag) is not
+    looked for again behind a later one, so the time is linear in the page.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.last = source, source.rfind(">")
+        self.none: set[str] = set()
+
+    def _find(self, what: str, at: int) -> int:
+        """Place of a quote at or behind ``at``, -1 if there is none."""
+        if what in self.none:
+            return -1
+        k = self.source.find(what, at)
+        if k < 0:
+            self.none.add(what)
+        return k
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next tag; comments and
+        declarations have no name.  A ``<`` that opens nothing is text."""
+        source = self.source
+        while (k := source.find("<", at)) >= 0:
+            if source.startswith("<!--", k):
+                end = source.find("-->", k + 4)
+                return k, (end + 3 if end >= 0 else len(source)), "", "", ""
+            if k > self.last:
+                return None
+            if source[k + 1:k + 2] in ("!", "?"):
+                return k, source.index(">", k) + 1, "", "", ""
+            m = _NAME.match(source, k)
+            if m:
+                end = self._end(m.end())
+                return k, end + 1, m[1], m[2].lower(), source[m.end():end]
+            at = k + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag: not inside quotes, unless one is left open."""
+        first = self.source.index(">", at)
+        while m := _STOP.search(self.source, at):
+            if m[0] == ">":
+                return m.start()
+            close = self._find(m[0], m.end())
+            if close < 0 or close > self.last:
+                return first
+            at = close + 1
+        return first
+
+    def end_tag(self, name: str, at: int) -> int | None:
+        """Place behind the next end tag of ``name``."""
+        if name in self.none:
+            return None
+        m = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(self.source, at)
+        if m is None:
+            self.none.add(name)
+            return None
+        return m.end()
+
+
 @dataclass
 class Node:
     tag: str
@@ -63,17 +129,18 @@ def parse(source: str) -> list[Node]:
             elif name == "a":
                 in_link = max(0, in_link - 1)
 
+    tags = Tags(source)
     while at < n:
-        m = _TAG.search(source, at)
+        m = tags.next(at)
         if m is None:
             text(source[at:])
             break
-        text(source[at:m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
+        start, end, slash, name, attributes = m
+        text(source[at:start])
+        at = end
         if not name:
             continue
-        if m[1]:
+        if slash:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     pop_until(k)
@@ -83,9 +150,13 @@ def parse(source: str) -> list[Node]:
             continue
         if name in RAW:
             nodes[open_[-1]].fields += name in ("textarea", "select", "button")
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-            if not m[3].rstrip().endswith("/"):
-                at = end.end() if end else n
+            if attributes.rstrip().endswith("/"):
+                continue
+            end = None if name == "option" else tags.end_tag(name, at)
+            if end is None and name not in SCRIPTS:
+                # No end tag (an option needs none): only its own text goes.
+                end = source.find("<", at)
+            at = end if end is not None and end >= 0 else n
             continue
         if name in ("html", "body", "head"):
             continue
@@ -105,7 +176,7 @@ def parse(source: str) -> list[Node]:
         stack.append((name, block))
         if block:
             parent = open_[-1]
-            tokens = [t.lower() for v in _ATTR.findall(m[3]) for t in _PART.findall(v)] if "=" in m[3] else []
+            tokens = [t.lower() for v in _ATTR.findall(attributes) for t in _PART.findall(v)] if "=" in attributes else []
             nodes.append(Node(name, parent, nodes[parent].depth + 1, tokens))
             nodes[parent].parts.append(len(nodes) - 1)
             open_.append(len(nodes) - 1)

@@ -12,6 +12,9 @@ There are no labels for pages, so the trees learn from a bounded sample of
 ``article`` or ``main`` element are main text, other blocks are not, and each
 page is also laid out anew, from its own blocks, in other common forms
 (without semantic tags, with side bars, notices, forms and reader comments).
+Of a page and of each new layout about ``max_nodes`` nodes are learned from, and a
+new layout holds the first ``max_blocks`` blocks at most.  If no sampled page has
+such an element, new layouts are made of the pages' paragraphs alone.
 
 Defined cases: null or empty html has empty text; pages without any markup are
 one block of text; null ids and repeated rows give a row each.  Only the named
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import dom
 from shoplens.llm.common import text_or_empty
+from shoplens.session import ship_package
 
 # Attribute words (fixed values) that name the parts of a page.
 MAIN_WORDS = set("article content main post story entry body text prose blog page news".split())
@@ -61,9 +66,10 @@ def features(nodes: list[dom.Node]) -> list[list[float]]:
     alike = [1.0] * n
     for x in nodes:
         kids = x.children()
+        tags = Counter(nodes[c].tag for c in kids)
         for i, c in enumerate(kids):
             place[c], of[c] = i, len(kids)
-            alike[c] = sum(nodes[d].tag == nodes[c].tag for d in kids) / len(kids) if len(kids) < 200 else 0.5
+            alike[c] = tags[nodes[c].tag] / len(kids)
     for k, x in enumerate(nodes):
         rest = sum(t in REST_WORDS for t in x.tokens) + (x.tag in REST_TAGS)
         main = sum(t in MAIN_WORDS for t in x.tokens) + (x.tag in ("article", "main"))
@@ -144,7 +150,9 @@ def laid_out(blocks: list[str], rest: list[str], rng: random.Random) -> str:
     return "".join([*before, main, *after])
 
 
-def training_rows(pages: list[str], copies: int, seed: int) -> tuple[list[list[float]], list[int]]:
+def training_rows(pages: list[str], copies: int, seed: int, max_nodes: int = 80, max_blocks: int = 40) -> tuple[list[list[float]], list[int]]:
+    """Features and labels of about ``max_nodes`` nodes of each page and of each of
+    its ``copies`` new layouts, which hold ``max_blocks`` of its blocks at most."""
     rng = random.Random(seed)
     rows, marks = [], []
 
@@ -153,20 +161,24 @@ def training_rows(pages: list[str], copies: int, seed: int) -> tuple[list[list[f
         if got is not None:
             for x in nodes:
                 x.tokens = [t for t in x.tokens if t != "truth"]
-            some = [k for k in range(len(nodes)) if len(nodes) < 80 or rng.random() < 80 / len(nodes)]
+            some = [k for k in range(len(nodes)) if len(nodes) < max_nodes or rng.random() < max_nodes / len(nodes)]
             f = features(nodes)
             rows.extend(f[k] for k in some)
             marks.extend(got[k] for k in some)
 
-    for page in pages:
-        nodes = dom.parse(page)
+    parsed = [dom.parse(p) for p in pages]
+    marked = any(labelled(nodes) is not None for nodes in parsed)
+    for nodes in parsed:
         got = labelled(nodes)
-        add(nodes)
+        if not marked:  # no page says what its article is: paragraphs stand for it
+            got = [int(x.tag == "p" or len(nodes) == 1) for x in nodes]
+        else:
+            add(nodes)
         texts = [(" ".join(t for t in dom.runs(x) if t), bool(got and got[k])) for k, x in enumerate(nodes)]
         blocks, rest = ([t for t, m in texts if t and m is side] for side in (True, False))
         if blocks:
             for _ in range(copies):
-                some = blocks[:rng.randint(1, min(len(blocks), 40))]
+                some = blocks[:rng.randint(1, min(len(blocks), max_blocks))]
                 add(dom.parse(laid_out(some, rest, rng)))
     return rows, marks
 
@@ -292,6 +304,7 @@ def extract(pages: list[str], model: Trees) -> list[str]:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, copies: int = 4, seed: int = 7) -> Trees:
     """Fits the trees on at most ``max_pages`` pages; those are all the driver sees."""
+    ship_package(pages.sparkSession)
     chosen = (pages.filter(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i"))
               .orderBy("h", "i").limit(max_pages))
     texts = (pages.select(F.col(id_col).alias("pid"), F.col(html_col).alias("page"))

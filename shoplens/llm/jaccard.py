@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import stored, text_or_empty, with_maybe
 from shoplens.llm.components import connected_components
+from shoplens.session import ship_package
 
 WIDTH = 5
 #: Shingles in a block of sets: bounds a task's memory.
@@ -308,7 +309,9 @@ def unit_links(t_num: int, t_den: int) -> Callable[[pa.Table], pa.Table]:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t_num: int = 3, t_den: int = 4,
                        block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id, key) per row; the similarity is ``t_num / t_den``."""
+    """(doc_id, n_shingles, component_id, class_id, key, component) per row; the similarity is
+    ``t_num / t_den``.  ``component`` is the same for the rows of one component, null ids or not."""
+    ship_package(docs.sparkSession)
     d = docs.select(text_or_empty(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"),
                     F.xxhash64(text_or_empty(text_col)).alias("key"))
     members = stored(d.mapInArrow(class_rows, "doc_id long, key long, n long, cid long"), "classes")
@@ -358,26 +361,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = (members.filter(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("least"))
              .join(linked, F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("root", "cid").alias("root")))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select(F.col("cid").alias("class_id"), "component_id")
+    named = roots.join(least, "root").select(F.col("cid").alias("class_id"), "component_id", F.col("root").alias("component"))
     return (members.join(named, F.col("cid") == F.col("class_id"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                    F.col("cid").alias("class_id"), "key"))
+                    F.col("cid").alias("class_id"), "key", "component"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id.
 
-    Rows without a set stay.  A component whose ids are all null keeps the rows
-    of its least class; of equal (id, text) rows one stays.
+    Rows without a set stay.  Ids count before nulls; among rows of the same
+    least id (or of null ids alone) the one of the least class and text hash
+    stays, and of equal (id, text) rows one.
     """
     found = stored(jaccard_components(docs, id_col, text_col), "components")
     # Rows that go, and rows that repeat one of the same id and text: the few
     # that need a decision.  All others are not shuffled.
     once = found.groupBy("doc_id", "key").agg(
-        F.count("*").alias("copies"), F.first("class_id").alias("class_id"), F.first("component_id").alias("component_id"))
-    stays = F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))
-    unsure = stored(once.filter(~stays | (F.col("class_id").isNotNull() & (F.col("copies") > 1)))
+        F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("class_id", "component_id", "component")])
+    least = F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))
+    once = stored(once.withColumn("_least", least).filter(F.col("class_id").isNotNull()), "sets-once")
+    # Different texts under the least id (or under null alone): one of them stays.
+    rivals = (once.filter("_least").groupBy("component").agg(F.count("*").alias("_n"), F.min(F.struct("class_id", "key")).alias("_best"))
+              .filter("_n > 1").select(F.col("component").alias("_c"), "_best"))
+    once = once.join(rivals, F.col("component") == F.col("_c"), "left")
+    stays = F.col("_least") & (F.col("_best").isNull() | (F.struct("class_id", "key") == F.col("_best")))
+    unsure = stored(once.filter(~stays | (F.col("copies") > 1))
                     .select(F.xxhash64("doc_id", "key").alias("_uh"), F.col("doc_id").alias("_uid"), F.col("key").alias("_ukey"),
                             stays.alias("_stays")), "undecided")
     # The row travels as one struct, so no name of it can meet another.

@@ -58,8 +58,7 @@ FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
 """
 
 # op9: base measures, and the line rules with max(20, 5 %) documents a host.
-# Documents are told apart by their smallest window (md5); the operator does so
-# by the whole normalised text, so counts may differ where lines are shared.
+# Documents are told apart by their whole normalised text.
 OP9 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS t FROM documents
@@ -72,14 +71,14 @@ WITH d AS (
 ), covered AS (
   SELECT k, count(DISTINCT i + o) AS n_repeat_words FROM twice, unnest([0, 1, 2, 3, 4]) AS u(o) GROUP BY k
 ), raw_lines AS (
-  SELECT k, unnest(string_split(t, chr(10))) AS l FROM d
+  SELECT k, unnest(ls) AS l, unnest(range(len(ls))) AS line_no FROM (SELECT k, string_split(t, chr(10)) AS ls FROM d)
 ), lines AS (
-  SELECT k, l, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM raw_lines
+  SELECT k, line_no, l, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM raw_lines
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
 ), per_doc AS (
   SELECT k, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY k
 ), sketch AS (
-  SELECT k, coalesce(min(md5(g)), any_value(md5(array_to_string(ws, ' ')))) AS sk FROM w LEFT JOIN win USING (k) GROUP BY k
+  SELECT d.k, coalesce(md5(string_agg(norm, chr(10) ORDER BY line_no)), '') AS sk FROM d LEFT JOIN lines ON lines.k = d.k GROUP BY d.k
 ), hosts AS (
   SELECT source, count(DISTINCT sk) AS docs FROM d LEFT JOIN sketch USING (k) GROUP BY source
 ), bad AS (

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
 from shoplens.llm.common import shared_path, text_or_empty
+from shoplens.session import ship_package
 
 SCHEMA = "doc_id long, part int, place long, before long, ids array<int>"
 
@@ -61,6 +62,7 @@ def token_rows(path: str, end_id: int, spaced: bool, pattern: str) -> Callable[[
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: bool, pattern: str,
               id_col: str = "doc_id", text_col: str = "text", row_index: int = 1000) -> None:
     """Range-partitions by id (texts travel, not the larger ids), encodes, writes."""
+    ship_package(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
          .withColumn("_tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "_tie")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
 from shoplens.llm.common import stored, text_or_empty
+from shoplens.session import ship_package
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -217,6 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool, pattern: st
 
     The driver sees one row per distinct length, ``capacity`` at most.
     """
+    ship_package(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     pieces = stored(d.mapInArrow(piece_rows(tokenizer, end_id, spaced, pattern, capacity), PIECES)
                     .withColumn("part", F.spark_partition_id()), "pieces")

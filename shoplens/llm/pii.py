@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import text_or_empty
+from shoplens.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -43,7 +44,10 @@ _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
-_MENTION = re.compile(r"[A-Za-z0-9._%+-]*(?:@|\s?(?:\[at\]|\(at\))\s?)[A-Za-z0-9.-]*[A-Za-z0-9]|[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
+_AT = re.compile(r"(?:@|\s?(?:\[at\]|\(at\))\s?)(?:[A-Za-z0-9]|[.-]+(?=[A-Za-z0-9]))+")
+_DIGITS = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
+#: Digits that a mention may have: no kind allows more.
+MOST_DIGITS = 19
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -112,15 +116,44 @@ def mentions(text: str, base: list[Span]) -> list[Mention]:
     out = [Mention(s, e, 1 + k, True, text[s:e]) for s, k, e in base]
     edges = sorted((s, e) for s, _, e in base)
     at, reach = 0, 0
-    for m in _MENTION.finditer(text):
-        while at < len(edges) and edges[at][0] < m.end():
+    for start, end in candidates(text):
+        while at < len(edges) and edges[at][0] < end:
             reach = max(reach, edges[at][1])
             at += 1
-        if reach <= m.start():
-            out.append(Mention(m.start(), m.end(), 0, False, m[0]))
+        if reach <= start:
+            out.append(Mention(start, end, 0, False, text[start:end]))
     return sorted(out, key=lambda x: (x.start, x.label))
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Mailboxes and long numbers from left to right, none overlapping.
+
+    Mailboxes are found by their at sign, and the part before it by walking
+    back, so each character is looked at a bounded number of times.
+    """
+    at, number = 0, _DIGITS.search(text)
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > at and text[start - 1] in _LOCAL:
+            start -= 1
+        while number and number.start() < start:
+            if number.start() >= at:
+                if sum(c.isdigit() for c in number[0]) <= MOST_DIGITS:
+                    yield number.span()
+                at = number.end()
+                start = max(start, at)
+            number = _DIGITS.search(text, at if number.start() < at else number.end())
+        if m.start() >= at:
+            yield start, m.end()
+            at = m.end()
+        if number and number.start() < at:
+            number = _DIGITS.search(text, at)
+    while number:
+        if sum(c.isdigit() for c in number[0]) <= MOST_DIGITS:
+            yield number.span()
+        number = _DIGITS.search(text, number.end())
+
+
 def keys(m: Mention) -> list[str]:
     """What makes two mentions alike: the same seven last digits, the same mailbox."""
     digits = re.sub(r"[^0-9]", "", m.text)
@@ -255,10 +288,17 @@ def redact(text: str, spans: list[Span]) -> str:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = 1_000) -> Field:
     """Fits the field on at most ``max_docs`` texts; those are all the driver sees."""
-    few = (docs.filter(F.rlike(F.col(text_col), F.lit("[0-9@]")))
-           .select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).alias("t")).dropDuplicates(["h"])
-           .orderBy("h").limit(max_docs))
-    return fit_field([r["t"] for r in few.collect()])
+    ship_package(docs.sparkSession)
+    some = docs.filter(F.rlike(F.col(text_col), F.lit("[0-9@]"))).select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
+    # Hashes are evenly spread: of a large table only the texts with the smallest
+    # ones, a few more than wanted, are sent on by the tasks.
+    n = some.count()
+    lowest = -(1 << 63) + int((1 << 64) * min(1.0, 3 * max_docs / max(n, 1)))
+    few = lambda rows: rows.dropDuplicates(["h"]).orderBy("h").limit(max_docs).collect()
+    got = few(some.filter(F.col("h") <= F.lit(min(lowest, (1 << 63) - 1))))
+    if len(got) < max_docs and n > 3 * max_docs:  # hardly any different texts
+        got = few(some)
+    return fit_field([r["t"] for r in got])
 
 
 def finder(field: Field, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import stored
+from shoplens.session import ship_package
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 #: Words in one initial state, and rows whose initial states share an acceptor.
@@ -314,6 +315,7 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
     ``form`` is the near word of largest n if that is at least ``ratio`` (2 or more) times n.
     """
+    ship_package(docs.sparkSession)
     if ratio < 2:
         raise ValueError("ratio must be 2 or more, so that forms lead to an end")
     words = stored(vocabulary(docs, id_col, text_col, min_length, min_count, every), "vocabulary")

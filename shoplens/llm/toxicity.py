@@ -15,7 +15,8 @@ the choice of features follow the class shares of all labels outside the
 held-out fold, whatever the bounds.  Scoring runs over every whole text.
 
 Defined cases: a null or empty text scores as a text without words; rows with
-a null id are scored and count as not held out; null labels are left out;
+a null id are scored and count as not held out; null labels are left out, and
+so are those of an id that is labelled both ways;
 without usable labels of both classes the score is the share of toxic rows (0
 if there are none).  Only the named columns are read.
 """
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import text_or_empty
+from shoplens.session import ship_package
 
 # Identity terms (fixed values): groups that a text may mention neutrally.
 IDENTITY = {
@@ -120,10 +122,11 @@ def held_out(id_col: Column) -> Column:
 
 
 def known_labels(labels: DataFrame) -> DataFrame:
-    """(lid, toxic) of the usable labels outside the held-out fold."""
+    """(lid, toxic) of the usable labels outside the held-out fold; an id with both labels has none."""
     return (labels.select(F.col("doc_id").alias("lid"), F.col("toxic").cast("int").alias("toxic"))
             .filter(F.col("lid").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("lid")))
-            .dropDuplicates(["lid"]))
+            .groupBy("lid").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most"))
+            .filter(F.col("toxic") == F.col("_most")).drop("_most"))
 
 
 def row_weights(labels: DataFrame, fit: Fit) -> tuple[float, float]:
@@ -136,6 +139,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     """Features of the sampled rows.  Ids are chosen from the labels alone, at
     most ``max_toxic + max_clean`` of them, and that bounded set goes to the texts.
     One row of each id is left before anything is collected."""
+    ship_package(docs.sparkSession)
     known = known_labels(labels).withColumn("order", F.xxhash64("lid"))
     pick = lambda c, n: known.filter(F.col("toxic") == c).orderBy("order", "lid").limit(n)
     chosen = pick(1, fit.max_toxic).unionByName(pick(0, fit.max_clean))

@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.session import ship_package
+
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -170,6 +172,7 @@ def judge_urls(df: DataFrame, rules: list[GlobRule], id_col: str = "page_id", ur
 
     No shuffle: the rules travel with the function, urls stay where they are.
     """
+    ship_package(df.sparkSession)
     ranked = sorted(rules, key=lambda r: (r.rank, -len(r.glob), r.verdict != BLOCK))
     machine = ShiftAnd([r.glob for r in ranked])
 

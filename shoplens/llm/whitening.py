@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import stored
+from shoplens.session import ship_package
 
 #: Triangular factors that one task of the tree puts together.
 FAN_IN = 16
@@ -293,6 +294,7 @@ def whiten(df: DataFrame, components: int = 16, id_col: str = "vec_id", vector_c
     The driver holds R, the sums and the directions, whose sizes depend on the
     dimension alone.  Squares beyond a 64-bit integer give a null deviation.
     """
+    ship_package(df.sparkSession)
     rows = stored(grid_rows(df, id_col, vector_col), "grid")
     id_type = dict(rows.dtypes)["id"]
     schema = f"`{id_col}` {id_type}, component int, n long, deviation long, whitened double, explained double, identity_error double"

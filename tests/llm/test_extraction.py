@@ -63,3 +63,60 @@ def test_rows(spark):
     assert [r.text for r in got if r.page_id in (100, None)] == ["", ""]
     empty = df.limit(0)
     assert ex.main_text(empty, ex.train(empty)).count() == 0
+
+
+def _words(source):
+    nodes = dom.parse(source)
+    return dom.collect(nodes, [True] * len(nodes))
+
+
+def test_controls_without_an_end_tag_hide_only_their_own_text():
+    assert _words("<div><p>one</p><button>go<p>two</p></div>") == "one two"
+    assert _words("<datalist><option>x<option>y</datalist><p>two</p>") == "two"
+    assert _words("<select><option>a</option><option>b</select><p>three</p>") == "three"
+    assert _words("<p>one</p><script>var a; <p>two</p>") == "one"
+    assert _words("<button>go</button> on <title>t</title><p>x</p>") == "on x"
+    assert _words("<p title='open>one</p><p>two</p>") == "one two"
+    assert _words('<p title="a > b" id=c>one</p><!-- <p>no</p> --><?x y?><p>two') == "one two"
+
+
+def test_pages_of_open_tags_take_linear_time():
+    import time
+
+    for page in ("<a" * 500_000, "<" + "x" * 1_000_000, "<a " * 100_000 + "<p>" + "<a '" * 1000, "<button>" * 20_000, "<b \"" * 100_000 + ">x"):
+        start = time.process_time()
+        dom.parse(page)
+        assert time.process_time() - start < 30
+
+
+def test_sibling_share_of_many_children():
+    rows = ex.features(dom.parse("<ul>" + "<li>x</li>" * 300 + "<p>y</p>" * 100 + "</ul>"))
+    assert {r[13] for r in rows[2:]} == {0.75, 0.25}
+
+
+def test_pages_without_a_marked_article_are_learned_from():
+    plain = [_page(k).replace("article>", "div>") for k in range(60)]
+    model = ex.boost(*ex.training_rows(plain, 4, 1))
+    assert model.trees and BODY[0] in ex.extract([_page(5)], model)[0]
+
+
+def test_choices_together_are_no_worse_than_one_choice(model):
+    import random
+
+    rng = random.Random(4)
+    for page in _pages(5):
+        nodes = dom.parse(page)
+        for _ in range(20):
+            p = [rng.random() for _ in nodes]
+            keep = ex.decode(nodes, p)
+            gain = lambda choice: sum(_gain(x, q, c) for x, q, c in zip(nodes, p, choice))
+            assert all(gain(keep) >= gain([same] * len(nodes)) - 1e-9 for same in (True, False))
+            likely = [0.99 if k == 3 or nodes[k].parent == 3 else 0.01 for k in range(len(nodes))]
+            assert [k for k, x in enumerate(ex.decode(nodes, likely)) if x] == [k for k, q in enumerate(likely) if q > 0.5]
+
+
+def _gain(node, p, kept):
+    import math
+
+    w = min(4.0, 0.2 + math.log1p(sum(len(x.strip()) for x in node.parts if isinstance(x, str))) / 2)
+    return w * math.log(max(1e-6, p if kept else 1 - p))

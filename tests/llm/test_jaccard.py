@@ -101,3 +101,15 @@ def test_connected_components(spark):
 
 def test_empty_table(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_near_copies_with_null_or_equal_ids_leave_one(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = lambda k: " ".join([*words, f"end{k}"])
+    other = lambda k: " ".join(["x", *words[::-1], f"tail{k}"])
+    rows = [(None, near(k)) for k in range(3)] + [(7, other(0)), (7, other(1)), (7, other(1)), (None, other(2)), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component int").repartition(4)
+    got = jaccard.one_of_each(df).collect()
+    assert sum(r.text is not None and r.text.startswith("w0 ") for r in got) == 1
+    assert [r.doc_id for r in got if r.text and r.text.startswith("x ")] == [7]
+    assert len(got) == 4  # and the two rows without a set

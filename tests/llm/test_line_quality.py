@@ -73,3 +73,25 @@ def test_empty_table_and_null_ids(spark):
 def test_no_python_in_the_plan(spark):
     plan = quality_rules(_frame(spark, [(1, "a", "b")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_sql_states_the_rule(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from shoplens.llm.oracle import OP9
+
+    rows = []
+    for h in range(3):
+        line = " ".join(f"s{h}x{k}" for k in range(40))
+        rows += [(1000 * h + i, f"{_unique(1000 * h + i, 12)}\n{line if i % 2 else line.upper() + '  '}", f"h{h}") for i in range(10 + 20 * h)]
+        rows += [(1000 * h + 500 + i, _unique(7, 30) + "\n" + _unique(8, 30), f"h{h}") for i in range(40)]  # copies
+    rows += [(9000, None, None), (9001, "", "h1"), (9002, " ".join(["a b c d e f"] * 9), "h1")]
+    documents = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "source": [r[2] for r in rows]})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = con.execute(OP9).to_arrow_table().to_pylist()
+    got = [r.asDict() for r in quality_rules(_frame(spark, rows)).drop("removed", "_key").collect()]
+    key = lambda r: sorted((k, repr(v)) for k, v in r.items())
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    assert sum(r["n_removed_lines"] > 0 for r in want) == 80 and any(not r["kept"] and not r["base_failed"] for r in want)

@@ -58,3 +58,39 @@ def test_training_without_any_mention(spark):
     f = pii.train(spark.createDataFrame([(1, "words only")], "doc_id long, text string"))
     assert pii.find("+1 (017) 555-7713", f)[1] == [(0, 3, 17)]
     assert pii.spans(spark.createDataFrame([], "doc_id long, text string"), f).count() == 0
+
+
+def test_candidates_equal_one_leftmost_pattern():
+    import random
+    import re
+
+    plain = re.compile(r"[A-Za-z0-9._%+-]*(?:@|\s?(?:\[at\]|\(at\))\s?)[A-Za-z0-9.-]*[A-Za-z0-9]|[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
+    rng = random.Random(9)
+    parts = ["a", "b.c", "@", "[at]", "(at)", " ", "1234567", "55 12", "(", ")", "-", ".", "+", "99999", "x@y", "%", "é", "\n", "0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        want = [m.span() for m in plain.finditer(text) if "@" in m[0] or "at" in m[0] or sum(c.isdigit() for c in m[0]) <= 19]
+        assert list(pii.candidates(text)) == want, repr(text)
+
+
+def test_long_words_take_linear_time():
+    import time
+
+    field = pii.fit_field(["mail a@b.cd or 5551234567"])
+    for text in ("a" * 1_000_000 + " 7", "7 " + "x@" * 300_000, "1." * 400_000, "@" + "." * 500_000 + "5"):
+        start = time.process_time()
+        pii.find(text, field)
+        assert time.process_time() - start < 20
+
+
+def test_joined_numbers_are_no_card(spark):
+    field = pii.fit_field(["card 4111 1111 1111 1111 and 4111 1111 1111 1111"] * 30)
+    text = "4111 1111 1111 1111 4111 1111 1111 1112 and 4111 1111 1111 1111"
+    assert all(sum(c.isdigit() for c in text[s:e]) <= 19 for s, _, e in pii.find(text, field)[1])
+
+
+def test_sample_is_bounded_and_whole_when_small(spark):
+    rows = [(i, f"call +1 555 000 {i:04d} now") for i in range(50)]
+    df = spark.createDataFrame(rows * 3, "doc_id long, text string")
+    assert pii.train(df, max_docs=10).unary == pii.train(df.repartition(7), max_docs=10).unary
+    assert pii.train(df.limit(0)).unary

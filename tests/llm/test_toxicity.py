@@ -94,3 +94,12 @@ def test_odd_rows(spark):
     kept = tx.drop_toxic(docs, model)
     assert kept.columns == docs.columns and kept.count() == 4
     assert tx.score(docs.limit(0), model).count() == 0
+
+
+def test_an_id_with_both_labels_has_none(spark):
+    from shoplens.llm.toxicity import known_labels
+
+    rows = [(i, 1) for i in range(20)] + [(i, 0) for i in range(10, 30)] + [(5, 1), (None, 1), (25, None)]
+    for parts in (1, 5):
+        got = known_labels(spark.createDataFrame(rows, "doc_id long, toxic int").repartition(parts)).collect()
+        assert all(r.toxic == (1 if r.lid < 10 else 0) and not 10 <= r.lid < 20 for r in got) and len(got) == len({r.lid for r in got}) > 10
