@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LIMIT = 300_000
+LIMIT = 600_000
 #: Pieces longer than this are not kept.
 LONG = 64
 
@@ -286,7 +286,7 @@ def split_words(pattern: str) -> Words:
     return Words(pattern)
 
 
-def text_runs(column: pa.Array, size: int = 6_000_000) -> Iterable[pa.Array]:
+def text_runs(column: pa.Array, size: int = 8_000_000) -> Iterable[pa.Array]:
     """Slices of a column of texts of about ``size`` bytes in all (one text at least)."""
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
     at = 0
