@@ -8,7 +8,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "personal_data", "packing"]
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
 
 
 def test_stages_take_effect(spark, tmp_path):
