@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators._util import written
+
 
 @dataclass(frozen=True)
 class RateModel:
@@ -20,6 +22,10 @@ class RateModel:
     rates: DataFrame  # the columns as _0, _1, ... and rate
     overall: DataFrame  # one row: overall
 
+    def pinned(self) -> RateModel:
+        """The model as written tables, for a stream that would fit it anew in every batch."""
+        return RateModel(self.columns, written(self.rates, "rates"), written(self.overall, "overall"))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``probability``; combinations not seen get the overall share."""
         same = F.lit(True)

@@ -7,6 +7,9 @@ Two names are ours: ``C`` (inverse penalty; ``regParam = 1 / (C * rows)``) and
 
 from __future__ import annotations
 
+import hashlib
+import heapq
+import math
 import random
 
 # ---------------------------------------------------------------------------
@@ -45,18 +48,28 @@ ELASTIC = {"l1": 1.0, "l2": 0.0}
 
 def draw(space: dict[str, list], n_iter: int, seed: int = 42) -> list[dict]:
     """``n_iter`` distinct points of a grid (all, if it has fewer), seeded."""
-    names = list(space)
-    size = 1
-    for v in space.values():
-        size *= len(v)
-    out = []
-    for k in random.Random(seed).sample(range(size), min(n_iter, size)):
-        point = {}
-        for name in names:
-            k, at = divmod(k, len(space[name]))
-            point[name] = space[name][at]
-        out.append(point)
-    return out
+    size = grid_size(space)
+    return [point_at(space, k) for k in random.Random(seed).sample(range(size), min(n_iter, size))]
+
+
+def grid_size(space: dict[str, list]) -> int:
+    return math.prod(len(v) for v in space.values())
+
+
+def point_at(space: dict[str, list], k: int) -> dict:
+    """Point ``k`` of the grid; the first name changes fastest."""
+    point = {}
+    for name, values in space.items():
+        k, at = divmod(k, len(values))
+        point[name] = values[at]
+    return point
+
+
+def hash_draw(space: dict[str, list], n_iter: int, seed: int = 42) -> list[tuple[int, dict]]:
+    """``n_iter`` numbered points of a grid, those of least md5 of "<seed>|point|<number>",
+    so that SQL and any other program draw the same."""
+    order = lambda k: hashlib.md5(f"{seed}|point|{k}".encode()).hexdigest()
+    return [(k, point_at(space, k)) for k in heapq.nsmallest(n_iter, range(grid_size(space)), key=order)]
 
 
 def param_map(stage, point: dict, n_rows: int) -> dict:

@@ -304,10 +304,14 @@ def align_features(df: DataFrame, feature_names: Sequence[str]) -> DataFrame:
 
 
 def batch_score(model: PipelineModel, df: DataFrame, feature_names: Sequence[str]) -> DataFrame:
-    """Align, transform, take P(1) and apply the recency decay rules."""
-    aligned = align_features(df, feature_names)
-    p = vector_to_array(F.col("probability"))[1]
-    scored = model.transform(aligned).withColumn("probability", p)
+    """Align, transform, take P(1) and apply the recency decay rules.
+
+    Rate models take their columns as they are, text included.
+    """
+    if isinstance(model, RateModel):
+        scored = model.transform(df)
+    else:
+        scored = model.transform(align_features(df, feature_names)).withColumn("probability", vector_to_array(F.col("probability"))[1])
     keep = [c for c in df.columns] + ["probability"]
     return apply_decay(scored.select(*keep))
 

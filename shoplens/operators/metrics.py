@@ -119,7 +119,7 @@ def grouped_metrics(scored: DataFrame, groups: Sequence[str], y: str = "y_true",
         F.count_if(usable & t).alias("_P"), F.count_if(usable & ~t).alias("_N"))
     g = scored.where(usable).groupBy(*groups, s.alias("score")).agg(
         F.count_if(t).alias("pos"), F.count_if(~t).alias("neg"))
-    r = global_rank(g, "score", sums=["neg"], rank_col="point", groups=groups)
+    r = global_rank(g, "score", sums=["neg"], rank_col="_point", groups=groups)
     u = r.groupBy(*[F.col(x).alias(f"_{x}") for x in groups]).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)).alias("_u"))
     same = F.lit(True)

@@ -454,6 +454,25 @@ def append_customers(spark, sf):
     return BZ.append_scored(existing, new.drop("user_id"), order_col="orig_id")
 
 
+@register("append_retried")
+def append_retried(spark, sf):
+    """Existing customers, then the new ones by mobile and by other devices as two
+    runs; the first is sent twice, the second fails once before it is published."""
+    from shoplens.session import checkpoint_dir
+    from shoplens.sources import appends as AP
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/customers-{uuid.uuid4().hex[:12]}"
+    u = users_clean(spark, sf).select("user_id", "age", "device_type", "will_purchase", F.col("user_id").alias("orig_id"))
+    new = u.where(F.col("will_purchase") == 0)
+    mobile, others = (new.where(F.col("device_type").eqNullSafe("mobile") == F.lit(b)) for b in (True, False))
+    AP.append_once(u.where(F.col("will_purchase") == 1), path, "base")
+    AP.append_once(mobile, path, "mobile", order_col="orig_id")
+    AP.append_once(mobile, path, "mobile", order_col="orig_id")
+    AP.stage(others, path, "user_id", order_col="orig_id")
+    AP.append_once(others, path, "others", order_col="orig_id")
+    return AP.read_appended(spark, path)
+
+
 # ----------------------------------------------------------------------- ML
 def _ml_data(spark, sf):
     from shoplens.ml import train as ML
@@ -498,9 +517,7 @@ def rate_models() -> dict:
     """Baselines that SQL can state in full, for the reports on models."""
     from shoplens.ml.rates import RateEstimator
 
-    cols = {"rate_membership": ["membership"], "rate_device": ["device_type"], "rate_age": ["age_group"],
-            "rate_all": ["membership", "device_type", "age_group"]}
-    return {name: RateEstimator(c, "will_purchase") for name, c in cols.items()}
+    return {name: RateEstimator(c, "will_purchase") for name, c in O.RATE_COLUMNS.items()}
 
 
 def rate_base(spark, sf):
@@ -542,6 +559,21 @@ def learning_curve(spark, sf):
     return round_doubles(ML.learning_curve(rate_base(spark, sf), rate_models()["rate_all"], "will_purchase"))
 
 
+SEARCH_SPACE = {"columns": list(O.RATE_COLUMNS), "prior": [1.0, 5.0, 20.0, 100.0, 400.0]}
+
+
+@register("search_table")
+def search_table(spark, sf):
+    """Six drawn points of a grid of rate models on five folds each."""
+    from shoplens.ml.rates import RateEstimator
+    from shoplens.ml.search import search_table as search
+
+    fit = lambda point, train: RateEstimator(O.RATE_COLUMNS[point["columns"]], "will_purchase", point["prior"]).fit(train)
+    points, rows = search(rate_base(spark, sf), SEARCH_SPACE, fit, "will_purchase", n_iter=6)
+    named = spark.createDataFrame([(k, p["columns"], p["prior"]) for k, p in points.items()], "point int, columns string, prior double")
+    return round_doubles(rows.join(named, "point"))
+
+
 @register("importances")
 def importances(spark, sf):
     ML, train, test, feats = _ml_data(spark, sf)
@@ -584,6 +616,24 @@ def temporal_features(spark, sf):
     )
 
 
+# ---------------------------------------------------------------- streaming
+@register("stream_scores")
+def stream_scores(spark, sf):
+    """The customers as incoming files, scored by a stream that is stopped once
+    and resumed from its checkpoint."""
+    from shoplens.session import checkpoint_dir
+    from shoplens.streaming.scoring import replay_files, score_resumed
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    users = rate_base(spark, sf)
+    model = rate_models()["rate_all"].fit(users).pinned()
+    facts = feature_matrix_df(spark, sf).select("user_id", "total_orders", "days_since_last_order")
+    rows = users.drop("will_purchase").join(facts, "user_id").repartition(32, "user_id")
+    replay_files(rows, f"{base}/in")
+    scored = score_resumed(spark, model, [], rows.schema, f"{base}/in", f"{base}/out", f"{base}/progress", files_per_batch=16)
+    return scored.select("user_id", r6("probability"), r6("adjusted_probability"), "prediction")
+
+
 # ------------------------------------------------------------------ sources
 @register("csv_round_trip")
 def csv_round_trip(spark, sf):

@@ -935,20 +935,21 @@ FROM ({_CAMPAIGN.format(rows=first_rows(_DEPTHS, '0.001'))}) c
 
 
 # ------------------------------------------------------------ business rules
-cte(
-    "decay",
-    """
-SELECT user_id, engagement_score_mean AS probability, total_orders, days_since_last_order,
+def decayed(prob: str, source: str) -> str:
+    """The recency decay rules on a column of ``source``."""
+    return f"""
+SELECT user_id, {prob} AS probability, total_orders, days_since_last_order,
        CASE WHEN total_orders = 0 AND days_since_last_order > 60 THEN p1 * 0.3 ELSE p1 END AS adjusted_probability
-FROM (SELECT *, engagement_score_mean * CASE
+FROM (SELECT *, {prob} * CASE
           WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 180 THEN 0.25
           WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 150 THEN 0.35
           WHEN total_orders > 0 AND days_since_last_order > 90 AND days_since_last_order >= 120 THEN 0.5
           WHEN total_orders > 0 AND days_since_last_order > 90 THEN 0.7 ELSE 1.0 END AS p1
-      FROM fm) x
-""",
-    ["fm"],
-)
+      FROM {source}) x
+"""
+
+
+cte("decay", decayed("engagement_score_mean", "fm"), ["fm"])
 query(
     "score_decay",
     "SELECT user_id, probability, adjusted_probability, CAST(adjusted_probability >= 0.5 AS INTEGER) AS prediction FROM decay",
@@ -1152,7 +1153,7 @@ RATE_COLUMNS = {"rate_membership": ["membership"], "rate_device": ["device_type"
                 "rate_all": ["membership", "device_type", "age_group"]}
 
 
-def rate_scores(name: str, train: str, runs: str, target: str) -> str:
+def rate_scores(name: str, train: str, runs: str, target: str, prior: str = "20.0::DOUBLE") -> str:
     """Scores of one rate model: learnt from ``train`` per run, applied to ``target``
     (both (run columns, user columns)); ``runs`` are the columns that tell runs apart."""
     cols = RATE_COLUMNS[name]
@@ -1160,7 +1161,7 @@ def rate_scores(name: str, train: str, runs: str, target: str) -> str:
     same = " AND ".join([f"t.{c} IS NOT DISTINCT FROM r.{c}" for c in cols + runs.split(", ")])
     mine = " AND ".join(f"t.{c} = o.{c}" for c in runs.split(", "))
     return f"""
-SELECT '{name}' AS model, t.*, coalesce((r.pos + 20.0::DOUBLE * o.overall) / (r.n + 20.0::DOUBLE), o.overall) AS y_score
+SELECT '{name}' AS model, t.*, coalesce((r.pos + {prior} * o.overall) / (r.n + {prior}), o.overall) AS y_score
 FROM {target} t
 JOIN (SELECT {runs}, CAST(sum(will_purchase) AS DOUBLE) / CAST(count(will_purchase) AS DOUBLE) AS overall FROM {train} GROUP BY {runs}) o ON {mine}
 LEFT JOIN (SELECT {runs}, {keys}, sum(will_purchase) AS pos, count(will_purchase) AS n FROM {train} GROUP BY {runs}, {keys}) r ON {same}
@@ -1239,6 +1240,55 @@ SELECT round(size, 6) AS size, round(avg(auc_roc) FILTER (side = 'train'), 6) AS
        round(stddev_pop(auc_roc) FILTER (side = 'val'), 6) AS val_std FROM curve_results GROUP BY size
 """, "curve_results")
 
+# ------------------------------------------- the search as a table of rows
+_MODELS = ", ".join(f"'{m}'" for m in RATE_COLUMNS)
+cte("search_points", f"""
+SELECT CAST(i AS INTEGER) AS point, [{_MODELS}][i % 4 + 1] AS columns, [1.0, 5.0, 20.0, 100.0, 400.0][i // 4 + 1]::DOUBLE AS prior
+FROM range(20) r(i) ORDER BY md5('42|point|' || CAST(i AS VARCHAR)) LIMIT 6
+""")
+cte("search_rows", f"""
+SELECT p.*, f.fold, CASE WHEN u.fold = f.fold THEN 'val' ELSE 'train' END AS side, {', '.join('u.' + c for c in _USERS.split(', '))}
+FROM search_points p, (SELECT DISTINCT fold FROM rate_folds) f, rate_folds u
+""", ["search_points", "rate_folds"])
+for _m in RATE_COLUMNS:
+    cte(f"search_{_m}", f"SELECT * FROM search_rows WHERE columns = '{_m}'", ["search_rows"])
+    cte(f"search_fit_{_m}", f"SELECT * FROM search_{_m} WHERE side = 'train'", [f"search_{_m}"])
+cte("search_scored", "\nUNION ALL\n".join(rate_scores(m, f"search_fit_{m}", "point, fold", f"search_{m}", "t.prior") for m in RATE_COLUMNS),
+    [x for m in RATE_COLUMNS for x in (f"search_{m}", f"search_fit_{m}")])
+cte("search_results", rated_metrics("search_scored", "point, columns, prior, fold, side"), ["search_scored"])
+cte("search_sides", """
+SELECT point, columns, prior, fold, max(n) FILTER (side = 'train') AS n_train, max(n) FILTER (side = 'val') AS n_val,
+       max(auc_roc) FILTER (side = 'train') AS train_auc, max(auc_roc) FILTER (side = 'val') AS val_auc
+FROM search_results JOIN (SELECT point, fold, side, count(*) AS n FROM search_scored GROUP BY point, fold, side) USING (point, fold, side)
+GROUP BY point, columns, prior, fold
+""", ["search_results", "search_scored"])
+query("search_table", """
+SELECT s.point, columns, prior, fold, n_train, n_val, round(train_auc, 6) AS train_auc, round(val_auc, 6) AS val_auc,
+       round(mean_auc, 6) AS mean_auc, round(std_auc, 6) AS std_auc, place
+FROM search_sides s
+JOIN (SELECT *, row_number() OVER (ORDER BY round(mean_auc, 9) DESC NULLS LAST, point) AS place
+      FROM (SELECT point, avg(val_auc) AS mean_auc, stddev_pop(val_auc) AS std_auc FROM search_sides GROUP BY point) m) p USING (point)
+""", "search_sides")
+
+# ------------------------------------------- repeated appends and streaming
+query("append_retried", """
+SELECT user_id, age, device_type, will_purchase, user_id AS orig_id FROM clean_usr WHERE will_purchase = 1
+UNION ALL
+SELECT (SELECT coalesce(max(user_id), 0) FROM clean_usr WHERE will_purchase = 1)
+         + row_number() OVER (ORDER BY device_type IS DISTINCT FROM 'mobile', user_id) AS user_id,
+       age, device_type, will_purchase, user_id AS orig_id
+FROM clean_usr WHERE will_purchase = 0
+""", "clean_usr")
+cte("stream_users", f"SELECT {_USERS}, 1 AS run FROM clean_usr", ["clean_usr"])
+cte("stream_rates", rate_scores("rate_all", "stream_users", "run", "stream_users"), ["stream_users"])
+cte("stream_rows", "SELECT r.user_id, r.y_score, fm.total_orders, fm.days_since_last_order FROM stream_rates r JOIN fm USING (user_id)",
+    ["stream_rates", "fm"])
+cte("stream_decayed", decayed("y_score", "stream_rows"), ["stream_rows"])
+query("stream_scores", """
+SELECT user_id, round(probability, 6) AS probability, round(adjusted_probability, 6) AS adjusted_probability,
+       CAST(adjusted_probability >= 0.5 AS INTEGER) AS prediction FROM stream_decayed
+""", "stream_decayed")
+
 # ------------------------------------------------------------------ sources
 query("csv_round_trip", """
 SELECT CASE WHEN ok THEN CAST(order_id AS VARCHAR) END AS order_id, CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id,

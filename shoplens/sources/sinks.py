@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import metrics as ME
+from shoplens.sources.appends import exists
+
+RUNS = "run_id string, finished_at string, step_seconds string, best_model string, metrics string"
 
 
 def write_table(df: DataFrame, path: str, csv: bool = True) -> None:
@@ -78,13 +81,18 @@ def write_evaluation_report(metrics_row: DataFrame, lift: DataFrame, roc: DataFr
 
 def append_run_summary(spark: SparkSession, path: str, run_id: str, step_seconds: dict[str, float],
                        best_model: str, metrics: dict[str, float]) -> None:
-    """One row per pipeline run appended to a ``runs`` Parquet table."""
+    """One row per pipeline run appended to a ``runs`` Parquet table.
+
+    A run that is there already is left as it is, so the step may be repeated.
+    """
+    if exists(spark, path) and spark.read.schema(RUNS).parquet(path).where(F.col("run_id") == run_id).limit(1).count():
+        return
     row = [(run_id, _dt.datetime.now(_dt.timezone.utc).isoformat(), json.dumps(step_seconds), best_model,
             json.dumps(metrics))]
-    spark.createDataFrame(row, "run_id string, finished_at string, step_seconds string, best_model string, "
-                               "metrics string").write.mode("append").parquet(path)
+    spark.createDataFrame(row, RUNS).write.mode("append").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """S13 sink: append newly scored rows to the stored table."""
+    """S13 sink: append newly scored rows to the stored table (``appends.append_once``
+    for jobs that may be repeated)."""
     df.write.mode("append").parquet(path)

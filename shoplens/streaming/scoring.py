@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,3 +45,38 @@ def start_scoring(
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def replay_files(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Writes a table as the incoming files of a stream, each of bounded size."""
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def score_resumed(
+    spark: SparkSession,
+    model: PipelineModel,
+    feature_names: Sequence[str],
+    schema: T.StructType,
+    source_dir: str,
+    sink_dir: str,
+    checkpoint: str,
+    files_per_batch: int = 8,
+    stop_after: int = 1,
+) -> DataFrame:
+    """Scores what lies in ``source_dir``, stopped after ``stop_after`` batches and resumed.
+
+    The second query goes on from the first one's checkpoint, so each row is scored
+    once wherever the first was stopped, within a batch too.  Returns the sink's rows.
+    """
+    run = lambda **how: start_scoring(spark, model, feature_names, schema, source_dir, sink_dir, checkpoint,
+                                      max_files_per_trigger=files_per_batch, **how)
+    first = run(available_now=False)
+    try:
+        while not first.awaitTermination(0.2):
+            last = first.lastProgress
+            if last and (last["batchId"] + 1 >= stop_after or not last["numInputRows"]):
+                break
+    finally:
+        first.stop()
+    run().awaitTermination()
+    return spark.read.parquet(sink_dir)
