@@ -10,9 +10,10 @@ number written in full once is also found where it is written in part.  Base
 spans are evidence: their labels are fixed.
 
 The potentials are learned from a bounded sample of ``max_docs`` texts (the
-smallest by a hash of their id, among those with digits or an at sign), with the
-base spans as labels: a logistic model for the unary ones, smoothed log-odds of
-agreement for chain and skip edges.  Each mention links to the last one with
+smallest by a hash of their id, among those with digits or an at sign): base spans
+are hidden, by writing them in part elsewhere in their text, beside decoys of the
+same shape, and unary, chain and skip weights are fitted together to tell them.
+No potential is bounded or set by hand.  Each mention links to the last one with
 the same key only, so the work grows with the mentions, not with their pairs.
 
 Defined cases: a null or empty text has no spans; null ids and repeated rows
@@ -24,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -196,34 +198,94 @@ class Field:
     sure: float = 0.8
 
 
-def fit_field(texts: list[str]) -> Field:
-    """Potentials from the base spans of the sampled texts."""
+def part_of(span: str, kind: int) -> str:
+    """A way to write a base span in part, which the patterns do not see."""
+    if KINDS[kind] == "email":
+        local, _, domain = span.partition("@")
+        return f"{local}@{domain.partition('.')[0]}"
+    digits = [m.start() for m in re.finditer("[0-9]", span)]
+    start = max(0, len(digits) - 8) if KINDS[kind] == "card" else span.index(".") + 1 if KINDS[kind] == "ip" else digits[1]
+    return span[digits[start] if KINDS[kind] == "card" else start:].lstrip(" .-)")
+
+
+def decoy_of(part: str) -> str:
+    """Something of the same shape that nothing else in its document resembles."""
+    local, at, domain = part.partition("@")
+    swap = str.maketrans("0123456789", "3579146802")
+    return f"{local[::-1]}x@{domain}" if at else local.translate(swap)
+
+
+def examples(text: str) -> tuple[list[Mention], list[int | None], list[list[float]], list[bool]]:
+    """The mentions of a text as training data, their labels (None: not known) and
+    features, and whether the label is certain.
+
+    Each base span is hidden once: written in part, at a place given by its hash,
+    where only its likeness to the whole one tells what it is.  A decoy of the same
+    shape stands beside it and is none.  Other mentions are none too, as far as the
+    patterns can tell, but for those that resemble a base span: these are not known.
+    """
+    found = mentions(text, base_spans(text))
+    known: dict[int, int | None] = {id(m): m.label for m in found}
+    shapes = {id(m): features(m, text) for m in found}
+    before = {id(m) for m in found}
+    for m in [m for m in found if m.fixed]:
+        part = part_of(m.text, m.label - 1)
+        for piece, label in ((part, m.label), (decoy_of(part), 0)):
+            if list(candidates(piece)) != [(0, len(piece))] or base_spans(piece):
+                continue
+            extra = Mention(1, 1 + len(piece), 0, False, piece)
+            known[id(extra)], shapes[id(extra)] = label, features(extra, f" {piece} ")
+            found.insert(zlib.crc32(piece.encode()) % (len(found) + 1), extra)
+    certain = {id(m) for m in found if m.fixed or id(m) not in before}
+    told = {k for k, label in known.items() if label}
+    for a, b in links(found):
+        for x, y in ((found[a], found[b]), (found[b], found[a])):
+            if id(x) in told and id(y) not in told:
+                known[id(y)] = None
+    return found, [known[id(m)] for m in found], [shapes[id(m)] for m in found], [id(m) in certain for m in found]
+
+
+def fit_field(texts: list[str], steps: int = 1_500, rate: float = 0.5, decay: float = 0.0005) -> Field:
+    """All potentials together, by the pseudo-likelihood of the known labels of ``examples``.
+
+    A mention's label is predicted from its features and from the number of chain and
+    skip neighbours of each label; the weights of these two counts are the potentials.
+    """
     import numpy as np
 
-    rows, marks = [], []
-    agree = {"chain": [1.0, 1.0], "skip": [1.0, 1.0]}
+    k = len(LABELS)
+    rows, marks, firm, beside, alike = [], [], [], [], []
     for text in texts:
-        found = mentions(text, base_spans(text))
-        rows += [features(m, text) for m in found]
-        marks += [m.label for m in found]
-        near = [(k, k + 1) for k in range(len(found) - 1)]
-        for kind, pairs in (("chain", near), ("skip", links(found))):
+        found, labels, shapes, certain = examples(text)
+        counts = {"chain": np.zeros((len(found), k)), "skip": np.zeros((len(found), k))}
+        for kind, pairs in (("chain", [(i, i + 1) for i in range(len(found) - 1)]), ("skip", links(found))):
             for a, b in pairs:
-                agree[kind][found[a].label == found[b].label] += 1
-    w = np.zeros((len(features(Mention(0, 1, 0, False, "0"), "0")), len(LABELS)))
-    w[0, 0] = 2.0
-    if rows:
-        x, y = np.array(rows, dtype=float), np.eye(len(LABELS))[marks]
-        # Labels are softened: the patterns miss some of the truth.
-        y = 0.9 * y + 0.1 / len(LABELS)
-        for _ in range(400):
-            z = x @ w
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            w -= 0.5 * (x.T @ (p - y) / len(x) + 0.002 * w)
-    odds = {k: math.log(yes / no) for k, (no, yes) in agree.items()}
-    # Neighbours say little, likeness much: bounded on both sides.
-    return Field(w.tolist(), min(0.3, max(0.0, odds["chain"] * 0.1)), min(6.0, max(3.0, odds["skip"])))
+                for i, j in ((a, b), (b, a)):
+                    if labels[j] is not None:
+                        counts[kind][i, labels[j]] += 1
+        use = [i for i, label in enumerate(labels) if label is not None]
+        rows += [shapes[i] for i in use]
+        marks += [labels[i] for i in use]
+        firm += [certain[i] for i in use]
+        beside.append(counts["chain"][use])
+        alike.append(counts["skip"][use])
+    w = np.zeros((len(features(Mention(0, 1, 0, False, "0"), "0")), k))
+    chain = skip = 0.0
+    if not rows:
+        w[0, 0] = 2.0
+        return Field(w.tolist(), chain, skip)
+    x, y = np.array(rows, dtype=float), np.eye(k)[marks]
+    near, like = np.concatenate(beside), np.concatenate(alike)
+    # What no pattern matches is none but softly: the patterns miss some of the truth.
+    y[~np.array(firm)] = 0.9 * y[~np.array(firm)] + 0.1 / k
+    for _ in range(steps):
+        z = x @ w + chain * near + skip * like
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        w -= rate * (x.T @ (p - y) / len(x) + decay * w)
+        chain -= rate * (float((near * (p - y)).sum()) / len(x) + decay * chain)
+        skip -= rate * (float((like * (p - y)).sum()) / len(x) + decay * skip)
+    return Field(w.tolist(), chain, skip)
 
 
 def marginals(found: list[Mention], text: str, field: Field) -> list[list[float]]:
@@ -236,7 +298,11 @@ def marginals(found: list[Mention], text: str, field: Field) -> list[list[float]
         if m.fixed:
             z[i] = -50.0
             z[i, m.label] = 0.0
-    edges = [(a, a + 1, field.chain) for a in range(n - 1)] + [(a, b, field.skip) for a, b in links(found)]
+    # Two edges between the same mentions are one with both potentials.
+    joined: dict[tuple[int, int], float] = {}
+    for a, b, strength in [(a, a + 1, field.chain) for a in range(n - 1)] + [(a, b, field.skip) for a, b in links(found)]:
+        joined[a, b] = joined.get((a, b), 0.0) + strength
+    edges = [(a, b, strength) for (a, b), strength in joined.items()]
     if edges:
         src = np.array([e[0] for e in edges] + [e[1] for e in edges])
         dst = np.array([e[1] for e in edges] + [e[0] for e in edges])
