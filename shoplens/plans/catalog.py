@@ -581,6 +581,49 @@ def importances(spark, sf):
     return ML.importances(model, feats)
 
 
+#: How far a score, importance or gradient may lie from what it is held against.
+SAME, FLAT = 1e-9, 1e-3
+
+
+def _held_against(part: str, got: DataFrame, want: DataFrame, key: str, value: str, tol: float) -> DataFrame:
+    """(part, name, y_true, agrees) per key of either side."""
+    w = want.select(F.col(key).cast("string").alias("name"), F.col(value).alias("_want"),
+                    (F.col("y_true") if "y_true" in want.columns else F.lit(None)).cast("int").alias("y_true"))
+    both = got.select(F.col(key).cast("string").alias("name"), F.col(value).alias("_got")).join(w, "name", "full")
+    agrees = F.coalesce(F.abs(F.col("_got") - F.col("_want")) <= tol, F.lit(False))
+    return both.select(F.lit(part).alias("part"), "name", "y_true", agrees.alias("agrees"))
+
+
+def _tree_checks(ML, model, test, feats) -> list[DataFrame]:
+    from shoplens.ml import tables as MT
+
+    trees = MT.tree_table(model, feats)
+    return [_held_against("score", MT.tree_scores(test, trees), ML.score(model, test, "will_purchase"), "user_id", "y_score", SAME),
+            _held_against("importance", MT.tree_importances(trees), ML.importances(model, feats), "feature", "importance", SAME)]
+
+
+@register("forest_table")
+def forest_table(spark, sf):
+    """The forest's table of nodes walked for every test user and summed for
+    every feature, held against the library; and where the logistic fit ended."""
+    from shoplens.ml import tables as MT
+
+    ML, train, test, feats = _ml_data(spark, sf)
+    lr = ML.logistic_regression(feats, "will_purchase", train.count(), C=1.0).fit(train)
+    slope = MT.logistic_gradient(lr, train, feats, "will_purchase")
+    flat = _held_against("gradient", slope, slope.withColumn("gradient", F.lit(0.0)), "feature", "gradient", FLAT)
+    model = ML.random_forest(feats, "will_purchase").fit(train)
+    return reduce(DataFrame.unionByName, [*_tree_checks(ML, model, test, feats), flat])
+
+
+@register("boosted_table")
+def boosted_table(spark, sf):
+    """The same for boosting at full size."""
+    ML, train, test, feats = _ml_data(spark, sf)
+    model = ML.gradient_boosting(feats, "will_purchase").fit(train)
+    return reduce(DataFrame.unionByName, _tree_checks(ML, model, test, feats))
+
+
 # ------------------------------------------------------- imputation / dedup
 def sparse_user_frame(spark, sf):
     """Users left-joined to their session statistics: users without sessions

