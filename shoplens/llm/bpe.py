@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
-from shoplens.llm.common import text_or_empty
+from shoplens.llm.common import kept_by_worker, text_or_empty
 from shoplens.session import ship_package
 
 LONG_WORD = 256
@@ -176,12 +176,10 @@ class BpeEngine:
         return out
 
 
-_CACHES: dict[str, tokens.PieceCache] = {}
-
-
 def bpe_cache(path: str, pattern: str) -> tokens.PieceCache:
-    """Piece -> (ids, bytes decoded from the ids); one per Python worker."""
-    if path not in _CACHES:
+    """Piece -> (ids, bytes decoded from the ids); kept by the Python worker."""
+
+    def make() -> tokens.PieceCache:
         engine = BpeEngine(path)
 
         def encode(words: list[str]) -> list[tuple[bytes, bytes]]:
@@ -194,8 +192,9 @@ def bpe_cache(path: str, pattern: str) -> tokens.PieceCache:
         split = tokens.WordSplitter(tokens.split_words(pattern), True, whole=False)
         cache = tokens.PieceCache(tokens.by_words(encode, split, join=join), True)
         cache.empty = (b"", b"")
-        _CACHES[path] = cache
-    return _CACHES[path]
+        return cache
+
+    return kept_by_worker(("bpe", path), make)
 
 
 ROWS = "doc_id long, n_tokens long, ids binary, decoded binary"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,28 @@ def local_path(uri: str) -> str:
     return uri
 
 
+#: What this Python worker keeps for the later tasks of one owner.
+_KEPT: dict[object, object] = {}
+
+
+def kept_by_worker(owner: object, make: Callable[[], object]) -> object:
+    """``make()``, kept by this Python worker until another owner comes.
+
+    Spark hands a worker from stage to stage, so what each of them kept would add up.
+    """
+    if owner not in _KEPT:
+        let_go()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+def let_go() -> None:
+    """Drops what this worker keeps, if anything; operators without a cache start with it."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 #: 64-bit words of a membership filter: 2 MB of bits for any number of keys.
 FILTER_WORDS = 1 << 18
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored, text_or_empty, with_maybe
+from shoplens.llm.common import let_go, stored, text_or_empty, with_maybe
 from shoplens.llm.components import connected_components
 from shoplens.session import ship_package
 
@@ -53,6 +53,7 @@ def shingler(width: int = WIDTH) -> Callable[[str], object]:
     import numpy as np
     import xxhash
 
+    let_go()
     known: dict[bytes, int] = {}
     odd = np.array([(0x9E3779B97F4A7C15 * (2 * k + 3) | 1) & (2**64 - 1) for k in range(width)], dtype=np.uint64)
 

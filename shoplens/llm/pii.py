@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import text_or_empty
+from shoplens.llm.common import let_go, text_or_empty
 from shoplens.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -371,6 +371,7 @@ def finder(field: Field, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]]
     """Batches whose first column is the text -> the other columns and the results."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         empty = hashlib.sha256(b"").hexdigest()
         for batch in stream:
             texts = batch.column(0).to_pylist()

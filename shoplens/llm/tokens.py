@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from shoplens.llm.common import kept_by_worker
+
 LIMIT = 600_000
 #: Pieces longer than this are not kept.
 LONG = 64
@@ -138,17 +140,15 @@ class PieceCache:
         return [b"".join(v) for v in self.lookup(texts)]
 
 
-_ENCODERS: dict[tuple[str, bool], PieceCache] = {}
-
-
 def library_encoder(path: str, spaced: bool, words: Words | None = None) -> PieceCache:
     """Cache over a tokeniser file; special tokens' strings are ordinary text.
 
-    One per Python worker: later tasks of the worker find it filled.  With
+    Kept by the Python worker: later tasks of the worker find it filled.  With
     ``words``, by the file's own pattern, an unknown piece is cut into its words and
     only unknown words reach the library.
     """
-    if (path, spaced) not in _ENCODERS:
+
+    def make() -> PieceCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -160,8 +160,9 @@ def library_encoder(path: str, spaced: bool, words: Words | None = None) -> Piec
 
         if words:
             by_piece = by_words(WordRuns(t, spaced, encode), WordSplitter(words, spaced))
-        _ENCODERS[path, spaced] = PieceCache(by_piece if words else encode, spaced)
-    return _ENCODERS[path, spaced]
+        return PieceCache(by_piece if words else encode, spaced)
+
+    return kept_by_worker(("library", path, spaced), make)
 
 
 class WordRuns:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import text_or_empty
+from shoplens.llm.common import let_go, text_or_empty
 from shoplens.session import ship_package
 
 # Identity terms (fixed values): groups that a text may mention neutrally.
@@ -104,6 +104,7 @@ def feature_ids(words: set[str]) -> bytes:
 
 def sample_features(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic) -> (toxic, features, features after swapping or null)."""
+    let_go()
     sets = WordSets()
     for batch in stream:
         rows = []
@@ -219,6 +220,7 @@ def scorer(weights: dict[int, float], bias: float) -> Callable[[Iterator[pa.Reco
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import math
 
+        let_go()
         sets = WordSets()
         parts: dict[str, tuple[int, ...]] = {}
         for batch in stream:

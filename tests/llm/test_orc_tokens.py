@@ -58,3 +58,15 @@ def test_id_filter_reaches_the_files(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert orc_tokens.read_ids(orc_tokens.id_files(df, PATH, 1, False, WORD_PATTERN)).count() == 0
+
+
+def test_a_worker_keeps_one_owners_cache():
+    from shoplens.llm.common import kept_by_worker, let_go
+
+    first = kept_by_worker("a", dict)
+    assert kept_by_worker("a", dict) is first
+    assert kept_by_worker("b", list) == [] and kept_by_worker("a", dict) is not first
+    again = kept_by_worker("a", dict)
+    let_go()
+    assert kept_by_worker("a", dict) is not again
+    let_go()
