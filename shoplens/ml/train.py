@@ -350,20 +350,25 @@ def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     return train, test
 
 
-def sized(df: DataFrame, partition_bytes: int = 16 << 20) -> DataFrame:
-    """``df`` kept, in no more partitions than its bytes ask for.
+def fit_partitions(n_bytes: int, cores: int, task_bytes: int = 4 << 20, most_bytes: int = 256 << 20) -> int:
+    """Partitions for rows that thousands of short jobs read.
 
-    Boosting runs thousands of short jobs over these rows, so tasks without work
-    cost more than the work; large data keeps the partitions it has.
+    Tasks without work cost more than the work, so small data has few; beyond one
+    wave of ``cores`` tasks more partitions only add aggregates to merge (a whole
+    histogram each), so large data has a task a core until one would hold too much.
     """
+    wave = max(1, min(-(-n_bytes // task_bytes), cores))
+    return max(wave, -(-n_bytes // most_bytes))
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` kept, dealt out evenly over as many partitions as ``fit_partitions`` says."""
     kept = df.persist()
-    need = max(1, -(-kept.count() * len(df.columns) * 8 // partition_bytes))
-    if need >= kept.rdd.getNumPartitions():
-        return kept
-    few = df.coalesce(need).persist()
-    few.count()
+    need = fit_partitions(kept.count() * len(df.columns) * 8, df.sparkSession.sparkContext.defaultParallelism)
+    even = kept.repartition(need).persist()
+    even.count()
     kept.unpersist()
-    return few
+    return even
 
 
 # -------------------------------------------------- presets and bundles

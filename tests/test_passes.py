@@ -1,8 +1,9 @@
-"""How often reports compute their rows."""
+"""How often the training queries compute their rows, and how they deal them out."""
 
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import exact_avg
+from shoplens.ml import train as ML
 from shoplens.operators import explore as EX
 
 N = 200
@@ -28,6 +29,18 @@ def test_correlation_computes_its_columns_once(spark):
     assert all(abs(got[c] - want[c]) < 1e-12 for c in ("age", "spend"))
 
 
+def test_training_rows_have_one_even_wave_of_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 400_000, 1, 10 * cores).select("id", *[F.lit(1.0).alias(f"x{i}") for i in range(60)])
+    kept = ML.sized(rows)
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == cores and max(sizes) - min(sizes) <= 10 * cores and sum(sizes) == 400_000
+    kept.unpersist()
+    assert ML.sized(spark.range(100)).rdd.getNumPartitions() == 1
+    # A task holds at most 256 MB, whatever the cores.
+    assert [ML.fit_partitions(b, 12) for b in (0, 24 << 20, 1500 << 20, 6 << 30)] == [1, 6, 12, 24]
+
+
 def test_small_integers_have_the_mean_of_the_decimals(spark):
     df = spark.createDataFrame([(2**31 - 1,), (2**31 - 1,), (-7,), (None,)], "n int")
     r = df.agg(exact_avg("n", "integer").alias("a"), exact_avg("n").alias("b")).first()
