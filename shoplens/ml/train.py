@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import metrics as ME
+from shoplens.operators._util import written
 from shoplens.operators.business import apply_decay
 from shoplens.ml.spaces import ADVANCED_SPACES, draw, param_map
 from shoplens.ml.rates import RateModel
@@ -339,9 +340,9 @@ def load_latest(spark: SparkSession, root: str) -> tuple[PipelineModel, dict]:
 
 def prepare(fm: DataFrame, label: str, seed: int = 42, test_size: float = 0.2):
     """Stratified split + balanced weights + string encoding, ready to fit."""
-    # Iterative fitting runs one job per iteration over these rows: they are
-    # kept, in partitions that AQE sizes by bytes.
-    split = stratified_split(fm, label, test_size, seed).hint("rebalance").persist()
+    # The matrix is computed once: drawing range borders, class sizes and the ranked
+    # rows each read it again.  The split is kept, as both sides are cut from it.
+    split = stratified_split(written(fm, "matrix"), label, test_size, seed).hint("rebalance").persist()
     train = with_weights(split.where(F.col("split") == "train").drop("split"), label)
     test = with_weights(split.where(F.col("split") == "test").drop("split"), label)
     strings = [f.name for f in fm.schema.fields if f.dataType.typeName() == "string" and f.name not in ("user_id",)]

@@ -29,6 +29,12 @@ def test_correlation_computes_its_columns_once(spark):
     assert all(abs(got[c] - want[c]) < 1e-12 for c in ("age", "spend"))
 
 
+def test_training_data_computes_the_matrix_once(spark):
+    df, seen = counted(spark)
+    train, test = ML.prepare(df, "will_purchase")
+    assert train.count() + test.count() == N and seen.value == N
+
+
 def test_training_rows_have_one_even_wave_of_tasks(spark):
     cores = spark.sparkContext.defaultParallelism
     rows = spark.range(0, 400_000, 1, 10 * cores).select("id", *[F.lit(1.0).alias(f"x{i}") for i in range(60)])
