@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import jaccard, line_quality, packing, pii, toxicity
-from shoplens.llm.common import stored, table
+from shoplens.llm.common import small_batches, stored, table
 
 
 def _like_documents(docs: DataFrame) -> DataFrame:
@@ -26,22 +26,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.drop_toxic(docs, model)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that of the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind."""
+    small_batches(spark)
     return _like_documents(pii.redacted(docs, pii.train(docs)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing into sequences of at most 1024 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, True, public_tokenizers.PATTERN, 1024)
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import let_go, text_or_empty
+from shoplens.llm.common import in_pieces, let_go, text_or_empty
 from shoplens.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -373,7 +373,7 @@ def finder(field: Field, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]]
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         empty = hashlib.sha256(b"").hexdigest()
-        for batch in stream:
+        for batch in in_pieces(stream):
             texts = batch.column(0).to_pylist()
             found = [find(t, field) for t in texts]
             columns = list(batch.columns[1:])
