@@ -1,7 +1,7 @@
 """Fitted models as tables (M2-M4, M15, T5): one row per tree node or coefficient.
 
 A table of nodes can be kept, joined and read by any SQL engine.  Scores come from
-walking it by joins, importances from sums over it, and a linear model shows by the
+walking it, importances from sums over it, and a linear model shows by the
 gradient of its loss how near to its optimum the fit ended.
 """
 
@@ -32,7 +32,7 @@ FOREST, BOOSTED = "forest", "boosted"
 class TreeTable:
     """An ensemble of binary classification trees.
 
-    ``nodes`` has tree, weight (of the tree), node (0 is the root), feature (its place
+    ``nodes`` has tree, weight (of the tree), node (numbered without gaps, 0 is the root), feature (its place
     in ``features``, -1 in a leaf), threshold (values up to it go left), categories
     (null, or the values that go left), left, right (the node itself in a leaf), value
     (share of class 1 of a forest, prediction of a boosted tree), gain and n_rows
@@ -99,31 +99,64 @@ def _key(tree: Column, node: Column) -> Column:
     return F.shiftleft(tree.cast("long"), NODE_BITS) + node
 
 
-def tree_scores(df: DataFrame, trees: TreeTable, id_col: str = "user_id") -> DataFrame:
-    """(``id_col``, y_score): the probability of class 1, from the table alone.
+def _goes_left(x: Column, feature: Column, threshold: Column, categories: Column | None) -> Column:
+    found = F.get(x, feature)
+    below = found <= threshold
+    return below if categories is None else F.when(categories.isNotNull(), F.array_contains(categories, found)).otherwise(below)
+
 
-    Every row stands at the root of every tree and takes one join with the nodes per
-    level; rows at a leaf stay there.  The nodes are sent to the executors while they
-    are few (``BROADCAST_NODES``), so nothing is shuffled until one partial sum per id
-    is left.  Missing values go right, as NaN does.  Rows of one id (and those without
-    an id) get the mean of their scores (forest) or of their margins (boosting).
+def _ends_in_memory(at: DataFrame, trees: TreeTable) -> DataFrame:
+    """(_id, weight, value) of the leaf that each row of ``at`` (_id, _x, _tree) ends at.
+
+    One row a tree, with its nodes as an array, is sent to the executors; a step down is
+    a look into this array, in the row's own task.  The steps are one generated method,
+    which the JVM runs compiled only up to 8,000 bytes: a step has to be short, and
+    looks at categories only where some split has them.
     """
-    values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in trees.features])
-    at = df.select(F.col(f"`{id_col}`").alias("_id"), values.alias("_x"),
-                   F.explode(F.sequence(F.lit(0), F.lit(trees.n_trees - 1))).alias("_tree"))
-    at = at.select("_id", "_x", _key(F.col("_tree"), F.lit(0)).alias("_at"))
+    nodes = F.sort_array(F.collect_list(F.struct("node", "feature", "threshold", "left", "right", "value", "categories")))
+    whole = written(trees.nodes.groupBy("tree").agg(F.first("weight").alias("weight"), nodes.alias("_nodes"),
+                                                    F.count("categories").alias("_sets")), "trees")
+    sets = not whole.where("_sets > 0").isEmpty()
+    if not sets:
+        whole = whole.withColumn("_nodes", F.transform("_nodes", lambda n: n.dropFields("node", "categories")))
+    at = at.join(F.broadcast(whole.drop("_sets")), F.col("_tree") == F.col("tree")).withColumn("_n", F.get("_nodes", F.lit(0)))
+    left = _goes_left(F.col("_x"), F.col("_n.feature"), F.col("_n.threshold"), F.col("_n.categories") if sets else None)
+    for _ in range(trees.depth):
+        at = at.withColumn("_n", F.get("_nodes", F.when(left, F.col("_n.left")).otherwise(F.col("_n.right"))))
+    return at.select("_id", "weight", F.col("_n.value").alias("value"))
+
+
+def _ends_by_joins(at: DataFrame, trees: TreeTable) -> DataFrame:
+    """The same by one join with the nodes a level, for tables too large to send."""
     table = trees.nodes.select(
         _key(F.col("tree"), F.col("node")).alias("_key"), "feature", "threshold", "categories",
         _key(F.col("tree"), F.col("left")).alias("_left"), _key(F.col("tree"), F.col("right")).alias("_right"),
         "weight", "value")
-    if trees.n_nodes <= BROADCAST_NODES:
-        table = F.broadcast(table)
-    found = F.get(F.col("_x"), F.col("feature"))
-    left = F.when(F.col("categories").isNotNull(), F.array_contains("categories", found)).otherwise(found <= F.col("threshold"))
+    left = _goes_left(F.col("_x"), F.col("feature"), F.col("threshold"), F.col("categories"))
+    at = at.select("_id", "_x", _key(F.col("_tree"), F.lit(0)).alias("_at"))
     for _ in range(trees.depth):
         at = at.join(table, F.col("_at") == F.col("_key")).select(
             "_id", "_x", F.when(left, F.col("_left")).otherwise(F.col("_right")).alias("_at"))
-    ends = at.select("_id", "_at").join(table, F.col("_at") == F.col("_key")).groupBy("_id")
+    return at.select("_id", "_at").join(table, F.col("_at") == F.col("_key")).select("_id", "weight", "value")
+
+
+def tree_scores(df: DataFrame, trees: TreeTable, id_col: str = "user_id") -> DataFrame:
+    """(``id_col``, y_score): the probability of class 1, from the table alone.
+
+    Every row meets every tree and goes down it a level at a time; rows at a leaf stay
+    there.  The trees are sent to the executors while their nodes are few
+    (``BROADCAST_NODES``), so all of a row's steps are taken in one task, and one partial
+    sum per id is left.  A row is many steps of work, so rows are first dealt out over
+    all cores, however few partitions they lie in.  Missing values go right, as NaN does.
+    Rows of one id (and those without an id) get the mean of their scores (forest) or of
+    their margins (boosting).
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in trees.features])
+    at = (df.select(F.col(f"`{id_col}`").alias("_id"), values.alias("_x")).repartition(parts)
+          .select("_id", "_x", F.explode(F.sequence(F.lit(0), F.lit(trees.n_trees - 1))).alias("_tree")))
+    ends = (_ends_in_memory if trees.n_nodes <= BROADCAST_NODES else _ends_by_joins)(at, trees).groupBy("_id")
     if trees.kind == FOREST:
         return ends.agg(F.avg("value").alias("y_score")).withColumnRenamed("_id", id_col)
     sums = ends.agg(F.sum(F.col("weight") * F.col("value")).alias("_m"), (F.count(F.lit(1)) / trees.n_trees).alias("_copies"))

@@ -1,7 +1,9 @@
 """Models as tables against the library's own scores, importances and optimum."""
 
+import dataclasses
 import os
 import random
+import re
 
 import duckdb
 import pytest
@@ -121,3 +123,29 @@ def test_gradient_is_zero_at_the_optimum(frame, penalty):
     early = T.logistic_gradient(est.fit(full), full, FEATURES, "y").collect()
     assert max(abs(r.gradient) for r in early) > 1e-3
     assert isinstance(est.getStages()[-1], LogisticRegression)
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_a_walk_at_preset_depth_is_compiled_and_on_all_cores(spark, frame, models, kind, capsys):
+    """The JVM compiles no method of 8,000 bytes or more; it would interpret the walk."""
+    trees = T.tree_table(models[kind], FEATURES)
+    deep = dataclasses.replace(trees, depth=10, features=tuple(FEATURES * 13))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scores = T.tree_scores(frame.coalesce(1), deep)
+        scores.explain("codegen")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8_000
+    assert f"RoundRobinPartitioning({max(spark.sparkContext.defaultParallelism, 4)})" in plan
+
+
+def test_tables_too_large_to_send_give_the_same_scores(frame, models, monkeypatch):
+    trees = T.tree_table(models["forest"], FEATURES)
+    want = by_id(T.tree_scores(frame, trees))
+    monkeypatch.setattr(T, "BROADCAST_NODES", 0)
+    got = by_id(T.tree_scores(frame, trees))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
