@@ -66,6 +66,12 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ("user_id", "will_pu
 
 
 # ---------------------------------------------------------------- estimators
+#: MB of sums that a pass over the rows of a forest fit fills at a time.  Each row adds to
+#: a node of every tree; in the 256 MB of the default nearly every addition misses the
+#: cores' caches.  A smaller group takes more passes, with fewer trees in each.
+FOREST_GROUP_MB = 4
+
+
 def logistic_regression(features: Sequence[str], label: str, n_rows: int, C: float = 1.0,
                         penalty: str = "l2", l1_ratio: float = 0.5, robust: bool = False, max_iter: int = 100) -> Pipeline:
     """M2 / M7: scaled logistic regression; sklearn's C maps to
@@ -84,7 +90,7 @@ def random_forest(features: Sequence[str], label: str, num_trees: int = 200, max
     """M3: weighted random forest."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances,
-                                subsamplingRate=subsampling, seed=seed)
+                                maxMemoryInMB=FOREST_GROUP_MB, subsamplingRate=subsampling, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), rf])
 
 

@@ -51,3 +51,22 @@ def test_small_integers_have_the_mean_of_the_decimals(spark):
     df = spark.createDataFrame([(2**31 - 1,), (2**31 - 1,), (-7,), (None,)], "n int")
     r = df.agg(exact_avg("n", "integer").alias("a"), exact_avg("n").alias("b")).first()
     assert r.a == r.b == (2**32 - 9) / 3
+
+
+def test_forest_sums_stay_in_a_core_s_cache(spark):
+    est = ML.random_forest(["x"], "y").getStages()[-1]
+    assert est.getMaxMemoryInMB() == ML.FOREST_GROUP_MB <= 8
+    # Groups of few nodes give the same kind of forest: same depth, trees and fit.
+    rows = spark.range(3_000).select(F.col("id").alias("user_id"), ((F.col("id") * 37) % 101).cast("double").alias("x"),
+                                     ((F.col("id") * 53) % 97).cast("double").alias("z"), F.lit(1.0).alias("weight"))
+    rows = rows.withColumn("y", (F.col("x") + F.col("z") > 95).cast("int")).persist()
+    right = {}
+    for mb in (ML.FOREST_GROUP_MB, 256):
+        pipeline = ML.random_forest(["x", "z"], "y", num_trees=20, max_depth=6)
+        pipeline.getStages()[-1].setMaxMemoryInMB(mb)
+        model = pipeline.fit(rows)
+        last = model.stages[-1]
+        assert last.getNumTrees == 20 and max(t.depth for t in last.trees) == 6
+        right[mb] = ML.score(model, rows, "y").where("y_true = y_pred").count() / 3_000
+    rows.unpersist()
+    assert min(right.values()) > 0.95 and abs(right[256] - right[ML.FOREST_GROUP_MB]) < 0.02
