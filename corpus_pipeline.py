@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from shoplens.llm import jaccard, line_quality, packing, pii, toxicity
 from shoplens.llm.common import small_batches, stored, table
 
+#: Pieces of text that a worker of the last stage remembers: its executor's heap is full
+#: by then from the stages before, which leaves the workers less than they have alone.
+REMEMBERED = 150_000
+
 
 def _like_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with n_chars of the present text."""
@@ -46,7 +50,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing into sequences of at most 1024 tokens."""
     small_batches(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, True, public_tokenizers.PATTERN, 1024)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, True, public_tokenizers.PATTERN, 1024,
+                        remembered=REMEMBERED)
 
 
 STAGES = [("quality", quality), ("toxicity", non_toxic), ("near_duplicates", distinct_documents),

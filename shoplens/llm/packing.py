@@ -162,11 +162,12 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long, number long"
 
 
-def piece_rows(path: str, end_id: int, spaced: bool, pattern: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def piece_rows(path: str, end_id: int, spaced: bool, pattern: str, capacity: int,
+               remembered: int = tokens.LIMIT) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (doc_id, text) -> pieces; ``number`` counts equal lengths in the task."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = tokens.library_encoder(path, spaced, tokens.split_words(pattern))
+        cache = tokens.library_encoder(path, spaced, tokens.split_words(pattern), remembered)
         tail = tokens.packed([end_id])
         seen: dict[int, int] = {}
         row = 0
@@ -213,14 +214,15 @@ def placed(plan_table: list[tuple[int, int, int, int, int]]) -> Callable[[Iterat
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool, pattern: str, capacity: int = 1024,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", remembered: int = tokens.LIMIT) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece.
 
-    The driver sees one row per distinct length, ``capacity`` at most.
+    The driver sees one row per distinct length, ``capacity`` at most.  A worker
+    remembers the ids of ``remembered`` pieces of text: that is memory against time.
     """
     ship_package(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    pieces = stored(d.mapInArrow(piece_rows(tokenizer, end_id, spaced, pattern, capacity), PIECES)
+    pieces = stored(d.mapInArrow(piece_rows(tokenizer, end_id, spaced, pattern, capacity, remembered), PIECES)
                     .withColumn("part", F.spark_partition_id()), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -140,7 +140,7 @@ class PieceCache:
         return [b"".join(v) for v in self.lookup(texts)]
 
 
-def library_encoder(path: str, spaced: bool, words: Words | None = None) -> PieceCache:
+def library_encoder(path: str, spaced: bool, words: Words | None = None, limit: int = LIMIT) -> PieceCache:
     """Cache over a tokeniser file; special tokens' strings are ordinary text.
 
     Kept by the Python worker: later tasks of the worker find it filled.  With
@@ -159,10 +159,10 @@ def library_encoder(path: str, spaced: bool, words: Words | None = None) -> Piec
             return [packed(e.ids) for e in t.encode_batch_fast(pieces, add_special_tokens=False)]
 
         if words:
-            by_piece = by_words(WordRuns(t, spaced, encode), WordSplitter(words, spaced))
-        return PieceCache(by_piece if words else encode, spaced)
+            by_piece = by_words(WordRuns(t, spaced, encode), WordSplitter(words, spaced), limit)
+        return PieceCache(by_piece if words else encode, spaced, limit)
 
-    return kept_by_worker(("library", path, spaced), make)
+    return kept_by_worker(("library", path, spaced, limit), make)
 
 
 class WordRuns:

@@ -2,10 +2,11 @@
 
 import tracemalloc
 
+import public_tokenizers
 import pyarrow as pa
 
 import corpus_pipeline
-from shoplens.llm import pii
+from shoplens.llm import packing, pii, tokens
 from shoplens.llm.common import PIECE_ROWS, in_pieces
 
 FIELD = pii.Field([[2.0] + [0.0] * 4] + [[0.0] * 5] * 15, 0.0, 0.0)
@@ -45,3 +46,17 @@ def test_pipeline_sends_long_texts_in_small_batches(spark):
         assert spark.conf.get(key) == "1000"
     finally:
         spark.conf.set(key, before)
+
+
+def test_packing_remembers_as_many_pieces_as_it_is_told():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([t])], names=["doc_id", "text"]) for k, t in enumerate(texts)]
+    rows = {}
+    for limit in (100, 600_000):
+        run = packing.piece_rows(path, 2, True, public_tokenizers.PATTERN, 1024, limit)
+        rows[limit] = [r for b in run(iter(batches)) for r in b.to_pylist()]
+        cache = tokens.library_encoder(path, True, tokens.split_words(public_tokenizers.PATTERN), limit)
+        assert len(cache.known) <= limit + 50 or limit > 100
+    assert rows[100] == rows[600_000] and len(rows[100]) == 60
+    assert corpus_pipeline.REMEMBERED < tokens.LIMIT
