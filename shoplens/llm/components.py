@@ -15,7 +15,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     costs a re-read.  The driver sees two numbers a round.
     """
     e = stored(edges.filter(F.col("a") != F.col("b"))
-               .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+               .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", free=True)
     before = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: smaller neighbours and the node itself do.
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(root, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = stored(small.unionByName(root.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        e = stored(small.unionByName(root.select("a", F.col("m").alias("b"))).distinct(), "edges", free=True)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break

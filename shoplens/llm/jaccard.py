@@ -10,13 +10,17 @@ similarity reaches the threshold t; the components of the links are returned.
    hashes that occur in any other set has no link at all.  The most frequent of
    a set's shared hashes, fewer than the extension, can also be left out.
 2. *Groups.*  The sets that share a hash which is left are joined to one of
-   them; components of these pairs are groups that no link can cross.
+   them; components of these pairs are groups that no link can cross.  A group
+   beyond the block size is split again by the whole sets: linked ones share at
+   least ``ceil(t n)`` hashes, so a set with fewer in its group goes, and all but
+   ``ceil(t n) - 1`` of the rarest stay.  What many texts quote splits here.
 3. *Signature trees.*  Each group is a tree whose nodes hold the OR of their
    sets' bitmaps and the range of their sizes.  A dual traversal drops pairs of
    nodes whose largest possible overlap is too small, skips sets already
    connected, and compares what is left exactly.  Small groups share a task;
-   a group beyond the block size is dealt to blocks, and each pair of blocks is
-   a task, so no task grows with the group and no pair is lost.
+   a group still beyond the block size is dealt to blocks, and each pair of blocks
+   is a task, so no task grows with the group and no pair is lost.  The pairs go
+   in waves of bounded copies; a group that is one component needs no more.
 
 Copies are never expanded into pairs, and a large group of near copies needs
 few comparisons, as sets of one component are not compared again.
@@ -54,33 +58,25 @@ def shingler(width: int = WIDTH) -> Callable[[str], object]:
     import xxhash
 
     let_go()
-    known: dict[bytes, int] = {}
+    digest = xxhash.xxh64_intdigest  # faster than a look into a table of known words
     odd = np.array([(0x9E3779B97F4A7C15 * (2 * k + 3) | 1) & (2**64 - 1) for k in range(width)], dtype=np.uint64)
 
-    def word(w: bytes) -> int:
-        got = known.get(w)
-        if got is None:
-            got = xxhash.xxh64_intdigest(w)
-            if len(w) <= 64:
-                known[w] = got
-        return got
-
     def run(text: str):
-        if len(known) > 300_000:
-            known.clear()
         # Bytes: lower() touches A-Z only and split() takes space and 9 to 13.
         words = text.encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.zeros(0, dtype=np.uint64)
-        h = np.array([word(w) for w in words], dtype=np.uint64)
+        h = np.array([digest(w) for w in words], dtype=np.uint64)
+        h ^= h >> np.uint64(29)
         n = max(1, len(h) - width + 1)
         s = np.full(n, min(len(h), width), dtype=np.uint64)
         for k in range(min(width, len(h))):
-            s += (h[k:k + n] ^ (h[k:k + n] >> np.uint64(29))) * odd[k]
+            s += h[k:k + n] * odd[k]
         s ^= s >> np.uint64(32)
         s *= np.uint64(0xD6E8FEB86659FD93)
         s ^= s >> np.uint64(32)
-        return np.unique(s)
+        s.sort()
+        return s[np.concatenate(([True], s[1:] != s[:-1]))]
 
     return run
 
@@ -108,13 +104,25 @@ def class_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "key", "n", "cid"])
 
 
-def prefix_rows(t_num: int, t_den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(text) -> (token, cid, n) of each set's prefix, once per set and task."""
+def wanted_texts(batch: pa.RecordBatch, bits) -> list:
+    """Texts of (text, b1, b2) whose two bits are set."""
+    import numpy as np
+
+    ok = np.ones(batch.num_rows, dtype=bool)
+    for b in (batch.column(1).to_numpy(), batch.column(2).to_numpy()):
+        ok &= (bits[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return batch.column(0).filter(pa.array(ok)).to_pylist()
+
+
+def token_rows(length: Callable[[int], int], wanted: bytes | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(text), or (text, b1, b2) with bits ``wanted`` -> (token, cid, n) of the first
+    ``length(n)`` hashes of each set, once per set and task."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         shingles, seen = shingler(), set()
+        bits = None if wanted is None else np.frombuffer(wanted, dtype=np.uint64)
         tokens: list = []
         owners: list = []
         sizes: list = []
@@ -130,7 +138,7 @@ def prefix_rows(t_num: int, t_den: int) -> Callable[[Iterator[pa.RecordBatch]],
 
         total = 0
         for texts in stream:
-            for text in texts.column(0).to_pylist():
+            for text in texts.column(0).to_pylist() if bits is None else wanted_texts(texts, bits):
                 s = shingles(text)
                 if not len(s):
                     continue
@@ -140,7 +148,7 @@ def prefix_rows(t_num: int, t_den: int) -> Callable[[Iterator[pa.RecordBatch]],
                 if len(seen) > 300_000:
                     seen.clear()
                 seen.add(cid)
-                tokens.append(s[:prefix_length(len(s), t_num, t_den)])
+                tokens.append(s[:length(len(s))])
                 owners.append(cid)
                 sizes.append(len(s))
                 total += len(tokens[-1])
@@ -161,10 +169,7 @@ def set_rows(wanted: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
         shingles, bits = shingler(), np.frombuffer(wanted, dtype=np.uint64)
         for batch in stream:
-            ok = np.ones(batch.num_rows, dtype=bool)
-            for b in (batch.column(1).to_numpy(), batch.column(2).to_numpy()):
-                ok &= (bits[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1
-            sets = [shingles(t) for t in batch.column(0).filter(pa.array(ok)).to_pylist()]
+            sets = [shingles(t) for t in wanted_texts(batch, bits)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
                 names=["cid", "hashes"])
@@ -225,13 +230,15 @@ class SignatureTree:
         return len(self.nodes) - 1
 
 
-def tree_links(sets: list, sides: list[int] | None, t_num: int, t_den: int) -> list[tuple[int, int]]:
+def tree_links(sets: list, sides: list[int] | None, t_num: int, t_den: int, known: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect what is linked among ``sets``; with ``sides`` (0 or 1)
-    only sets of different sides are compared."""
+    only sets of different sides are compared, with ``known`` only those of
+    different known components."""
     import numpy as np
 
     n = len(sets)
-    parent = list(range(n))
+    first: dict[int, int] = {}
+    parent = list(range(n)) if known is None else [first.setdefault(c, k) for k, c in enumerate(known)]
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -287,12 +294,12 @@ def tree_links(sets: list, sides: list[int] | None, t_num: int, t_den: int) -> l
 
 
 def unit_links(t_num: int, t_den: int) -> Callable[[pa.Table], pa.Table]:
-    """Rows (grp, bi, bj, side, cid, hashes) of a task -> linked pairs (a, b)."""
+    """Rows (grp, bi, bj, side, cid, comp, hashes) of a task -> linked pairs (a, b)."""
 
     def run(rows: pa.Table) -> pa.Table:
         import numpy as np
 
-        cids, sides = rows.column("cid").to_pylist(), rows.column("side").to_pylist()
+        cids, sides, known = (rows.column(c).to_pylist() for c in ("cid", "side", "comp"))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("hashes").to_pylist()]
         groups: dict[int, dict[tuple, int]] = {}
         for k, g in enumerate(rows.column("grp").to_pylist()):
@@ -301,13 +308,67 @@ def unit_links(t_num: int, t_den: int) -> Callable[[pa.Table], pa.Table]:
         for members in groups.values():
             at = list(members.values())
             own = [sides[k] for k in at]
-            found = tree_links([sets[k] for k in at], own if any(own) else None, t_num, t_den)
+            found = tree_links([sets[k] for k in at], own if any(own) else None, t_num, t_den, [known[k] for k in at])
             pairs += [(cids[at[u]], cids[at[v]]) for u, v in found]
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
     return run
 
 
+def token_groups(tokens: DataFrame, needed: Column) -> DataFrame:
+    """(node, root): groups of the sets of ``tokens`` (token, cid, n) that no link crosses, if
+    linked sets share at least ``needed`` of a set's tokens.
+
+    Of the tokens that occur in another set, a set keeps the rarest, all but
+    ``needed - 1``: the rarest that two linked sets share is kept by both.
+    """
+    in_token, in_set = Window.partitionBy("token"), Window.partitionBy("cid")
+    shared = tokens.repartition("token").distinct().withColumn("df", F.count("*").over(in_token)).filter(F.col("df") > 1)
+    shared = (shared.withColumn("k", F.count("*").over(in_set)).filter(F.col("k") >= needed)
+              .withColumn("r", F.row_number().over(in_set.orderBy("df", "token")))
+              .filter(F.col("r") <= F.col("k") - needed + 1).select("token", "cid"))
+    shared = stored(shared, "shared-hashes", free=True)
+    # Each set is joined to the least set of every hash.
+    hubs = shared.groupBy("token").agg(F.min("cid").alias("hub"), F.count("*").alias("c")).filter(F.col("c") > 1)
+    return connected_components(shared.join(hubs, "token").filter(F.col("cid") != F.col("hub"))
+                                .select(F.col("cid").alias("a"), F.col("hub").alias("b")))
+
+
+def weighed(one: DataFrame) -> DataFrame:
+    """Members of groups with ``w``, the shingles of their group."""
+    return one.join(one.groupBy("root").agg(F.sum("n").alias("w")), "root")
+
+
+def waves(weights: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """Ranges [lo, hi) of distances between blocks, given (blocks, shingles) of the groups.
+
+    Block ``h`` of ``nb`` meets ``h + o`` (modulo ``nb``) at distance ``o``; half of the
+    distances make all pairs.  A wave sends at most ``most`` shingles, or one distance.
+    """
+    top = max((nb for nb, _ in weights), default=1) // 2
+    out, lo, sent = [], 0, 0
+    for o in range(top + 1):
+        cost = sum(w * (2 if o else 1) for nb, w in weights if 2 * o <= nb)
+        if o > lo and sent + cost > most:
+            out.append((lo, o))
+            lo, sent = o, 0
+        sent += cost
+    return [*out, (lo, top + 1)]
+
+
+def block_pairs(lo: int, hi: int) -> Column:
+    """Array of (bi, bj, side) of a set in block ``home`` of ``nb``, for distances [lo, hi):
+    the set stands on side 0 of (home, home + o) and on side 1 of (home - o, home)."""
+    far = F.least(F.lit(hi - 1), F.floor(F.col("nb") / 2).cast("int"))
+    home, nb = F.col("home"), F.col("nb")
+    entry = lambda bi, bj, side: F.struct(bi.cast("int").alias("bi"), bj.cast("int").alias("bj"), F.lit(side).alias("side"))
+    both = F.flatten(F.transform(F.sequence(F.lit(lo), far), lambda o: F.filter(
+        F.array(entry(home, F.pmod(home + o, nb), 0), entry(F.pmod(home - o, nb), home, 1)),
+        # At distance 0 there is one side; at half the blocks each pair comes twice.
+        lambda e: ((o > 0) | (e["side"] == 0)) & ((2 * o < nb) | (e["bi"] < o) | (o == 0)))))
+    return F.when(far >= lo, both)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t_num: int = 3, t_den: int = 4,
                        block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, key, component) per row; the similarity is
@@ -315,52 +376,53 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(docs.sparkSession)
     d = docs.select(text_or_empty(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"),
                     F.xxhash64(text_or_empty(text_col)).alias("key"))
-    members = stored(d.mapInArrow(class_rows, "doc_id long, key long, n long, cid long"), "classes")
-
-    # 1. Hashes of the prefixes that occur in another set.
-    prefixes = (d.select("text").mapInArrow(prefix_rows(t_num, t_den), "token long, cid long, n int")
-                .repartition("token").distinct())
-    in_token, in_set = Window.partitionBy("token"), Window.partitionBy("cid")
-    shared = prefixes.withColumn("df", F.count("*").over(in_token)).filter(F.col("df") > 1)
-    needed = F.floor(F.col("n") * t_num / (12 * t_den)) + 1
-    shared = (shared.withColumn("k", F.count("*").over(in_set)).filter(F.col("k") >= needed)
-              .withColumn("r", F.row_number().over(in_set.orderBy("df", "token")))
-              .filter(F.col("r") <= F.col("k") - needed + 1).select("token", "cid"))
-    shared = stored(shared, "shared-hashes")
-
-    # 2. Groups: each set is joined to the least set of every hash.
-    hubs = shared.groupBy("token").agg(F.min("cid").alias("hub"), F.count("*").alias("c")).filter(F.col("c") > 1)
-    candidates = shared.join(hubs, "token").filter(F.col("cid") != F.col("hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
-    groups = connected_components(candidates)
+    members = stored(d.mapInArrow(class_rows, "doc_id long, key long, n long, cid long"), "classes", free=True)
+    b1, b2 = key_bits(F.xxhash64("doc_id", "key"))
+    bits = d.select("text", b1, b2)
 
-    # 3. Trees over the groups' sets, read again from one text of each class.
+    # 1., 2. Groups by hashes of the prefixes that occur in another set.
+    prefixes = d.select("text").mapInArrow(token_rows(lambda n: prefix_length(n, t_num, t_den)), "token long, cid long, n int")
+    groups = token_groups(prefixes, F.floor(F.col("n") * t_num / (12 * t_den)) + 1)
     one = (members.filter(F.col("cid").isNotNull()).groupBy("cid")
            .agg(F.min(F.struct("doc_id", "key")).alias("one"), F.first("n").alias("n")))
-    one = stored(groups.join(one, F.col("node") == F.col("cid"))
-                 .select("cid", "root", "n", F.xxhash64("one.doc_id", "one.key").alias("h")), "group-members")
-    weight = one.groupBy("root").agg(F.sum("n").alias("w"))
-    n_tasks = max(1, -(-(weight.agg(F.sum("w")).first()[0] or 0) // block))
-    dealt = (one.join(weight, "root").withColumn("nb", F.ceil(F.col("w") / block).cast("int"))
-             .withColumn("home", F.when(F.col("nb") > 1, F.pmod(F.xxhash64("cid", F.lit(3)), F.col("nb")))
-                         .otherwise(F.lit(0)).cast("int"))
-             .select("cid", "root", "nb", "home"))
-    b1, b2 = key_bits(F.xxhash64("doc_id", "key"))
-    sets = d.select("text", b1, b2).mapInArrow(set_rows(key_filter(one)), "cid long, hashes binary")
-    rows = sets.join(dealt, "cid")
-    # Block pairs (i, j), i <= j: a set of block h stands on side 0 of (h, j)
-    # and on side 1 of (i, h).
-    pairs = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(
-        F.least(o, F.col("home")).alias("bi"), F.greatest(o, F.col("home")).alias("bj"),
-        F.when(o < F.col("home"), 1).otherwise(0).alias("side")))
-    spread = (rows.withColumn("p", F.explode(pairs))
-              .select(F.col("root").alias("grp"), "p.bi", "p.bj", "p.side", "cid", "hashes",
-                      F.when(F.col("nb") > 1, F.xxhash64("root")).otherwise(F.pmod(F.xxhash64("root", F.lit(5)), F.lit(n_tasks))).alias("task")))
-    links = spread.groupBy("task", "bi", "bj").applyInArrow(unit_links(t_num, t_den), "a long, b long")
-    linked = connected_components(links)
+    one = groups.join(one, F.col("node") == F.col("cid")).select("cid", "root", "n", F.xxhash64("one.doc_id", "one.key").alias("h"))
+    one = weighed(stored(one, "group-members", free=True))
+    # Large ones again by the whole sets.
+    large = stored(one.filter(F.col("w") > block), "large-groups", free=True)
+    if not large.isEmpty():
+        whole = bits.mapInArrow(token_rows(lambda n: n, key_filter(large)), "token long, cid long, n int")
+        finer = token_groups(whole, F.ceil(F.col("n") * t_num / t_den)).withColumnRenamed("root", "part")
+        large = large.join(finer, F.col("node") == F.col("cid")).select("cid", F.xxhash64("root", "part").alias("root"), "n", "h")
+        one = weighed(stored(one.filter(F.col("w") <= block).select("cid", "root", "n", "h").unionByName(large), "group-members", free=True))
+
+    # 3. Trees over the groups' sets, read again from one text of each class.
+    dealt = stored(one.withColumn("nb", F.ceil(F.col("w") / block).cast("int"))
+                   .withColumn("home", F.when(F.col("nb") > 1, F.pmod(F.xxhash64("cid", F.lit(3)), F.col("nb")))
+                               .otherwise(F.lit(0)).cast("int"))
+                   .select("cid", "root", "n", "h", "nb", "home", F.col("cid").alias("comp")), "group-blocks", free=True)
+    weights = [(r.nb, r.w) for r in dealt.groupBy("nb").agg(F.sum("n").alias("w")).collect()]
+    n_tasks = max(1, -(-sum(w for _, w in weights) // block))
+    most = members.agg(F.sum("n")).first()[0] or 0
+    links = None
+    for lo, hi in waves(weights, most // 4):
+        if lo:
+            # What the waves before have connected is not compared again.
+            dealt = dealt.drop("comp").join(linked, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("part", "cid")).drop("node", "part")
+            apart = dealt.groupBy("root").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter(F.col("x") != F.col("y")).select("root")
+            dealt = stored(dealt.filter(F.col("nb") >= 2 * lo).join(apart, "root"), "group-blocks", free=True)
+            if dealt.isEmpty():
+                break
+        sets = bits.mapInArrow(set_rows(key_filter(dealt)), "cid long, hashes binary")
+        spread = (sets.join(dealt, "cid").withColumn("p", F.explode(block_pairs(lo, hi)))
+                  .select(F.col("root").alias("grp"), "p.bi", "p.bj", "p.side", "cid", "comp", "hashes",
+                          F.when(F.col("nb") > 1, F.xxhash64("root")).otherwise(F.pmod(F.xxhash64("root", F.lit(5)), F.lit(n_tasks))).alias("task")))
+        found = stored(spread.groupBy("task", "bi", "bj").applyInArrow(unit_links(t_num, t_den), "a long, b long"), "links", free=True)
+        links = found if links is None else links.unionByName(found)
+        linked = connected_components(links).withColumnRenamed("root", "part")
 
     # Smallest id by class, then by component; copies are combined on the map side.
     roots = (members.filter(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("least"))
-             .join(linked, F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("root", "cid").alias("root")))
+             .join(linked, F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("part", "cid").alias("root")))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = roots.join(least, "root").select(F.col("cid").alias("class_id"), "component_id", F.col("root").alias("component"))
     return (members.join(named, F.col("cid") == F.col("class_id"), "left")

@@ -1,9 +1,14 @@
+import os
 import random
+import time
+import uuid
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoplens.llm import jaccard
+from shoplens.llm.common import FREE_SHUFFLES, stored
 from shoplens.llm.components import connected_components
 
 
@@ -113,3 +118,66 @@ def test_near_copies_with_null_or_equal_ids_leave_one(spark):
     assert sum(r.text is not None and r.text.startswith("w0 ") for r in got) == 1
     assert [r.doc_id for r in got if r.text and r.text.startswith("x ")] == [7]
     assert len(got) == 4  # and the two rows without a set
+
+
+def test_a_passage_in_many_texts_sends_few_copies_of_their_sets(spark, monkeypatch, tmp_dir):
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [(i, " ".join([*(f"w{rng.randrange(10**9)}" for _ in range(40)), *passage])) for i in range(300)]
+    rows += [(1000 + i, f"{t} tail{i}") for i, t in rows[:20]]  # these link
+
+    def counted(t_num, t_den, links=jaccard.unit_links):
+        run = links(t_num, t_den)
+
+        def count(table):
+            with open(os.path.join(tmp_dir, f"{uuid.uuid4().hex}-{table.num_rows}"), "w"):
+                return run(table)
+
+        return count
+
+    monkeypatch.setattr(jaccard, "unit_links", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.jaccard_components(df, block=600).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _brute(rows)
+    # In blocks of 600 shingles the group of the passage has 36: each set was sent 36 times.
+    assert 40 <= sum(int(n.split("-")[1]) for n in os.listdir(tmp_dir)) < 3 * len(rows)
+
+
+def test_block_pairs_of_all_waves_meet_once(spark):
+    for nb in range(1, 9):
+        homes = spark.range(nb).select(F.col("id").cast("int").alias("home"), F.lit(nb).alias("nb"))
+        for most in (0, 5 * nb, 10**6):
+            ranges = jaccard.waves([(nb, nb), (1, 40)], most)
+            assert most < 10**6 or len(ranges) == 1
+            got = [(r.home, *r.p) for lo, hi in ranges for r in homes.withColumn("p", F.explode(jaccard.block_pairs(lo, hi))).collect()]
+            want = [(h, h, h, 0) for h in range(nb)]
+            pairs = {(i, j) for _, i, j, _ in got if i != j}
+            assert len({frozenset(p) for p in pairs}) == len(pairs) == nb * (nb - 1) // 2
+            assert sorted(got) == sorted(want + [(i, i, j, 0) for i, j in pairs] + [(j, i, j, 1) for i, j in pairs])
+
+
+def test_waves_of_one_distance_find_every_link(spark, monkeypatch):
+    ranges = []
+    monkeypatch.setattr(jaccard, "waves", lambda weights, most, f=jaccard.waves: ranges.extend(f(weights, 0)) or ranges)
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(90)]
+    rows = [(i, " ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.03 else w for w in base)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.jaccard_components(df, block=800).collect()
+    assert len(ranges) > 2
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _brute(rows)
+
+
+def test_shuffle_files_go_when_a_table_is_stored(spark):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    t = stored(spark.range(1000).repartition("id"), "kept-until-collected")
+    assert t.count() == 1000 and files() - before
+    before |= files()
+    t = stored(spark.range(1000).repartition("id"), "freed", free=True)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert t.count() == 1000 and spark.conf.get(FREE_SHUFFLES) == "false"
